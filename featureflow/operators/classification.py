@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from featureflow.functions import rules
 from featureflow.functions.vectors import require_vector
 from featureflow.operators.classes import class_counts
-from featureflow.sources.settle import settle
+from featureflow.sources.settle import lay_out, settle
 
 # Forest settings.
 MAX_DEPTH = 10
@@ -19,6 +19,7 @@ NUM_TREES = 50
 SEED = 42
 
 MAX_GRID_CLASSES = 10_000
+AGGREGATION_MB = 1024
 
 
 def label_index(df: DataFrame, label: str = "label") -> DataFrame:
@@ -33,13 +34,23 @@ def label_index(df: DataFrame, label: str = "label") -> DataFrame:
 
 def train_classifier(
     df: DataFrame, label: str = "label", features: str = "features_pca", max_depth: int = MAX_DEPTH,
-    num_trees: int = NUM_TREES, seed: int = SEED, handle_invalid: str = "error",
+    num_trees: int = NUM_TREES, seed: int = SEED, handle_invalid: str = "error", key: str | None = None,
+    partitions: int | None = None, memory_mb: int = AGGREGATION_MB,
 ) -> PipelineModel:
-    """Fit label indexer + random forest. ``handle_invalid`` (error, keep, skip) is for labels unseen in training."""
+    """Fit label indexer + random forest. ``handle_invalid`` (error, keep, skip) is for labels unseen in training.
+
+    With a ``key`` the rows are laid out by it first, which makes the forest independent of the input's splits.
+    ``memory_mb`` bounds the split statistics of one pass: components x bins x classes x 8 bytes per tree node.
+    More memory means more nodes per pass, so fewer passes over the rows.
+    """
     require_vector(df, features)
+    df = df.select(*{label: None, features: None, **({key: None} if key else {})})
+    if key is not None:
+        df = lay_out(df, key, partitions)
     indexer = StringIndexer(inputCol=label, outputCol="label_indexed", handleInvalid=handle_invalid)
     forest = RandomForestClassifier(
-        labelCol="label_indexed", featuresCol=features, maxDepth=max_depth, numTrees=num_trees, seed=seed
+        labelCol="label_indexed", featuresCol=features, maxDepth=max_depth, numTrees=num_trees, seed=seed,
+        maxMemoryInMB=memory_mb,
     )
     return Pipeline(stages=[indexer, forest]).fit(df)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from featureflow.functions.vectors import require_vector
 from featureflow.operators.reduction import planar
+from featureflow.sources.settle import lay_out
 
 # Default number of clusters, seed and chart sample.
 CLUSTERS = 10
@@ -17,11 +18,16 @@ CHART_ROWS = 1000
 
 
 def train_kmeans(
-    df: DataFrame, features: str = "features_pca", k: int = CLUSTERS, seed: int = SEED
+    df: DataFrame, features: str = "features_pca", k: int = CLUSTERS, seed: int = SEED, key: str | None = None,
+    partitions: int | None = None,
 ) -> tuple[KMeansModel, DataFrame]:
-    """(model, frame with ``cluster``). Start centres come from k-means||, which needs a few passes, not n."""
+    """(model, frame with ``cluster``). Start centres come from k-means||, a few passes over the rows.
+
+    With a ``key`` the rows are laid out by it for the fit, so the centres do not depend on the input's splits.
+    """
     require_vector(df, features)
-    model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(df)
+    rows = df.select(features) if key is None else lay_out(df.select(key, features), key, partitions)
+    model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(rows)
     return model, model.transform(df)
 
 

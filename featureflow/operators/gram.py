@@ -77,9 +77,11 @@ def _stores_float(df: DataFrame, column: str) -> bool:
     return df.schema[column].dataType.simpleString() == "array<float>"
 
 
-def covariance(df: DataFrame, column: str = "features") -> tuple[int, np.ndarray, np.ndarray]:
+def covariance(
+    df: DataFrame, column: str = "features", pivot: np.ndarray | None = None
+) -> tuple[int, np.ndarray, np.ndarray]:
     """(n, mean, sample covariance) on the driver; d*d numbers, whatever the number of rows."""
-    pivot = pivot_vector(df, column)
+    pivot = pivot_vector(df, column) if pivot is None else pivot
     d = len(pivot)
     block = np.zeros((d + 1, d + 1))
     for row in moments(df, column, pivot).toLocalIterator():

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,12 @@ from featureflow.sources.files import checksum_files, exists, list_files, readab
 INVENTORY = "dataset string, readable boolean, rows long, n_columns int, columns array<string>"
 
 
+def _schemas(spark: SparkSession, uris: Sequence[str]) -> list[DataFrame | None]:
+    """Each dataset's frame, None where unreadable; the small footer jobs run side by side."""
+    with ThreadPoolExecutor(8) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(lambda uri: readable(spark, uri)), uris))
+
+
 def _count_rows(spark: SparkSession, datasets: Sequence[tuple[str, DataFrame]]) -> dict[str, int | None]:
     """Rows per dataset: one job for all; if any file is bad, one job per dataset so only that one is lost."""
     if not datasets:
@@ -44,7 +52,8 @@ def dataset_inventory(spark: SparkSession, root: str) -> DataFrame:
     require_path(spark, root)
     base = root.rstrip("/")
     sizes = dataset_sizes(spark, root)
-    frames = [(r["dataset"], readable(spark, f"{base}/{r['dataset']}")) for r in sizes.select("dataset").toLocalIterator()]
+    names = [r["dataset"] for r in sizes.select("dataset").toLocalIterator()]
+    frames = list(zip(names, _schemas(spark, [f"{base}/{n}" for n in names])))
     rows = _count_rows(spark, [(n, df) for n, df in frames if df is not None])
     facts = []
     for name, df in frames:

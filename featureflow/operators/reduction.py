@@ -50,19 +50,19 @@ def fit_pca(df: DataFrame, k: int | None, column: str = "features", engine: str
     The sign of a component is fixed: its loading of largest magnitude is positive.
     """
     require_vector(df, column)
-    d = vector_length(df, column)
-    if d is None:
-        raise ValueError(f"no vectors in column '{column}'")
-    k = d if k is None else k
-    if not 1 <= k <= d:
-        raise ValueError(f"k must be between 1 and {d}, got {k}")
     if engine == "ml":
+        d = vector_length(df, column)
+        if d is None:
+            raise ValueError(f"no vectors in column '{column}'")
+        k = _checked_k(k, d)
         rows = df.filter(F.col(column).isNotNull())
         model = PCA(k=k, inputCol=column, outputCol="__pca").fit(rows)
         loadings, shares = model.pc.toArray(), model.explainedVariance.toArray()
         mean = np.zeros(d)
     elif engine == "moments":
-        _, mean, cov = gram.covariance(df, column)
+        pivot = gram.pivot_vector(df, column)
+        k = _checked_k(k, len(pivot))
+        _, mean, cov = gram.covariance(df, column, pivot)
         values, vectors = np.linalg.eigh(cov)
         order = np.argsort(values)[::-1][:k]
         total = values.clip(min=0.0).sum()
@@ -75,6 +75,13 @@ def fit_pca(df: DataFrame, k: int | None, column: str = "features", engine: str
     return PcaModel(loadings * signs, shares, mean)
 
 
+def _checked_k(k: int | None, d: int) -> int:
+    k = d if k is None else k
+    if not 1 <= k <= d:
+        raise ValueError(f"k must be between 1 and {d}, got {k}")
+    return k
+
+
 def project(
     df: DataFrame, model: PcaModel, column: str = "features", output: str = "features_pca", centre: bool = False
 ) -> DataFrame:
@@ -116,9 +123,16 @@ def explained_variance(
     engine: str = "moments",
 ) -> DataFrame:
     """Variance table of a frame: a single fit, as the shares of a smaller fit are a prefix of a larger one."""
+    return variance_table(df.sparkSession, fit_up_to(df, max_k, column, engine), threshold)
+
+
+def fit_up_to(df: DataFrame, max_k: int, column: str = "features", engine: str = "moments") -> PcaModel:
+    """The first ``max_k`` components, or all when the vectors are shorter."""
     require_vector(df, column)
-    d = vector_length(df, column) or 0
-    return variance_table(df.sparkSession, fit_pca(df, min(max_k, d), column, engine), threshold)
+    if engine == "ml":
+        return fit_pca(df, min(max_k, vector_length(df, column) or max_k), column, engine)
+    model = fit_pca(df, None, column, engine)
+    return model.first(min(max_k, model.k))
 
 
 def optimal_k(variance: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

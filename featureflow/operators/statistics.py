@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featureflow.functions import rules
 from featureflow.functions.vectors import as_array, elements
+from featureflow.operators import gram
 from featureflow.operators.classes import class_counts
 from featureflow.sources.settle import fits_broadcast, settle
 
@@ -61,81 +64,69 @@ def feature_histogram(df: DataFrame, column: str = "features", bins: int = 50) -
 
 
 def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequence[float] = QUARTILES) -> DataFrame:
-    """Exact interpolated quantiles per group for a small number of groups: ``group, n, quantiles array``.
+    """Exact interpolated quantiles per group for a bounded number of groups: ``group, n, quantiles array``.
 
-    No group is gathered in one task. A mergeable sketch first brackets every quantile; the second pass
-    counts what lies below each bracket and keeps, per distinct value, the counts inside it (about
-    10/accuracy of the rows, pre-aggregated, so repeated values collapse). The exact ranks are then read off
-    the cumulative counts. Should a bracket miss its ranks, it is widened to the whole range for that group.
+    No group is gathered in one task. A mergeable sketch first brackets every quantile. The second pass keeps
+    the values inside a bracket (about 10/accuracy of the rows, and equal values collapse before the shuffle)
+    and only counts the rest; the exact ranks are read off the cumulative counts. Should a bracket miss its
+    ranks, that group is repeated with the whole range as bracket.
     """
+    probabilities = sorted(probabilities)
     eps = 4.0 / SKETCH_ACCURACY
     probes = [p for q in probabilities for p in (max(0.0, q - eps), min(1.0, q + eps))]
-    rows = df.select(group, F.col(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    sketch = rows.groupBy(group).agg(
-        F.count("x").alias("n"),
-        F.percentile_approx("x", [*probes], SKETCH_ACCURACY).alias("p"),
-        F.min("x").alias("lowest"),
-        F.max("x").alias("highest"),
+    rows = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    sketch = settle(
+        rows.groupBy("g").agg(
+            F.count("x").alias("n"),
+            F.percentile_approx("x", probes, SKETCH_ACCURACY).alias("p"),
+            F.min("x").alias("lowest"),
+            F.max("x").alias("highest"),
+        )
     )
-    sketch = settle(sketch)
-    if not fits_broadcast(sketch.select(group)):
+    if not fits_broadcast(sketch.select("g")):
         raise ValueError("exact_quantiles is for a bounded number of groups")
+    found = settle(_quantiles_in(rows, sketch.select("g", "n", "p"), probabilities))
+    missed = found.filter(F.exists("quantiles", lambda v: v.isNull())).select("g")
+    if not missed.isEmpty():
+        whole = F.flatten(F.array_repeat(F.array("lowest", "highest"), len(probabilities)))
+        redo = sketch.join(F.broadcast(missed.withColumnRenamed("g", "m")), F.col("g").eqNullSafe(F.col("m")), "left_semi")
+        again = _quantiles_in(rows, settle(redo.select("g", "n", whole.alias("p"))), probabilities)
+        found = found.filter(~F.exists("quantiles", lambda v: v.isNull())).unionByName(again)
+    return found.withColumnRenamed("g", group)
 
-    def bracket(i: int, q: float):
-        rank = F.lit(q) * (F.col("n") - 1)
-        return F.struct(
-            F.lit(i).alias("i"),
-            F.floor(rank).alias("rank_lo"),
-            F.ceil(rank).alias("rank_hi"),
-            (rank - F.floor(rank)).alias("fraction"),
-            F.col("p")[2 * i].alias("lo"),
-            F.col("p")[2 * i + 1].alias("hi"),
-        )
 
-    def ranked(brackets: DataFrame) -> DataFrame:
-        """Per (group, quantile): values at both ranks, null where the bracket missed one."""
-        key = [F.col(group).eqNullSafe(F.col("__g"))]
-        hit = rows.join(F.broadcast(brackets.withColumnRenamed(group, "__g")), key).select(
-            group,
-            "i",
-            "rank_lo",
-            "rank_hi",
-            "fraction",
-            F.when(F.col("x") < F.col("lo"), F.lit(None)).otherwise(F.col("x")).alias("x"),
-            (F.col("x") > F.col("hi")).alias("above"),
-        )
-        counts = (
-            hit.filter(~F.col("above"))
-            .groupBy(group, "i", "rank_lo", "rank_hi", "fraction", "x")
-            .agg(F.count(F.lit(1)).alias("c"))
-        )
-        upto = F.sum("c").over(Window.partitionBy(group, "i").orderBy(F.col("x").asc_nulls_first()))
-        spans = counts.withColumn("end", upto).withColumn("start", F.col("end") - F.col("c")).filter(F.col("x").isNotNull())
+def _quantiles_in(rows: DataFrame, brackets: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Quantiles from the counts in and between the brackets ``p = [lo, hi, lo, hi, ...]``; null where missed.
 
-        def at(rank: str):
-            return F.max(F.when((F.col("start") <= F.col(rank)) & (F.col(rank) < F.col("end")), F.col("x")))
+    Every value is either inside a bracket, and kept, or in the gap before one, and only counted: sorted by
+    (brackets passed, value) with the gaps first, the counts accumulate in value order.
+    """
+    sides = brackets.select(
+        F.col("g").alias("g_"), *[F.col("p")[i].alias(f"p{i}") for i in range(2 * len(probabilities))]
+    )
+    x = F.col("x")
+    inside = functools.reduce(
+        operator.or_, [x.between(F.col(f"p{2 * i}"), F.col(f"p{2 * i + 1}")) for i in range(len(probabilities))]
+    )
+    passed = sum(((x > F.col(f"p{2 * i + 1}")).cast("int") for i in range(len(probabilities))), F.lit(0))
+    placed = rows.join(F.broadcast(sides), F.col("g").eqNullSafe(F.col("g_"))).select(
+        "g", passed.alias("passed"), F.when(inside, x).alias("x")
+    )
+    counts = placed.groupBy("g", "passed", "x").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("g").orderBy("passed", F.col("x").asc_nulls_first()))
+    spans = counts.select("g", "x", upto.alias("end"), (upto - F.col("c")).alias("start"))
+    sized = spans.join(F.broadcast(brackets.select(F.col("g").alias("g_"), "n")), F.col("g").eqNullSafe(F.col("g_")))
 
-        return spans.groupBy(group, "i").agg(
-            at("rank_lo").alias("v_lo"), at("rank_hi").alias("v_hi"), F.first("fraction").alias("fraction")
-        )
+    def quantile(q: float) -> Column:
+        rank = F.lit(q) * (F.col("n") - 1)
 
-    brackets = sketch.select(group, "lowest", "highest", F.inline(F.array(*[bracket(i, q) for i, q in enumerate(probabilities)])))
-    found = settle(ranked(brackets.drop("lowest", "highest")))
-    missing = F.col("v_lo").isNull() | F.col("v_hi").isNull()
-    complete = found.filter(~missing)
-    if sketch.count() * len(probabilities) != complete.count():
-        same = [brackets[group].eqNullSafe(complete[group]), brackets["i"] == complete["i"]]
-        wide = brackets.join(complete, same, "left_anti").select(
-            group, "i", "rank_lo", "rank_hi", "fraction", F.col("lowest").alias("lo"), F.col("highest").alias("hi")
-        )
-        complete = complete.unionByName(ranked(settle(wide)))
-    value_at = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("fraction")
-    per_group = complete.groupBy(group).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("i", value_at.alias("v")))), lambda s: s["v"]).alias("quantiles")
-    )
-    return sketch.select(F.col(group).alias("__g"), "n").join(
-        per_group, F.col("__g").eqNullSafe(F.col(group))
-    ).select(group, "n", "quantiles")
+        def at(r: Column) -> Column:
+            return F.max(F.when((F.col("start") <= r) & (r < F.col("end")), F.col("x")))
+
+        low, high = at(F.floor(rank)), at(F.ceil(rank))
+        return low + (high - low) * F.max(rank - F.floor(rank))
+
+    return sized.groupBy("g", "n").agg(F.array(*[quantile(q) for q in probabilities]).alias("quantiles"))
 
 
 def class_box_stats(df: DataFrame, column: str = "features", label: str = "label", classes: int = 5) -> DataFrame:
@@ -174,15 +165,13 @@ def component_variance(df: DataFrame, column: str = "features", first: int | Non
 def component_correlation(df: DataFrame, column: str = "features", components: int = 10) -> DataFrame:
     """Pearson correlation of the first components, long form ``i, j, corr``, zero-based.
 
-    components*(components+1)/2 aggregates in one pass; every task sends one row.
+    Null where a component is constant. Built on the distributed second moments of those components.
     """
-    x = df.select(as_array(df, column).alias("v")).filter(F.col("v").isNotNull())
-    x = x.select(*[F.col("v")[i].alias(f"x{i}") for i in range(components)])
-    pairs = [(i, j) for i in range(components) for j in range(i, components)]
-    wide = x.agg(*[F.corr(f"x{i}", f"x{j}").alias(f"c_{i}_{j}") for i, j in pairs])
-    cells = [
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"c_{min(i, j)}_{max(i, j)}").alias("corr"))
-        for i in range(components)
-        for j in range(components)
-    ]
-    return wide.select(F.inline(F.array(*cells)))
+    narrow = df.select(F.slice(as_array(df, column), 1, components).alias("v"))
+    cells = settle(gram.covariance_long(narrow, "v"))
+    scale = cells.filter(F.col("i") == F.col("j")).select(F.col("i").alias("k"), F.sqrt("covariance").alias("s"))
+    left = scale.select(F.col("k").alias("i"), F.col("s").alias("s_i"))
+    right = scale.select(F.col("k").alias("j"), F.col("s").alias("s_j"))
+    paired = cells.join(F.broadcast(left), "i").join(F.broadcast(right), "j")
+    corr = rules.ratio(F.col("covariance"), F.col("s_i") * F.col("s_j"))
+    return paired.select("i", "j", F.when(F.col("i") == F.col("j"), corr * 0 + 1).otherwise(corr).alias("corr"))

@@ -371,8 +371,8 @@ def pca_spectrum(spark: SparkSession, root: str) -> DataFrame:
 
 
 def pca_project(spark: SparkSession, root: str) -> DataFrame:
-    reduced, _ = jobs.reduce_job(_embeddings(spark, root))
-    return vectors.expand(reduced, "features_pca", keep=["vec_id", "label"])
+    reduced, variance = jobs.reduce_job(_embeddings(spark, root))
+    return vectors.expand(reduced, "features_pca", "pca_", variance.count(), ["vec_id", "label"])
 
 
 def pca_project_pair(spark: SparkSession, root: str) -> DataFrame:
@@ -441,17 +441,17 @@ def silhouette(spark: SparkSession, root: str) -> DataFrame:
 def rf_predict(spark: SparkSession, root: str) -> DataFrame:
     rows = vectors.to_vector(_embeddings(spark, root))
     train, test = sampling.train_test(sampling.stratified_split(rows, "label", "vec_id"))
-    model = classification.train_classifier(train, "label", "features")
+    model = classification.train_classifier(train, "label", "features", key="vec_id")
     return classification.predict(model, test).select("vec_id", "label", "label_indexed", "prediction", "predicted_label")
 
 
 def kmeans_assign(spark: SparkSession, root: str) -> DataFrame:
-    _, assigned = clustering.train_kmeans(vectors.to_vector(_embeddings(spark, root)), "features")
+    _, assigned = clustering.train_kmeans(vectors.to_vector(_embeddings(spark, root)), "features", key="vec_id")
     return assigned.select("vec_id", "label", "cluster")
 
 
 def cluster_chart(spark: SparkSession, root: str) -> DataFrame:
-    _, assigned = clustering.train_kmeans(vectors.to_vector(_embeddings(spark, root)), "features")
+    _, assigned = clustering.train_kmeans(vectors.to_vector(_embeddings(spark, root)), "features", key="vec_id")
     return clustering.cluster_chart(assigned, "vec_id", "features")
 
 

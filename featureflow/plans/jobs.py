@@ -68,10 +68,7 @@ def featurize_job(spark: SparkSession, root: str, output: str, config: Featurize
 def reduce_job(df: DataFrame, config: ReduceConfig = ReduceConfig()) -> tuple[DataFrame, DataFrame]:
     """(reduced frame with ``features_pca``, variance table): one fit gives both the choice of k and the loadings."""
     ready = vectors.to_vector(df, config.features)
-    d = vectors.vector_length(ready, config.features)
-    if d is None:
-        raise ValueError(f"no vectors in column '{config.features}'")
-    model = reduction.fit_pca(ready, min(config.max_k, d), config.features, config.engine)
+    model = reduction.fit_up_to(ready, config.max_k, config.features, config.engine)
     variance = reduction.variance_table(df.sparkSession, model, config.threshold)
     k = reduction.optimal_k(variance, config.threshold).head()["k"]
     return reduction.project(ready, model.first(k), config.features).drop(config.features), variance
@@ -87,10 +84,10 @@ def model_job(df: DataFrame, config: ModelConfig = ModelConfig()) -> tuple[Pipel
         sampling.stratified_split(balanced, config.label, config.key, config.train_ratio, config.seed)
     )
     classifier = classification.train_classifier(
-        train, config.label, config.features, num_trees=config.trees, seed=config.seed
+        train, config.label, config.features, num_trees=config.trees, seed=config.seed, key=config.key
     )
     metrics, _ = classification.evaluate_classifier(classifier, test, config.label)
-    _, clustered = clustering.train_kmeans(balanced, config.features, config.clusters, config.seed)
+    _, clustered = clustering.train_kmeans(balanced, config.features, config.clusters, config.seed, config.key)
     return classifier, metrics, clustered
 
 

@@ -57,8 +57,11 @@ ORACLES: dict[str, str] = {
     "range_classes": "select range as image_id, range % 5 as class_id from range((select count(*) from customer))",
     "replicate_rows": """select s_suppkey, s_name, r::integer as copy from supplier,
         (select unnest(generate_series(1, 200)) as r)""",
-    "synthetic_features": f"""with v as (select vec_id, i, {_uniform("i || '|' || vec_id")} as x
-          from embeddings, (select unnest(generate_series(0, 1279)) as i))
+    "synthetic_features": """with r as (select vec_id, ('0x' || substr(md5('42|' || vec_id), 1, 7))::bigint as s,
+            ('0x' || substr(md5('42|' || vec_id), 9, 7))::bigint + 1 as t from embeddings),
+        b as (select vec_id, i, (s + i * t) % 2147483647 as x from r, (select unnest(generate_series(0, 1279)) as i)),
+        q as (select *, x * x % 2147483647 as x2 from b),
+        v as (select vec_id, i, (x2 * x2 % 2147483647) * x % 2147483647 / 2147483647.0::double as x from q)
         select vec_id, count(*)::integer as n, round(max(x) filter (i = 0), 9) as first_value,
           round(max(x) filter (i = 1279), 9) as last_value, round(max(x), 9) as max_value, round(sum(x), 5) as total
         from v group by vec_id""",

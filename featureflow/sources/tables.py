@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featureflow.functions.hashing import uniform
+from featureflow.functions.hashing import hash_number, key_hash
+
+PRIME = (1 << 31) - 1
 
 # Schemas of the data model.
 IMAGE_INDEX = T.StructType([T.StructField("path", T.StringType()), T.StructField("label", T.StringType())])
@@ -47,12 +49,26 @@ def replicate(df: DataFrame, times: int, copy_col: str = "copy") -> DataFrame:
 
 
 def synthetic_features(key: str | Column, d: int, seed: int = 42) -> Column:
-    """Array of ``d`` reproducible uniforms; element i depends on seed, i and the row key only."""
-    key = F.col(key) if isinstance(key, str) else key
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(d - 1)),
-        lambda i: uniform(F.concat_ws("|", i.cast("string"), key.cast("string")), seed),
-    )
+    """Array of ``d`` reproducible uniforms in [0, 1); element i depends on seed, i and the row key only.
+
+    One digest per row gives a start s and a step t; element i is ``(s + i t)^5 mod p / p``. The fifth power
+    permutes the residues modulo the prime p, so the values stay uniform, in plain long arithmetic.
+    """
+    digest = key_hash(key, seed)
+    row = F.array(hash_number(digest, 7), hash_number(F.substring(digest, 9, 7), 7) + 1)
+    prime = F.lit(PRIME).cast("long")
+    positions = F.sequence(F.lit(0).cast("long"), F.lit(d - 1).cast("long"))
+
+    def fifth_power(x: Column) -> Column:
+        square = (x * x) % prime
+        return ((square * square) % prime * x) % prime / F.lit(float(PRIME))
+
+    # The nested transforms bind the digest numbers, and each residue, to a variable: one digest per row.
+    def row_values(start_step: Column) -> Column:
+        residues = F.transform(positions, lambda i: (start_step[0] + i * start_step[1]) % prime)
+        return F.transform(residues, fifth_power)
+
+    return F.transform(F.array(row), row_values)[0]
 
 
 def random_features(d: int, seeds: Sequence[int], prefix: str = "f_") -> list[Column]:

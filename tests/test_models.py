@@ -129,3 +129,20 @@ def test_cluster_chart(blobs):
     _, assigned = clustering.train_kmeans(blobs, k=3)
     chart = clustering.cluster_chart(assigned, "path", sample_size=60)
     assert chart.columns == ["path", "x", "y", "cluster", "label"] and chart.count() == 60
+
+
+@pytest.mark.parametrize("parts", [1, 4, 7])
+def test_models_do_not_depend_on_the_splits(blobs, parts):
+    """Forest votes and k-means centres are the same for any input partitioning."""
+    noisy = blobs.withColumn("label", F.when(F.hash("path") % 5 == 0, "a").otherwise(F.col("label")))
+
+    def outcome(df):
+        model = classification.train_classifier(df, num_trees=4, key="path", partitions=3)
+        votes = sorted((r["path"], tuple(r["rawPrediction"].toArray())) for r in model.transform(df).collect())
+        means, _ = clustering.train_kmeans(df, k=3, key="path", partitions=3)
+        return votes, np.array(means.clusterCenters())
+
+    expected, centres = outcome(noisy.coalesce(2))
+    votes, other = outcome(noisy.repartition(parts))
+    assert votes == expected
+    np.testing.assert_allclose(other, centres, rtol=1e-12)
