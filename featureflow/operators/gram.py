@@ -64,7 +64,7 @@ def moments(df: DataFrame, column: str, pivot: np.ndarray) -> DataFrame:
                 names=["i", "s"],
             )
 
-    vectors = df.select(as_array(df, column, "float32" if _stores_float(df, column) else "float64").alias("v"))
+    vectors = df.select(as_array(df, column, stored_precision(df, column)).alias("v"))
     vectors = vectors.filter(F.col("v").isNotNull())
     tasks = WAVES * df.sparkSession.sparkContext.defaultParallelism
     blocks = vectors.coalesce(tasks).mapInArrow(partial, "i int, s array<double>")
@@ -73,8 +73,9 @@ def moments(df: DataFrame, column: str, pivot: np.ndarray) -> DataFrame:
     )
 
 
-def _stores_float(df: DataFrame, column: str) -> bool:
-    return df.schema[column].dataType.simpleString() == "array<float>"
+def stored_precision(df: DataFrame, column: str) -> str:
+    """``float32`` for a stored array<float>: it goes to Python as it is and is widened there."""
+    return "float32" if df.schema[column].dataType.simpleString() == "array<float>" else "float64"
 
 
 def covariance(

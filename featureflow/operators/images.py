@@ -7,6 +7,7 @@ featuriser is made by a factory that runs once per Python task and is then calle
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -23,6 +24,8 @@ FEATURE_LENGTH = 1280
 MIN_SIDE = 32
 PIXEL_SCALE = 127.5
 
+MAX_MODEL_BYTES = 1 << 30
+
 LUMA = np.array([0.299, 0.587, 0.114], dtype=np.float32)
 
 
@@ -67,25 +70,27 @@ def pixels(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
     return block[:, :, 2::-1]
 
 
+def taps(n: int, size: int) -> np.ndarray:
+    """size x n bilinear weights, pixel centres aligned."""
+    at = np.clip((np.arange(size, dtype=np.float32) + 0.5) * n / size - 0.5, 0, n - 1)
+    low = np.floor(at).astype(np.int64)
+    weights = np.zeros((size, n), dtype=np.float32)
+    weights[np.arange(size), low] = 1 - (at - low)
+    weights[np.arange(size), np.minimum(low + 1, n - 1)] += at - low
+    return weights
+
+
 def resize(block: np.ndarray, size: int) -> np.ndarray:
-    """Bilinear resize of an h x w x c array to size x size, pixel centres aligned."""
+    """Bilinear resize of an h x w x c array to c planes of size x size: rows @ plane @ columns."""
+    planes = block.astype(np.float32).transpose(2, 0, 1)
     height, width = block.shape[:2]
     if (height, width) == (size, size):
-        return block.astype(np.float32)
-
-    def taps(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at = np.clip((np.arange(size, dtype=np.float32) + 0.5) * n / size - 0.5, 0, n - 1)
-        low = np.floor(at).astype(np.int64)
-        return low, np.minimum(low + 1, n - 1), at - low
-
-    r0, r1, rw = taps(height)
-    c0, c1, cw = taps(width)
-    rows = block[r0] * (1 - rw)[:, None, None] + block[r1] * rw[:, None, None]
-    return rows[:, c0] * (1 - cw)[None, :, None] + rows[:, c1] * cw[None, :, None]
+        return planes
+    return taps(height, size) @ planes @ taps(width, size).T
 
 
 def scaled(block: np.ndarray, size: int = INPUT_SIZE) -> np.ndarray:
-    """Resized pixels in [-1, 1], the input range of the usual mobile networks."""
+    """Resized planes in [-1, 1], the input range of the usual mobile networks."""
     return resize(block, size) / np.float32(PIXEL_SCALE) - np.float32(1)
 
 
@@ -101,16 +106,16 @@ def colour_features(size: int = INPUT_SIZE, grid: int = 16, bins: int = 64) -> C
     def factory() -> Callable[[list[np.ndarray]], np.ndarray]:
         step = size // grid
 
+        def describe(block: np.ndarray) -> np.ndarray:
+            rgb = scaled(block, size)
+            planes = np.concatenate([rgb, np.tensordot(LUMA, rgb, 1)[None]])
+            tiles = planes.reshape(4, grid, step, grid, step).sum(axis=4).sum(axis=2) / np.float32(step * step)
+            cells = np.clip((planes + 1) * np.float32(bins / 2), 0, bins - 1).astype(np.int16)
+            shares = np.stack([np.bincount(c.ravel(), minlength=bins) for c in cells]) / (size * size)
+            return np.concatenate([tiles.reshape(4, -1), shares], axis=1).ravel().astype(np.float32)
+
         def featurise(blocks: list[np.ndarray]) -> np.ndarray:
-            x = np.stack([scaled(b, size) for b in blocks])
-            x = np.concatenate([x, (x @ LUMA)[..., None]], axis=3).clip(-1, 1)
-            n = len(x)
-            means = x.reshape(n, grid, step, grid, step, 4).mean(axis=(2, 4), dtype=np.float64)
-            means = means.transpose(0, 3, 1, 2).reshape(n, 4, grid * grid)
-            cell = np.minimum(((x + 1) * (bins / 2)).astype(np.int64), bins - 1)
-            cell += (np.arange(n)[:, None, None, None] * 4 + np.arange(4)) * bins
-            shares = np.bincount(cell.ravel(), minlength=n * 4 * bins).reshape(n, 4, bins) / (size * size)
-            return np.concatenate([means, shares], axis=2).reshape(n, -1).astype(np.float32)
+            return np.stack([describe(b) for b in blocks])
 
         return featurise
 
@@ -119,6 +124,8 @@ def colour_features(size: int = INPUT_SIZE, grid: int = 16, bins: int = 64) -> C
 
 def onnx_features(spark: Any, model_path: str, size: int = INPUT_SIZE, channels_first: bool = False) -> Callable[[], Callable]:
     """Factory around a user-supplied ONNX network; the file is broadcast once and opened once per task."""
+    if os.path.getsize(model_path) > MAX_MODEL_BYTES:
+        raise ValueError(f"model files above {MAX_MODEL_BYTES} bytes are not broadcast")
     with open(model_path, "rb") as f:
         weights = spark.sparkContext.broadcast(f.read())
 
@@ -132,8 +139,8 @@ def onnx_features(spark: Any, model_path: str, size: int = INPUT_SIZE, channels_
 
         def featurise(blocks: list[np.ndarray]) -> np.ndarray:
             x = np.stack([scaled(b, size) for b in blocks]).astype(np.float32)
-            if channels_first:
-                x = np.ascontiguousarray(x.transpose(0, 3, 1, 2))
+            if not channels_first:
+                x = np.ascontiguousarray(x.transpose(0, 2, 3, 1))
             out = session.run(None, {name: x})[0]
             return out.reshape(len(blocks), -1).astype(np.float32)
 
@@ -186,7 +193,8 @@ def featurise(
 
     source = F.struct(*[F.col(f"{image}.{c}").alias(c) for c in ("height", "width", "nChannels", "data")])
     kept = [c for c in images.columns if c != image]
-    result = images.withColumn("__r", run(source)).select(*kept, "__r.*")
+    # Marked non-deterministic so that a later filter on the status is not pushed below as a second inference.
+    result = images.withColumn("__r", run.asNondeterministic()(source)).select(*kept, "__r.*")
     if on_error == "zero":
         zeros = F.array_repeat(F.lit(0.0).cast("float"), length)
         result = result.withColumn("features", F.coalesce("features", zeros))

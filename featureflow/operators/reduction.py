@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featureflow.functions import rules
-from featureflow.functions.vectors import as_array, require_vector, vector_length
+from featureflow.functions.vectors import as_array, require_vector, to_vector, vector_length
 from featureflow.operators import gram
 from featureflow.operators.sampling import hash_sample
 from featureflow.sources.tables import VARIANCE_TABLE
@@ -50,6 +50,11 @@ def fit_pca(df: DataFrame, k: int | None, column: str = "features", engine: str
     The sign of a component is fixed: its loading of largest magnitude is positive.
     """
     require_vector(df, column)
+    return _fit(df, k, column, engine)
+
+
+def _fit(df: DataFrame, k: int | None, column: str, engine: str) -> PcaModel:
+    """The fit itself; the moments engine takes arrays as they are stored, without a vector in between."""
     if engine == "ml":
         d = vector_length(df, column)
         if d is None:
@@ -77,6 +82,8 @@ def fit_pca(df: DataFrame, k: int | None, column: str = "features", engine: str
 
 def _checked_k(k: int | None, d: int) -> int:
     k = d if k is None else k
+    if d > gram.MAX_DIMENSION:
+        raise ValueError(f"{d} dimensions; a covariance matrix above {gram.MAX_DIMENSION} is refused")
     if not 1 <= k <= d:
         raise ValueError(f"k must be between 1 and {d}, got {k}")
     return k
@@ -103,7 +110,7 @@ def project(
             pa.array(offsets, mask=np.append(~present, False)), pa.array(out.reshape(-1))
         )
 
-    projected = df.withColumn("__projected", multiply(as_array(df, column)))
+    projected = df.withColumn("__projected", multiply.asNondeterministic()(as_array(df, column, gram.stored_precision(df, column))))
     vector = F.when(F.col("__projected").isNotNull(), array_to_vector("__projected"))
     return projected.withColumn(output, vector).drop("__projected")
 
@@ -123,15 +130,16 @@ def explained_variance(
     engine: str = "moments",
 ) -> DataFrame:
     """Variance table of a frame: a single fit, as the shares of a smaller fit are a prefix of a larger one."""
+    require_vector(df, column)
     return variance_table(df.sparkSession, fit_up_to(df, max_k, column, engine), threshold)
 
 
 def fit_up_to(df: DataFrame, max_k: int, column: str = "features", engine: str = "moments") -> PcaModel:
-    """The first ``max_k`` components, or all when the vectors are shorter."""
-    require_vector(df, column)
+    """The first ``max_k`` components, or all when the vectors are shorter; arrays and ML vectors alike."""
     if engine == "ml":
-        return fit_pca(df, min(max_k, vector_length(df, column) or max_k), column, engine)
-    model = fit_pca(df, None, column, engine)
+        df = to_vector(df, column)
+        return _fit(df, min(max_k, vector_length(df, column) or max_k), column, engine)
+    model = _fit(df, None, column, engine)
     return model.first(min(max_k, model.k))
 
 

@@ -79,12 +79,14 @@ def _taken(key: str, seed: int) -> Column:
     return F.col("cut").isNull() | (key_hash(key, seed) <= F.col("cut"))
 
 
-def min_class_filter(df: DataFrame, label: str = "label", min_rows: int = 5, spread_by: str | None = None) -> DataFrame:
+def min_class_filter(
+    df: DataFrame, label: str = "label", min_rows: int = 5, key: str = "path", max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Rows of the classes with at least ``min_rows`` rows. Above 1, null labels go as well; at 1 nothing does."""
     if min_rows <= 1:
         return df
     valid = settle(class_counts(df, label).filter((F.col("n") >= min_rows) & F.col(label).isNotNull()).select(label))
-    return join_classes(df, valid, label, spread_by or df.columns[0], "left_semi")
+    return join_classes(df, valid, label, key, "left_semi", max_rows)
 
 
 def excluded_classes(df: DataFrame, label: str = "label", min_rows: int = 5) -> DataFrame:

@@ -355,7 +355,8 @@ def quality_verdict(spark: SparkSession, root: str) -> DataFrame:
 
 
 def pca_variance(spark: SparkSession, root: str) -> DataFrame:
-    return reduction.explained_variance(vectors.to_vector(_embeddings(spark, root)))
+    table = reduction.explained_variance(vectors.to_vector(_embeddings(spark, root)))
+    return _rounded(table, "individual_variance", "cum_variance")
 
 
 def pca_variance_pair(spark: SparkSession, root: str) -> DataFrame:
@@ -393,12 +394,18 @@ def pca_norms(spark: SparkSession, root: str) -> DataFrame:
     return reduced.select("vec_id", _r(F.sqrt(squares)).alias("norm"))
 
 
+def pca_first(spark: SparkSession, root: str) -> DataFrame:
+    """Coordinates on the first three components."""
+    reduced = reduction.apply_pca(vectors.to_vector(_embeddings(spark, root)), 3)
+    return _rounded(vectors.expand(reduced, "features_pca", "pca_", 3, ["vec_id"]), "pca_0", "pca_1", "pca_2")
+
+
 def pca_2d(spark: SparkSession, root: str) -> DataFrame:
     flat = reduction.planar(vectors.to_vector(_embeddings(spark, root)), "features")
-    return flat.select("vec_id", "label", "x", "y")
+    return _rounded(flat.select("vec_id", "label", "x", "y"), "x", "y")
 
 
-def synthetic_pipeline(spark: SparkSession, root: str) -> DataFrame:
+def synthetic_reduction(spark: SparkSession, root: str) -> DataFrame:
     ids = _table(spark, root, "embeddings", "vec_id").withColumnRenamed("vec_id", "image_id")
     demo = vectors.to_vector(jobs.synthetic_rows(ids, "image_id"))
     reduced = reduction.apply_pca(demo, reduction.DEFAULT_K, output="pca_features")
@@ -407,7 +414,7 @@ def synthetic_pipeline(spark: SparkSession, root: str) -> DataFrame:
 
 def reduce_report(spark: SparkSession, root: str) -> DataFrame:
     reduced, variance = jobs.reduce_job(_embeddings(spark, root))
-    return jobs.report_job(reduced, variance)
+    return _rounded(jobs.report_job(reduced, variance), "explained_variance", "balance_ratio", "spread_percent")
 
 
 def class_means(spark: SparkSession, root: str) -> DataFrame:
@@ -507,7 +514,7 @@ QUERIES: dict[str, Query] = {
         excluded_classes, balance_exact, balance_bernoulli, balance_dataset, reduction_report, hash_split,
         stratified_split, split_report, union_splits, prepare_data, variance_curve, optimal_k, k_fallback,
         reduction_factor, quality_verdict, pca_variance, pca_variance_pair, pca_spectrum, pca_project,
-        pca_project_pair, pca_planar_pair, pca_norms, pca_2d, synthetic_pipeline, reduce_report, class_means,
+        pca_project_pair, pca_planar_pair, pca_norms, pca_first, pca_2d, synthetic_reduction, reduce_report, class_means,
         label_index, class_metrics, confusion_matrix, silhouette, rf_predict, kmeans_assign, cluster_chart,
         image_features, image_validation,
     )

@@ -49,6 +49,17 @@ class FeaturizeConfig:
     refresh: bool = False
 
 
+def index_job(
+    spark: SparkSession, root: str, output: str | None = None, sample_size: int | None = None, refresh: bool = False
+) -> DataFrame:
+    """Image index ``path, label``, kept in ``output`` when given."""
+    if output is None:
+        return files.image_index(spark, root, sample_size)
+    return store.materialize(
+        spark, output, lambda: files.image_index(spark, root, sample_size), {"sample_size": sample_size}, [root], refresh
+    )
+
+
 def featurize_job(spark: SparkSession, root: str, output: str, config: FeaturizeConfig = FeaturizeConfig()) -> DataFrame:
     """Scan, validate, featurise, write: ``path, label, features, status, error``."""
 
@@ -66,12 +77,54 @@ def featurize_job(spark: SparkSession, root: str, output: str, config: Featurize
 
 
 def reduce_job(df: DataFrame, config: ReduceConfig = ReduceConfig()) -> tuple[DataFrame, DataFrame]:
-    """(reduced frame with ``features_pca``, variance table): one fit gives both the choice of k and the loadings."""
-    ready = vectors.to_vector(df, config.features)
-    model = reduction.fit_up_to(ready, config.max_k, config.features, config.engine)
+    """(reduced frame with ``features_pca``, variance table); features may be arrays or ML vectors.
+
+    One fit gives both the choice of k and the loadings, so the rows are read twice: once to sum the moments
+    and once, lazily, to project.
+    """
+    model = reduction.fit_up_to(df, config.max_k, config.features, config.engine)
     variance = reduction.variance_table(df.sparkSession, model, config.threshold)
     k = reduction.optimal_k(variance, config.threshold).head()["k"]
-    return reduction.project(ready, model.first(k), config.features).drop(config.features), variance
+    return reduction.project(df, model.first(k), config.features).drop(config.features), variance
+
+
+def stored_reduce_job(
+    spark: SparkSession, features: str, output: str, config: ReduceConfig = ReduceConfig(), refresh: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``reduce_job`` on a stored feature set: ``<output>/features_pca.parquet`` and ``<output>/pca_variance.parquet``.
+
+    Rows without features are left out. Both results are reused for the same settings over the same files,
+    and a change of either recomputes them together.
+    """
+    computed: dict[str, DataFrame] = {}
+
+    def stage(name: str) -> Callable[[], DataFrame]:
+        def compute() -> DataFrame:
+            if not computed:
+                rows = spark.read.parquet(features).filter(F.col(config.features).isNotNull())
+                computed["reduced"], computed["variance"] = reduce_job(rows, config)
+            return computed[name]
+
+        return compute
+
+    params = vars(config)
+    variance = store.materialize(spark, f"{output}/pca_variance.parquet", stage("variance"), params, [features], refresh)
+    reduced = store.materialize(spark, f"{output}/features_pca.parquet", stage("reduced"), params, [features], refresh)
+    return reduced, variance
+
+
+def image_job(
+    spark: SparkSession, root: str, output: str, featurize: FeaturizeConfig = FeaturizeConfig(),
+    reduce: ReduceConfig = ReduceConfig(),
+) -> DataFrame:
+    """Images to reduced vectors: features, variance table, ``final_results`` as Parquet and CSV, run log, report."""
+    features = f"{output}/cache/features.parquet"
+    featurize_job(spark, root, features, featurize)
+    reduced, variance = stored_reduce_job(spark, features, f"{output}/results", reduce)
+    final = reduced.select("path", "label", "features_pca")
+    store.write_logged(final, f"{output}/final_results.parquet", f"{output}/logs/run.parquet", "final_results")
+    store.write_csv(final, f"{output}/final_results.csv")
+    return report_job(final, variance)
 
 
 def model_job(df: DataFrame, config: ModelConfig = ModelConfig()) -> tuple[PipelineModel, DataFrame, DataFrame]:

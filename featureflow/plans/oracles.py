@@ -29,6 +29,47 @@ u as (select *, b / sqrt(b * b + (l1 - a) ** 2) as u0, (l1 - a) / sqrt(b * b + (
 w as (select *, case when abs(u0) > abs(u1) then sign(u0) else sign(u1) end as s,
     case when abs(u1) > abs(u0) then -sign(u1) else sign(u0) end as s2 from u)"""
 
+
+
+SQUARINGS = 16
+DIMENSIONS = 64
+
+
+def _leading(name: str, source: str) -> str:
+    """Leading eigenvector of a symmetric matrix (i, j, v) by repeated squaring; then the deflated matrix."""
+    return f"""{name}_p as (
+      select 0 as s, i, j, v / (select sum(v) from {source} where i = j) as v from {source}
+      union all
+      select s, i, j, v / sum(case when i = j then v end) over () as v from
+        (select a.s + 1 as s, a.i, b.j, sum(a.v * b.v) as v from {name}_p a join {name}_p b on a.j = b.i
+         where a.s < {SQUARINGS} group by all)),
+    {name}_m as (select i as m, v as top from {name}_p where s = {SQUARINGS} and i = j order by v desc limit 1),
+    {name} as (select i, v / sqrt(top) as u from {name}_p, {name}_m where s = {SQUARINGS} and j = m),
+    {name}_l as (select sum(a.u * c.v * b.u) as l from {source} c join {name} a on a.i = c.i join {name} b on b.i = c.j),
+    {name}_rest as (select c.i, c.j, c.v - l * a.u * b.u as v
+      from {name}_l, {source} c join {name} a on a.i = c.i join {name} b on b.i = c.j)"""
+
+
+def _spectrum() -> str:
+    """Variance table up to 95 %, one deflation after the other."""
+    sources = ["cov", *[f"c{i}_rest" for i in range(DIMENSIONS)]]
+    steps = ", ".join(_leading(f"c{i}", sources[i]) for i in range(DIMENSIONS))
+    values = " union all ".join(f"select {i + 1} as k, l from c{i}_l" for i in range(DIMENSIONS))
+    return f"""with recursive e as ({POSITIONS}),
+    cov as (select a.p as i, b.p as j, covar_samp(a.x, b.x) as v from e a join e b using (vec_id) group by all),
+    {steps}, l as ({values}),
+    shares as (select k, l / sum(l) over () as share, sum(l) over (order by k) / sum(l) over () as cum from l),
+    variance as (select * from shares where cum - share < 0.95)"""
+
+
+COMPONENTS = f"""with recursive e as ({POSITIONS}),
+    cov as (select a.p as i, b.p as j, covar_samp(a.x, b.x) as v from e a join e b using (vec_id) group by all),
+    {_leading("c0", "cov")}, {_leading("c1", "c0_rest")}, {_leading("c2", "c1_rest")},
+    mean as (select p, avg(x) as m from e group by p),
+    proj as (select vec_id, label, sum(x * c0.u) as p0, sum(x * c1.u) as p1, sum(x * c2.u) as p2,
+        sum((x - m) * c0.u) as q0, sum((x - m) * c1.u) as q1
+      from e join c0 on c0.i = p join c1 on c1.i = p join c2 on c2.i = p join mean using (p) group by all)"""
+
 BOX = """with e as ({elements}),
 chosen as (select distinct {label} from e order by 1 limit 5),
 x as (select * from e semi join chosen using ({label})),
@@ -197,6 +238,19 @@ ORACLES: dict[str, str] = {
           case when cum > 0.8 then 'reached' else 'not reached' end as variance,
           case when cum > 0.8 and ratio > 0.7 then 'success' else 'partial success' end as overall
         from m, e""",
+    "pca_variance": f"""{_spectrum()}
+        select k, round(share, 6) as individual_variance, round(cum, 6) as cum_variance from variance""",
+    "reduce_report": f"""{_spectrum()},
+        c as (select label, count(*) as n from embeddings group by 1),
+        m as (select sum(n)::bigint as n_rows, count(*) as n_classes, min(n)::double / max(n) as ratio,
+            (max(n) - min(n)) * 100.0::double / sum(n) as spread from c),
+        t as (select max(k) as k, max(cum) as cum from variance)
+        select n_rows, n_classes, k, round(cum, 6) as explained_variance, round(ratio, 6) as balance_ratio,
+          round(spread, 6) as spread_percent,
+          case when ratio > 0.8 then 'balanced' else 'unbalanced' end as balance,
+          case when cum > 0.8 then 'reached' else 'not reached' end as variance,
+          case when cum > 0.8 and ratio > 0.7 then 'success' else 'partial success' end as overall
+        from m, t""",
     "pca_variance_pair": f"""{PAIR}
         select 1 as k, round(l1 / (l1 + l2), 9) as individual_variance, round(l1 / (l1 + l2), 9) as cum_variance from w
         union all select 2, round(l2 / (l1 + l2), 9), 1.0::double from w""",
@@ -211,6 +265,14 @@ ORACLES: dict[str, str] = {
         select l_orderkey, l_linenumber,
           round(s * ((l_quantity - mq) * u0 + (l_extendedprice - me) * u1), 4) + 0.0 as x,
           round(s2 * ((l_quantity - mq) * -u1 + (l_extendedprice - me) * u0), 4) + 0.0 as y from lineitem, w""",
+    "pca_first": f"""{COMPONENTS}
+        select vec_id, round(p0, 6) + 0.0 as pca_0, round(p1, 6) + 0.0 as pca_1, round(p2, 6) + 0.0 as pca_2 from proj""",
+    "pca_2d": f"""{COMPONENTS}
+        select vec_id, label, round(q0, 6) + 0.0 as x, round(q1, 6) + 0.0 as y from proj""",
+    "class_means": f"""{COMPONENTS}
+        select label, count(*) as n, round(avg(p0), 6) + 0.0 as mean_0, round(avg(p1), 6) + 0.0 as mean_1,
+          round(avg(p2), 6) + 0.0 as mean_2, round(count(*) * 100.0::double / sum(count(*)) over (), 6) as percent
+        from proj group by label""",
     "pca_norms": f"select vec_id, round(sqrt(sum(x * x)), 6) as norm from ({POSITIONS}) group by vec_id",
     "label_index": """select source, n, (row_number() over (order by n desc, source) - 1)::double as label_indexed
         from (select source, count(*) as n from documents group by source)""",

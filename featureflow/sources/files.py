@@ -62,7 +62,10 @@ def scan_binary(spark: SparkSession, root: str, glob: str | None = "*.jpg") -> D
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """File metadata only. Without ``content`` in the projection no file is opened."""
+    """File metadata only. Without ``content`` in the projection no file is opened.
+
+    As in every Spark file source, empty files and names starting with ``_`` or ``.`` do not appear.
+    """
     require_path(spark, root)
     return scan_binary(spark, root, None).select("path", "modificationTime", "length")
 

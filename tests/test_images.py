@@ -78,7 +78,7 @@ def test_validate_missing_rows(spark, image_set):
     assert checked.filter("reason = 'unreadable'").count() == 1 and checked.count() == index.count()
 
 
-def reference_resize(block, size):
+def plain_resize(block, size):
     """Plain bilinear resize, one output pixel at a time."""
     h, w = block.shape[:2]
     out = np.zeros((size, size, block.shape[2]))
@@ -97,12 +97,12 @@ def reference_resize(block, size):
 @pytest.mark.parametrize("shape", [(5, 9, 3), (20, 7, 3), (12, 12, 3), (1, 1, 3)])
 def test_resize(shape):
     block = np.random.default_rng(1).integers(0, 256, shape).astype(np.uint8)
-    np.testing.assert_allclose(images.resize(block, 12), reference_resize(block.astype(float), 12), atol=1e-3)
+    np.testing.assert_allclose(images.resize(block, 12).transpose(1, 2, 0), plain_resize(block.astype(float), 12), atol=1e-3)
 
 
 def descriptor(block, size, grid, bins):
     rgb = block if block.ndim == 3 else np.repeat(block[:, :, None], 3, axis=2)
-    x = reference_resize(rgb[:, :, :3].astype(float), size) / 127.5 - 1
+    x = plain_resize(rgb[:, :, :3].astype(float), size) / 127.5 - 1
     planes = [x[:, :, 0], x[:, :, 1], x[:, :, 2], x @ np.array([0.299, 0.587, 0.114])]
     step, out = size // grid, []
     for p in planes:
@@ -171,6 +171,13 @@ def test_featurise_adds_no_exchange(spark, image_set):
     assert "Exchange" not in done._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("on_error", ["null", "zero", "drop"])
+def test_each_image_is_inferred_once(spark, image_set, on_error):
+    scan = images.valid_images(files.scan_images(spark, image_set[0]))
+    done = images.featurise(scan, on_error=on_error).filter("status = 'ok' and size(features) > 0")
+    assert done._jdf.queryExecution().executedPlan().toString().count("EvalPython [") == 1
+
+
 def test_jpeg(spark, tmp_path):
     (tmp_path / "Kiwi").mkdir()
     jvm = spark._jvm
@@ -238,6 +245,6 @@ def test_onnx(spark, image_set, tmp_path):
     factory = images.onnx_features(spark, str(model), 16, channels_first=True)
     done = {r["path"].rsplit("/", 1)[1]: r for r in images.featurise(files.scan_images(spark, root), factory, 3).collect()}
     block = good["Apple Red/a 1.png"]
-    expected = (reference_resize(block.astype(float), 16) / 127.5 - 1).mean(axis=(0, 1))
+    expected = (plain_resize(block.astype(float), 16) / 127.5 - 1).mean(axis=(0, 1))
     np.testing.assert_allclose(done["a 1.png"]["features"], expected, atol=1e-4)
     assert done["broken.png"]["status"] == "error"

@@ -86,8 +86,10 @@ def test_key_hash_of_hot_class_stays_out_of_one_task(spark):
 
 
 def test_min_class_filter(skewed):
-    kept = sampling.min_class_filter(skewed, "label", 5)
-    assert {r["label"] for r in kept.select("label").distinct().collect()} == {"hot", *[f"c{i}" for i in range(7)]}
+    for max_rows in (0, 1000):
+        kept = sampling.min_class_filter(skewed, "label", 5, max_rows=max_rows)
+        assert {r["label"] for r in kept.select("label").distinct().collect()} == {"hot", *[f"c{i}" for i in range(7)]}
+        assert kept.count() == skewed.filter("label is not null and label <> 'single'").count()
     assert sampling.min_class_filter(skewed, "label", 1).count() == 3000
     assert sampling.excluded_classes(skewed, "label", 5).head()[0] == 1
 
