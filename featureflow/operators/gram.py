@@ -85,7 +85,7 @@ def covariance(
     pivot = pivot_vector(df, column) if pivot is None else pivot
     d = len(pivot)
     block = np.zeros((d + 1, d + 1))
-    for row in moments(df, column, pivot).toLocalIterator():
+    for row in moments(df, column, pivot).collect():
         block[row["i"], row["i"]:] = row["s"]
     n = int(block[0, 0])
     if n < 2:

@@ -33,7 +33,7 @@ def _count_rows(spark: SparkSession, datasets: Sequence[tuple[str, DataFrame]])
     for one in counted[1:]:
         together = together.unionAll(one)
     try:
-        return {r["d"]: r["n"] for r in together.toLocalIterator()}
+        return {r["d"]: r["n"] for r in together.collect()}
     except (PySparkException, Py4JJavaError):
         if len(datasets) == 1:
             return {datasets[0][0]: None}
@@ -52,7 +52,7 @@ def dataset_inventory(spark: SparkSession, root: str) -> DataFrame:
     require_path(spark, root)
     base = root.rstrip("/")
     sizes = dataset_sizes(spark, root)
-    names = [r["dataset"] for r in sizes.select("dataset").toLocalIterator()]
+    names = [r["dataset"] for r in sizes.select("dataset").collect()]
     frames = list(zip(names, _schemas(spark, [f"{base}/{n}" for n in names])))
     rows = _count_rows(spark, [(n, df) for n, df in frames if df is not None])
     facts = []

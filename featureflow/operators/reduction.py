@@ -15,6 +15,7 @@ from featureflow.functions import rules
 from featureflow.functions.vectors import as_array, require_vector, to_vector, vector_length
 from featureflow.operators import gram
 from featureflow.operators.sampling import hash_sample
+from featureflow.sources.settle import settle
 from featureflow.sources.tables import VARIANCE_TABLE
 
 # Search limit, variance threshold and default number of components.
@@ -226,7 +227,7 @@ def planar(
     if sample_size is not None:
         if key is None:
             raise ValueError("a sample needs a key")
-        df = hash_sample(df, key, sample_size, seed)
+        df = settle(hash_sample(df, key, sample_size, seed))
     flat = project(df, fit_pca(df, 2, column), column, "__planar", centre=True)
     at = as_array(flat, "__planar")
     return flat.withColumn("x", at[0]).withColumn("y", at[1]).drop("__planar")

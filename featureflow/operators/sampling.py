@@ -1,7 +1,8 @@
 """Class filters, caps, samples and splits.
 
 All of them order or pick rows by ``md5(seed|key)``, so they give the same rows for any partitioning. ``key``
-must identify a row; copies of a key always stay on the same side, so they cannot leak across a split.
+should identify a row. Where it does not, copies of a key stay on the same side of a split, so they cannot leak;
+a cap still keeps exactly its number of rows, and takes any of the copies of the key it ends in.
 
 Taking the first m rows of every class is done without gathering a class anywhere: a histogram of
 (class, hash bucket) finds the bucket where the class reaches m, a second pass over that one bucket (1/65536
@@ -35,10 +36,11 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 def class_cuts(
     df: DataFrame, label: str, key: str, target: Column, seed: int = 42, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Settled table ``label, n, cut``: rows of the class with ``md5(seed|key) <= cut`` are its first ``target`` rows.
+    """Settled table ``label, n, cut, excess``: rows with ``md5(seed|key) <= cut`` are the first ``target`` of the class.
 
     ``target`` is an expression over the class size ``n``. ``cut`` is '' where nothing is taken and null
-    where the whole class is.
+    where the whole class is. ``excess`` is how many rows beyond the target the cut takes, because the key it
+    ends in has copies; 0 for unique keys.
     """
     keyed = df.select(label, key, key_hash(key, seed).alias("__h"))
     bucket = hash_number(F.col("__h"), BUCKET_DIGITS)
@@ -66,12 +68,17 @@ def class_cuts(
         per_key.withColumn("__upto", upto)
         .filter(F.col("__upto") >= F.col("__target"))
         .groupBy(label)
-        .agg(F.min("__h").alias("cut"))
+        .agg(F.min(F.struct(F.col("__h").alias("cut"), (F.col("__upto") - F.col("__target")).alias("excess"))).alias("__at"))
     )
-    right = cuts.withColumnRenamed(label, "__label")
+    right = cuts.select(F.col(label).alias("__label"), "__at.cut", "__at.excess")
     joined = edges.join(right, F.col(label).eqNullSafe(F.col("__label")), "left")
     return settle(
-        joined.select(label, "n", F.when(F.col("__target") <= 0, F.lit("")).otherwise(F.col("cut")).alias("cut"))
+        joined.select(
+            label,
+            "n",
+            F.when(F.col("__target") <= 0, F.lit("")).otherwise(F.col("cut")).alias("cut"),
+            F.coalesce("excess", F.lit(0)).alias("excess"),
+        )
     )
 
 
@@ -79,6 +86,35 @@ def _taken(key: str, seed: int) -> Column:
     return F.col("cut").isNull() | (key_hash(key, seed) <= F.col("cut"))
 
 
+def _drop_excess(copies: DataFrame, label: str, max_rows: int) -> DataFrame:
+    """Turns ``keep`` off for ``excess`` of the copies of each class's last key.
+
+    The copies are numbered where they lie: counts per (class, partition) find the partition in which the
+    allowed number is reached, and only that partition's row ids are ranked.
+    """
+    placed = settle(copies.withColumn("__id", F.monotonically_increasing_id()))
+    part = F.shiftright("__id", 33)
+    sizes = placed.groupBy(label, part.alias("__part")).agg(F.count(F.lit(1)).alias("__c"), F.first("excess").alias("__x"))
+    by_class = Window.partitionBy(label)
+    totals = sizes.withColumn("__upto", F.sum("__c").over(by_class.orderBy("__part"))).withColumn(
+        "__allowed", F.sum("__c").over(by_class) - F.col("__x")
+    )
+    reached = F.col("__upto") >= F.col("__allowed")
+    edges = settle(
+        totals.filter(reached)
+        .groupBy(label)
+        .agg(F.min(F.struct("__part", (F.col("__allowed") - F.col("__upto") + F.col("__c")).alias("__need"))).alias("__e"))
+        .select(label, F.col("__e.__part").alias("__edge"), "__e.__need")
+    )
+    ids = join_classes(placed.select(label, "__id"), edges, label, "__id", max_rows=max_rows).filter(part == F.col("__edge"))
+    rank = F.row_number().over(by_class.orderBy("__id"))
+    last = settle(
+        ids.withColumn("__rank", rank).filter(F.col("__rank") <= F.col("__need")).groupBy(label).agg(F.max("__id").alias("__last"))
+    )
+    cut = join_classes(placed, last, label, "__id", max_rows=max_rows)
+    return cut.withColumn("keep", F.col("__id") <= F.col("__last")).select(*copies.columns)
+
+
 def min_class_filter(
     df: DataFrame, label: str = "label", min_rows: int = 5, key: str = "path", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -124,8 +160,13 @@ def balance_flags(
     else:
         classes = settle(class_counts(df, label))
         taken = uniform(key, seed) < rules.ratio(F.lit(max_per_class), F.col("n"))
-    flagged = join_classes(df, classes, label, key, max_rows=max_rows)
-    return flagged.withColumn("keep", large & taken).select(*df.columns, "keep")
+    flagged = join_classes(df, classes, label, key, max_rows=max_rows).withColumn("keep", large & taken)
+    if method == "exact" and max_per_class is not None and not classes.filter("excess > 0").isEmpty():
+        ends_in = F.col("keep") & (F.col("excess") > 0) & (key_hash(key, seed) == F.col("cut"))
+        copies = flagged.filter(ends_in).select(*df.columns, "keep", "excess")
+        others = flagged.filter(~F.coalesce(ends_in, F.lit(False)))
+        flagged = others.select(*copies.columns).unionByName(_drop_excess(copies, label, max_rows))
+    return flagged.select(*df.columns, "keep")
 
 
 def balance_dataset(df: DataFrame, label: str = "label", key: str = "path", **options) -> DataFrame:

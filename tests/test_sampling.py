@@ -79,6 +79,26 @@ def test_copies_of_a_key_stay_together(spark):
     assert split.groupBy("path").agg(F.count_distinct("split").alias("n")).filter("n > 1").count() == 0
 
 
+@pytest.mark.parametrize("max_rows", [0, 1000])
+@pytest.mark.parametrize("cap", [1, 500, 1000, 1500, 3999])
+def test_cap_is_exact_with_copies_of_a_key(spark, cap, max_rows):
+    """A third of the rows share one key: the cap is still met exactly, and no other row changes sides."""
+    df = spark.range(0, 4000, 1, 5).select(
+        F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("path"),
+        F.when(F.col("id") < 3000, "a").otherwise("b").alias("label"),
+        "id",
+    )
+    flags = sampling.balance_flags(df, max_per_class=cap, min_per_class=1, max_rows=max_rows)
+    rows = flags.collect()
+    assert len(rows) == 4000 and len({r["id"] for r in rows}) == 4000
+    kept = Counter(r["label"] for r in rows if r["keep"])
+    assert kept == {"a": min(cap, 3000), "b": min(cap, 1000)}
+    for label in "ab":
+        mine = [r for r in rows if r["label"] == label]
+        hashes = [digest(r["path"]) for r in mine if r["keep"]]
+        assert all(digest(r["path"]) >= max(hashes) for r in mine if not r["keep"])
+
+
 def test_key_hash_of_hot_class_stays_out_of_one_task(spark):
     """The per-class ranking only sees the rows of one hash bucket."""
     df = spark.range(200_000).select(F.col("id").alias("path"), F.lit("hot").alias("label"))
