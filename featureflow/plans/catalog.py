@@ -372,8 +372,11 @@ def pca_spectrum(spark: SparkSession, root: str) -> DataFrame:
 
 
 def pca_project(spark: SparkSession, root: str) -> DataFrame:
-    reduced, variance = jobs.reduce_job(_embeddings(spark, root))
-    return vectors.expand(reduced, "features_pca", "pca_", variance.count(), ["vec_id", "label"])
+    """Every coordinate on the components that explain 95 %, in long form."""
+    reduced, _ = jobs.reduce_job(_embeddings(spark, root))
+    values = vectors.as_array(reduced, "features_pca")
+    long = reduced.select("vec_id", "label", F.posexplode(values).alias("component", "value"))
+    return _rounded(long, "value")
 
 
 def pca_project_pair(spark: SparkSession, root: str) -> DataFrame:

@@ -240,6 +240,10 @@ ORACLES: dict[str, str] = {
         from m, e""",
     "pca_variance": f"""{_spectrum()}
         select k, round(share, 6) as individual_variance, round(cum, 6) as cum_variance from variance""",
+    "pca_project": f"""{_spectrum()},
+        u as ({" union all ".join(f"select {i} as component, i, u from c{i}" for i in range(DIMENSIONS))})
+        select vec_id, label, component::integer as component, round(sum(x * u), 6) + 0.0 as value
+        from e join u on i = p where component < (select count(*) from variance) group by all""",
     "reduce_report": f"""{_spectrum()},
         c as (select label, count(*) as n from embeddings group by 1),
         m as (select sum(n)::bigint as n_rows, count(*) as n_classes, min(n)::double / max(n) as ratio,
