@@ -19,16 +19,20 @@ NUM_TREES = 50
 SEED = 42
 
 MAX_GRID_CLASSES = 10_000
+MAX_INDEXED_CLASSES = 1_000_000
 AGGREGATION_MB = 1024
 
 
 def label_index(df: DataFrame, label: str = "label") -> DataFrame:
     """Class table ``label, n, label_indexed``: index 0 for the most frequent, ties by label, nulls left out.
 
-    The window runs over the class table, one row per class, which a forest must hold in memory anyway.
+    The numbering runs over the class table, one row per class, which a classifier holds in memory anyway;
+    above a million classes it is refused.
     """
     order = Window.orderBy(F.col("n").desc(), F.col(label))
-    counts = class_counts(df.filter(F.col(label).isNotNull()), label)
+    counts = settle(class_counts(df.filter(F.col(label).isNotNull()), label))
+    if counts.count() > MAX_INDEXED_CLASSES:
+        raise ValueError(f"more than {MAX_INDEXED_CLASSES} classes")
     return counts.withColumn("label_indexed", (F.row_number().over(order) - 1).cast("double"))
 
 

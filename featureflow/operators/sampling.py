@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from featureflow.functions import rules
 from featureflow.functions.hashing import hash_number, key_hash, split_bucket, uniform
 from featureflow.operators.classes import class_counts
-from featureflow.sources.settle import BROADCAST_ROWS, join_classes, settle
+from featureflow.sources.settle import BROADCAST_ROWS, ClassTable, join_classes, settle, settle_classes
 
 BUCKET_DIGITS = 4
 
@@ -35,7 +35,7 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 
 def class_cuts(
     df: DataFrame, label: str, key: str, target: Column, seed: int = 42, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+) -> ClassTable:
     """Settled table ``label, n, cut, excess``: rows with ``md5(seed|key) <= cut`` are the first ``target`` of the class.
 
     ``target`` is an expression over the class size ``n``. ``cut`` is '' where nothing is taken and null
@@ -52,16 +52,17 @@ def class_cuts(
         .withColumn("__target", target)
     )
     edge = F.col("__upto") >= F.col("__target")
-    edges = settle(
+    edges = settle_classes(
         ranked.groupBy(label).agg(
             F.first("n").alias("n"),
             F.first("__target").alias("__target"),
             F.min(F.when(edge, F.col("__bucket"))).alias("__edge"),
             F.coalesce(F.max(F.when(~edge, F.col("__upto"))), F.lit(0)).alias("__before"),
-        )
+        ),
+        max_rows,
     )
-    inner = edges.filter((F.col("__target") > 0) & (F.col("__target") < F.col("n")))
-    in_edge = join_classes(keyed, inner, label, key, max_rows=max_rows).filter(bucket == F.col("__edge"))
+    cut_inside = edges.frame.filter((F.col("__target") > 0) & (F.col("__target") < F.col("n")))
+    in_edge = join_classes(keyed, ClassTable(cut_inside, edges.small), label, key).filter(bucket == F.col("__edge"))
     per_key = in_edge.groupBy(label, "__h", "__target", "__before").agg(F.count(F.lit(1)).alias("__c"))
     upto = F.col("__before") + F.sum("__c").over(Window.partitionBy(label).orderBy("__h"))
     cuts = (
@@ -71,15 +72,10 @@ def class_cuts(
         .agg(F.min(F.struct(F.col("__h").alias("cut"), (F.col("__upto") - F.col("__target")).alias("excess"))).alias("__at"))
     )
     right = cuts.select(F.col(label).alias("__label"), "__at.cut", "__at.excess")
-    joined = edges.join(right, F.col(label).eqNullSafe(F.col("__label")), "left")
-    return settle(
-        joined.select(
-            label,
-            "n",
-            F.when(F.col("__target") <= 0, F.lit("")).otherwise(F.col("cut")).alias("cut"),
-            F.coalesce("excess", F.lit(0)).alias("excess"),
-        )
-    )
+    joined = edges.frame.join(right, F.col(label).eqNullSafe(F.col("__label")), "left")
+    cut = F.when(F.col("__target") <= 0, F.lit("")).otherwise(F.col("cut"))
+    table = joined.select(label, "n", cut.alias("cut"), F.coalesce("excess", F.lit(0)).alias("excess"))
+    return ClassTable(settle(table), edges.small)
 
 
 def _taken(key: str, seed: int) -> Column:
@@ -100,18 +96,17 @@ def _drop_excess(copies: DataFrame, label: str, max_rows: int) -> DataFrame:
         "__allowed", F.sum("__c").over(by_class) - F.col("__x")
     )
     reached = F.col("__upto") >= F.col("__allowed")
-    edges = settle(
+    edges = settle_classes(
         totals.filter(reached)
         .groupBy(label)
         .agg(F.min(F.struct("__part", (F.col("__allowed") - F.col("__upto") + F.col("__c")).alias("__need"))).alias("__e"))
-        .select(label, F.col("__e.__part").alias("__edge"), "__e.__need")
-    )
-    ids = join_classes(placed.select(label, "__id"), edges, label, "__id", max_rows=max_rows).filter(part == F.col("__edge"))
-    rank = F.row_number().over(by_class.orderBy("__id"))
-    last = settle(
-        ids.withColumn("__rank", rank).filter(F.col("__rank") <= F.col("__need")).groupBy(label).agg(F.max("__id").alias("__last"))
+        .select(label, F.col("__e.__part").alias("__edge"), "__e.__need"),
+        max_rows,
     )
-    cut = join_classes(placed, last, label, "__id", max_rows=max_rows)
+    ids = join_classes(placed.select(label, "__id"), edges, label, "__id").filter(part == F.col("__edge"))
+    ranked = ids.withColumn("__rank", F.row_number().over(by_class.orderBy("__id")))
+    last = ranked.filter(F.col("__rank") <= F.col("__need")).groupBy(label).agg(F.max("__id").alias("__last"))
+    cut = join_classes(placed, ClassTable(settle(last), edges.small), label, "__id")
     return cut.withColumn("keep", F.col("__id") <= F.col("__last")).select(*copies.columns)
 
 
@@ -121,8 +116,8 @@ def min_class_filter(
     """Rows of the classes with at least ``min_rows`` rows. Above 1, null labels go as well; at 1 nothing does."""
     if min_rows <= 1:
         return df
-    valid = settle(class_counts(df, label).filter((F.col("n") >= min_rows) & F.col(label).isNotNull()).select(label))
-    return join_classes(df, valid, label, key, "left_semi", max_rows)
+    large = class_counts(df, label).filter((F.col("n") >= min_rows) & F.col(label).isNotNull()).select(label)
+    return join_classes(df, settle_classes(large, max_rows), label, key, "left_semi")
 
 
 def excluded_classes(df: DataFrame, label: str = "label", min_rows: int = 5) -> DataFrame:
@@ -153,15 +148,15 @@ def balance_flags(
     if max_per_class is None:
         if min_per_class <= 1:
             return df.withColumn("keep", F.lit(True))
-        classes, taken = settle(class_counts(df, label)), F.lit(True)
+        classes, taken = settle_classes(class_counts(df, label), max_rows), F.lit(True)
     elif method == "exact":
         classes = class_cuts(df, label, key, F.lit(max_per_class).cast("long"), seed, max_rows)
         taken = _taken(key, seed)
     else:
-        classes = settle(class_counts(df, label))
+        classes = settle_classes(class_counts(df, label), max_rows)
         taken = uniform(key, seed) < rules.ratio(F.lit(max_per_class), F.col("n"))
-    flagged = join_classes(df, classes, label, key, max_rows=max_rows).withColumn("keep", large & taken)
-    if method == "exact" and max_per_class is not None and not classes.filter("excess > 0").isEmpty():
+    flagged = join_classes(df, classes, label, key).withColumn("keep", large & taken)
+    if method == "exact" and max_per_class is not None and not classes.frame.filter("excess > 0").isEmpty():
         ends_in = F.col("keep") & (F.col("excess") > 0) & (key_hash(key, seed) == F.col("cut"))
         copies = flagged.filter(ends_in).select(*df.columns, "keep", "excess")
         others = flagged.filter(~F.coalesce(ends_in, F.lit(False)))
@@ -197,7 +192,7 @@ def stratified_split(
     """Adds ``split``: the first ceil(ratio * n) rows of every class are train. Null labels are a class."""
     target = F.ceil(F.lit(train_ratio) * F.col("n"))
     cuts = class_cuts(df, label, key, target, seed, max_rows)
-    joined = join_classes(df, cuts, label, key, max_rows=max_rows)
+    joined = join_classes(df, cuts, label, key)
     return joined.withColumn("split", F.when(_taken(key, seed), "train").otherwise("test")).select(*df.columns, "split")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,35 +34,40 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits_broadcast(classes: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measured size check of a settled table: row count and bytes of its values."""
-    row = classes.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in classes.columns), F.lit(0))).alias("b"),
-    ).head()
-    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
-
-
-def join_classes(
-    rows: DataFrame,
-    classes: DataFrame,
-    label: str,
-    spread_by: str,
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Join rows with a settled one-row-per-class table on the (null-safe) label.
-
-    Up to ``max_rows`` classes the table is broadcast, so the rows are not shuffled. Beyond that both sides
-    are shuffled on (label, salt): the salt comes from ``spread_by``, and every class row is repeated once
-    per salt, so a class that holds a third of the rows is spread over ``SALTS`` tasks.
+def fits_broadcast(settled: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Measured size check of a settled table: row count and bytes of its values as text."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in settled.columns), F.lit(0))
+    row = settled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).head()
+    return row["n"] <= max_rows and row["b"] <= max_bytes
+
+
+@dataclass(frozen=True)
+class ClassTable:
+    """A settled table with one row per class, and whether it was measured to be small enough to broadcast."""
+
+    frame: DataFrame
+    small: bool
+
+
+def settle_classes(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> ClassTable:
+    frame = settle(df)
+    return ClassTable(frame, fits_broadcast(frame, max_rows))
+
+
+def join_classes(rows: DataFrame, classes: ClassTable, label: str, spread_by: str, how: str = "inner") -> DataFrame:
+    """Join rows with a class table on the (null-safe) label.
+
+    A small table is broadcast, so the rows are not shuffled. Otherwise both sides are shuffled on
+    (label, salt): the salt comes from ``spread_by``, and every class row is repeated once per salt, so a
+    class that holds a third of the rows is spread over ``SALTS`` tasks.
     """
-    right = classes.withColumnRenamed(label, "__label")
+    right = classes.frame.withColumnRenamed(label, "__label")
     on = F.col(label).eqNullSafe(F.col("__label"))
-    if fits_broadcast(classes, max_rows):
+    if classes.small:
         return rows.join(F.broadcast(right), on, how).drop("__label")
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
-    right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    right = right.withColumn("__salt_r", F.explode(salts))
     on = on & (F.col("__salt") == F.col("__salt_r"))
     return salted.join(right, on, how).drop("__label", "__salt", "__salt_r")
 
