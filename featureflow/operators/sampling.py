@@ -5,7 +5,7 @@ should identify a row. Where it does not, copies of a key stay on the same side
 a cap still keeps exactly its number of rows, and takes any of the copies of the key it ends in.
 
 Taking the first m rows of every class is done without gathering a class anywhere: a histogram of
-(class, hash bucket) finds the bucket where the class reaches m, a second pass over that one bucket (1/65536
+(class, hash bucket) finds the bucket where the class reaches m, a second pass over that one bucket (1/4096
 of the class) finds the exact hash, and the result is a filter ``hash <= cut`` over the rows. The rows
 themselves, with their vectors, are never shuffled.
 """
@@ -20,7 +20,7 @@ from featureflow.functions.hashing import hash_number, key_hash, split_bucket, u
 from featureflow.operators.classes import class_counts
 from featureflow.sources.settle import BROADCAST_ROWS, ClassTable, join_classes, settle, settle_classes
 
-BUCKET_DIGITS = 4
+BUCKET_DIGITS = 3
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:
