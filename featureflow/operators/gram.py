@@ -35,7 +35,10 @@ def matrix(values: pa.Array, d: int) -> np.ndarray:
 
 def pivot_vector(df: DataFrame, column: str) -> np.ndarray:
     """One row's vector, used as the origin: moments around it do not cancel when means are large."""
-    head = df.select(as_array(df, column).alias("v")).filter(F.col("v").isNotNull()).head()
+    vectors = df.select(as_array(df, column).alias("v"))
+    head = vectors.head()
+    if head is not None and head["v"] is None:
+        head = vectors.filter(F.col("v").isNotNull()).head()
     if head is None:
         raise ValueError(f"no vectors in column '{column}'")
     pivot = np.asarray(head["v"], dtype=np.float64)
@@ -51,7 +54,7 @@ def moments(df: DataFrame, column: str, pivot: np.ndarray) -> DataFrame:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = np.zeros((d + 1, d + 1))
         for batch in batches:
-            x = matrix(batch.column(0), d) - pivot
+            x = matrix(batch.column(0).drop_null(), d) - pivot
             block[0, 0] += len(x)
             block[0, 1:] += x.sum(axis=0)
             block[1:, 1:] += x.T @ x
@@ -65,7 +68,8 @@ def moments(df: DataFrame, column: str, pivot: np.ndarray) -> DataFrame:
             )
 
     vectors = df.select(as_array(df, column, stored_precision(df, column)).alias("v"))
-    vectors = vectors.filter(F.col("v").isNotNull())
+    # Nulls are dropped in the task: a filter here would be pushed below whatever computes the vectors, and
+    # compute them twice.
     tasks = WAVES * df.sparkSession.sparkContext.defaultParallelism
     blocks = vectors.coalesce(tasks).mapInArrow(partial, "i int, s array<double>")
     return blocks.groupBy("i").agg(Summarizer.sum(array_to_vector("s")).alias("s")).select(

@@ -160,8 +160,8 @@ def featurise(
 ) -> DataFrame:
     """Adds ``features array<float>``, ``status`` (ok/error) and ``error``; the image column is dropped.
 
-    The scan's own partitions feed the Python tasks, so no exchange moves pixels. A batch that fails is
-    repeated image by image, so one bad image costs only itself. ``on_error``: ``null`` leaves the features
+    The scan's own partitions feed the Python tasks, so no exchange moves pixels (for tables that hold many
+    images in few splits, ``settle.spread`` the rows while they are narrow). A batch that fails is repeated image by image, so one bad image costs only itself. ``on_error``: ``null`` leaves the features
     null, ``zero`` gives a zero vector, ``drop`` removes the row, ``fail`` raises.
     """
     if on_error not in ("null", "zero", "drop", "fail"):

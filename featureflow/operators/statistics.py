@@ -19,6 +19,8 @@ from featureflow.sources.settle import fits_broadcast, settle
 
 QUARTILES = (0.25, 0.5, 0.75)
 SKETCH_ACCURACY = 10_000
+GRID = 400
+MAX_BRACKET_ROWS = 2_000_000
 
 
 def feature_stats(df: DataFrame, column: str = "features") -> DataFrame:
@@ -68,8 +70,9 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
 
     No group is gathered in one task. A mergeable sketch first brackets every quantile. The second pass keeps
     the values inside a bracket (about 10/accuracy of the rows, and equal values collapse before the shuffle)
-    and only counts the rest; the exact ranks are read off the cumulative counts. Should a bracket miss its
-    ranks, that group is repeated with the whole range as bracket.
+    and only counts the rest; the exact ranks are read off the cumulative counts. Where that would still keep
+    millions of values per quantile, the brackets are narrowed first, a hundredfold per pass. Should a bracket
+    miss its ranks, that group is repeated with the whole range as bracket.
     """
     probabilities = sorted(probabilities)
     eps = 4.0 / SKETCH_ACCURACY
@@ -85,7 +88,12 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
     )
     if not fits_broadcast(sketch.select("g")):
         raise ValueError("exact_quantiles is for a bounded number of groups")
-    found = settle(_quantiles_in(rows, sketch.select("g", "n", "p"), probabilities))
+    brackets = sketch.select("g", "n", "p")
+    kept = 2 * eps * (sketch.agg(F.max("n").alias("n")).head()["n"] or 0)
+    while kept > MAX_BRACKET_ROWS:
+        brackets = settle(_narrowed(rows, brackets, probabilities))
+        kept *= 4 / GRID
+    found = settle(_quantiles_in(rows, brackets, probabilities))
     missed = found.filter(F.exists("quantiles", lambda v: v.isNull())).select("g")
     if not missed.isEmpty():
         whole = F.flatten(F.array_repeat(F.array("lowest", "highest"), len(probabilities)))
@@ -95,27 +103,55 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
     return found.withColumnRenamed("g", group)
 
 
+def _bracketed(rows: DataFrame, brackets: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Rows with the size ``n`` and bracket bounds ``p0, p1, ...`` of their group (a bounded table, broadcast)."""
+    sides = brackets.select(
+        F.col("g").alias("g_"), "n", *[F.col("p")[i].alias(f"p{i}") for i in range(2 * len(probabilities))]
+    )
+    return rows.join(F.broadcast(sides), F.col("g").eqNullSafe(F.col("g_"))).drop("g_")
+
+
+def _narrowed(rows: DataFrame, brackets: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Brackets cut down to the grid cells, of a sketch of their own content, around the wanted ranks."""
+    x, grid = F.col("x"), [j / GRID for j in range(GRID + 1)]
+    bounds = [f"p{i}" for i in range(2 * len(probabilities))]
+    parts, sides = [], []
+    for i, q in enumerate(probabilities):
+        low, high = F.col(f"p{2 * i}"), F.col(f"p{2 * i + 1}")
+        inside = x.between(low, high)
+        parts += [
+            F.count_if(x < low).alias(f"below{i}"),
+            F.count_if(inside).alias(f"inside{i}"),
+            F.percentile_approx(F.when(inside, x), grid, SKETCH_ACCURACY).alias(f"grid{i}"),
+        ]
+        rank = F.lit(q) * (F.col("n") - 1)
+        first = rules.ratio((F.floor(rank) - F.col(f"below{i}")) * GRID, F.col(f"inside{i}"))
+        last = rules.ratio((F.ceil(rank) + 1 - F.col(f"below{i}")) * GRID, F.col(f"inside{i}"))
+        sides += [
+            F.coalesce(F.get(f"grid{i}", F.floor(first).cast("int") - 1), low),
+            F.coalesce(F.get(f"grid{i}", F.ceil(last).cast("int") + 1), high),
+        ]
+    counted = _bracketed(rows, brackets, probabilities).groupBy("g", "n", *bounds).agg(*parts)
+    return counted.select("g", "n", F.array(*sides).alias("p"))
+
+
 def _quantiles_in(rows: DataFrame, brackets: DataFrame, probabilities: Sequence[float]) -> DataFrame:
     """Quantiles from the counts in and between the brackets ``p = [lo, hi, lo, hi, ...]``; null where missed.
 
     Every value is either inside a bracket, and kept, or in the gap before one, and only counted: sorted by
     (brackets passed, value) with the gaps first, the counts accumulate in value order.
     """
-    sides = brackets.select(
-        F.col("g").alias("g_"), *[F.col("p")[i].alias(f"p{i}") for i in range(2 * len(probabilities))]
-    )
     x = F.col("x")
     inside = functools.reduce(
         operator.or_, [x.between(F.col(f"p{2 * i}"), F.col(f"p{2 * i + 1}")) for i in range(len(probabilities))]
     )
     passed = sum(((x > F.col(f"p{2 * i + 1}")).cast("int") for i in range(len(probabilities))), F.lit(0))
-    placed = rows.join(F.broadcast(sides), F.col("g").eqNullSafe(F.col("g_"))).select(
-        "g", passed.alias("passed"), F.when(inside, x).alias("x")
+    placed = _bracketed(rows, brackets, probabilities).select(
+        "g", "n", passed.alias("passed"), F.when(inside, x).alias("x")
     )
-    counts = placed.groupBy("g", "passed", "x").agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(Window.partitionBy("g").orderBy("passed", F.col("x").asc_nulls_first()))
-    spans = counts.select("g", "x", upto.alias("end"), (upto - F.col("c")).alias("start"))
-    sized = spans.join(F.broadcast(brackets.select(F.col("g").alias("g_"), "n")), F.col("g").eqNullSafe(F.col("g_")))
+    counts = placed.groupBy("g", "n", "passed", "x").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("g", "n").orderBy("passed", F.col("x").asc_nulls_first()))
+    sized = counts.select("g", "n", "x", upto.alias("end"), (upto - F.col("c")).alias("start"))
 
     def quantile(q: float) -> Column:
         rank = F.lit(q) * (F.col("n") - 1)

@@ -26,6 +26,7 @@ from featureflow.operators import (
 )
 from featureflow.plans import jobs
 from featureflow.sources import tables
+from featureflow.sources.settle import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,7 +87,7 @@ def replicate_rows(spark: SparkSession, root: str) -> DataFrame:
 
 def synthetic_features(spark: SparkSession, root: str) -> DataFrame:
     values = tables.synthetic_features("vec_id", images.FEATURE_LENGTH)
-    rows = _table(spark, root, "embeddings", "vec_id").select("vec_id", values.alias("v"))
+    rows = spread(_table(spark, root, "embeddings", "vec_id"), "vec_id").select("vec_id", values.alias("v"))
     return rows.select(
         "vec_id",
         F.size("v").alias("n"),
@@ -479,7 +480,7 @@ def _grey_images(spark: SparkSession, root: str) -> DataFrame:
         F.lit(0).alias("mode"),
         data.alias("data"),
     )
-    return _embeddings(spark, root).select("vec_id", image.alias("image"))
+    return spread(_embeddings(spark, root), "vec_id").select("vec_id", image.alias("image"))
 
 
 def image_features(spark: SparkSession, root: str) -> DataFrame:
@@ -498,6 +499,22 @@ def image_features(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def image_descriptor(spark: SparkSession, root: str) -> DataFrame:
+    """The default 1280-number descriptor of every image at full input size, summed up in one row."""
+    done = images.featurise(_grey_images(spark, root), on_error="fail")
+    red = F.slice("features", 1, 256)
+    rows = done.select(
+        F.size("features").alias("length"),
+        F.explode(F.transform(red, lambda v: v.cast("double"))).alias("tile"),
+    )
+    return rows.agg(
+        F.count("tile").alias("tiles"),
+        F.max("length").alias("length"),
+        _r(F.avg("tile"), 4).alias("mean_tile"),
+        _r(F.avg(F.col("tile") * F.col("tile")), 4).alias("mean_square"),
+    )
+
+
 def image_validation(spark: SparkSession, root: str) -> DataFrame:
     side = F.when(F.col("p_size") == 50, -1).otherwise(F.col("p_size"))
     image = F.struct(side.alias("height"), side.alias("width"))
@@ -519,6 +536,6 @@ QUERIES: dict[str, Query] = {
         reduction_factor, quality_verdict, pca_variance, pca_variance_pair, pca_spectrum, pca_project,
         pca_project_pair, pca_planar_pair, pca_norms, pca_first, pca_2d, synthetic_reduction, reduce_report, class_means,
         label_index, class_metrics, confusion_matrix, silhouette, rf_predict, kmeans_assign, cluster_chart,
-        image_features, image_validation,
+        image_features, image_descriptor, image_validation,
     )
 }

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from featureflow.functions import paths, rules, vectors
 from featureflow.operators import classes, classification, clustering, images, reduction, sampling
 from featureflow.sources import files, store, tables
+from featureflow.sources.settle import spread
 
 
 @dataclass(frozen=True)
@@ -174,9 +175,14 @@ def class_means(reduced: DataFrame, label: str = "label", features: str = "featu
     return per_class.withColumn("percent", rules.ratio(F.col("n"), total) * 100)
 
 
-def synthetic_rows(ids: DataFrame, id_col: str, d: int = images.FEATURE_LENGTH, seed: int = 42) -> DataFrame:
-    """``id, label, features`` with class names by id and reproducible uniform features."""
-    labelled = tables.with_class_id(ids.select(id_col), id_col, len(paths.CLASS_NAMES))
+def synthetic_rows(
+    ids: DataFrame, id_col: str, d: int = images.FEATURE_LENGTH, seed: int = 42, partitions: int | None = None
+) -> DataFrame:
+    """``id, label, features`` with class names by id and reproducible uniform features.
+
+    An id of 8 bytes becomes a row of 8 * d bytes, so the ids are spread first; size ``partitions`` by the output.
+    """
+    labelled = tables.with_class_id(spread(ids.select(id_col), id_col, partitions), id_col, len(paths.CLASS_NAMES))
     return labelled.select(
         id_col,
         paths.class_name("class_id").alias("fruit_label"),

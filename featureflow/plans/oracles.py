@@ -306,6 +306,17 @@ ORACLES: dict[str, str] = {
         select vec_id, 'ok' as status, 320 as length, sum(px)::bigint as pixel_sum,
           round(max(px) / 127.5 - 1, 5) as tile_max, round(any_value(largest_share), 5) as largest_share,
           round(any_value(share_sum), 5) as share_sum from s join t using (vec_id) group by vec_id""",
+    "image_descriptor": """with t as (select i // 14 as tile, least(greatest((i + 0.5::double) * 8 / 224 - 0.5, 0), 7) as pos
+          from (select unnest(generate_series(0, 223)) as i)),
+        taps as (select tile, floor(pos)::bigint as p, 1 - (pos - floor(pos)) as w from t
+          union all select tile, least(floor(pos)::bigint + 1, 7), pos - floor(pos) from t),
+        w as (select tile, p, sum(w) / 14 as w from taps group by all),
+        px as (select vec_id, generate_subscripts(embedding, 1) - 1 as k, floor((unnest(embedding)::double + 1) * 127.5) as v
+          from embeddings),
+        tiles as (select vec_id, r.tile, c.tile, sum(r.w * c.w * v) / 127.5 - 1 as x
+          from px join w r on r.p = k // 8 join w c on c.p = k % 8 group by all)
+        select count(*) as tiles, 1280 as length, round(avg(x), 4) + 0.0 as mean_tile,
+          round(avg(x * x), 4) as mean_square from tiles""",
     "image_validation": """select p_partkey, case when p_size = 50 then 'corrupt'
           when p_size < 32 then 'too small: ' || p_size || 'x' || p_size else 'OK' end as reason,
           p_size <> 50 and p_size >= 32 as valid from part""",

@@ -72,12 +72,17 @@ def join_classes(rows: DataFrame, classes: ClassTable, label: str, spread_by: st
     return salted.join(right, on, how).drop("__label", "__salt", "__salt_r")
 
 
+def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Narrow rows hashed over all slots, ahead of a step that makes each of them large or costly."""
+    session = df.sparkSession
+    slots = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(partitions or slots, key)
+
+
 def lay_out(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Rows placed by the hash of their key and sorted by it: one shuffle before an iterative fit.
 
     The fit then uses all slots even if the input came in few splits, and its result does not depend on how
     the input was split. Give ``partitions`` to get the same model on clusters of different size.
     """
-    session = df.sparkSession
-    slots = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(partitions or slots, key).sortWithinPartitions(key)
+    return spread(df, key, partitions).sortWithinPartitions(key)

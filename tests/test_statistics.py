@@ -47,8 +47,11 @@ def test_box_stats(features):
         assert (row["whisker_low"], row["whisker_high"]) == (inside.min(), inside.max())
 
 
+@pytest.mark.parametrize("narrowing", [False, True])
 @pytest.mark.parametrize("kind", ["normal", "zeros", "heavy", "tiny"])
-def test_exact_quantiles(spark, kind):
+def test_exact_quantiles(spark, kind, narrowing, monkeypatch):
+    if narrowing:
+        monkeypatch.setattr(statistics, "MAX_BRACKET_ROWS", 0.1)
     rng = np.random.default_rng(3)
     n = 3 if kind == "tiny" else 60_000
     x = rng.normal(size=n)
@@ -63,6 +66,17 @@ def test_exact_quantiles(spark, kind):
         np.testing.assert_allclose(row["quantiles"], expected, rtol=1e-9)
 
 
+def test_narrowed_brackets_hold_the_quantile(spark):
+    """Cutting a bracket of the whole range down leaves few rows and still the wanted ranks."""
+    x = np.sort(np.random.default_rng(6).normal(size=40_000))
+    rows = spark.createDataFrame([("a", float(v)) for v in x], "g string, x double")
+    whole = spark.createDataFrame([("a", len(x), [float(x[0]), float(x[-1])] * 2)], "g string, n long, p array<double>")
+    low, high, low2, high2 = statistics._narrowed(rows, whole, (0.25, 0.9)).head()["p"]
+    for lo, hi, q in ((low, high, 0.25), (low2, high2, 0.9)):
+        assert lo <= np.quantile(x, q) <= hi
+        assert ((x >= lo) & (x <= hi)).mean() < 0.02
+
+
 def test_missed_bracket_is_widened(spark, monkeypatch):
     """Brackets from a hopeless sketch still give exact quantiles."""
     monkeypatch.setattr(statistics, "SKETCH_ACCURACY", 1)
@@ -97,6 +111,13 @@ def test_covariance(features, spark):
     assert gram.covariance(with_null)[0] == 400
 
 
+def test_moments_do_not_compute_the_vectors_twice(spark):
+    """No null filter that the optimiser could push below the expression that makes the vectors."""
+    made = spark.range(20).select(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: (i * F.col("id")).cast("double")).alias("features"))
+    plan = gram.moments(made, "features", np.zeros(3))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("transform(") == 1
+
+
 def test_covariance_guards(spark, monkeypatch):
     one = spark.createDataFrame([([1.0, 2.0],)], "features array<double>")
     with pytest.raises(ValueError):
