@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import packing, quality, token_counts, token_files, toxicity
+from featureflow.llm import block_search, norm_search, packing, quality, token_counts, token_files, toxicity
 from featureflow.llm.common import fold, shared_folder, table
 
 END_ID = 1
@@ -29,6 +29,16 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", "n_offending")
 
 
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", norm_search.integers("embedding").alias("vector"))
+    return norm_search.top_k(rows, rows.where("vec_id % 20 = 0"))
+
+
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return block_search.nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
 def token_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -45,10 +55,29 @@ def packed_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": quality_scores,
+    "op2_exact_top_k": exact_top_k,
+    "op3_nearest_vectors": nearest_vectors,
     "op5_token_counts": token_count_rows,
     "op7_toxicity": toxicity_scores,
     "op8_token_files": token_file_rows,
     "op10_packing": packed_pieces,
 }
 
-ORACLES: dict[str, str] = {}
+_SEARCH = """
+with v as ({vectors}),
+pairs as (
+  select q.vec_id as query_id, c.vec_id, {score} as score
+  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs)
+select query_id, cast(rank as int) as rank, vec_id, score from ranked where rank <= 20
+"""
+_FINITE = """vec_id is not null and embedding is not null and len(embedding) > 0
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
+
+ORACLES: dict[str, str] = {
+    "op2_exact_top_k": _SEARCH.format(
+        vectors=f"select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings where {_FINITE}",
+        score="cast(list_inner_product(q.v, c.v) as bigint)",
+    ),
+}
