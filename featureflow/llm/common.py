@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +54,7 @@ def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts record batches so that the texts of a slice stay below `limit` bytes, or are one text."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         begin = held = 0
         for row, size in enumerate(sizes):
             if row > begin and held + size > limit:
@@ -61,3 +63,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             held += size
         if begin < batch.num_rows:
             yield batch.slice(begin)
+
+
+def judged(docs: DataFrame, text_col: str, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows of `docs` that `keep` says yes to, given their texts (null: empty); all columns stay as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text_col):
+            yield part.filter(pa.array(keep(part.column(text_col).fill_null(""))))
+
+    return docs.mapInArrow(run, docs.schema)

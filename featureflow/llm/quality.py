@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featureflow.llm import trees
-from featureflow.llm.common import slices, texts_of
+from featureflow.llm.common import judged, slices, texts_of
 
 #: Labelled documents a classifier is fitted on at most, chosen by a hash of their ids.
 SAMPLE_ROWS = 30_000
@@ -114,3 +114,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows = texts_of(docs, id_col, text_col)
     forest = fit_quality(rows, labels, sample_rows, label_col, **settings)
     return score_quality(rows, forest).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def filtered(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, **settings) -> DataFrame:
+    """The rows of `docs`, all columns, whose score is 0.5 or more, for the same classifier as `classify`."""
+    forest = fit_quality(texts_of(docs, id_col, text_col), labels, sample_rows, label_col, **settings)
+    shared = docs.sparkSession.sparkContext.broadcast(forest)
+    return judged(docs, text_col, lambda texts: shared.value.probability(described(texts)) >= 0.5)

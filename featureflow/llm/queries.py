@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import block_search, norm_search, packing, quality, token_counts, token_files, toxicity
+from featureflow.llm import block_search, near_dedup, norm_search, packing, quality, suffix_dedup, token_counts, token_files, toxicity
 from featureflow.llm.common import fold, shared_folder, table
 
 END_ID = 1
@@ -39,6 +39,15 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_search.nearest(rows, rows.where("vec_id % 20 = 0"))
 
 
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+def suffix_removals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.removals(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def token_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -57,9 +66,11 @@ QUERIES = {
     "op1_quality": quality_scores,
     "op2_exact_top_k": exact_top_k,
     "op3_nearest_vectors": nearest_vectors,
+    "op4_near_copies": near_copies,
     "op5_token_counts": token_count_rows,
     "op7_toxicity": toxicity_scores,
     "op8_token_files": token_file_rows,
+    "op9_suffix_removals": suffix_removals,
     "op10_packing": packed_pieces,
 }
 

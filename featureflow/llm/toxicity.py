@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featureflow.llm.common import slices, stored, texts_of
+from featureflow.llm.common import judged, slices, stored, texts_of
 from featureflow.llm.quality import training_sample
 
 #: Labelled documents the model is fitted on at most, and words it may know.
@@ -157,3 +157,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows = texts_of(docs, id_col, text_col)
     scored = score_toxicity(rows, fit_toxicity(rows, labels, label_col=label_col, **settings))
     return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_offending", "offending")
+
+
+def filtered(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **settings) -> DataFrame:
+    """The rows of `docs`, all columns, whose score is below 0.5, for the same model as `toxicity`."""
+    model = fit_toxicity(texts_of(docs, id_col, text_col), labels, label_col=label_col, **settings)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def clean(texts: pa.Array) -> np.ndarray:
+        model = shared.value
+        return np.array([model.score([z for _, _, z in model.sentences(text)]) < 0.5 for text in texts.to_pylist()], bool)
+
+    return judged(docs, text_col, clean)

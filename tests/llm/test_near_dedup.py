@@ -1,0 +1,97 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from featureflow.llm import near_dedup as nd
+from featureflow.llm.components import components
+
+
+def plain_set(text: str | None, width: int) -> set:
+    words, word = [], ""
+    for c in (text or "") + " ":
+        if c in " \t\n\x0b\x0c\r":
+            words, word = words + [word] * bool(word), ""
+        else:
+            word += chr(ord(c) + 32) if "A" <= c <= "Z" else c
+    if 0 < len(words) < width:
+        return {tuple(words)}
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
+
+
+def brute_force(rows: list[tuple], width: int, percent: int) -> dict:
+    sets = {i: plain_set(t, width) for i, t in rows}
+    least = {i: i for i in sets}
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    ids = [i for i in sets if sets[i]]
+    for x in ids:
+        for y in ids:
+            if x < y and 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y]):
+                a, b = sorted((root(x), root(y)))
+                least[b] = a
+    return {i: (len(sets[i]), root(i)) for i in sets}
+
+
+def corpus(seed: int, groups: int = 12) -> list[tuple]:
+    r = random.Random(seed)
+    word = lambda: "".join(r.choices("abcdefgh", k=r.randint(1, 4)))
+    rows, boiler = [], [word() for _ in range(40)]
+    for _ in range(groups):
+        base = [word() for _ in range(r.randint(1, 220))]
+        if r.random() < 0.4:
+            base = base[:60] + boiler
+        for _ in range(r.choice([1, 2, 3, 12])):
+            words = list(base)
+            for _ in range(r.randint(0, max(1, len(words) // 25))):
+                words[r.randrange(len(words))] = word().upper()
+            rows.append((r.randrange(10**6), r.choice([" ", "\n", " \t"]).join(words)))
+    return list(dict(rows).items()) + [(-1, None), (-2, ""), (-3, " \n ")]
+
+
+def test_shingles_equal_the_plain_definition():
+    texts = ["", " ", "A b", "a B c d", " a b c d e a b c d ", "x y z w\x1cv u t", "É é\x85 q", None]
+    hashes, offsets = nd.shingles(pa.array([t or "" for t in texts]), 4)
+    for t, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True):
+        assert len(np.unique(hashes[a:b])) == len(plain_set(t, 4))
+    same, _ = nd.shingles(pa.array(["The Cat\tsat  on", "the cat sat on"]), 4)
+    assert same[0] == same[1]
+    short, _ = nd.shingles(pa.array(["a b", "a b c d"]), 4)
+    assert short[0] != short[1]
+
+
+def test_equals_brute_force(spark):
+    for seed in range(3):
+        rows = corpus(seed)
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in nd.near_duplicates(frame, width=4).collect()}
+        assert got == brute_force(rows, 4, 80)
+
+
+def test_large_buckets_are_met_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nd, "SMALL_BUCKET", 4)
+    rows = corpus(11, 25)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in nd.near_duplicates(frame, width=4).collect()}
+    assert got == brute_force(rows, 4, 80)
+
+
+def test_awkward_rows(spark):
+    text = "one two three four five six seven eight"
+    rows = [(5, text, 1), (5, text, 2), (3, text.upper(), 3), (None, text, 4), (7, None, 5), (8, "", 6), (9, "one", 7), (10, "ONE ", 8), (11, "two", 9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, component_id int")
+    got = sorted(tuple(r) for r in nd.near_duplicates(frame, width=4).select("doc_id", "n_shingles", "component_id", "kept").na.fill(-1).collect())
+    want = [(-1, 5, -1, True), (3, 5, 3, True), (5, 5, 3, False), (5, 5, 3, False), (7, 0, 7, True), (8, 0, 8, True), (9, 1, 9, True), (10, 1, 9, False), (11, 1, 11, True)]
+    assert got == want
+    assert nd.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(1000, 1100)] + [(3, 3), (4, 9), (9, 4), (None, 1)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: 100 for i in range(101, 161)} | {i: 7 for i in range(1000, 1100)} | {9: 4}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
