@@ -47,13 +47,15 @@ def survivors(query: np.ndarray, length: float, bound: float, unit: np.ndarray,
 
 def search_cell(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
     """The k best candidates of the cell for each query that can still reach the query's bound."""
+    if not queries.num_rows or not candidates.num_rows:
+        return _table([], [], [])
     q, c = matrix(queries), matrix(candidates)
     ids, lengths = candidates["vec_id"].to_numpy(), candidates["length"].to_numpy()
     order = np.lexsort((ids, -lengths))
     c, ids, lengths = c[order], ids[order], lengths[order]
-    if c.size and q.size and float(np.abs(c).max()) * float(np.abs(q).max()) * c.shape[1] < 2**53:
+    if float(np.abs(c).max()) * float(np.abs(q).max()) * c.shape[1] < 2**53:
         c, q = c.astype(np.float64), q.astype(np.float64)  # exact there, and the faster product
-    unit = c / np.maximum(lengths, 1e-300)[:, None] if c.size else c
+    unit = c / np.maximum(lengths, 1e-300)[:, None]
     out_q, out_v, out_s = [], [], []
     bounds = queries["bound"].fill_null(np.iinfo(np.int64).min).to_numpy()
     for row, (query_id, length, bound) in enumerate(zip(queries["query_id"].to_pylist(), queries["length"].to_pylist(), bounds.tolist(), strict=True)):
@@ -64,7 +66,11 @@ def search_cell(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
         out_q.append(np.full(len(best), query_id, np.int64))
         out_v.append(own[best])
         out_s.append(scores[best])
-    return pa.table({n: np.concatenate(x) if x else np.zeros(0, np.int64) for n, x in (("query_id", out_q), ("vec_id", out_v), ("score", out_s))})
+    return _table(out_q, out_v, out_s)
+
+
+def _table(*columns: list[np.ndarray]) -> pa.Table:
+    return pa.table({n: np.concatenate(x) if x else np.zeros(0, np.int64) for n, x in zip(("query_id", "vec_id", "score"), columns, strict=True)})
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "vector") -> DataFrame:
