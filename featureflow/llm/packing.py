@@ -39,7 +39,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = 20
     table gives no pieces.
     """
     rows = stored(encoded(texts_of(docs, id_col, text_col), tokenizer_path, end_id))
-    placed = rows.join(bases(rows), "part").select("doc_id", (F.col("base") + F.col("before")).alias("first"), "ids")
+    placed = rows.join(F.broadcast(bases(rows)), "part").select("doc_id", (F.col("base") + F.col("before")).alias("first"), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import block_search, near_dedup, norm_search, packing, quality, suffix_dedup, token_counts, token_files, toxicity
+from featureflow.llm import block_search, near_dedup, norm_search, packing, quality, sentence_pieces, suffix_dedup, token_counts, token_files, toxicity
 from featureflow.llm.common import fold, shared_folder, table
 
 END_ID = 1
@@ -52,6 +52,15 @@ def token_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def sentence_piece_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_crc32 (unsigned, over little-endian unsigned 32-bit ids), round_trip: decoding gives the text again."""
+    path = tokenizer_file("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    both = sentence_pieces.decode(sentence_pieces.encode(docs, path), path)
+    rows = both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.col("text")).alias("round_trip"), "ids")
+    return token_files.checksums(rows)
+
+
 def token_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark)
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file(), END_ID)
@@ -68,6 +77,7 @@ QUERIES = {
     "op3_nearest_vectors": nearest_vectors,
     "op4_near_copies": near_copies,
     "op5_token_counts": token_count_rows,
+    "op6_sentence_pieces": sentence_piece_rows,
     "op7_toxicity": toxicity_scores,
     "op8_token_files": token_file_rows,
     "op9_suffix_removals": suffix_removals,

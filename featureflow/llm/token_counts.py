@@ -1,14 +1,12 @@
 """Token counts by the whole-token shortcut.
 
-Before any text is read, the vocabulary is searched for strings that are one pre-token and encode alone as one token
-(`whole_tokens`). Pre-tokens among them count 1 without a merge; only the others go through the library's merges.
+Before any text is read, the vocabulary is searched for strings that are one word and encode alone as one token
+(`prove`). Words among them count 1 without a merge; only the others go through the library's merges.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,93 +16,55 @@ from pyspark.sql import functions as F
 from featureflow.llm import tokens
 from featureflow.llm.common import slices, texts_of
 
-#: The contractions in the vocabulary's split pattern.
-CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
-#: Below U+0250 each letter has one lower-case letter and no composition takes place; U+0130 alone lowers to two
-#: characters, and U+0149 may not meet its neighbours unchanged.
-_PLAIN = re.compile("[\x00-įı-ňŊ-ɏ]*")
-_LETTERS = "".join(chr(c) for c in range(0x250) if chr(c).isalpha())
-_NUMBERS = "".join(chr(c) for c in range(0x250) if chr(c).isnumeric())
-_PRE_TOKEN = re.compile("|".join([*CONTRACTIONS, f"[{_LETTERS}]+", f"[{_NUMBERS}]", rf"[^\s{_LETTERS}{_NUMBERS}]+"]))
 _WORD_END = "</w>"
 
 
-@dataclass(frozen=True)
-class Shortcut:
-    """What the proof yields: strings of one token, and strings that must reach the library unsplit."""
-
-    whole: frozenset[str]
-    special: tuple[str, ...]
-
-
-def byte_letters() -> dict[str, int]:
-    """The letters that stand for bytes in a byte-level vocabulary: printable Latin-1 ones for themselves, others from U+0100 on."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(printable)]
-    return {chr(b): b for b in printable} | {chr(0x100 + i): b for i, b in enumerate(others)}
-
-
-def prove(path: str) -> Shortcut:
-    """Every vocabulary string that is a single plain pre-token, unchanged by lower-casing, and that the library encodes as one id."""
-    library = tokens.load(path)
-    letters = byte_letters()
+def prove(path: str) -> frozenset[str]:
+    """Every vocabulary string that is a single plain word, unchanged by lower-casing, and that the library encodes as one id."""
+    words = tokens.Words(path)
+    byte_of = {letter: b for b, letter in enumerate(tokens.byte_letters())}
     candidates = set()
-    for entry in library.get_vocab(with_added_tokens=False):
+    for entry in words.library.get_vocab(with_added_tokens=False):
         if entry.endswith(_WORD_END):
             try:
-                text = bytes(letters[c] for c in entry.removesuffix(_WORD_END)).decode()
+                text = bytes(byte_of[c] for c in entry.removesuffix(_WORD_END)).decode()
             except (KeyError, UnicodeDecodeError):
                 continue
-            if text and _PLAIN.fullmatch(text) and text.lower() == text and _PRE_TOKEN.fullmatch(text):
+            if text and text.lower() == text and words.split(text) == [text]:
                 candidates.add(text)
-    listed = sorted(candidates)
-    encoded = library.encode_batch_fast(listed, add_special_tokens=False)
-    whole = frozenset(text for text, one in zip(listed, encoded, strict=True) if len(one.ids) == 1)
-    return Shortcut(whole, tuple(t.content for t in library.get_added_tokens_decoder().values()))
+    return frozenset(text for text in candidates if len(words.whole(text)) == 1)
 
 
 class Counter:
-    """Counts for one Python worker's texts; remembers the number of tokens of short pieces and pre-tokens."""
+    """Counts for one task's texts; remembers the number of tokens of short words that need merges."""
 
-    def __init__(self, path: str, shortcut: Shortcut) -> None:
-        self.library = tokens.load(path)
-        self.shortcut = shortcut
+    def __init__(self, path: str, whole: frozenset[str]) -> None:
+        self.words = tokens.Words(path)
+        self.whole = whole
         self.memory: dict[str, int] = {}
 
-    def _split(self, piece: str) -> list[str]:
-        """A piece's pre-tokens, or the piece itself where only the library can tell."""
-        if not _PLAIN.fullmatch(piece) or any(s in piece for s in self.shortcut.special):
-            return [piece]
-        return _PRE_TOKEN.findall(piece.lower())
-
-    def pieces(self, pieces: list[str]) -> np.ndarray:
-        memory, whole = self.memory, self.shortcut.whole
-        if len(memory) > tokens.MEMORY_PIECES:
-            memory.clear()
-        counts = np.zeros(len(pieces), np.int64)
-        rest: dict[str, list[int]] = {}
-        for i, piece in enumerate(pieces):
-            known = memory.get(piece)
-            if known is not None:
-                counts[i] = known
-                continue
-            for pre in self._split(piece):
-                if pre in whole:
-                    counts[i] += 1
-                else:
-                    rest.setdefault(pre, []).append(i)
-        if rest:
-            merged = self.library.encode_batch_fast(list(rest), add_special_tokens=False)
-            for rows, one in zip(rest.values(), merged, strict=True):
-                n = len(one.ids)
-                for i in rows:
-                    counts[i] += n
-        memory.update((p, n) for p, n in zip(pieces, counts.tolist(), strict=True) if len(p) <= tokens.PIECE_CHARS)
-        return counts
+    def _word(self, word: str) -> int:
+        if word in self.whole:
+            return 1
+        n = self.memory.get(word)
+        if n is None:
+            n = len(self.words.merge(word))
+            if len(word) <= tokens.MEMORY_CHARS:
+                self.memory[word] = n
+        return n
+
+    def _piece(self, piece: str) -> int:
+        if piece in self.whole:
+            return 1
+        words = self.words.split(piece)
+        return len(self.words.whole(piece)) if words is None else sum(map(self._word, words))
 
     def texts(self, texts: pa.Array) -> np.ndarray:
-        offsets, distinct, codes = tokens.pieces_of(texts)
-        sums = np.concatenate(([0], np.cumsum(self.pieces(distinct.to_pylist())[codes])))
+        if len(self.memory) > tokens.MEMORY:
+            self.memory.clear()
+        offsets, distinct, codes = tokens.pieces_of(tokens.lowered(texts))
+        counts = np.array(list(map(self._piece, distinct.to_pylist())), np.int64)
+        sums = np.concatenate(([0], np.cumsum(counts[codes])))
         return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
@@ -115,8 +75,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     columns are ignored; an empty table gives an empty result. `tokenizer_path` must exist on every machine. The
     shortcut's strings travel to the tasks: fewer than the vocabulary has entries.
     """
-    shortcut = prove(tokenizer_path)
-    shared = docs.sparkSession.sparkContext.broadcast(shortcut)
+    shared = docs.sparkSession.sparkContext.broadcast(prove(tokenizer_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(tokenizer_path, shared.value)

@@ -44,7 +44,8 @@ def encoded(rows: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 def bases(rows: DataFrame) -> DataFrame:
     """part, base: ids in all parts before it. The second pass of the prefix sum, over one row for each part.
 
-    Parts follow one another as their numbers do, which is the order of ids where the rows were laid out by id.
+    Parts follow one another as their numbers do, which is the order of ids where the rows were laid out by id. The
+    result may be broadcast: 12 bytes for each task that wrote rows.
     """
     totals = rows.groupBy("part").agg(F.max(F.col("before") + F.col("n_tokens")).alias("total"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -74,7 +75,7 @@ def read_tokens(spark: SparkSession, path: str, where: str | None = None) -> Dat
     """doc_id, start (ids of all documents before it), n_tokens, ids. `where` on doc_id reaches the files' indexes."""
     rows = spark.read.schema(SCHEMA).orc(path)
     found = rows.where(where) if where else rows
-    return found.join(bases(rows), "part").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids")
+    return found.join(F.broadcast(bases(rows)), "part").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids")
 
 
 def checksums(rows: DataFrame) -> DataFrame:

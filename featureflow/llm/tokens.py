@@ -1,23 +1,33 @@
-"""Token ids of whole texts by the `tokenizers` library, asked once for each distinct white-space-free string.
+"""Token ids of whole texts by the `tokenizers` library, asked once for each distinct word.
 
-The vocabulary's normaliser replaces white space and its pre-tokeniser never joins text across it, so a text's ids
-are the ids of its pieces between ASCII white space, one after another. The tests compare this with the library
-applied to whole texts.
+The vocabulary's normaliser replaces white space, lower-cases and composes; its pre-tokeniser never joins text across
+white space. So a text's ids are the ids of its pieces between ASCII white space, one after another, and a piece of
+plain letters, numbers and signs is split here as the pattern says and its words go to the library's merges. Other
+pieces (special strings, control characters, scripts beyond extended Latin) go to the library as they are. The tests
+compare all this with the library applied to whole texts.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces remembered by a Python worker; beyond that the memory starts anew. Longer pieces are not remembered.
-MEMORY_PIECES = 600_000
-PIECE_CHARS = 40
-
-_open: dict[str, PieceEncoder] = {}
+#: Words and pieces remembered by a Python worker; beyond that the memory starts anew. Longer ones are not remembered.
+MEMORY = 300_000
+MEMORY_CHARS = 40
+#: The contractions in the vocabulary's split pattern.
+CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
+#: Printable characters below U+0250: each letter there has one lower-case letter (but for U+0130, left out), no two
+#: of them compose, and none is white space.
+_PLAIN = re.compile("[!-~¡-įı-ɏ]*")
+_LETTERS = "".join(chr(c) for c in range(0x250) if chr(c).isalpha())
+_NUMBERS = "".join(chr(c) for c in range(0x250) if chr(c).isnumeric())
+WORD = re.compile("|".join([*CONTRACTIONS, f"[{_LETTERS}]+", f"[{_NUMBERS}]", f"[^{_LETTERS}{_NUMBERS}]+"]))
 
 
 def load(path: str):
@@ -28,6 +38,48 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte: printable Latin-1 ones for themselves, others from U+0100 on, in order."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return [chr(b) if b in printable else chr(0x100 + others.index(b)) for b in range(256)]
+
+
+_LETTER_OF_BYTE = byte_letters()
+
+
+class Words:
+    """Splits pieces into words and merges words, with the library's own model."""
+
+    def __init__(self, path: str) -> None:
+        self.library = load(path)
+        self.model = self.library.model
+        self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
+
+    def split(self, piece: str) -> list[str] | None:
+        """The words of a piece without white space, or None where only the library can tell."""
+        if piece.isascii() and piece.isalpha():
+            return [piece.lower()]
+        if not _PLAIN.fullmatch(piece) or ("<" in piece and any(s in piece for s in self.special)):
+            return None
+        return WORD.findall(piece.lower())
+
+    def merge(self, word: str) -> list[int]:
+        mapped = word if word.isascii() else "".join(_LETTER_OF_BYTE[b] for b in word.encode())
+        return [token.id for token in self.model.tokenize(mapped)]
+
+    def whole(self, piece: str) -> list[int]:
+        return self.library.encode(piece, add_special_tokens=False).ids
+
+
+def packed(ids: list[int]) -> bytes:
+    """Unsigned 32-bit numbers in the machine's order, which numpy reads back."""
+    return array("I", ids).tobytes()
+
+
+_open: dict[str, PieceEncoder] = {}
+
+
 def encoder(path: str) -> PieceEncoder:
     """One encoder for each vocabulary file and Python worker."""
     if path not in _open:
@@ -35,6 +87,11 @@ def encoder(path: str) -> PieceEncoder:
     return _open[path]
 
 
+def lowered(texts: pa.Array) -> pa.Array:
+    """A-Z in lower case, as the normaliser makes them, unless that could make a special string: fewer distinct pieces."""
+    return texts if pc.any(pc.match_substring(texts, "<|")).as_py() else pc.ascii_lower(texts)
+
+
 def pieces_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """(offsets of each text's pieces, distinct pieces, code of every piece)."""
     lists = pc.ascii_split_whitespace(texts)
@@ -44,38 +101,50 @@ def pieces_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
 
 
 class PieceEncoder:
+    """Ids of texts; remembers the ids of short words."""
+
     def __init__(self, path: str) -> None:
-        self.library = load(path)
+        self.words = Words(path)
         self.memory: dict[str, bytes] = {}
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece as little-endian unsigned 32-bit numbers."""
-        memory = self.memory
-        if len(memory) > MEMORY_PIECES:
-            memory.clear()
-        found = [memory.get(piece) for piece in pieces]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        encoded = self.library.encode_batch_fast([pieces[i] for i in missing], add_special_tokens=False)
-        for i, one in zip(missing, encoded, strict=True):
-            found[i] = ids = np.array(one.ids, "<u4").tobytes()
-            if len(pieces[i]) <= PIECE_CHARS:
-                memory[pieces[i]] = ids
-        return found
+    def _word(self, word: str) -> bytes:
+        ids = self.memory.get(word)
+        if ids is None:
+            ids = packed(self.words.merge(word))
+            if len(word) <= MEMORY_CHARS:
+                self.memory[word] = ids
+        return ids
+
+    def _piece(self, piece: str) -> bytes:
+        known = self.memory.get(piece)  # a piece that is a word, as most are
+        if known is not None:
+            return known
+        words = self.words.split(piece)
+        if words is None:
+            return packed(self.words.whole(piece))
+        return self._word(words[0]) if len(words) == 1 else b"".join(map(self._word, words))
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row as uint32, offsets of the texts in them); `end_id` follows each text."""
-        offsets, distinct, codes = pieces_of(texts)
-        ids = self._pieces(distinct.to_pylist())
+        if len(self.memory) > MEMORY:
+            self.memory.clear()
+        offsets, distinct, codes = pieces_of(lowered(texts))
+        ids = list(map(self._piece, distinct.to_pylist()))
         if end_id is not None:  # the end is one more piece after each text's last
-            ids.append(np.array([end_id], "<u4").tobytes())
+            ids.append(packed([end_id]))
             codes = np.insert(codes, offsets[1:], len(ids) - 1)
             offsets = offsets + np.arange(len(offsets))
-        lengths = np.array([len(x) >> 2 for x in ids], np.int64)
-        starts = np.cumsum(lengths) - lengths
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        taken = lengths[codes]
-        ends = np.cumsum(taken)
-        total = int(ends[-1]) if len(ends) else 0
-        where = np.repeat(starts[codes] - (ends - taken), taken)
-        where += np.arange(total)
-        return flat[where], np.concatenate(([0], ends))[offsets]
+        return gathered(ids, codes, offsets)
+
+
+def gathered(ids: list[bytes], codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the coded pieces one after another, and the places where the texts begin; offsets count pieces."""
+    lengths = np.array([len(x) >> 2 for x in ids], np.int32)
+    starts = np.cumsum(lengths) - lengths
+    flat = np.frombuffer(b"".join(ids), np.uint32)
+    taken = lengths[codes]
+    ends = np.cumsum(taken, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    where = np.repeat(starts[codes] - (ends - taken), taken)
+    where += np.arange(total)
+    return flat[where], np.concatenate(([0], ends))[offsets]
