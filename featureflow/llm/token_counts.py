@@ -79,7 +79,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(tokenizer_path, shared.value)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", tokens.TEXT_BYTES):
             yield pa.record_batch([part.column("doc_id"), part.column("n_bytes"), pa.array(counter.texts(part.column("text")))], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = texts_of(docs, id_col, text_col).withColumn("n_bytes", F.octet_length("text").cast("long"))

@@ -28,7 +28,7 @@ def encoded(rows: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         encoder, before = tokens.encoder(tokenizer_path), 0
-        for rows in slices(batches, "text"):
+        for rows in slices(batches, "text", tokens.TEXT_BYTES):
             ids, offsets = encoder.encode(rows.column("text"), end_id)
             n = rows.num_rows
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32)))

@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: Texts encoded at once in a task.
+TEXT_BYTES = 8 << 20
 #: Words and pieces remembered by a Python worker; beyond that the memory starts anew. Longer ones are not remembered.
 MEMORY = 300_000
 MEMORY_CHARS = 40
@@ -27,6 +29,7 @@ CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 _PLAIN = re.compile("[!-~¡-įı-ɏ]*")
 _LETTERS = "".join(chr(c) for c in range(0x250) if chr(c).isalpha())
 _NUMBERS = "".join(chr(c) for c in range(0x250) if chr(c).isnumeric())
+_ENDS = frozenset(".,;:!?")
 WORD = re.compile("|".join([*CONTRACTIONS, f"[{_LETTERS}]+", f"[{_NUMBERS}]", f"[^{_LETTERS}{_NUMBERS}]+"]))
 
 
@@ -115,21 +118,28 @@ class PieceEncoder:
                 self.memory[word] = ids
         return ids
 
-    def _piece(self, piece: str) -> bytes:
-        known = self.memory.get(piece)  # a piece that is a word, as most are
-        if known is not None:
-            return known
-        words = self.words.split(piece)
-        if words is None:
-            return packed(self.words.whole(piece))
-        return self._word(words[0]) if len(words) == 1 else b"".join(map(self._word, words))
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece. Most are a word that is remembered, or one of plain letters that is not yet."""
+        out, get, word = [], self.memory.get, self._word
+        for piece in pieces:
+            ids = get(piece)
+            if ids is None:
+                if piece.isascii() and piece.isalpha():
+                    ids = word(piece.lower())
+                elif piece[-1:] in _ENDS and piece.isascii() and piece[:-1].isalpha():
+                    ids = word(piece[:-1].lower()) + word(piece[-1])
+                else:
+                    words = self.words.split(piece)
+                    ids = packed(self.words.whole(piece)) if words is None else b"".join(map(word, words))
+            out.append(ids)
+        return out
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row as uint32, offsets of the texts in them); `end_id` follows each text."""
         if len(self.memory) > MEMORY:
             self.memory.clear()
         offsets, distinct, codes = pieces_of(lowered(texts))
-        ids = list(map(self._piece, distinct.to_pylist()))
+        ids = self._pieces(distinct.to_pylist())
         if end_id is not None:  # the end is one more piece after each text's last
             ids.append(packed([end_id]))
             codes = np.insert(codes, offsets[1:], len(ids) - 1)
@@ -145,6 +155,7 @@ def gathered(ids: list[bytes], codes: np.ndarray, offsets: np.ndarray) -> tuple[
     taken = lengths[codes]
     ends = np.cumsum(taken, dtype=np.int64)
     total = int(ends[-1]) if len(ends) else 0
-    where = np.repeat(starts[codes] - (ends - taken), taken)
-    where += np.arange(total)
+    kind = np.int32 if max(total, len(flat)) < 2**31 else np.int64
+    where = np.repeat((starts[codes] - (ends - taken)).astype(kind), taken)
+    where += np.arange(total, dtype=kind)
     return flat[where], np.concatenate(([0], ends))[offsets]
