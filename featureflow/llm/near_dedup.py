@@ -2,14 +2,15 @@
 
 Two collections of `SIDE` short tuples of minhashes are made for each document; a table key joins one tuple of either
 collection, so SIDE * SIDE tables cost only 2 * SIDE * WIDTH minhashes. Two documents meet if they agree on a tuple of
-each collection: at similarity s with probability (1 - (1 - s^WIDTH)^SIDE)^2, above 0.9999 at 0.8. A tuple that
+each collection: at similarity s with probability (1 - (1 - s^WIDTH)^SIDE)^2, above 0.9996 at 0.8. A tuple that
 no other document has cannot meet, so only shared tuples are combined. Documents with equal sets are one class from
 the start and only its least id is compared.
 
 A bucket's pairs are never listed. First each member is compared with the least member of its buckets, which joins
 groups of copies in one step. Then only buckets that still hold several components are looked at, in blocks of bounded
-size, and only pairs of different components that agree on `AGREE` tuples of each collection leave them. At 0.8 a link
-that matters is missed with probability below 0.0005.
+size. A pair is looked at in the first table that its documents share, and leaves it if it joins two components, the
+sizes allow the similarity and so does a sketch of `BINS` bins, which is `DEVIATIONS` standard deviations below the
+limit for fewer than one in ten thousand links.
 """
 
 from __future__ import annotations
@@ -27,10 +28,12 @@ from featureflow.llm import tokens
 from featureflow.llm.common import slices, stored, texts_of
 from featureflow.llm.components import components
 
-#: Tuples in either collection, and minhashes in a tuple; common tuples of either kind that make a pair worth verifying.
-SIDE = 16
+#: Tuples in either collection, and minhashes in a tuple.
+SIDE = 12
 WIDTH = 3
-AGREE = 2
+#: Bins of the sketch that tells which pairs to verify, a byte each; its allowance in standard deviations.
+BINS = 512
+DEVIATIONS = 4.0
 #: Members of a bucket compared at once; larger buckets are compared block by block.
 SMALL_BUCKET = 1024
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -85,8 +88,17 @@ def tuples(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32).T
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """One byte for each bin of a sorted set of hashes: of the least hash in it, or 0 for an empty bin."""
+    bins = (hashes >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.diff(bins, prepend=-1))
+    out = np.zeros(BINS, np.uint8)
+    out[bins[first]] = hashes[first] % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
+
+
 def _sketches(rows: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, print (16 bytes that stand for the set), tuples (left, then right); null without shingles."""
+    """doc_id, n_shingles, print (16 bytes that stand for the set), tuples (left, then right), sketch; null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -99,70 +111,86 @@ def _sketches(rows: DataFrame, width: int) -> DataFrame:
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * 2 * SIDE), pa.array(made.ravel().view(np.int32)))
             prints = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), flat.take(pa.array(place, mask=place == len(some)))]
-            yield pa.record_batch(columns, ["doc_id", "n_shingles", "print", "tuples"])
+            columns.append(pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()))
+            yield pa.record_batch(columns, ["doc_id", "n_shingles", "print", "tuples", "sketch"])
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, print binary, tuples array<int>")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, print binary, tuples array<int>, sketch binary")
 
 
 def _hits(classes: DataFrame) -> DataFrame:
-    """rep, lefts, rights: hashes of the tuples of each collection that other classes have too."""
-    rows = classes.select("rep", F.posexplode("tuples").alias("i", "x")).select("rep", F.xxhash64("i", "x").alias("hash"), (F.col("i") < SIDE).alias("first"))
+    """rep, lefts, rights: (number, hash) of the tuples of each collection that other classes have too."""
+    rows = classes.select("rep", F.posexplode("tuples").alias("i", "x")).select("rep", "i", F.xxhash64("i", "x").alias("hash"))
     common = rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     met = rows.join(common, "hash", "left_semi").groupBy("rep")
-    lists = met.agg(F.collect_list(F.when(F.col("first"), F.col("hash"))).alias("lefts"), F.collect_list(F.when(~F.col("first"), F.col("hash"))).alias("rights"))
+    left, one = F.col("i") < SIDE, F.struct("i", "hash")
+    lists = met.agg(F.collect_list(F.when(left, one)).alias("lefts"), F.collect_list(F.when(~left, one)).alias("rights"))
     return lists.where((F.size("lefts") > 0) & (F.size("rights") > 0))
 
 
 def _met(hits: DataFrame) -> DataFrame:
-    """key, rep, head: the members of each table's buckets of two or more, with the bucket's least member."""
+    """key, rep, place (of the table), head: the members of each table's buckets of two or more, with the least one."""
     rows = hits.select("rep", "rights", F.explode("lefts").alias("l")).select("rep", "l", F.explode("rights").alias("r"))
-    keys = rows.select(F.xxhash64("l", "r").alias("key"), "rep")
+    keys = rows.select(F.xxhash64("l.hash", "r.hash").alias("key"), "rep", (F.col("l.i") * SIDE + F.col("r.i") - SIDE).cast("short").alias("place"))
     heads = keys.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head < last")
     return keys.join(heads.select("key", "head"), "key")
 
 
-def _similar(size_a, size_b, tuples_a: np.ndarray, tuples_b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sets of these sizes can be similar enough, and the tuples agree often enough."""
-    same = tuples_a == tuples_b
-    enough = (same[..., :SIDE].sum(-1) >= AGREE) & (same[..., SIDE:].sum(-1) >= AGREE)
-    return enough & (100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b))
+def _likely(size_a: np.ndarray, size_b: np.ndarray, sketch_a: np.ndarray, sketch_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can be similar enough, and their sketches allow it."""
+    out = 100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)
+    look = np.flatnonzero(out)
+    a, b, share = sketch_a[look], sketch_b[look], percent / 100
+    used = ((a > 0) | (b > 0)).sum(1)
+    united = np.maximum((size_a[look] + size_b[look]) / (1 + share), used)  # at the limit; the sketch holds `used` of them
+    spread = DEVIATIONS * np.sqrt(share * (1 - share) / used * (1 - used / united)) + 1 / used
+    out[look] = ((a == b) & (a > 0)).sum(1) >= (share - spread) * used
+    return out
 
 
-def _tuple_rows(lists: pa.Array) -> np.ndarray:
-    return lists.flatten().to_numpy().reshape(-1, 2 * SIDE)
+def _sketch_rows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that sizes and tuples do not exclude."""
-    sides = [classes.select(F.col("rep").alias(x), F.col("size").alias(f"size_{x}"), F.col("tuples").alias(f"tuples_{x}")) for x in "ab"]
+    """The pairs (a, b) that sizes and sketches do not exclude."""
+    sides = [classes.select(F.col("rep").alias(x), F.col("size").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            near = _similar(*(part.column(f"size_{x}").to_numpy() for x in "ab"), *(_tuple_rows(part.column(f"tuples_{x}")) for x in "ab"), percent)
+            near = _likely(*(part.column(f"size_{x}").to_numpy() for x in "ab"), *(_sketch_rows(part.column(f"sketch_{x}")) for x in "ab"), percent)
             yield part.select(["a", "b"]).filter(pa.array(near))
 
-    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "size_a", "size_b", "tuples_a", "tuples_b").mapInArrow(run, "a long, b long")
+    joined = pairs.join(sides[0], "a").join(sides[1], "b")
+    return joined.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
 
 
 def _bucket_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components in a bucket. members: key, x, y (blocks that meet), block, rep, component, size, tuples.
+    """Likely pairs (a, b) of different components in a bucket, each in the first table that both are in.
 
-    Rows come sorted by (key, x, y); a group has at most two blocks, so it fits into memory.
+    members: key, x, y (blocks that meet), block, place, rep, component, size, tuples, sketch, sorted by (key, x, y). A
+    group has at most two blocks, so it fits into memory.
     """
 
     def pairs(group: pa.Table) -> pa.RecordBatch:
         rep, component, size, block = (group[c].to_numpy() for c in ("rep", "component", "size", "block"))
-        own, cross = _tuple_rows(group["tuples"].combine_chunks()), group["x"][0] != group["y"][0]
+        own = group["tuples"].combine_chunks().flatten().to_numpy().reshape(-1, 2 * SIDE)
+        sketches, cross = _sketch_rows(group["sketch"].combine_chunks()), group["x"][0] != group["y"][0]
+        i, j = divmod(group["place"][0].as_py(), SIDE)
+        earlier = [*range(i), *range(SIDE, SIDE + j)]
         a, b = [], []
         for begin in range(0, len(rep), 128):
             rows = slice(begin, begin + 128)
             fit = (component[rows, None] != component) & (rep[rows, None] > rep)
             if cross:
                 fit &= block[rows, None] != block
-            i, j = np.nonzero(fit)
-            near = _similar(size[rows][i], size[j], own[rows][i], own[j], percent)
-            a.append(rep[rows][i[near]])
-            b.append(rep[j[near]])
+            x, y = np.nonzero(fit)
+            x += begin
+            for t in earlier:
+                fresh = own[x, t] != own[y, t]
+                x, y = x[fresh], y[fresh]
+            near = _likely(size[x], size[y], sketches[x], sketches[y], percent)
+            a.append(rep[x[near]])
+            b.append(rep[y[near]])
         return pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,13 +212,13 @@ def _bucket_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 def _late_pairs(met: DataFrame, classes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Pairs worth verifying in buckets that still hold several components."""
-    placed = met.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    placed = met.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "place", F.coalesce("component", "rep").alias("component"))
     several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi")
     several = several.select("key", F.ceil(F.col("n") / SMALL_BUCKET).cast("int").alias("blocks"))
-    members = placed.join(several, "key").join(classes.select("rep", "size", "tuples"), "rep")
+    members = placed.join(several, "key").join(classes.select("rep", "size", "tuples", "sketch"), "rep")
     members = members.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "rep", "component", "size", "tuples")
+    members = members.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "place", "rep", "component", "size", "tuples", "sketch")
     return _bucket_pairs(members.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y"), percent)
 
 
@@ -234,8 +262,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     rows = texts_of(docs, id_col, text_col)
     sketches = stored(_sketches(rows, width))
     named = sketches.where("print is not null and doc_id is not null")
-    least = named.groupBy("print").agg(F.min(F.struct("doc_id", "n_shingles", "tuples")).alias("c"))
-    classes = stored(least.select("print", F.col("c.doc_id").alias("rep"), F.col("c.n_shingles").alias("size"), "c.tuples"))
+    least = named.groupBy("print").agg(F.min(F.struct("doc_id", "n_shingles", "tuples", "sketch")).alias("c"))
+    classes = stored(least.select("print", F.col("c.doc_id").alias("rep"), F.col("c.n_shingles").alias("size"), "c.tuples", "c.sketch"))
     met = stored(_met(stored(_hits(classes))))
     stars = met.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
     classed = sketches.join(classes.select("print", "rep"), "print", "left")
