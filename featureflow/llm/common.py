@@ -34,11 +34,24 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root}/llm-{uuid.uuid4().hex}"
 
 
+#: Spark's own setting: a finished query's shuffle files go at once, not when the driver happens to collect garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(frame: DataFrame, path: str | None = None) -> DataFrame:
-    """The frame written as Parquet to the shared folder and read back: lineage ends here, lost executors do not matter."""
-    path = path or shared_folder(frame.sparkSession)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    """The frame written as Parquet to the shared folder and read back: lineage ends here, lost executors do not matter.
+
+    What was shuffled for it is deleted when it is written.
+    """
+    spark = frame.sparkSession
+    path = path or shared_folder(spark)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def fold(id_column: Column, parts: int) -> Column:

@@ -5,9 +5,10 @@ doubling sorts every position by (rank of its first h bytes, rank of the h bytes
 first round ranks only sampled positions, by their first `GRAM` bytes: in each string of `span` bytes the position
 whose gram has the least hash stands for it, so equal strings are represented at the same place. Positions whose rank
 no other document shares drop out, which are most. The next round extends the ranks to all that a position
-represents; where that is the same as in a smaller document, all its strings are. Only positions that differ around
-a shared gram reach the last round, which sorts each string's start by the pair (rank of the first half, rank of the
-second half): offset and length reach the threshold, and the doubling ends.
+represents; where that is the same as in a smaller document, all its strings are. Positions that differ around a
+shared gram are ranked again by the gram and half of the rest on its right, and on its left: a string of `span` bytes
+holds one of the two. What is still shared reaches the last round, which sorts each string's start by the pair (rank
+of the first half, rank of the second half): offset and length reach the threshold, and the doubling ends.
 
 Ranks are 64-bit names of the bytes. Before each sort a task combines what it has: of equal keys only the smallest
 document is sent, so a passage in a third of all documents is one row from each task.
@@ -27,12 +28,10 @@ from featureflow.llm.common import slices, stored
 from featureflow.llm.near_dedup import mixed
 
 SPAN = 50
-GRAM = 20
+GRAM = 16
 #: Bytes whose positions are combined before a sort; bytes hashed at once (a longer text alone).
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
 HASH_BYTES = 1 << 17
-#: Rows of (doc_id, ...) that may be broadcast: 16 bytes each.
-BROADCAST_ROWS = 200_000
 
 _POWER = np.uint64(0x5851F42D4C957F2D)
 _INVERSE = np.uint64(pow(int(_POWER), -1, 1 << 64))
@@ -81,14 +80,15 @@ def blocks(batch: pa.RecordBatch, limit: int = HASH_BYTES) -> Iterator[tuple[np.
 
 
 def sampled(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(text, gram's name, name of all it represents, first start, number of starts) of each sampled position.
+    """(text, gram's name, name of all it represents, first start, number of starts, gram's distance from the first).
 
     The starts of all strings of `span` bytes are dealt out to the positions, in order, each to one.
     """
     starts = np.maximum(np.diff(offsets) - span + 1, 0)
     total = int(starts.sum())
     if not total:
-        return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        none = np.zeros(0, np.int64)
+        return none, none.view(np.uint64), none.view(np.uint64), none, none, none
     grams = Hashes(data, 0).every(gram)
     order = (grams & ~np.uint64(_PLACE)) | (np.arange(len(grams), dtype=np.uint64) & np.uint64(_PLACE))  # ties: the leftmost
     least = sliding_least(order, span - gram + 1)
@@ -102,7 +102,7 @@ def sampled(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tupl
     begin, at = start[first], picked[first]
     around = Hashes(data, 1).of(begin, begin + count - 1 + span)
     around = mixed(around + mixed(grams[at]) * np.uint64(63) + (at - begin).astype(np.uint64))
-    return text[first], grams[at], around, begin - offsets[text[first]], count
+    return text[first], grams[at], around, begin - offsets[text[first]], count, at - begin
 
 
 def _group_least(keys: tuple[np.ndarray, ...], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,16 +130,33 @@ def _ranges(doc: np.ndarray, tag: np.ndarray, begin: np.ndarray, count: np.ndarr
     return doc[first], tag[first], begin[first], end[last] - begin[first]
 
 
-_ROW = "kind int, gram long, around long, doc_id long, tag int, begin long, n int"
+_ROW = "gram long, around long, doc_id long, place long"
 _NAMES_OF_ROW = [f.split()[0] for f in _ROW.split(", ")]
 #: kinds: LEAST looks for smaller documents with its gram; INNER has one in its own task; DONE is a range to remove.
 LEAST, INNER, DONE = 0, 1, 2
 _SHARED, _MIXED = 4, 8
+#: `place` holds the kind, the row's tag, the first start, how far from it the gram is, and the number of starts less
+#: one. It is sorted for every sampled position, so it is kept short. A DONE row, whose number has no limit, has it in
+#: `around`.
+_KIND_AT, _TAG_AT, _BEGIN_AT, _GRAM_AT = 60, 44, 12, 6
 
 
-def _rows(kind, gram, around, doc, tag, begin, n) -> pa.RecordBatch:
-    columns = [np.broadcast_to(np.asarray(kind, np.int32), doc.shape), gram.view(np.int64), around.view(np.int64), doc, tag.astype(np.int32), begin.astype(np.int64), n.astype(np.int32)]
-    return pa.record_batch([pa.array(c) for c in columns], _NAMES_OF_ROW)
+def _rows(kind, gram, around, doc, tag, begin, n, at=0) -> pa.RecordBatch:
+    kind = np.broadcast_to(np.asarray(kind), doc.shape).astype(np.uint64)
+    place = kind << np.uint64(_KIND_AT) | tag.astype(np.uint64) << np.uint64(_TAG_AT) | begin.astype(np.uint64) << np.uint64(_BEGIN_AT)
+    place = place | np.where(kind == DONE, 0, n - 1 + (np.asarray(at) << _GRAM_AT)).astype(np.uint64)
+    around = np.where(kind == DONE, n.astype(np.uint64), around)
+    return pa.record_batch([pa.array(c) for c in (gram.view(np.int64), around.view(np.int64), doc, place.view(np.int64))], _NAMES_OF_ROW)
+
+
+def _bits(name: str, first: int, end: int) -> Column:
+    return F.shiftrightunsigned(name, first).bitwiseAND((1 << (end - first)) - 1)
+
+
+def _taken_apart(rows: DataFrame) -> DataFrame:
+    n = F.when(_bits("place", _KIND_AT, 62) == DONE, F.col("around")).otherwise(_bits("place", 0, _GRAM_AT) + 1)
+    parts = {"tag": _bits("place", _TAG_AT, _KIND_AT).cast("int"), "begin": _bits("place", _BEGIN_AT, _TAG_AT), "at": _bits("place", _GRAM_AT, _BEGIN_AT), "n": n}
+    return rows.withColumns(parts).drop("place")
 
 
 def _first_round(span: int, gram: int):
@@ -151,7 +168,7 @@ def _first_round(span: int, gram: int):
             for data, offsets, row in blocks(chunk):
                 text, *rest = sampled(data, offsets, span, gram)
                 found.append((text + row, *rest))
-            text, grams, around, begin, count = (np.concatenate(x) for x in zip(*found, strict=True))
+            text, grams, around, begin, count, at = (np.concatenate(x) for x in zip(*found, strict=True))
             doc, tag = ids[text], tags[text]
             of_gram, gram_least = _group_least((grams,), doc)
             of_all, all_least = _group_least((around,), doc)
@@ -166,8 +183,8 @@ def _first_round(span: int, gram: int):
             several[of_gram[around != some[of_gram]]] = True
             least = ~inner & ~done
             kind = LEAST + _SHARED * shared[of_gram[least]] + _MIXED * several[of_gram[least]]
-            yield _rows(kind, grams[least], around[least], doc[least], tag[least], begin[least], count[least])
-            yield _rows(INNER, _own_key(doc[inner], begin[inner]), around[inner], doc[inner], tag[inner], begin[inner], count[inner])
+            yield _rows(kind, grams[least], around[least], doc[least], tag[least], begin[least], count[least], at[least])
+            yield _rows(INNER, _own_key(doc[inner], begin[inner]), around[inner], doc[inner], tag[inner], begin[inner], count[inner], at[inner])
 
     return run
 
@@ -181,21 +198,61 @@ def _done(doc, tag, begin, n) -> tuple[np.ndarray, ...]:
     return _own_key(doc, begin), np.zeros(len(doc), np.uint64), doc, tag, begin, n
 
 
+def _parts(own: pa.Array) -> tuple[np.ndarray, ...]:
+    """(text, first start, gram's distance, number of starts) of each packed part of the texts."""
+    packed = own.flatten().to_numpy()
+    text = np.repeat(np.arange(len(own)), np.diff(own.offsets.to_numpy()))
+    return text, packed >> 16, (packed >> 8) & 255, packed & 255
+
+
+def _middle_round(span: int, gram: int):
+    """Rows (doc_id, tag, raw, parts) to two rows for each part: gram and right half, left half and gram.
+
+    A row has the starts whose strings hold those bytes, and their rank as its key.
+    """
+    half = (span - gram) // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in slices(batches, "raw", CHUNK_BYTES):
+            ids, tags, parts = chunk.column("doc_id").to_numpy(), chunk.column("tag").to_numpy(), chunk.column("parts")
+            chunk = chunk.append_column("row", pa.array(np.arange(chunk.num_rows)))
+            found = []
+            for data, offsets, row in blocks(chunk):
+                text, begin, at, n = _parts(parts.slice(row, len(offsets) - 1))
+                place, names = begin + at, Hashes(data, 1)
+                for side in range(2):
+                    first = np.maximum(begin, place - (span - gram - half)) if side == 0 else begin
+                    last = begin + n - 1 if side == 0 else np.minimum(begin + n - 1, place - half)
+                    use = np.flatnonzero(last >= first)
+                    low = (offsets[text] + place - (half if side else 0))[use]
+                    keys = mixed(names.of(low, low + gram + half) + np.uint64(side))
+                    found.append((text[use] + row, keys, first[use], (last - first + 1)[use]))
+            text, keys, begin, n = (np.concatenate(x) for x in zip(*found, strict=True))
+            doc, tag = ids[text], tags[text]
+            group, least = _group_least((keys,), doc)
+            inner = least[group] < doc
+            shared = np.zeros(len(least), bool)
+            shared[group[inner]] = True
+            none = np.zeros(len(doc), np.uint64)
+            left = ~inner
+            yield _rows(LEAST + _SHARED * shared[group[left]], keys[left], none[left], doc[left], tag[left], begin[left], n[left])
+            yield _rows(INNER, _own_key(doc[inner], begin[inner]), none[inner], doc[inner], tag[inner], begin[inner], n[inner])
+
+    return run
+
+
 def _last_round(span: int):
-    """Rows (doc_id, tag, raw, parts: begin and number of starts) to rows with the halves' ranks for each start."""
+    """Rows (doc_id, tag, raw, parts) to rows with the halves' ranks for each start."""
     half = span // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in slices(batches, "raw", CHUNK_BYTES // 8):
+        for chunk in slices(batches, "raw", CHUNK_BYTES // 4):
             ids, tags, parts = chunk.column("doc_id").to_numpy(), chunk.column("tag").to_numpy(), chunk.column("parts")
             chunk = chunk.append_column("row", pa.array(np.arange(chunk.num_rows)))
             found = []
             for data, offsets, row in blocks(chunk):
-                own = parts.slice(row, len(offsets) - 1)
-                packed = own.flatten().to_numpy()
-                text = np.repeat(np.arange(len(own)), np.diff(own.offsets.to_numpy()))
-                count = packed & 255
-                begin = np.repeat((packed >> 8) + offsets[text], count)
+                text, begin, _, count = _parts(parts.slice(row, len(offsets) - 1))
+                begin = np.repeat(begin + offsets[text], count)
                 begin += np.arange(len(begin)) - np.repeat(np.cumsum(count) - count, count)
                 text = np.repeat(text, count)
                 names = [Hashes(data, i) for i in range(2)]
@@ -219,7 +276,7 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _columns(id_col: str, text_col: str) -> list[Column]:
     raw = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    return [F.col(id_col).cast("long").alias("doc_id"), (F.crc32(raw) - (1 << 31)).cast("int").alias("tag"), raw.alias("raw")]
+    return [F.col(id_col).cast("long").alias("doc_id"), (F.crc32(raw) % (1 << 16)).cast("int").alias("tag"), raw.alias("raw")]
 
 
 def repeated_starts(rows: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -227,37 +284,38 @@ def repeated_starts(rows: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
     rows = rows.where("doc_id is not null").where(F.octet_length("raw") >= span)
     first = rows.mapInArrow(_first_round(span, gram), _ROW)
     same_gram = Window.partitionBy("gram")
-    flag = lambda bit: F.max(F.col("kind").bitwiseAND(bit)).over(same_gram) > 0
+    kind = _bits("place", _KIND_AT, 64)
+    least, last = F.min("doc_id").over(same_gram), F.max("doc_id").over(same_gram)
+    flags = F.bit_or(kind).over(same_gram)
     ranked = first.select(
-        F.col("kind").bitwiseAND(3).alias("kind"), "around", "doc_id", "tag", "begin", "n",
-        F.min("doc_id").over(same_gram).alias("least"),
-        (flag(_SHARED) | (F.min("doc_id").over(same_gram) < F.max("doc_id").over(same_gram))).alias("shared"),
-        (flag(_MIXED) | (F.min("around").over(same_gram) < F.max("around").over(same_gram))).alias("mixed"),
+        "around", "doc_id", "place", kind.bitwiseAND(3).alias("kind"), least.alias("least"),
+        ((flags.bitwiseAND(_SHARED) > 0) | (least < last)).alias("shared"),
+        ((flags.bitwiseAND(_MIXED) > 0) | (F.min("around").over(same_gram) < F.max("around").over(same_gram))).alias("mixed"),
     )
     alike = (F.col("kind") == LEAST) & ~F.col("mixed") & (F.col("doc_id") > F.col("least"))
     differing = (F.col("kind") == INNER) | ((F.col("kind") == LEAST) & F.col("shared") & F.col("mixed"))
-    ranked = ranked.withColumn("kind", F.when(alike, DONE).when(differing, INNER).when(F.col("kind") == DONE, DONE))
-    found = stored(ranked.where("kind is not null").select("kind", "around", "doc_id", "tag", "begin", "n"))
-    done = found.where(F.col("kind") == DONE)
+    ranked = ranked.withColumn("kind", F.when(alike, LEAST).when(differing, INNER).when(F.col("kind") == DONE, DONE))
+    found = stored(ranked.where("kind is not null").select("kind", "around", "doc_id", "place"))
+    done = _taken_apart(found.where(F.col("kind") != INNER))
     again = found.where(F.col("kind") == INNER).withColumn("least", F.min("doc_id").over(Window.partitionBy("around")))
-    again = stored(again.drop("kind"))
-    done = done.unionByName(again.where("least < doc_id"), allowMissingColumns=True)
-    open_ones = again.where("least = doc_id").groupBy("doc_id", "tag").agg(F.sort_array(F.collect_list(_packed())).alias("parts"))
-    open_ones = stored(open_ones)
-    if open_ones.count() <= BROADCAST_ROWS:
-        asked = rows.join(F.broadcast(open_ones.select("doc_id", "tag")), ["doc_id", "tag"], "left_semi")
-    else:
-        asked = rows
-    asked = asked.dropDuplicates(["doc_id", "tag"]).join(open_ones, ["doc_id", "tag"]).select("doc_id", "tag", "raw", "parts")
-    pairs = asked.mapInArrow(_last_round(span), _ROW)
+    again = _taken_apart(stored(again.drop("kind")))
+    halves = _with_parts(rows, again.where("least = doc_id")).mapInArrow(_middle_round(span, gram), _ROW)
+    same_half = Window.partitionBy("gram")
+    several = (F.bit_or(kind).over(same_half).bitwiseAND(_SHARED) > 0) | (F.min("doc_id").over(same_half) < F.max("doc_id").over(same_half))
+    halves = halves.select("doc_id", "place", ((kind.bitwiseAND(3) == INNER) | several).alias("open"))
+    halves = _taken_apart(stored(halves.where("open").select("doc_id", "place", F.lit(0).cast("long").alias("around"))))
+    pairs = _with_parts(rows, halves).mapInArrow(_last_round(span), _ROW)
     pairs = pairs.withColumn("least", F.min("doc_id").over(Window.partitionBy("gram", "around")))
-    pairs = pairs.where((F.col("kind") == DONE) | (F.col("least") < F.col("doc_id")))
+    pairs = stored(pairs.where((_bits("place", _KIND_AT, 62) == DONE) | (F.col("least") < F.col("doc_id"))).select("around", "doc_id", "place"))
     kept = ("doc_id", "tag", "begin", "n")
-    return done.select(*kept).unionByName(pairs.select(*kept))
+    return done.select(*kept).unionByName(again.where("least < doc_id").select(*kept)).unionByName(_taken_apart(pairs).select(*kept))
 
 
-def _packed() -> Column:
-    return F.shiftleft(F.col("begin"), 8).bitwiseOR(F.col("n").cast("long"))
+def _with_parts(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """doc_id, tag, raw, parts: the texts with their starts, packed as `_parts` reads them; others are left out."""
+    packed = F.shiftleft("begin", 16).bitwiseOR(F.shiftleft("at", 8)).bitwiseOR(F.col("n").cast("long"))
+    parts = starts.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set(packed)).alias("parts"))
+    return rows.join(parts, ["doc_id", "tag"]).select("doc_id", "tag", "raw", "parts")
 
 
 def _cut(docs: DataFrame, rows: DataFrame, span: int) -> DataFrame:

@@ -61,13 +61,6 @@ def test_small_chunks_and_texts_longer_than_a_block(spark, monkeypatch):
     assert left(sd.removals(frame)) == sd.brute_force({k: v.encode() for k, v in texts.items()}, sd.SPAN)
 
 
-def test_without_the_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(sd, "BROADCAST_ROWS", -1)
-    texts = planted(3)
-    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
-    assert left(sd.removals(frame)) == sd.brute_force({k: v.encode() for k, v in texts.items()}, sd.SPAN)
-
-
 def test_awkward_rows(spark):
     same = "one passage of more than fifty bytes, known to several documents of this test"
     rows = [(1, same, "a"), (1, same, "b"), (2, same + "!", "c"), (None, same, "d"), (3, None, "e"), (4, "", "f"), (4, "x" * 49, "g"), (5, "x" * 49, "h")]
@@ -81,6 +74,7 @@ def test_awkward_rows(spark):
 def test_sampled_positions_take_every_start_once():
     data = np.frombuffer("".join(random.Random(2).choices("ab", k=3000)).encode(), np.uint8)
     offsets = np.array([0, 30, 30, 1000, 1050, 3000])
-    text, _, _, begin, count = sd.sampled(data, offsets, 50, 20)
+    text, _, _, begin, count, at = sd.sampled(data, offsets, 50, 16)
     starts = sorted((t, b + i) for t, b, c in zip(text.tolist(), begin.tolist(), count.tolist(), strict=True) for i in range(c))
+    assert ((at <= 50 - 16) & (at >= count - 1)).all()
     assert starts == [(t, i) for t, n in enumerate(np.diff(offsets)) for i in range(max(0, n - 49))]
