@@ -80,6 +80,11 @@ def file_uri(origin: str | Column) -> Column:
     return F.regexp_replace(decoded, "^file:/+", "file:/")
 
 
+def same_uri(path: str | Column) -> Column:
+    """A local path in the spelling of the binaryFile ``path``, so that paths from elsewhere compare."""
+    return F.regexp_replace(_col(path), "^file:/+|^/+", "file:/")
+
+
 def directory(path: str | Column) -> Column:
     return F.regexp_replace(_col(path), "/[^/]*$", "")
 

@@ -74,8 +74,8 @@ def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
-def class_sample(df: DataFrame, label: str = "label", value: str = "path", shown: int | None = 10) -> DataFrame:
-    """One value per class (the smallest), first ``shown`` classes by label."""
+def class_sample(df: DataFrame, label: str = "label", value: str = "path", shown: int | None = None) -> DataFrame:
+    """One value per class (the smallest); ``shown`` limits a preview to the first classes by label."""
     sample = df.groupBy(label).agg(F.min(value).alias(f"sample_{value}"))
     return sample if shown is None else sample.orderBy(label).limit(shown)
 

@@ -5,35 +5,34 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featureflow.functions import rules
 from featureflow.functions.vectors import require_vector
 from featureflow.operators.classes import class_counts
-from featureflow.sources.settle import lay_out, settle
+from featureflow.sources.settle import lay_out
 
 # Forest settings.
 MAX_DEPTH = 10
 NUM_TREES = 50
 SEED = 42
 
-MAX_GRID_CLASSES = 10_000
-MAX_INDEXED_CLASSES = 1_000_000
 AGGREGATION_MB = 1024
 
 
 def label_index(df: DataFrame, label: str = "label") -> DataFrame:
-    """Class table ``label, n, label_indexed``: index 0 for the most frequent, ties by label, nulls left out.
+    """Class table ``label, n, label_indexed``: index 0 for the most frequent, ties by label text, nulls left out.
 
-    The numbering runs over the class table, one row per class, which a classifier holds in memory anyway;
-    above a million classes it is refused.
+    The same numbers as the classifier's indexer gives. The class table is sorted by ranges and numbered by the
+    sizes of the sorted partitions, so no task has to hold it.
     """
-    order = Window.orderBy(F.col("n").desc(), F.col(label))
-    counts = settle(class_counts(df.filter(F.col(label).isNotNull()), label))
-    if counts.count() > MAX_INDEXED_CLASSES:
-        raise ValueError(f"more than {MAX_INDEXED_CLASSES} classes")
-    return counts.withColumn("label_indexed", (F.row_number().over(order) - 1).cast("double"))
+    counts = class_counts(df.filter(F.col(label).isNotNull()), label)
+    ordered = counts.orderBy(F.col("n").desc(), F.col(label).cast("string"))
+    schema = T.StructType([*ordered.schema.fields, T.StructField("label_indexed", T.DoubleType())])
+    numbered = ordered.rdd.zipWithIndex().map(lambda pair: (*pair[0], float(pair[1])))
+    return df.sparkSession.createDataFrame(numbered, schema, verifySchema=False)
 
 
 def train_classifier(
@@ -72,16 +71,18 @@ def confusion_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def confusion_matrix(df: DataFrame, actual: str = "label", predicted: str = "predicted_label") -> DataFrame:
-    """All cells over the labels seen on either side, zeros included.
+def confusion_matrix(
+    df: DataFrame, actual: str = "label", predicted: str = "predicted_label", dense: bool = False
+) -> DataFrame:
+    """Cells ``actual, predicted, n`` of rows with both labels; with ``dense`` also the empty ones.
 
-    The grid is classes x classes by definition of a dense matrix; above 10,000 classes use the sparse
-    ``confusion_counts``.
+    A dense matrix has classes x classes cells over the labels seen on either side, by definition.
     """
-    cells = settle(confusion_counts(df, actual, predicted))
+    cells = confusion_counts(df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull()), actual, predicted)
+    if not dense:
+        return cells
+    cells = confusion_counts(df, actual, predicted)
     labels = cells.select(F.explode(F.array("actual", "predicted")).alias("c")).filter(F.col("c").isNotNull()).distinct()
-    if labels.count() > MAX_GRID_CLASSES:
-        raise ValueError(f"more than {MAX_GRID_CLASSES} classes; use confusion_counts")
     every = labels.agg(F.collect_list("c")).scalar()
     grid = labels.select(F.col("c").alias("actual"), F.explode(every).alias("predicted"))
     return grid.join(cells, ["actual", "predicted"], "left").select(

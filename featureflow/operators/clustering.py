@@ -11,10 +11,9 @@ from featureflow.functions.vectors import require_vector
 from featureflow.operators.reduction import planar
 from featureflow.sources.settle import lay_out
 
-# Default number of clusters, seed and chart sample.
+# Default number of clusters and seed.
 CLUSTERS = 10
 SEED = 42
-CHART_ROWS = 1000
 
 
 def train_kmeans(
@@ -48,8 +47,8 @@ def silhouette(df: DataFrame, features: str = "features_pca", cluster: str = "cl
 
 def cluster_chart(
     df: DataFrame, key: str, features: str = "features_pca", cluster: str = "cluster", label: str = "label",
-    sample_size: int = CHART_ROWS,
+    sample_size: int | None = None,
 ) -> DataFrame:
-    """2-D coordinates, cluster and label of a hash sample of at most ``sample_size`` rows."""
+    """2-D coordinates, cluster and label of all rows, or of a hash sample of ``sample_size`` rows."""
     narrow = df.select(key, features, cluster, label)
     return planar(narrow, features, key, sample_size).select(key, "x", "y", cluster, label)

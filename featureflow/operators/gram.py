@@ -1,8 +1,9 @@
 """Second moments of vectors as a distributed job.
 
 Every task multiplies its Arrow batches with BLAS into one d x d block and emits it once, row by row; the
-executors sum the rows by index. The work per row stays vectorised and what is shuffled does not grow with
-the number of rows: (tasks) x d x d / 2 numbers, with the number of tasks tied to the cluster's slots.
+executors sum the rows by index. The work per row stays vectorised and what is shuffled is (tasks) x d x d / 2
+numbers. The tasks are the scan's own, whatever the cluster; ``tasks`` merges small splits where there are many.
+A task holds one block, (d + 1)^2 doubles, and the driver another where a result is decomposed there.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 
 from featureflow.functions.vectors import as_array
 
-MAX_DIMENSION = 8192
-WAVES = 4
+#: Rows of the product made at once, so that the block is the only d x d array of a task.
+STRIP = 256
 
 
 def matrix(values: pa.Array, d: int) -> np.ndarray:
@@ -42,13 +43,14 @@ def pivot_vector(df: DataFrame, column: str) -> np.ndarray:
     if head is None:
         raise ValueError(f"no vectors in column '{column}'")
     pivot = np.asarray(head["v"], dtype=np.float64)
-    if len(pivot) > MAX_DIMENSION:
-        raise ValueError(f"{len(pivot)} dimensions; a covariance matrix above {MAX_DIMENSION} is refused")
     return np.where(np.isfinite(pivot), pivot, 0.0)
 
 
-def moments(df: DataFrame, column: str, pivot: np.ndarray) -> DataFrame:
-    """``i, s array``: row i of the upper triangle of sum((1, x-p) (1, x-p)^T); row 0 holds n and the sums."""
+def moments(df: DataFrame, column: str, pivot: np.ndarray, tasks: int | None = None) -> DataFrame:
+    """``i, s array``: row i of the upper triangle of sum((1, x-p) (1, x-p)^T); row 0 holds n and the sums.
+
+    ``tasks``: merge the scan's splits into so many; none by default.
+    """
     d = len(pivot)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,7 +59,8 @@ def moments(df: DataFrame, column: str, pivot: np.ndarray) -> DataFrame:
             x = matrix(batch.column(0).drop_null(), d) - pivot
             block[0, 0] += len(x)
             block[0, 1:] += x.sum(axis=0)
-            block[1:, 1:] += x.T @ x
+            for start in range(0, d, STRIP):  # the upper triangle, strip by strip
+                block[1 + start : 1 + start + STRIP, 1 + start :] += x[:, start : start + STRIP].T @ x[:, start:]
         if block[0, 0] == 0:
             return
         for start in range(0, d + 1, 256):
@@ -70,8 +73,8 @@ def moments(df: DataFrame, column: str, pivot: np.ndarray) -> DataFrame:
     vectors = df.select(as_array(df, column, stored_precision(df, column)).alias("v"))
     # Nulls are dropped in the task: a filter here would be pushed below whatever computes the vectors, and
     # compute them twice.
-    tasks = WAVES * df.sparkSession.sparkContext.defaultParallelism
-    blocks = vectors.coalesce(tasks).mapInArrow(partial, "i int, s array<double>")
+    vectors = vectors if tasks is None else vectors.coalesce(tasks)
+    blocks = vectors.mapInArrow(partial, "i int, s array<double>")
     return blocks.groupBy("i").agg(Summarizer.sum(array_to_vector("s")).alias("s")).select(
         "i", vector_to_array("s").alias("s")
     )

@@ -7,16 +7,17 @@ featuriser is made by a factory that runs once per Python task and is then calle
 
 from __future__ import annotations
 
-import os
+import hashlib
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featureflow.functions.paths import file_uri
+from featureflow.functions.paths import same_uri
 
 # Model input size, feature length, smallest valid side, pixel scaling x / 127.5 - 1.
 INPUT_SIZE = 224
@@ -24,8 +25,6 @@ FEATURE_LENGTH = 1280
 MIN_SIDE = 32
 PIXEL_SCALE = 127.5
 
-MAX_MODEL_BYTES = 1 << 30
-
 LUMA = np.array([0.299, 0.587, 0.114], dtype=np.float32)
 
 
@@ -47,12 +46,19 @@ def validity_reason(
     return reason.otherwise("OK")
 
 
-def validate_images(images: DataFrame, index: DataFrame | None = None, **checks) -> DataFrame:
-    """Adds ``reason`` and ``valid``. With an ``index`` (path, label), its files without an image row are ``unreadable``."""
+def validate_images(
+    images: DataFrame, index: DataFrame | None = None, listing: DataFrame | None = None, **checks
+) -> DataFrame:
+    """Adds ``reason`` and ``valid``. With an ``index`` (path, label), its files without an image row are ``unreadable``.
+
+    Images carry their own verdict, so no join ever moves pixels: only paths are compared. ``images`` are the ones of
+    the index (``files.indexed_images``); ``listing`` (path) tells which files have a row, where a scan of metadata
+    is cheaper than the images' paths.
+    """
     if index is not None:
-        wanted = index.withColumn("__uri", F.regexp_replace("path", "^file:/+|^/+", "file:/"))
-        found = images.select(F.col("path").alias("__uri"), "image")
-        images = wanted.join(found, "__uri", "left").drop("__uri")
+        have = (images if listing is None else listing).select(same_uri("path").alias("__uri"))
+        missing = index.join(have, same_uri("path") == F.col("__uri"), "left_anti")
+        images = images.unionByName(missing.select("path", "label"), allowMissingColumns=True)
     return images.withColumn("reason", validity_reason("image", **checks)).withColumn("valid", F.col("reason") == "OK")
 
 
@@ -106,16 +112,19 @@ def colour_features(size: int = INPUT_SIZE, grid: int = 16, bins: int = 64) -> C
     def factory() -> Callable[[list[np.ndarray]], np.ndarray]:
         step = size // grid
 
-        def describe(block: np.ndarray) -> np.ndarray:
-            rgb = scaled(block, size)
-            planes = np.concatenate([rgb, np.tensordot(LUMA, rgb, 1)[None]])
-            tiles = planes.reshape(4, grid, step, grid, step).sum(axis=4).sum(axis=2) / np.float32(step * step)
-            cells = np.clip((planes + 1) * np.float32(bins / 2), 0, bins - 1).astype(np.int16)
-            shares = np.stack([np.bincount(c.ravel(), minlength=bins) for c in cells]) / (size * size)
-            return np.concatenate([tiles.reshape(4, -1), shares], axis=1).ravel().astype(np.float32)
-
         def featurise(blocks: list[np.ndarray]) -> np.ndarray:
-            return np.stack([describe(b) for b in blocks])
+            n = len(blocks)
+            planes = np.empty((n, 4, size, size), np.float32)
+            for plane, block in zip(planes, blocks):
+                plane[:3] = resize(block, size)
+            planes[:, :3] /= np.float32(PIXEL_SCALE)
+            planes[:, :3] -= np.float32(1)
+            planes[:, 3] = np.einsum("c,ncij->nij", LUMA, planes[:, :3])
+            tiles = planes.reshape(n, 4, grid, step, grid, step).sum(axis=5).sum(axis=3) / np.float32(step * step)
+            cells = np.clip((planes + 1) * np.float32(bins / 2), 0, bins - 1).astype(np.int32)
+            cells += (np.arange(4 * n, dtype=np.int32) * bins).reshape(n, 4, 1, 1)
+            shares = np.bincount(cells.ravel(), minlength=4 * n * bins).reshape(n, 4, bins) / (size * size)
+            return np.concatenate([tiles.reshape(n, 4, -1), shares], axis=2).reshape(n, -1).astype(np.float32)
 
         return featurise
 
@@ -123,18 +132,19 @@ def colour_features(size: int = INPUT_SIZE, grid: int = 16, bins: int = 64) -> C
 
 
 def onnx_features(spark: Any, model_path: str, size: int = INPUT_SIZE, channels_first: bool = False) -> Callable[[], Callable]:
-    """Factory around a user-supplied ONNX network; the file is broadcast once and opened once per task."""
-    if os.path.getsize(model_path) > MAX_MODEL_BYTES:
-        raise ValueError(f"model files above {MAX_MODEL_BYTES} bytes are not broadcast")
-    with open(model_path, "rb") as f:
-        weights = spark.sparkContext.broadcast(f.read())
+    """Factory around a user-supplied ONNX network.
+
+    Spark copies the file, from any file system it can read, to every executor once; a task opens its copy.
+    """
+    spark.sparkContext.addFile(model_path)
+    name_of_file = model_path.rstrip("/").rsplit("/", 1)[-1]
 
     def factory() -> Callable[[list[np.ndarray]], np.ndarray]:
         import onnxruntime
 
         options = onnxruntime.SessionOptions()
         options.intra_op_num_threads = 1
-        session = onnxruntime.InferenceSession(weights.value, options, providers=["CPUExecutionProvider"])
+        session = onnxruntime.InferenceSession(SparkFiles.get(name_of_file), options, providers=["CPUExecutionProvider"])
         name = session.get_inputs()[0].name
 
         def featurise(blocks: list[np.ndarray]) -> np.ndarray:
@@ -156,10 +166,13 @@ def featurise(
     on_error: str = "null",
     image: str = "image",
     output: str = "features",
-    batch: int = 64,
+    batch: int = 32,
+    reason: str | None = None,
 ) -> DataFrame:
     """Adds ``features array<float>``, ``status`` (ok/error) and ``error``; the image column is dropped.
 
+    With a ``reason`` column of the validation, images whose reason is not OK are not looked at: status ``rejected``.
+
     The scan's own partitions feed the Python tasks, so no exchange moves pixels (for tables that hold many
     images in few splits, ``settle.spread`` the rows while they are narrow). A batch that fails is repeated image by image, so one bad image costs only itself. ``on_error``: ``null`` leaves the features
     null, ``zero`` gives a zero vector, ``drop`` removes the row, ``fail`` raises.
@@ -178,7 +191,7 @@ def featurise(
             except Exception as error:
                 if on_error == "fail":
                     raise
-                return None, "error", f"{type(error).__name__}: {error}"[:500]
+                return None, "error", f"{type(error).__name__}: {error}"
 
         def several(rows: list) -> list[tuple]:
             try:
@@ -187,22 +200,43 @@ def featurise(
                 return [one(r) for r in rows]
 
         for frame in batches:
-            rows = list(zip(frame["height"], frame["width"], frame["nChannels"], frame["data"]))
-            done = [r for start in range(0, len(rows), batch) for r in several(rows[start : start + batch])]
+            good = np.flatnonzero(frame["good"].to_numpy())
+            used = frame.iloc[good]
+            rows = list(zip(used["height"], used["width"], used["nChannels"], used["data"]))
+            done = [(None, "rejected", None)] * len(frame)
+            for start in range(0, len(rows), batch):
+                for at, result in zip(good[start : start + batch], several(rows[start : start + batch])):
+                    done[at] = result
             yield pd.DataFrame(done, columns=["features", "status", "error"])
 
-    source = F.struct(*[F.col(f"{image}.{c}").alias(c) for c in ("height", "width", "nChannels", "data")])
+    good = F.lit(True) if reason is None else F.coalesce(F.col(reason) == "OK", F.lit(False))
+    # a missing image is a corrupt one: a null here would turn the whole batch's numbers into floats
+    sides = [F.coalesce(F.col(f"{image}.{c}"), F.lit(-1)).alias(c) for c in ("height", "width", "nChannels")]
+    source = F.struct(*sides, F.col(f"{image}.data").alias("data"), good.alias("good"))
     kept = [c for c in images.columns if c != image]
     # Marked non-deterministic so that a later filter on the status is not pushed below as a second inference.
     result = images.withColumn("__r", run.asNondeterministic()(source)).select(*kept, "__r.*")
     if on_error == "zero":
         zeros = F.array_repeat(F.lit(0.0).cast("float"), length)
-        result = result.withColumn("features", F.coalesce("features", zeros))
+        result = result.withColumn("features", F.when(F.col("status") == "error", zeros).otherwise(F.col("features")))
     elif on_error == "drop":
-        result = result.filter("status = 'ok'")
+        result = result.filter("status <> 'error'")
     return result.withColumnRenamed("features", output) if output != "features" else result
 
 
+def featurise_checked(
+    checked: DataFrame, factory: Callable[[], Callable] | None = None, length: int = FEATURE_LENGTH, on_error: str = "null"
+) -> DataFrame:
+    """Features of validated images, and a row without features for each rejected one: ``path, label, features, status, error, reason``."""
+    done = featurise(checked.drop("valid"), factory, length, on_error, reason="reason")
+    return done.select("path", "label", "features", "status", "error", "reason")
+
+
+def factory_digest(factory: Callable[[], Callable] | None) -> str:
+    """Tells two factories, and two settings of one, apart; a stage made with another factory is not reused."""
+    return "default" if factory is None else hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
+
+
 def passthrough(df: DataFrame, column: str, output: str = "features") -> DataFrame:
     """A table that already holds vectors, brought to the same columns as ``featurise``."""
     ok = F.col(column).isNotNull()

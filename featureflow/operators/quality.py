@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.functions import rules
 
-LIMITED_ROWS = 100_000
-
-
 def null_profile(df: DataFrame) -> DataFrame:
     """``column, dtype, n_rows, n_null, percent_null``: all columns in one pass, then turned to long form."""
     if not df.columns:
@@ -44,11 +41,14 @@ def summary(df: DataFrame, sample_size: int = 5) -> tuple[DataFrame, DataFrame]:
 
 
 def frame_check(df: DataFrame | None, expected_columns: Sequence[str] = (), min_rows: int = 1, spark=None) -> DataFrame:
-    """One row per rule: ``rule, detail, passed``. The row test stops after ``min_rows`` rows (a large minimum is counted).
+    """One row per rule: ``rule, detail, passed``. Rows are counted; on Parquet that reads footers only.
 
-    A missing frame fails every rule; pass ``spark`` for that case.
+    A missing frame fails every rule; that needs ``spark`` or an active session.
     """
     if df is None:
+        spark = spark or SparkSession.getActiveSession()
+        if spark is None:
+            raise ValueError("a missing frame needs a session: pass spark")
         rules_failed = ["frame", "min_rows", *[f"column:{c}" for c in expected_columns]]
         return spark.createDataFrame([(r, "no frame", False) for r in rules_failed], "rule string, detail string, passed boolean")
     columns = [
@@ -60,8 +60,7 @@ def frame_check(df: DataFrame | None, expected_columns: Sequence[str] = (), min_
         for c in expected_columns
     ]
     frame = F.struct(F.lit("frame").alias("rule"), F.lit("given").alias("detail"), F.lit(True).alias("passed"))
-    ones = df.select(F.lit(1).alias("one"))
-    seen = (ones.limit(min_rows) if min_rows <= LIMITED_ROWS else ones).agg(F.count("one").alias("n"))
+    seen = df.agg(F.count(F.lit(1)).alias("n"))
     rows = F.struct(
         F.lit("min_rows").alias("rule"),
         F.concat(F.lit("at least "), F.lit(str(min_rows))).alias("detail"),

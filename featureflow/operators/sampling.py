@@ -5,9 +5,9 @@ should identify a row. Where it does not, copies of a key stay on the same side
 a cap still keeps exactly its number of rows, and takes any of the copies of the key it ends in.
 
 Taking the first m rows of every class is done without gathering a class anywhere: a histogram of
-(class, hash bucket) finds the bucket where the class reaches m, a second pass over that one bucket (1/4096
-of the class) finds the exact hash, and the result is a filter ``hash <= cut`` over the rows. The rows
-themselves, with their vectors, are never shuffled.
+(class, first hash digits) finds the bucket where the class reaches m, further passes over that bucket alone look at
+the next digits until it is small, a last one finds the exact hash, and the result is a filter ``hash <= cut`` over
+the rows. The rows themselves, with their vectors, are not shuffled.
 """
 
 from __future__ import annotations
@@ -16,11 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featureflow.functions import rules
-from featureflow.functions.hashing import hash_number, key_hash, split_bucket, uniform
+from featureflow.functions.hashing import key_hash, split_bucket, uniform
 from featureflow.operators.classes import class_counts
-from featureflow.sources.settle import BROADCAST_ROWS, ClassTable, join_classes, settle, settle_classes
+from featureflow.sources.settle import BROADCAST_ROWS, ClassTable, join_classes, settle_classes
 
-BUCKET_DIGITS = 3
+#: Hash digits of one pass, digits of a hash, and rows of a bucket that one task may put in order.
+DIGITS = 3
+HASH_DIGITS = 32
+BUCKET_ROWS = 1_000_000
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:
@@ -29,40 +32,50 @@ def first_rows(df: DataFrame, n: int) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Reproducible sample of n rows: top-n per partition, then one merge of those."""
-    return df.orderBy(key_hash(key, seed), key).limit(n)
+    """Reproducible sample of n rows: those with the smallest key hashes, found as the cap of one class of all rows."""
+    return cap_classes(df.withColumn("__all", F.lit(0)), "__all", key, n, seed).drop("__all")
+
+
+def _edges(counts: DataFrame, label: str) -> DataFrame:
+    """The bucket in which each class reaches its target: ``label, n, __target, __prefix, __before, __size``.
+
+    counts: ``label, n, __target, __before`` (rows in earlier buckets), ``__bucket`` (hash digits so far), ``__c``.
+    """
+    upto = F.col("__before") + F.sum("__c").over(Window.partitionBy(label).orderBy("__bucket"))
+    placed = counts.withColumn("__upto", upto)
+    edge = F.col("__upto") >= F.col("__target")
+    at = F.min(F.when(edge, F.struct("__bucket", "__c")))
+    return placed.groupBy(label).agg(
+        F.first("n").alias("n"),
+        F.first("__target").alias("__target"),
+        at["__bucket"].alias("__prefix"),
+        F.coalesce(F.max(F.when(~edge, F.col("__upto"))), F.first("__before")).alias("__before"),
+        at["__c"].alias("__size"),
+    )
 
 
 def class_cuts(
     df: DataFrame, label: str, key: str, target: Column, seed: int = 42, max_rows: int = BROADCAST_ROWS
 ) -> ClassTable:
-    """Settled table ``label, n, cut, excess``: rows with ``md5(seed|key) <= cut`` are the first ``target`` of the class.
+    """Table ``label, n, cut, excess``: rows with ``md5(seed|key) <= cut`` are the first ``target`` of the class.
 
     ``target`` is an expression over the class size ``n``. ``cut`` is '' where nothing is taken and null
     where the whole class is. ``excess`` is how many rows beyond the target the cut takes, because the key it
     ends in has copies; 0 for unique keys.
     """
-    keyed = df.select(label, key, key_hash(key, seed).alias("__h"))
-    bucket = hash_number(F.col("__h"), BUCKET_DIGITS)
-    histogram = keyed.groupBy(label, bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("__c"))
-    by_class = Window.partitionBy(label)
-    ranked = (
-        histogram.withColumn("n", F.sum("__c").over(by_class))
-        .withColumn("__upto", F.sum("__c").over(by_class.orderBy("__bucket")))
-        .withColumn("__target", target)
-    )
-    edge = F.col("__upto") >= F.col("__target")
-    edges = settle_classes(
-        ranked.groupBy(label).agg(
-            F.first("n").alias("n"),
-            F.first("__target").alias("__target"),
-            F.min(F.when(edge, F.col("__bucket"))).alias("__edge"),
-            F.coalesce(F.max(F.when(~edge, F.col("__upto"))), F.lit(0)).alias("__before"),
-        ),
-        max_rows,
-    )
-    cut_inside = edges.frame.filter((F.col("__target") > 0) & (F.col("__target") < F.col("n")))
-    in_edge = join_classes(keyed, ClassTable(cut_inside, edges.small), label, key).filter(bucket == F.col("__edge"))
+    keyed = df.select(label, key_hash(key, seed).alias("__h"))
+    histogram = keyed.groupBy(label, F.substring("__h", 1, DIGITS).alias("__bucket")).agg(F.count(F.lit(1)).alias("__c"))
+    counts = histogram.withColumn("n", F.sum("__c").over(Window.partitionBy(label))).withColumn("__target", target)
+    whole = settle_classes(_edges(counts.withColumn("__before", F.lit(0).cast("long")), label), max_rows)
+    inside = (F.col("__target") > 0) & (F.col("__target") < F.col("n"))
+    edges, digits = ClassTable(whole.frame.filter(inside), whole.small), DIGITS
+    while digits < HASH_DIGITS and (edges.frame.agg(F.max("__size")).head()[0] or 0) > BUCKET_ROWS:
+        near = join_classes(keyed, edges, label).filter(F.col("__h").startswith(F.col("__prefix")))
+        digits = min(digits + DIGITS, HASH_DIGITS)
+        bucket = F.substring("__h", 1, digits).alias("__bucket")
+        counts = near.groupBy(label, "n", "__target", "__before", bucket).agg(F.count(F.lit(1)).alias("__c"))
+        edges = settle_classes(_edges(counts, label), max_rows)
+    in_edge = join_classes(keyed, edges, label).filter(F.col("__h").startswith(F.col("__prefix")))
     per_key = in_edge.groupBy(label, "__h", "__target", "__before").agg(F.count(F.lit(1)).alias("__c"))
     upto = F.col("__before") + F.sum("__c").over(Window.partitionBy(label).orderBy("__h"))
     cuts = (
@@ -72,10 +85,9 @@ def class_cuts(
         .agg(F.min(F.struct(F.col("__h").alias("cut"), (F.col("__upto") - F.col("__target")).alias("excess"))).alias("__at"))
     )
     right = cuts.select(F.col(label).alias("__label"), "__at.cut", "__at.excess")
-    joined = edges.frame.join(right, F.col(label).eqNullSafe(F.col("__label")), "left")
+    joined = whole.frame.join(right, F.col(label).eqNullSafe(F.col("__label")), "left")
     cut = F.when(F.col("__target") <= 0, F.lit("")).otherwise(F.col("cut"))
-    table = joined.select(label, "n", cut.alias("cut"), F.coalesce("excess", F.lit(0)).alias("excess"))
-    return ClassTable(settle(table), edges.small)
+    return settle_classes(joined.select(label, "n", cut.alias("cut"), F.coalesce("excess", F.lit(0).cast("long")).alias("excess")), max_rows)
 
 
 def _taken(key: str, seed: int) -> Column:
@@ -83,12 +95,12 @@ def _taken(key: str, seed: int) -> Column:
 
 
 def _drop_excess(copies: DataFrame, label: str, max_rows: int) -> DataFrame:
-    """Turns ``keep`` off for ``excess`` of the copies of each class's last key.
+    """Turns ``keep`` off for ``excess`` of the copies of each class's last key, by the row numbers in ``__id``.
 
     The copies are numbered where they lie: counts per (class, partition) find the partition in which the
-    allowed number is reached, and only that partition's row ids are ranked.
+    allowed number is reached, and only that partition's row numbers are ranked.
     """
-    placed = settle(copies.withColumn("__id", F.monotonically_increasing_id()))
+    placed = copies.select(label, "__id", "excess")
     part = F.shiftright("__id", 33)
     sizes = placed.groupBy(label, part.alias("__part")).agg(F.count(F.lit(1)).alias("__c"), F.first("excess").alias("__x"))
     by_class = Window.partitionBy(label)
@@ -103,21 +115,21 @@ def _drop_excess(copies: DataFrame, label: str, max_rows: int) -> DataFrame:
         .select(label, F.col("__e.__part").alias("__edge"), "__e.__need"),
         max_rows,
     )
-    ids = join_classes(placed.select(label, "__id"), edges, label, "__id").filter(part == F.col("__edge"))
+    ids = join_classes(placed.select(label, "__id"), edges, label).filter(part == F.col("__edge"))
     ranked = ids.withColumn("__rank", F.row_number().over(by_class.orderBy("__id")))
     last = ranked.filter(F.col("__rank") <= F.col("__need")).groupBy(label).agg(F.max("__id").alias("__last"))
-    cut = join_classes(placed, ClassTable(settle(last), edges.small), label, "__id")
-    return cut.withColumn("keep", F.col("__id") <= F.col("__last")).select(*copies.columns)
+    cut = join_classes(copies, settle_classes(last, max_rows), label)
+    return cut.withColumn("keep", F.col("__id") <= F.col("__last")).drop("__last")
 
 
 def min_class_filter(
-    df: DataFrame, label: str = "label", min_rows: int = 5, key: str = "path", max_rows: int = BROADCAST_ROWS
+    df: DataFrame, label: str = "label", min_rows: int = 5, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Rows of the classes with at least ``min_rows`` rows. Above 1, null labels go as well; at 1 nothing does."""
     if min_rows <= 1:
         return df
     large = class_counts(df, label).filter((F.col("n") >= min_rows) & F.col(label).isNotNull()).select(label)
-    return join_classes(df, settle_classes(large, max_rows), label, key, "left_semi")
+    return join_classes(df, settle_classes(large, max_rows), label, "left_semi")
 
 
 def excluded_classes(df: DataFrame, label: str = "label", min_rows: int = 5) -> DataFrame:
@@ -155,13 +167,15 @@ def balance_flags(
     else:
         classes = settle_classes(class_counts(df, label), max_rows)
         taken = uniform(key, seed) < rules.ratio(F.lit(max_per_class), F.col("n"))
-    flagged = join_classes(df, classes, label, key).withColumn("keep", large & taken)
-    if method == "exact" and max_per_class is not None and not classes.frame.filter("excess > 0").isEmpty():
-        ends_in = F.col("keep") & (F.col("excess") > 0) & (key_hash(key, seed) == F.col("cut"))
-        copies = flagged.filter(ends_in).select(*df.columns, "keep", "excess")
-        others = flagged.filter(~F.coalesce(ends_in, F.lit(False)))
-        flagged = others.select(*copies.columns).unionByName(_drop_excess(copies, label, max_rows))
-    return flagged.select(*df.columns, "keep")
+    copied = method == "exact" and max_per_class is not None and not classes.frame.filter("excess > 0").isEmpty()
+    if not copied:
+        return join_classes(df, classes, label).withColumn("keep", large & taken).select(*df.columns, "keep")
+    # row numbers before any join: the same for each branch of the plan
+    numbered = df.withColumn("__id", F.monotonically_increasing_id())
+    flagged = join_classes(numbered, classes, label).withColumn("keep", large & taken)
+    ends_in = F.coalesce(F.col("keep") & (F.col("excess") > 0) & (key_hash(key, seed) == F.col("cut")), F.lit(False))
+    copies = _drop_excess(flagged.filter(ends_in), label, max_rows)
+    return flagged.filter(~ends_in).select(*df.columns, "keep").unionByName(copies.select(*df.columns, "keep"))
 
 
 def balance_dataset(df: DataFrame, label: str = "label", key: str = "path", **options) -> DataFrame:
@@ -192,7 +206,7 @@ def stratified_split(
     """Adds ``split``: the first ceil(ratio * n) rows of every class are train. Null labels are a class."""
     target = F.ceil(F.lit(train_ratio) * F.col("n"))
     cuts = class_cuts(df, label, key, target, seed, max_rows)
-    joined = join_classes(df, cuts, label, key)
+    joined = join_classes(df, cuts, label)
     return joined.withColumn("split", F.when(_taken(key, seed), "train").otherwise("test")).select(*df.columns, "split")
 
 

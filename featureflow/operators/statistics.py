@@ -1,57 +1,85 @@
-"""Statistics over feature vectors: every element of every row, never a sample of the first rows."""
+"""Statistics over feature vectors: every element of every row, never a sample of the first rows.
+
+Vectors stay arrays: counts, sums and histograms are made where the rows are, and what is shuffled is one short list
+for each task. NaN and infinite elements take no part; ``feature_stats`` returns their number.
+"""
 
 from __future__ import annotations
 
-import functools
-import operator
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featureflow.functions import rules
-from featureflow.functions.vectors import as_array, elements
+from featureflow.functions.vectors import as_array
 from featureflow.operators import gram
 from featureflow.operators.classes import class_counts
-from featureflow.sources.settle import fits_broadcast, settle
 
 QUARTILES = (0.25, 0.5, 0.75)
-SKETCH_ACCURACY = 10_000
-GRID = 400
-MAX_BRACKET_ROWS = 2_000_000
+#: Bits of the sort key that one pass over the rows settles, and passes until all 64 are known.
+DIGIT_BITS = 16
+PASSES = 64 // DIGIT_BITS
+
+
+def finite(values: Column) -> Column:
+    """The array without null, NaN and infinite elements."""
+    return F.filter(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
 
 
 def feature_stats(df: DataFrame, column: str = "features") -> DataFrame:
-    """min, max, mean and population standard deviation over all vector elements."""
-    return elements(df, column).agg(
-        F.count("x").alias("n_values"),
-        F.min("x").alias("min_value"),
-        F.max("x").alias("max_value"),
-        F.avg("x").alias("mean_value"),
-        F.stddev_pop("x").alias("std_value"),
+    """min, max, mean and population standard deviation over all finite vector elements, and the number of others.
+
+    Null elements are not counted at all. The deviation is summed around the mean in a second pass.
+    """
+    whole = df.select(as_array(df, column).alias("v")).filter(F.col("v").isNotNull())
+    rows = whole.select(finite(F.col("v")).alias("v"), F.size(F.filter("v", lambda x: x.isNotNull())).alias("present"))
+    total = F.aggregate("v", F.lit(0.0), lambda a, x: a + x)
+    first = rows.agg(
+        F.coalesce(F.sum(F.size("v")), F.lit(0)).cast("long").alias("n_values"),
+        F.coalesce(F.sum(F.col("present") - F.size("v")), F.lit(0)).cast("long").alias("n_nonfinite"),
+        F.min(F.array_min("v")).alias("min_value"),
+        F.max(F.array_max("v")).alias("max_value"),
+        F.sum(total).alias("total"),
     )
+    mean = first.select(rules.ratio(F.col("total"), F.col("n_values"))).scalar()
+    squares = rows.select("v", mean.alias("m")).agg(F.sum(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x - F.col("m")) * (x - F.col("m")))))
+    return first.select(
+        "n_values", "n_nonfinite", "min_value", "max_value", rules.ratio(F.col("total"), F.col("n_values")).alias("mean_value"),
+        F.sqrt(rules.ratio(squares.scalar(), F.col("n_values"))).alias("std_value"),
+    )
 
 
 def feature_histogram(df: DataFrame, column: str = "features", bins: int = 50) -> DataFrame:
-    """Counts in ``bins`` equal bins between minimum and maximum, the last bin closed; empty bins included.
+    """Counts of finite elements in ``bins`` equal bins between minimum and maximum, the last bin closed; empty bins included.
 
     As in numpy, a constant column gets a range of one centred on the value.
     """
-    x = elements(df, column)
-    low_high = x.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).select(
+    rows = df.select(finite(as_array(df, column)).alias("v")).filter(F.size("v") > 0)
+    low_high = rows.agg(F.min(F.array_min("v")).alias("lo"), F.max(F.array_max("v")).alias("hi")).select(
         F.when(F.col("lo") == F.col("hi"), F.struct((F.col("lo") - 0.5).alias("lo"), (F.col("hi") + 0.5).alias("hi")))
         .otherwise(F.struct("lo", "hi"))
         .alias("r")
     )
     bounds = low_high.select("r").scalar()
-    placed = x.filter(F.col("x").isNotNull()).select(
-        F.least(
-            F.floor((F.col("x") - bounds["lo"]) / (bounds["hi"] - bounds["lo"]) * bins).cast("int"), F.lit(bins - 1)
-        ).alias("bin")
-    )
-    counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(bins, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                low, high = batch.column("lo")[0].as_py(), batch.column("hi")[0].as_py()
+                x = batch.column("v").flatten().to_numpy(zero_copy_only=False)
+                at = np.floor((x - low) / (high - low) * bins).astype(np.int64)
+                total += np.bincount(np.minimum(at, bins - 1), minlength=bins)
+        yield pa.record_batch([pa.array(np.arange(bins, dtype=np.int32)), pa.array(total)], ["bin", "c"])
+
+    placed = rows.select("v", bounds["lo"].alias("lo"), bounds["hi"].alias("hi")).mapInArrow(counted, "bin int, c long")
+    counts = placed.groupBy("bin").agg(F.sum("c").alias("n"))
     frame = low_high.filter(F.col("r.lo").isNotNull()).select(
         F.col("r.lo").alias("lo"),
         ((F.col("r.hi") - F.col("r.lo")) / bins).alias("width"),
@@ -65,111 +93,119 @@ def feature_histogram(df: DataFrame, column: str = "features", bins: int = 50) -
     )
 
 
-def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequence[float] = QUARTILES) -> DataFrame:
-    """Exact interpolated quantiles per group for a bounded number of groups: ``group, n, quantiles array``.
-
-    No group is gathered in one task. A mergeable sketch first brackets every quantile. The second pass keeps
-    the values inside a bracket (about 10/accuracy of the rows, and equal values collapse before the shuffle)
-    and only counts the rest; the exact ranks are read off the cumulative counts. Where that would still keep
-    millions of values per quantile, the brackets are narrowed first, a hundredfold per pass. Should a bracket
-    miss its ranks, that group is repeated with the whole range as bracket.
-    """
-    probabilities = sorted(probabilities)
-    eps = 4.0 / SKETCH_ACCURACY
-    probes = [p for q in probabilities for p in (max(0.0, q - eps), min(1.0, q + eps))]
-    rows = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    sketch = settle(
-        rows.groupBy("g").agg(
-            F.count("x").alias("n"),
-            F.percentile_approx("x", probes, SKETCH_ACCURACY).alias("p"),
-            F.min("x").alias("lowest"),
-            F.max("x").alias("highest"),
-        )
-    )
-    if not fits_broadcast(sketch.select("g")):
-        raise ValueError("exact_quantiles is for a bounded number of groups")
-    brackets = sketch.select("g", "n", "p")
-    kept = 2 * eps * (sketch.agg(F.max("n").alias("n")).head()["n"] or 0)
-    while kept > MAX_BRACKET_ROWS:
-        brackets = settle(_narrowed(rows, brackets, probabilities))
-        kept *= 4 / GRID
-    found = settle(_quantiles_in(rows, brackets, probabilities))
-    missed = found.filter(F.exists("quantiles", lambda v: v.isNull())).select("g")
-    if not missed.isEmpty():
-        whole = F.flatten(F.array_repeat(F.array("lowest", "highest"), len(probabilities)))
-        redo = sketch.join(F.broadcast(missed.withColumnRenamed("g", "m")), F.col("g").eqNullSafe(F.col("m")), "left_semi")
-        again = _quantiles_in(rows, settle(redo.select("g", "n", whole.alias("p"))), probabilities)
-        found = found.filter(~F.exists("quantiles", lambda v: v.isNull())).unionByName(again)
-    return found.withColumnRenamed("g", group)
-
-
-def _bracketed(rows: DataFrame, brackets: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """Rows with the size ``n`` and bracket bounds ``p0, p1, ...`` of their group (a bounded table, broadcast)."""
-    sides = brackets.select(
-        F.col("g").alias("g_"), "n", *[F.col("p")[i].alias(f"p{i}") for i in range(2 * len(probabilities))]
-    )
-    return rows.join(F.broadcast(sides), F.col("g").eqNullSafe(F.col("g_"))).drop("g_")
-
-
-def _narrowed(rows: DataFrame, brackets: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """Brackets cut down to the grid cells, of a sketch of their own content, around the wanted ranks."""
-    x, grid = F.col("x"), [j / GRID for j in range(GRID + 1)]
-    bounds = [f"p{i}" for i in range(2 * len(probabilities))]
-    parts, sides = [], []
-    for i, q in enumerate(probabilities):
-        low, high = F.col(f"p{2 * i}"), F.col(f"p{2 * i + 1}")
-        inside = x.between(low, high)
-        parts += [
-            F.count_if(x < low).alias(f"below{i}"),
-            F.count_if(inside).alias(f"inside{i}"),
-            F.percentile_approx(F.when(inside, x), grid, SKETCH_ACCURACY).alias(f"grid{i}"),
-        ]
-        rank = F.lit(q) * (F.col("n") - 1)
-        first = rules.ratio((F.floor(rank) - F.col(f"below{i}")) * GRID, F.col(f"inside{i}"))
-        last = rules.ratio((F.ceil(rank) + 1 - F.col(f"below{i}")) * GRID, F.col(f"inside{i}"))
-        sides += [
-            F.coalesce(F.get(f"grid{i}", F.floor(first).cast("int") - 1), low),
-            F.coalesce(F.get(f"grid{i}", F.ceil(last).cast("int") + 1), high),
-        ]
-    counted = _bracketed(rows, brackets, probabilities).groupBy("g", "n", *bounds).agg(*parts)
-    return counted.select("g", "n", F.array(*sides).alias("p"))
-
-
-def _quantiles_in(rows: DataFrame, brackets: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """Quantiles from the counts in and between the brackets ``p = [lo, hi, lo, hi, ...]``; null where missed.
-
-    Every value is either inside a bracket, and kept, or in the gap before one, and only counted: sorted by
-    (brackets passed, value) with the gaps first, the counts accumulate in value order.
-    """
-    x = F.col("x")
-    inside = functools.reduce(
-        operator.or_, [x.between(F.col(f"p{2 * i}"), F.col(f"p{2 * i + 1}")) for i in range(len(probabilities))]
-    )
-    passed = sum(((x > F.col(f"p{2 * i + 1}")).cast("int") for i in range(len(probabilities))), F.lit(0))
-    placed = _bracketed(rows, brackets, probabilities).select(
-        "g", "n", passed.alias("passed"), F.when(inside, x).alias("x")
-    )
-    counts = placed.groupBy("g", "n", "passed", "x").agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(Window.partitionBy("g", "n").orderBy("passed", F.col("x").asc_nulls_first()))
-    sized = counts.select("g", "n", "x", upto.alias("end"), (upto - F.col("c")).alias("start"))
-
-    def quantile(q: float) -> Column:
-        rank = F.lit(q) * (F.col("n") - 1)
+def sort_keys(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers that order as the doubles do."""
+    bits = (x + 0.0).view(np.uint64)
+    return np.where(bits >> np.uint64(63), ~bits, bits | np.uint64(1 << 63))
 
-        def at(r: Column) -> Column:
-            return F.max(F.when((F.col("start") <= r) & (r < F.col("end")), F.col("x")))
 
-        low, high = at(F.floor(rank)), at(F.ceil(rank))
-        return low + (high - low) * F.max(rank - F.floor(rank))
+def from_sort_keys(keys: np.ndarray) -> np.ndarray:
+    return np.where(keys >> np.uint64(63), keys & np.uint64((1 << 63) - 1), ~keys).view(np.float64)
 
-    return sized.groupBy("g", "n").agg(F.array(*[quantile(q) for q in probabilities]).alias("quantiles"))
 
+def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequence[float] = QUARTILES) -> DataFrame:
+    """Exact interpolated quantiles per group: ``group, n, quantiles array``; ``value`` is a number or an array of them.
 
-def class_box_stats(df: DataFrame, column: str = "features", label: str = "label", classes: int = 5) -> DataFrame:
-    """Box-plot numbers of all feature values for the first ``classes`` labels: quartiles and 1.5 IQR whiskers."""
-    chosen = settle(class_counts(df, label).orderBy(label).limit(classes).select(F.col(label).alias("__g")))
-    x = elements(df.join(F.broadcast(chosen), F.col(label).eqNullSafe(F.col("__g")), "left_semi"), column, label)
-    quartiles = exact_quantiles(x, label, "x").select(
+    A radix selection: each pass counts the next digit of the sort keys that begin like a wanted one, so what leaves
+    a task is at most one count for each group, rank and digit, no group is gathered or sorted anywhere, and the
+    number of passes does not depend on the data. Null groups are a group; nulls, NaN and infinite values are left out.
+    """
+    probabilities = sorted(probabilities)
+    values = F.col(value) if isinstance(df.schema[value].dataType, T.ArrayType) else F.array(value)
+    rows = df.select(F.col(group).alias("g"), finite(values.cast("array<double>")).alias("v")).filter(F.size("v") > 0)
+    fields = {f.name: f.dataType for f in rows.schema.fields}
+    counted = _schema(fields["g"], slot=T.IntegerType(), prefix=T.LongType(), rank=T.LongType(), n=T.LongType(), digit=T.IntegerType(), c=T.LongType())
+    wanted = [r for q in probabilities for r in (F.floor(F.lit(q) * (F.col("n") - 1)), F.ceil(F.lit(q) * (F.col("n") - 1)))]
+    found = None
+    for level in range(PASSES):
+        if found is None:
+            parts = rows.mapInArrow(_digits(level, 1), counted)
+        else:
+            near = found.withColumnRenamed("g", "g_")
+            parts = rows.join(near, F.col("g").eqNullSafe(F.col("g_"))).select("g", "v", "prefixes", "ranks", "n").mapInArrow(_digits(level, len(wanted)), counted)
+        counts = parts.groupBy("g", "slot", "digit").agg(F.sum("c").alias("c"), F.first("prefix").alias("prefix"), F.first("rank").alias("rank"), F.first("n").alias("n"))
+        by_slot = Window.partitionBy("g", "slot")
+        upto = F.sum("c").over(by_slot.orderBy("digit"))
+        if found is None:  # one list of counts for all ranks: the size of the group is known only now
+            counts = counts.withColumn("n", F.sum("c").over(by_slot))
+            each = F.array(*(F.struct(F.lit(i).alias("slot"), r.cast("long").alias("rank")) for i, r in enumerate(wanted)))
+            placed = counts.withColumn("upto", upto).select("g", "n", "digit", "prefix", "c", "upto", F.explode(each).alias("w"))
+            placed = placed.select("g", "n", "digit", "prefix", "c", "upto", "w.slot", "w.rank")
+        else:
+            placed = counts.withColumn("upto", upto)
+        start = F.col("upto") - F.col("c")
+        hit = placed.filter((start <= F.col("rank")) & (F.col("rank") < F.col("upto")))
+        prefix = F.shiftleft("prefix", DIGIT_BITS).bitwiseOR(F.col("digit").cast("long"))
+        lists = hit.groupBy("g", "n").agg(F.array_sort(F.collect_list(F.struct("slot", prefix.alias("prefix"), (F.col("rank") - start).alias("rank")))).alias("t"))
+        found = lists.select("g", "n", F.col("t.prefix").alias("prefixes"), F.col("t.rank").alias("ranks"))
+
+    def values_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("prefixes").flatten().to_numpy().view(np.uint64).reshape(-1, len(probabilities), 2)
+            n = batch.column("n").to_numpy()[:, None]
+            at = np.asarray(probabilities) * (n - 1)
+            low, high = from_sort_keys(keys[:, :, 0]), from_sort_keys(keys[:, :, 1])
+            flat = pa.array((low + (high - low) * (at - np.floor(at))).ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * len(probabilities)), flat)
+            yield pa.record_batch([batch.column("g"), batch.column("n"), lists], ["g", "n", "quantiles"])
+
+    result = _schema(fields["g"], n=T.LongType(), quantiles=T.ArrayType(T.DoubleType()))
+    return found.select("g", "n", "prefixes").mapInArrow(values_of, result).withColumnRenamed("g", group)
+
+
+def _schema(group: T.DataType, **others: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in {"g": group, **others}.items()])
+
+
+def _digits(level: int, slots: int):
+    """Counts of the digit after each wanted prefix. At level 0 all elements of a group share the empty prefix."""
+    shift = np.uint64(64 - DIGIT_BITS * (level + 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            coded = batch.column("g").dictionary_encode("encode")
+            lists = batch.column("v")
+            sizes = np.diff(lists.offsets.to_numpy())
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            keys = sort_keys(lists.flatten().to_numpy(zero_copy_only=False))
+            code = coded.indices.to_numpy()
+            digit = ((keys >> shift) & np.uint64((1 << DIGIT_BITS) - 1)).astype(np.int64)
+            if level:
+                prefixes = batch.column("prefixes").flatten().to_numpy().reshape(-1, slots)
+                ranks = batch.column("ranks").flatten().to_numpy().reshape(-1, slots)
+                begins = (keys >> np.uint64(64 - DIGIT_BITS * level)).view(np.int64)
+                totals = batch.column("n").to_numpy()
+            for slot in range(slots):
+                use = begins == prefixes[row, slot] if level else slice(None)
+                both, counts = np.unique(code[row[use]].astype(np.int64) << DIGIT_BITS | digit[use], return_counts=True)
+                groups = both >> DIGIT_BITS
+                _, first = np.unique(code, return_index=True)  # a row of each group, in the order of the codes
+                at = first[groups]
+                zeros = np.zeros(len(both), np.int64)
+                yield pa.record_batch(
+                    [
+                        coded.dictionary.take(pa.array(groups)), pa.array(np.full(len(both), slot, np.int32)),
+                        pa.array(prefixes[at, slot] if level else zeros), pa.array(ranks[at, slot] if level else zeros),
+                        pa.array(totals[at] if level else zeros), pa.array((both & ((1 << DIGIT_BITS) - 1)).astype(np.int32)), pa.array(counts),
+                    ],
+                    ["g", "slot", "prefix", "rank", "n", "digit", "c"],
+                )
+
+    return run
+
+
+def class_box_stats(df: DataFrame, column: str = "features", label: str = "label", classes: int | None = None) -> DataFrame:
+    """Box-plot numbers of all feature values of each label: quartiles and 1.5 IQR whiskers.
+
+    ``classes`` limits a chart to the first labels in order.
+    """
+    if classes is not None:
+        chosen = class_counts(df, label).orderBy(label).limit(classes).select(F.col(label).alias("__g"))
+        df = df.join(chosen, F.col(label).eqNullSafe(F.col("__g")), "left_semi")
+    rows = df.select(label, finite(as_array(df, column)).alias("v")).filter(F.size("v") > 0)
+    quartiles = exact_quantiles(rows, label, "v").select(
         F.col(label).alias("__g"),
         "n",
         F.col("quantiles")[0].alias("q1"),
@@ -177,15 +213,18 @@ def class_box_stats(df: DataFrame, column: str = "features", label: str = "label
         F.col("quantiles")[2].alias("q3"),
     )
     iqr = F.col("q3") - F.col("q1")
-    fenced = x.join(F.broadcast(quartiles), F.col(label).eqNullSafe(F.col("__g")))
-    inside = F.col("x").between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)
+    fenced = rows.join(quartiles, F.col(label).eqNullSafe(F.col("__g")))
+    inside = F.filter("v", lambda x: x.between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr))
     return fenced.groupBy(label, "n", "q1", "median", "q3").agg(
-        F.min(F.when(inside, F.col("x"))).alias("whisker_low"), F.max(F.when(inside, F.col("x"))).alias("whisker_high")
+        F.min(F.array_min(inside)).alias("whisker_low"), F.max(F.array_max(inside)).alias("whisker_high")
     )
 
 
-def component_variance(df: DataFrame, column: str = "features", first: int | None = 20) -> DataFrame:
-    """Population variance per vector position: one summary buffer of d numbers per task, no exploded rows."""
+def component_variance(df: DataFrame, column: str = "features", first: int | None = None) -> DataFrame:
+    """Population variance per vector position: one summary buffer of d numbers per task, no exploded rows.
+
+    ``first`` limits a chart to the first positions.
+    """
     values = as_array(df, column)
     vectors = df.select(values.alias("v")).filter(F.col("v").isNotNull()).select(array_to_vector("v").alias("v"))
     one = vectors.agg(Summarizer.metrics("variance", "count").summary(F.col("v")).alias("s")).select(
@@ -198,16 +237,17 @@ def component_variance(df: DataFrame, column: str = "features", first: int | Non
     return rows if first is None else rows.filter(F.col("position") < first)
 
 
-def component_correlation(df: DataFrame, column: str = "features", components: int = 10) -> DataFrame:
-    """Pearson correlation of the first components, long form ``i, j, corr``, zero-based.
+def component_correlation(df: DataFrame, column: str = "features", components: int | None = None) -> DataFrame:
+    """Pearson correlation of all components, or the first ones, long form ``i, j, corr``, zero-based.
 
     Null where a component is constant. Built on the distributed second moments of those components.
     """
-    narrow = df.select(F.slice(as_array(df, column), 1, components).alias("v"))
-    cells = settle(gram.covariance_long(narrow, "v"))
+    values = as_array(df, column)
+    narrow = df.select((values if components is None else F.slice(values, 1, components)).alias("v"))
+    cells = gram.covariance_long(narrow, "v")
     scale = cells.filter(F.col("i") == F.col("j")).select(F.col("i").alias("k"), F.sqrt("covariance").alias("s"))
     left = scale.select(F.col("k").alias("i"), F.col("s").alias("s_i"))
     right = scale.select(F.col("k").alias("j"), F.col("s").alias("s_j"))
-    paired = cells.join(F.broadcast(left), "i").join(F.broadcast(right), "j")
+    paired = cells.join(left, "i").join(right, "j")
     corr = rules.ratio(F.col("covariance"), F.col("s_i") * F.col("s_j"))
     return paired.select("i", "j", F.when(F.col("i") == F.col("j"), corr * 0 + 1).otherwise(corr).alias("corr"))

@@ -78,7 +78,8 @@ def row_count(spark: SparkSession, root: str) -> DataFrame:
 
 
 def range_classes(spark: SparkSession, root: str) -> DataFrame:
-    return tables.id_range(spark, _table(spark, root, "customer").count(), 5)
+    rows = tables.with_class_id(_table(spark, root, "customer", "c_custkey"), "c_custkey", 5)
+    return rows.select(F.col("c_custkey").alias("image_id"), "class_id")
 
 
 def replicate_rows(spark: SparkSession, root: str) -> DataFrame:
@@ -103,7 +104,9 @@ def vector_shape(spark: SparkSession, root: str) -> DataFrame:
 
 
 def dataset_inventory(spark: SparkSession, root: str) -> DataFrame:
-    return inventory.dataset_inventory(spark, root).select("dataset", "readable", "rows", "n_columns")
+    found = inventory.dataset_inventory(spark, root)
+    names = F.array_join("columns", ",").alias("columns")
+    return found.select("dataset", "readable", "rows", "n_columns", names, (F.col("size_bytes") > 0).alias("has_bytes"), "part_files")
 
 
 def integrity(spark: SparkSession, root: str) -> DataFrame:
@@ -187,13 +190,15 @@ def class_sample(spark: SparkSession, root: str) -> DataFrame:
 
 
 def null_profile(spark: SparkSession, root: str) -> DataFrame:
-    events = _table(spark, root, "events", "event_id", "event_type", "value")
-    holes = events.select(
-        "event_id",
-        F.nullif("event_type", F.lit("error")).alias("event_type"),
-        F.when(F.col("value") < 100, F.col("value")).alias("value"),
+    holes = _table(spark, root, "events").withColumns(
+        {
+            "event_type": F.nullif("event_type", F.lit("error")),
+            "value": F.when(F.col("value") < 100, F.col("value")),
+            "user_id": F.when(F.col("user_id") % 7 > 0, F.col("user_id")),
+        }
     )
-    return _rounded(quality.null_profile(holes), "percent_null")
+    profile = _rounded(quality.null_profile(holes), "percent_null")
+    return profile.withColumn("dtype", F.regexp_replace("dtype", "_ntz$", ""))
 
 
 def frame_summary(spark: SparkSession, root: str) -> DataFrame:
@@ -350,8 +355,7 @@ def reduction_factor(spark: SparkSession, root: str) -> DataFrame:
 
 
 def quality_verdict(spark: SparkSession, root: str) -> DataFrame:
-    variance = _diagonal(spark, root).filter(F.col("k") <= 50)
-    report = jobs.report_job(_embeddings(spark, root), variance)
+    report = jobs.report_job(_embeddings(spark, root), _diagonal(spark, root))
     return _rounded(report, "explained_variance", "balance_ratio", "spread_percent")
 
 
@@ -410,10 +414,17 @@ def pca_2d(spark: SparkSession, root: str) -> DataFrame:
 
 
 def synthetic_reduction(spark: SparkSession, root: str) -> DataFrame:
+    """The 1280-column demonstration in one row: projected rows and their length, and what fixes the whole spectrum."""
     ids = _table(spark, root, "embeddings", "vec_id").withColumnRenamed("vec_id", "image_id")
     demo = vectors.to_vector(jobs.synthetic_rows(ids, "image_id"))
-    reduced = reduction.apply_pca(demo, reduction.DEFAULT_K, output="pca_features")
-    return vectors.expand(reduced, "pca_features", "pca_", reduction.DEFAULT_K, ["image_id", "fruit_label"])
+    model = reduction.fit_up_to(demo, images.FEATURE_LENGTH)
+    reduced = reduction.project(demo, model.first(reduction.DEFAULT_K), output="pca_features")
+    values = reduced.select("image_id", F.posexplode(vectors.as_array(reduced, "pca_features")).alias("component", "value"))
+    sizes = values.groupBy("image_id").agg((F.max("component") + 1).alias("length"))
+    shares = model.explained_variance
+    return sizes.groupBy("length").agg(F.count("*").alias("n_rows")).select(
+        "length", "n_rows", _r(F.lit(float(shares.sum()))).alias("shares"), _r(F.lit(float((shares**2).sum())), 8).alias("squares")
+    )
 
 
 def reduce_report(spark: SparkSession, root: str) -> DataFrame:
@@ -434,13 +445,18 @@ def label_index(spark: SparkSession, root: str) -> DataFrame:
     return classification.label_index(_table(spark, root, "documents", "source"), "source")
 
 
+def label_index_ids(spark: SparkSession, root: str) -> DataFrame:
+    """Numeric labels of several digits: equal counts go by the text of the label."""
+    return classification.label_index(_table(spark, root, "events", "user_id"), "user_id")
+
+
 def class_metrics(spark: SparkSession, root: str) -> DataFrame:
     metrics = classification.class_metrics(_table(spark, root, "labels", "quality", "toxic"), "quality", "toxic")
     return _rounded(metrics, *metrics.columns)
 
 
 def confusion_matrix(spark: SparkSession, root: str) -> DataFrame:
-    return classification.confusion_matrix(_table(spark, root, "labels", "quality", "toxic"), "quality", "toxic")
+    return classification.confusion_matrix(_table(spark, root, "labels", "quality", "toxic"), "quality", "toxic", dense=True)
 
 
 def silhouette(spark: SparkSession, root: str) -> DataFrame:
@@ -449,21 +465,37 @@ def silhouette(spark: SparkSession, root: str) -> DataFrame:
     return tables.driver_rows(spark, [(score,)], "silhouette double").select(_r("silhouette").alias("silhouette"))
 
 
+def _separable(spark: SparkSession, root: str) -> DataFrame:
+    """The embeddings with every tenth position raised by 100, beginning at the label: one cluster for each label."""
+    raised = F.transform("features", lambda x, i: x.cast("double") + F.when(i % 10 == F.col("label"), 100.0).otherwise(0.0))
+    return vectors.to_vector(_embeddings(spark, root).withColumn("features", raised))
+
+
+def _label_of_cluster(assigned: DataFrame) -> DataFrame:
+    """``cluster`` replaced by the smallest label in it, which does not depend on the clusters' numbers."""
+    named = assigned.groupBy("cluster").agg(F.min("label").alias("cluster_label"))
+    return assigned.join(named, "cluster").drop("cluster")
+
+
 def rf_predict(spark: SparkSession, root: str) -> DataFrame:
-    rows = vectors.to_vector(_embeddings(spark, root))
+    """Classes that can be told apart: every prediction is the label."""
+    rows = _separable(spark, root)
     train, test = sampling.train_test(sampling.stratified_split(rows, "label", "vec_id"))
     model = classification.train_classifier(train, "label", "features", key="vec_id")
     return classification.predict(model, test).select("vec_id", "label", "label_indexed", "prediction", "predicted_label")
 
 
 def kmeans_assign(spark: SparkSession, root: str) -> DataFrame:
-    _, assigned = clustering.train_kmeans(vectors.to_vector(_embeddings(spark, root)), "features", key="vec_id")
-    return assigned.select("vec_id", "label", "cluster")
+    """Clusters that lie apart: each is one label."""
+    _, assigned = clustering.train_kmeans(_separable(spark, root), "features", key="vec_id")
+    return _label_of_cluster(assigned.select("vec_id", "label", "cluster"))
 
 
 def cluster_chart(spark: SparkSession, root: str) -> DataFrame:
-    _, assigned = clustering.train_kmeans(vectors.to_vector(_embeddings(spark, root)), "features", key="vec_id")
-    return clustering.cluster_chart(assigned, "vec_id", "features")
+    """The clusters of ``kmeans_assign`` over the plane of the embeddings themselves, all rows."""
+    _, assigned = clustering.train_kmeans(_separable(spark, root), "features", key="vec_id")
+    plain = vectors.to_vector(_embeddings(spark, root)).join(assigned.select("vec_id", "cluster"), "vec_id")
+    return _rounded(_label_of_cluster(clustering.cluster_chart(plain, "vec_id", "features")), "x", "y")
 
 
 # --- images ------------------------------------------------------------------------------------------------
@@ -499,25 +531,61 @@ def image_features(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def image_failures(spark: SparkSession, root: str) -> DataFrame:
+    """Planted cut, missing and small images: status and features of all rows for two ways to treat errors."""
+    whole = _grey_images(spark, root)
+    cut = F.struct("image.height", "image.width", "image.nChannels", "image.mode", F.substring("image.data", 1, 10).alias("data"))
+    small = F.struct(F.lit(1).alias("height"), F.lit(2).alias("width"), "image.nChannels", "image.mode", F.substring("image.data", 1, 2).alias("data"))
+    kind = F.col("vec_id") % 10
+    image = F.when(kind == 1, cut).when(kind == 2, small).when(kind != 3, F.col("image"))
+    planted = whole.select("vec_id", F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("label"), image.alias("image"))
+    checked = images.validate_images(planted, min_size=(CHECK_GRID, CHECK_GRID))
+    factory, length = images.colour_features(CHECK_GRID, CHECK_GRID, CHECK_BINS), 4 * (CHECK_GRID * CHECK_GRID + CHECK_BINS)
+    out = None
+    for mode in ("zero", "null"):
+        done = images.featurise(checked.drop("valid"), factory, length, mode, reason="reason")
+        rows = done.select(
+            "vec_id", F.lit(mode).alias("mode"), "status", "reason", F.size("features").alias("length"),
+            F.exists("features", lambda x: x != 0).alias("any_value"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _colour_images(spark: SparkSession, root: str) -> DataFrame:
+    """The first 60 numbers of every embedding as a colour image of 4 rows and 5 columns, blue, green, red."""
+    pixel = lambda v: F.lpad(F.hex(F.floor((v.cast("double") + 1) * 127.5).cast("long")), 2, "0")
+    data = F.unhex(F.array_join(F.transform(F.slice("features", 1, 60), pixel), ""))
+    sides = {"height": 4, "width": 5, "nChannels": 3, "mode": 16}
+    image = F.struct(*(F.lit(v).alias(k) for k, v in sides.items()), data.alias("data"))
+    return spread(_embeddings(spark, root), "vec_id").select("vec_id", image.alias("image"))
+
+
 def image_descriptor(spark: SparkSession, root: str) -> DataFrame:
-    """The default 1280-number descriptor of every image at full input size, summed up in one row."""
-    done = images.featurise(_grey_images(spark, root), on_error="fail")
-    red = F.slice("features", 1, 256)
-    rows = done.select(
-        F.size("features").alias("length"),
-        F.explode(F.transform(red, lambda v: v.cast("double"))).alias("tile"),
+    """The default 1280-number descriptor of every image at full input size: tiles and shares of the four planes."""
+    done = images.featurise(_colour_images(spark, root), on_error="fail")
+    plane = lambda p: F.struct(
+        p.alias("plane"),
+        F.transform(F.slice("features", p * 320 + 1, 256), lambda v: v.cast("double")).alias("tiles"),
+        F.aggregate(F.slice("features", p * 320 + 257, 64), F.lit(0.0), lambda a, x: a + x).alias("shares"),
     )
-    return rows.agg(
-        F.count("tile").alias("tiles"),
+    planes = F.transform(F.sequence(F.lit(0), F.lit(3)), plane)
+    rows = done.select(F.size("features").alias("length"), F.explode(planes).alias("p")).select("length", "p.*")
+    total = F.aggregate("tiles", F.lit(0.0), lambda a, x: a + x)
+    squares = F.aggregate("tiles", F.lit(0.0), lambda a, x: a + x * x)
+    return rows.groupBy("plane").agg(
+        F.count("*").alias("images"),
         F.max("length").alias("length"),
-        _r(F.avg("tile"), 4).alias("mean_tile"),
-        _r(F.avg(F.col("tile") * F.col("tile")), 4).alias("mean_square"),
+        _r(F.sum(total) / (256 * F.count("*")), 4).alias("mean_tile"),
+        _r(F.sum(squares) / (256 * F.count("*")), 4).alias("mean_square"),
+        _r(F.avg("shares"), 4).alias("share_sum"),
     )
 
 
 def image_validation(spark: SparkSession, root: str) -> DataFrame:
-    side = F.when(F.col("p_size") == 50, -1).otherwise(F.col("p_size"))
-    image = F.struct(side.alias("height"), side.alias("width"))
+    height = F.when(F.col("p_size") == 50, -1).otherwise((F.col("p_partkey") % 64).cast("int"))
+    width = F.when(F.col("p_size") == 50, -1).otherwise(F.col("p_size"))
+    image = F.when(F.col("p_size") != 49, F.struct(height.alias("height"), width.alias("width")))
     parts = _table(spark, root, "part", "p_partkey", "p_size").select("p_partkey", image.alias("image"))
     return images.validate_images(parts).select("p_partkey", "reason", "valid")
 
@@ -535,7 +603,7 @@ QUERIES: dict[str, Query] = {
         stratified_split, split_report, union_splits, prepare_data, variance_curve, optimal_k, k_fallback,
         reduction_factor, quality_verdict, pca_variance, pca_variance_pair, pca_spectrum, pca_project,
         pca_project_pair, pca_planar_pair, pca_norms, pca_first, pca_2d, synthetic_reduction, reduce_report, class_means,
-        label_index, class_metrics, confusion_matrix, silhouette, rf_predict, kmeans_assign, cluster_chart,
-        image_features, image_descriptor, image_validation,
+        label_index, label_index_ids, class_metrics, confusion_matrix, silhouette, rf_predict, kmeans_assign, cluster_chart,
+        image_features, image_failures, image_descriptor, image_validation,
     )
 }

@@ -46,9 +46,14 @@ class FeaturizeConfig:
     on_error: str = "null"
     length: int = images.FEATURE_LENGTH
     factory: Callable[[], Callable] | None = field(default=None, compare=False)
-    factory_name: str = "colour"
+    factory_name: str | None = None
+    average_bytes: int | None = None
     refresh: bool = False
 
+    def __post_init__(self) -> None:
+        if self.factory is not None and not self.factory_name:
+            raise ValueError("a factory needs a factory_name")
+
 
 def index_job(
     spark: SparkSession, root: str, output: str | None = None, sample_size: int | None = None, refresh: bool = False
@@ -61,20 +66,32 @@ def index_job(
     )
 
 
-def featurize_job(spark: SparkSession, root: str, output: str, config: FeaturizeConfig = FeaturizeConfig()) -> DataFrame:
-    """Scan, validate, featurise, write: ``path, label, features, status, error``."""
+def featurize_job(
+    spark: SparkSession, root: str, output: str, config: FeaturizeConfig = FeaturizeConfig(), index: DataFrame | None = None
+) -> DataFrame:
+    """Scan, validate, featurise, write: ``path, label, features, status, error, reason``, one row for each indexed image.
+
+    Without an ``index`` the images one level below the root count, as ``index_job`` lists them. An image that
+    validation rejects has status ``rejected`` and its reason; ``classes.reason_report`` sums the reasons up.
+    ``average_bytes`` of a file packs the scan's tasks for many small files.
+    """
 
     def compute() -> DataFrame:
-        valid = images.valid_images(files.scan_images(spark, root), min_size=config.min_size)
-        return images.featurise(valid, config.factory, config.length, config.on_error)
+        wanted = files.image_index(spark, root) if index is None else index
+        scanned = files.indexed_images(spark, root, index)
+        checked = images.validate_images(scanned, wanted, min_size=config.min_size)
+        return images.featurise_checked(checked, config.factory, config.length, config.on_error)
 
     params = {
-        "factory": config.factory_name,
+        "factory": [config.factory_name, images.factory_digest(config.factory)],
         "length": config.length,
         "on_error": config.on_error,
         "min_size": list(config.min_size),
+        "index": None if index is None else str(index.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "label").cast("decimal(38,0)"))).head()),
     }
-    return store.materialize(spark, output, compute, params, [root], config.refresh)
+    conf = {} if config.average_bytes is None else files.scan_conf(config.average_bytes)
+    with store.settings(spark, conf):
+        return store.materialize(spark, output, compute, params, [root], config.refresh)
 
 
 def reduce_job(df: DataFrame, config: ReduceConfig = ReduceConfig()) -> tuple[DataFrame, DataFrame]:
@@ -116,39 +133,51 @@ def stored_reduce_job(
 
 def image_job(
     spark: SparkSession, root: str, output: str, featurize: FeaturizeConfig = FeaturizeConfig(),
-    reduce: ReduceConfig = ReduceConfig(),
+    reduce: ReduceConfig = ReduceConfig(), sample_size: int | None = None,
 ) -> DataFrame:
-    """Images to reduced vectors: features, variance table, ``final_results`` as Parquet and CSV, run log, report."""
+    """Images to reduced vectors: index, features, variance table, ``final_results`` as Parquet and CSV, run log, report.
+
+    ``sample_size`` runs the flow on a sample of the index. ``results/validation.parquet`` tells how many images each
+    reason of the validation took.
+    """
     features = f"{output}/cache/features.parquet"
-    featurize_job(spark, root, features, featurize)
+    index = None if sample_size is None else index_job(spark, root, f"{output}/cache/index.parquet", sample_size)
+    done = featurize_job(spark, root, features, featurize, index)
+    store.write_parquet(classes.reason_report(done), f"{output}/results/validation.parquet")
     reduced, variance = stored_reduce_job(spark, features, f"{output}/results", reduce)
     final = reduced.select("path", "label", "features_pca")
     store.write_logged(final, f"{output}/final_results.parquet", f"{output}/logs/run.parquet", "final_results")
     store.write_csv(final, f"{output}/final_results.csv")
-    return report_job(final, variance)
+    return report_job(final, variance, threshold=reduce.threshold)
 
 
-def model_job(df: DataFrame, config: ModelConfig = ModelConfig()) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """(classifier, its metrics on the test part, frame with clusters)."""
+def model_job(
+    df: DataFrame, config: ModelConfig = ModelConfig(), output: str | None = None
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """(classifier, its metrics on the test part, frame with clusters). The split rows are stored in ``output`` or cached."""
     balanced = sampling.balance_dataset(
         df, config.label, config.key, max_per_class=config.max_per_class, min_per_class=config.min_per_class,
         seed=config.seed,
     )
-    train, test = sampling.train_test(
-        sampling.stratified_split(balanced, config.label, config.key, config.train_ratio, config.seed)
-    )
+    split = sampling.stratified_split(balanced, config.label, config.key, config.train_ratio, config.seed)
+    # the caps and the split are read by both fits and the metrics: computed once
+    split = store.keep_in_memory(split) if output is None else store.rewritten(split, f"{output}/split.parquet")
+    train, test = sampling.train_test(split)
     classifier = classification.train_classifier(
         train, config.label, config.features, num_trees=config.trees, seed=config.seed, key=config.key
     )
     metrics, _ = classification.evaluate_classifier(classifier, test, config.label)
-    _, clustered = clustering.train_kmeans(balanced, config.features, config.clusters, config.seed, config.key)
+    rows = split.drop("split")
+    _, clustered = clustering.train_kmeans(rows, config.features, config.clusters, config.seed, config.key)
     return classifier, metrics, clustered
 
 
-def report_job(reduced: DataFrame, variance: DataFrame, label: str = "label") -> DataFrame:
-    """One row: rows, classes, components, explained variance, balance and the verdicts on them."""
+def report_job(
+    reduced: DataFrame, variance: DataFrame, label: str = "label", threshold: float = reduction.THRESHOLD
+) -> DataFrame:
+    """One row: rows, classes, components, explained variance, whether it reached the threshold, balance, verdicts."""
     balance = classes.class_balance(reduced, label)
-    last = variance.agg(F.max("k").alias("k"), F.max("cum_variance").alias("cum_variance"))
+    last = reduction.optimal_k(variance, threshold)
     explained = last.select("cum_variance").scalar()
     ratio = F.col("balance_ratio")
     return balance.select(
@@ -156,6 +185,7 @@ def report_job(reduced: DataFrame, variance: DataFrame, label: str = "label") ->
         "n_classes",
         last.select("k").scalar().alias("k"),
         explained.alias("explained_variance"),
+        last.select("reached").scalar().alias("reached"),
         ratio,
         "spread_percent",
         rules.balance_verdict(ratio).alias("balance"),

@@ -71,8 +71,7 @@ COMPONENTS = f"""with recursive e as ({POSITIONS}),
       from e join c0 on c0.i = p join c1 on c1.i = p join c2 on c2.i = p join mean using (p) group by all)"""
 
 BOX = """with e as ({elements}),
-chosen as (select distinct {label} from e order by 1 limit 5),
-x as (select * from e semi join chosen using ({label})),
+x as (select * from e),
 q as (select {label}, count(*) as n, quantile_cont(x, 0.25) as q1, quantile_cont(x, 0.5) as median,
     quantile_cont(x, 0.75) as q3 from x group by 1)
 select q.{label}, q.n, round(q1, 6) as q1, round(median, 6) as median, round(q3, 6) as q3,
@@ -95,7 +94,7 @@ def _uniform(key: str) -> str:
 
 ORACLES: dict[str, str] = {
     "row_count": "select count(*) as n_rows from lineitem",
-    "range_classes": "select range as image_id, range % 5 as class_id from range((select count(*) from customer))",
+    "range_classes": "select c_custkey as image_id, c_custkey % 5 as class_id from customer",
     "replicate_rows": """select s_suppkey, s_name, r::integer as copy from supplier,
         (select unnest(generate_series(1, 200)) as r)""",
     "synthetic_features": """with r as (select vec_id, ('0x' || substr(md5('42|' || vec_id), 1, 7))::bigint as s,
@@ -110,7 +109,9 @@ ORACLES: dict[str, str] = {
         max(len(embedding))::integer as max_length from embeddings""",
     "dataset_inventory": " union all ".join(
         f"select '{t}.parquet' as dataset, true as readable, (select count(*) from {t}) as rows, "
-        f"(select count(*) from (describe select * from {t}))::integer as n_columns"
+        f"(select count(*) from (describe select * from {t}))::integer as n_columns, "
+        f"(select string_agg(column_name, ',') from (describe select * from {t})) as columns, "
+        "true as has_bytes, 0::bigint as part_files"
         for t in TABLES
     ),
     "integrity": """select 'embeddings.parquet' as path, true as exists, true as valid, count(*) as rows from embeddings
@@ -149,11 +150,18 @@ ORACLES: dict[str, str] = {
     "distinct_classes": "select count(distinct source) as n_classes from documents",
     "class_list": "select distinct source from documents",
     "class_sample": """select string_split(url, '/')[-2] as label, min(url) as sample_url from pages
-        group by 1 order by 1 limit 10""",
-    "null_profile": """with e as (select nullif(event_type, 'error') as t, case when value < 100 then value end as v from events)
-        select 'event_id' as "column", 'bigint' as dtype, count(*) as n_rows, 0::bigint as n_null, 0.0::double as percent_null from e
-        union all select 'event_type', 'string', count(*), count(*) - count(t), round((count(*) - count(t))::double / count(*) * 100, 6) from e
-        union all select 'value', 'double', count(*), count(*) - count(v), round((count(*) - count(v))::double / count(*) * 100, 6) from e""",
+        group by 1""",
+    "null_profile": """with e as (select * replace (nullif(event_type, 'error') as event_type,
+            case when value < 100 then value end as value, case when user_id % 7 > 0 then user_id end as user_id) from events)
+        """
+    + " union all ".join(
+        f"""select '{c}' as "column", '{t}' as dtype, count(*) as n_rows, count(*) - count({c}) as n_null,
+          round((count(*) - count({c}))::double / count(*) * 100, 6) as percent_null from e"""
+        for c, t in (
+            ("event_id", "bigint"), ("ts", "timestamp"), ("user_id", "bigint"), ("event_type", "string"),
+            ("value", "double"), ("props", "string"),
+        )
+    ),
     "frame_summary": " union all ".join(
         f"select '{c}' as \"column\", '{t}' as dtype, count(*) as n_rows, count(*) - count({c}) as n_null from documents"
         for c, t in (
@@ -163,9 +171,9 @@ ORACLES: dict[str, str] = {
     "frame_check": """select 'frame' as rule, true as passed union all
         select 'min_rows', count(*) >= 1000 from lineitem union all
         select 'column:l_orderkey', true union all select 'column:label', false""",
-    "feature_stats": f"""select count(x) as n_values, round(min(x), 6) as min_value, round(max(x), 6) as max_value,
+    "feature_stats": f"""select count(x) as n_values, count(*) filter (not isfinite(x)) as n_nonfinite, round(min(x), 6) as min_value, round(max(x), 6) as max_value,
         round(avg(x), 6) + 0.0 as mean_value, round(stddev_pop(x), 6) as std_value from ({ELEMENTS})""",
-    "lineitem_feature_stats": f"""select count(x) as n_values, round(min(x), 6) as min_value, round(max(x), 6) as max_value,
+    "lineitem_feature_stats": f"""select count(x) as n_values, count(*) filter (not isfinite(x)) as n_nonfinite, round(min(x), 6) as min_value, round(max(x), 6) as max_value,
         round(avg(x), 4) as mean_value, round(stddev_pop(x), 4) as std_value from ({MEASURES})""",
     "feature_histogram": f"""with e as ({ELEMENTS}), r as (select min(x) as lo, max(x) as hi from e),
         b as (select least(floor((x - lo) / (hi - lo) * 50)::integer, 49) as bin, count(*) as n from e, r group by 1)
@@ -174,11 +182,11 @@ ORACLES: dict[str, str] = {
         from r, (select unnest(generate_series(0, 49)) as i) left join b on b.bin = i""",
     "class_box_stats": BOX.format(elements=ELEMENTS, label="label"),
     "lineitem_box_stats": BOX.format(elements=MEASURES, label="l_returnflag"),
-    "component_correlation": f"""with e as (select * from ({POSITIONS}) where p < 10)
+    "component_correlation": f"""with e as (select * from ({POSITIONS}))
         select a.p::integer as i, b.p::integer as j, round(corr(a.x, b.x), 6) + 0.0 as corr
         from e a join e b using (vec_id) group by all""",
     "component_variance": f"""select p::integer as position, round(var_pop(x), 8) as variance from ({POSITIONS})
-        where p < 20 group by p""",
+        group by p""",
     "covariance_long": f"""with e as ({POSITIONS})
         select a.p::integer as i, b.p::integer as j, round(covar_samp(a.x, b.x), 8) + 0.0 as covariance
         from e a join e b using (vec_id) group by all""",
@@ -231,8 +239,9 @@ ORACLES: dict[str, str] = {
         c as (select label, count(*) as n from embeddings group by 1),
         m as (select sum(n)::bigint as n_rows, count(*) as n_classes, min(n)::double / max(n) as ratio,
             (max(n) - min(n)) * 100.0::double / sum(n) as spread from c),
-        e as (select max(k) as k, max(cum_variance) as cum from t where k <= 50)
-        select n_rows, n_classes, k, round(cum, 6) as explained_variance, round(ratio, 6) as balance_ratio,
+        e as (select max(k) as k, max(cum_variance) as cum, true as reached from
+            (select k, cum_variance from t where cum_variance >= 0.95 order by k limit 1))
+        select n_rows, n_classes, k, round(cum, 6) as explained_variance, reached, round(ratio, 6) as balance_ratio,
           round(spread, 6) as spread_percent,
           case when ratio > 0.8 then 'balanced' else 'unbalanced' end as balance,
           case when cum > 0.8 then 'reached' else 'not reached' end as variance,
@@ -249,7 +258,7 @@ ORACLES: dict[str, str] = {
         m as (select sum(n)::bigint as n_rows, count(*) as n_classes, min(n)::double / max(n) as ratio,
             (max(n) - min(n)) * 100.0::double / sum(n) as spread from c),
         t as (select max(k) as k, max(cum) as cum from variance)
-        select n_rows, n_classes, k, round(cum, 6) as explained_variance, round(ratio, 6) as balance_ratio,
+        select n_rows, n_classes, k, round(cum, 6) as explained_variance, cum >= 0.95 as reached, round(ratio, 6) as balance_ratio,
           round(spread, 6) as spread_percent,
           case when ratio > 0.8 then 'balanced' else 'unbalanced' end as balance,
           case when cum > 0.8 then 'reached' else 'not reached' end as variance,
@@ -280,6 +289,27 @@ ORACLES: dict[str, str] = {
     "pca_norms": f"select vec_id, round(sqrt(sum(x * x)), 6) as norm from ({POSITIONS}) group by vec_id",
     "label_index": """select source, n, (row_number() over (order by n desc, source) - 1)::double as label_indexed
         from (select source, count(*) as n from documents group by source)""",
+    "label_index_ids": """select user_id, n, (row_number() over (order by n desc, user_id::varchar) - 1)::double as label_indexed
+        from (select user_id, count(*) as n from events group by user_id)""",
+    "synthetic_reduction": """with r as (select vec_id, ('0x' || substr(md5('42|' || vec_id), 1, 7))::bigint as s,
+            ('0x' || substr(md5('42|' || vec_id), 9, 7))::bigint + 1 as t from embeddings),
+        b as (select vec_id, i, (s + i * t) % 2147483647 as x from r, (select unnest(generate_series(0, 1279)) as i)),
+        q as (select *, x * x % 2147483647 as x2 from b),
+        v as (select vec_id, i, (x2 * x2 % 2147483647) * x % 2147483647 / 2147483647.0::double as x from q),
+        c as (select vec_id, i, x - avg(x) over (partition by i) as x from v),
+        l as (select vec_id, list(x order by i) as x from c group by vec_id),
+        g as (select a.vec_id = b.vec_id as same, list_inner_product(a.x, b.x) as g from l a, l b)
+        select (select count(*) from embeddings) as n_rows, 100 as length, 1.0::double as shares,
+          round(sum(g * g) / (sum(g) filter (same) * sum(g) filter (same)), 8) as squares from g""",
+    "rf_predict": """with s as (select vec_id, label, row_number() over (partition by label order by md5('42|' || vec_id)) as rn,
+            count(*) over (partition by label) as n from embeddings),
+        i as (select label, (row_number() over (order by count(*) desc, label::varchar) - 1)::double as x
+          from s where rn <= ceil(0.8::double * n) group by label)
+        select vec_id, label, x as label_indexed, x as prediction, label::varchar as predicted_label
+        from s join i using (label) where rn > ceil(0.8::double * n)""",
+    "kmeans_assign": "select vec_id, label, label as cluster_label from embeddings",
+    "cluster_chart": f"""{COMPONENTS}
+        select vec_id, round(q0, 6) + 0.0 as x, round(q1, 6) + 0.0 as y, label, label as cluster_label from proj""",
     "class_metrics": """with l as (select quality as a, toxic as p from labels),
         c as (select distinct unnest([quality, toxic]) as c from labels),
         s as (select c, (select count(*) from l where a = c) as na, (select count(*) from l where p = c) as np,
@@ -306,18 +336,26 @@ ORACLES: dict[str, str] = {
         select vec_id, 'ok' as status, 320 as length, sum(px)::bigint as pixel_sum,
           round(max(px) / 127.5 - 1, 5) as tile_max, round(any_value(largest_share), 5) as largest_share,
           round(any_value(share_sum), 5) as share_sum from s join t using (vec_id) group by vec_id""",
-    "image_descriptor": """with t as (select i // 14 as tile, least(greatest((i + 0.5::double) * 8 / 224 - 0.5, 0), 7) as pos
-          from (select unnest(generate_series(0, 223)) as i)),
-        taps as (select tile, floor(pos)::bigint as p, 1 - (pos - floor(pos)) as w from t
-          union all select tile, least(floor(pos)::bigint + 1, 7), pos - floor(pos) from t),
-        w as (select tile, p, sum(w) / 14 as w from taps group by all),
+    "image_descriptor": """with t as (select n, i // 14 as tile, least(greatest((i + 0.5::double) * n / 224 - 0.5, 0), n - 1) as pos
+          from (select unnest(generate_series(0, 223)) as i), (select unnest([4, 5]) as n)),
+        taps as (select n, tile, floor(pos)::bigint as p, 1 - (pos - floor(pos)) as w from t
+          union all select n, tile, least(floor(pos)::bigint + 1, n - 1), pos - floor(pos) from t),
+        w as (select n, tile, p, sum(w) / 14 as w from taps group by all),
         px as (select vec_id, generate_subscripts(embedding, 1) - 1 as k, floor((unnest(embedding)::double + 1) * 127.5) as v
           from embeddings),
-        tiles as (select vec_id, r.tile, c.tile, sum(r.w * c.w * v) / 127.5 - 1 as x
-          from px join w r on r.p = k // 8 join w c on c.p = k % 8 group by all)
-        select count(*) as tiles, 1280 as length, round(avg(x), 4) + 0.0 as mean_tile,
-          round(avg(x * x), 4) as mean_square from tiles""",
-    "image_validation": """select p_partkey, case when p_size = 50 then 'corrupt'
-          when p_size < 32 then 'too small: ' || p_size || 'x' || p_size else 'OK' end as reason,
-          p_size <> 50 and p_size >= 32 as valid from part""",
+        tiles as (select vec_id, 2 - k % 3 as plane, r.tile as i, c.tile as j, sum(r.w * c.w * v) / 127.5 - 1 as x
+          from px join w r on r.n = 4 and r.p = k // 15 join w c on c.n = 5 and c.p = k // 3 % 5 where k < 60 group by all),
+        planes as (from tiles union all select vec_id, 3, i, j,
+          sum(x * case plane when 0 then 0.299::double when 1 then 0.587::double else 0.114::double end) from tiles group by all)
+        select plane::integer as plane, count(distinct vec_id) as images, 1280 as length, round(avg(x), 4) + 0.0 as mean_tile,
+          round(avg(x * x), 4) as mean_square, 1.0::double as share_sum from planes group by plane""",
+    "image_failures": """with k as (select vec_id, vec_id % 10 as kind from embeddings)
+        select vec_id, mode, case kind when 1 then 'error' when 2 then 'rejected' when 3 then 'rejected' else 'ok' end as status,
+          case kind when 2 then 'too small: 2x1' when 3 then 'unreadable' else 'OK' end as reason,
+          case when kind in (2, 3) or kind = 1 and mode = 'null' then null else 320 end::integer as length,
+          case when kind in (2, 3) or kind = 1 and mode = 'null' then null else kind <> 1 end as any_value
+        from k, (select unnest(['zero', 'null']) as mode)""",
+    "image_validation": """select p_partkey, case when p_size = 50 then 'corrupt' when p_size = 49 then 'unreadable'
+          when p_size < 32 or p_partkey % 64 < 32 then 'too small: ' || p_size || 'x' || p_partkey % 64 else 'OK' end as reason,
+          p_size < 49 and p_size >= 32 and p_partkey % 64 >= 32 as valid from part""",
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from featureflow.functions import paths as P
 from featureflow.functions.hashing import key_hash
+from featureflow.sources.settle import join_classes, settle_classes
 
 
 def hadoop_path(spark: SparkSession, uri: str):
@@ -84,13 +85,30 @@ def image_index(
     """
     require_path(spark, root)
     files = list_files(spark, root)
-    one_below = F.size(F.split(relative_path(spark, root), "/")) == 2
-    index = files.filter(one_below).filter(P.has_extension("path", extensions)).select("path", P.label_from_path("path").alias("label"))
+    index = files.filter(_one_below(spark, root)).filter(P.has_extension("path", extensions)).select("path", P.label_from_path("path").alias("label"))
     if sample_size is not None:
         index = index.orderBy(key_hash("path", seed), "path").limit(sample_size)
     return index
 
 
+def _one_below(spark: SparkSession, root: str) -> Column:
+    """Whether ``path`` lies in a class directory directly below the root."""
+    return F.size(F.split(relative_path(spark, root), "/")) == 2
+
+
+def indexed_images(spark: SparkSession, root: str, index: DataFrame | None = None) -> DataFrame:
+    """The decoded images of an index, or of all that ``image_index`` lists below the root.
+
+    The rule of the index is a filter on the path. Another index is sent to the scan if it is small, as a sample is;
+    only an index too large for that is joined by a shuffle.
+    """
+    images = scan_images(spark, root)
+    if index is None:
+        return images.filter(_one_below(spark, root))
+    wanted = settle_classes(index.select(P.same_uri("path").alias("path")))
+    return join_classes(images, wanted, "path", "left_semi")
+
+
 def scan_images(
     spark: SparkSession, root: str, extensions: Sequence[str] = P.IMAGE_EXTENSIONS, drop_invalid: bool = False
 ) -> DataFrame:

@@ -1,75 +1,45 @@
-"""Small derived tables: fix their content, know their size, join them to the rows without skew."""
+"""Class tables: bring them to the rows without a shuffle where they are small, and layouts for iterative fits."""
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Classes, and bytes of their values as text, that a class table may have to be sent to every task.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
-SALTS = 256
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder (``spark.checkpoint.dir``); a temporary one only for local masters."""
-    context = spark.sparkContext
-    found = context.getCheckpointDir()
-    if found:
-        return found
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="featureflow-checkpoint-")
-    context.setCheckpointDir(configured)
-    return configured
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: computed once, re-read by every later use, survives lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def fits_broadcast(settled: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measured size check of a settled table: row count and bytes of its values as text."""
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in settled.columns), F.lit(0))
-    row = settled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).head()
-    return row["n"] <= max_rows and row["b"] <= max_bytes
 
 
 @dataclass(frozen=True)
 class ClassTable:
-    """A settled table with one row per class, and whether it was measured to be small enough to broadcast."""
+    """A table with one row per class, and whether it was found small enough to broadcast."""
 
     frame: DataFrame
     small: bool
 
 
 def settle_classes(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> ClassTable:
-    frame = settle(df)
-    return ClassTable(frame, fits_broadcast(frame, max_rows))
+    """Computes a class table once if it is small: at most ``max_rows`` rows come to the driver and become a local table.
+
+    A larger one stays a plan over its source, and is joined by shuffles that adaptive execution balances.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows or sum(len(str(v)) for row in rows for v in row) > BROADCAST_BYTES:
+        return ClassTable(df, False)
+    return ClassTable(df.sparkSession.createDataFrame(rows, df.schema), True)
 
 
-def join_classes(rows: DataFrame, classes: ClassTable, label: str, spread_by: str, how: str = "inner") -> DataFrame:
+def join_classes(rows: DataFrame, classes: ClassTable, label: str, how: str = "inner") -> DataFrame:
     """Join rows with a class table on the (null-safe) label.
 
-    A small table is broadcast, so the rows are not shuffled. Otherwise both sides are shuffled on
-    (label, salt): the salt comes from ``spread_by``, and every class row is repeated once per salt, so a
-    class that holds a third of the rows is spread over ``SALTS`` tasks.
+    A small table is broadcast, so the rows are not shuffled. For a larger one adaptive execution picks the join from
+    the sizes it meets and splits the partitions of classes that hold much of the rows.
     """
     right = classes.frame.withColumnRenamed(label, "__label")
-    on = F.col(label).eqNullSafe(F.col("__label"))
-    if classes.small:
-        return rows.join(F.broadcast(right), on, how).drop("__label")
-    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    right = right.withColumn("__salt_r", F.explode(salts))
-    on = on & (F.col("__salt") == F.col("__salt_r"))
-    return salted.join(right, on, how).drop("__label", "__salt", "__salt_r")
+    right = F.broadcast(right) if classes.small else right
+    return rows.join(right, F.col(label).eqNullSafe(F.col("__label")), how).drop("__label")
 
 
 def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 from pyspark import StorageLevel
@@ -139,6 +140,25 @@ def invalidate(spark: SparkSession, path: str) -> bool:
     return fs.exists(marker) and fs.delete(marker, False)
 
 
+def rewritten(df: DataFrame, path: str) -> DataFrame:
+    """The frame, written to ``path`` and read back."""
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block; what was set before comes back."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def keep_in_memory(df: DataFrame) -> DataFrame:
     """Cache with spill to disk; release with ``unpersist``. Lost blocks are recomputed."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)

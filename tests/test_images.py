@@ -53,12 +53,14 @@ def test_scan_images_paths_match_index(spark, image_set):
 
 def test_validate(spark, image_set):
     root, _ = image_set
-    checked = images.validate_images(files.scan_images(spark, root), files.image_index(spark, root))
+    checked = images.validate_images(files.indexed_images(spark, root), files.image_index(spark, root))
     reasons = {r["path"].rsplit("/", 1)[1]: r["reason"] for r in checked.collect()}
     assert {n for n, r in reasons.items() if r == "OK"} == VALID
     assert reasons["broken.png"] == reasons["cut.png"] == "corrupt"
     assert reasons["small.png"] == "too small: 8x8" and reasons["narrow.png"] == "too small: 31x100"
-    assert names(images.valid_images(files.scan_images(spark, root), files.image_index(spark, root))) == VALID
+    assert names(images.valid_images(files.indexed_images(spark, root), files.image_index(spark, root))) == VALID
+    sample = files.image_index(spark, root, 4)
+    assert names(files.indexed_images(spark, root, sample)) == names(sample)
 
 
 def test_validate_options(spark, image_set):
@@ -74,8 +76,18 @@ def test_validate_missing_rows(spark, image_set):
     index = files.image_index(spark, root).unionByName(
         spark.createDataFrame([(f"{root}/Banana/empty.png", "Banana")], "path string, label string")
     )
-    checked = images.validate_images(files.scan_images(spark, root), index)
-    assert checked.filter("reason = 'unreadable'").count() == 1 and checked.count() == index.count()
+    for listing in (None, files.list_files(spark, root)):
+        checked = images.validate_images(files.indexed_images(spark, root), index, listing)
+        assert checked.filter("reason = 'unreadable'").count() == 1 and checked.count() == index.count()
+
+
+def test_no_exchange_moves_pixels(spark, image_set):
+    root, _ = image_set
+    checked = images.validate_images(files.indexed_images(spark, root), files.image_index(spark, root), files.list_files(spark, root))
+    plan = images.featurise_checked(checked)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("\n") if "Exchange" in line]
+    assert not any("data" in line or "image" in line for line in moved)
+    assert plan.count("ormat: image") <= 1 or plan.count("FileScan image") <= 1
 
 
 def plain_resize(block, size):
@@ -199,6 +211,45 @@ def test_job_and_refresh(spark, tmp_path):
     assert jobs.featurize_job(spark, str(root), out, config).count() == 2
 
 
+def test_another_factory_is_not_served_the_old_features(spark, tmp_path):
+    root, out = tmp_path / "set", str(tmp_path / "features.parquet")
+    (root / "A").mkdir(parents=True)
+    (root / "A" / "1.png").write_bytes(png_bytes(picture(1)))
+    with pytest.raises(ValueError, match="factory_name"):
+        jobs.FeaturizeConfig(factory=images.colour_features(8, 2, 4))
+    lengths = []
+    for size, bins in ((8, 4), (8, 6), (8, 4)):
+        config = jobs.FeaturizeConfig(factory=images.colour_features(size, 2, bins), factory_name="same")
+        lengths.append(len(jobs.featurize_job(spark, str(root), out, config).head()["features"]))
+    assert lengths == [32, 40, 32]
+
+
+def test_rejected_images_stay_with_their_reason(spark, image_set, tmp_path):
+    root, _ = image_set
+    config = jobs.FeaturizeConfig(factory=images.colour_features(8, 2, 4), factory_name="small", length=32, average_bytes=2000)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    done = {r["path"].rsplit("/", 1)[1]: r for r in jobs.featurize_job(spark, root, str(tmp_path / "f"), config).collect()}
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    assert set(done) == names(files.image_index(spark, root))
+    assert {n for n, r in done.items() if r["status"] == "ok"} == VALID
+    assert (done["small.png"]["status"], done["small.png"]["reason"], done["small.png"]["features"]) == ("rejected", "too small: 8x8", None)
+    assert done["broken.png"]["reason"] == "corrupt"
+    sample = files.image_index(spark, root, 3)
+    assert names(jobs.featurize_job(spark, root, str(tmp_path / "s"), config, sample)) == names(sample)
+
+
+def test_error_text_is_whole(spark):
+    def factory():
+        def fail(blocks):
+            raise ValueError("x" * 3000)
+
+        return fail
+
+    image = F.struct(F.lit(1).alias("height"), F.lit(1).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"), F.unhex(F.lit("00")).alias("data"))
+    row = images.featurise(spark.range(1).select(image.alias("image")), factory).head()
+    assert len(row["error"]) == len("ValueError: ") + 3000
+
+
 def test_passthrough(spark):
     df = spark.createDataFrame([(1, [1.0]), (2, None)], "i int, embedding array<float>")
     got = {r["i"]: (r["features"], r["status"]) for r in images.passthrough(df, "embedding").collect()}

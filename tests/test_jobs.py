@@ -24,7 +24,9 @@ def flow(spark, tmp_path_factory):
 def test_image_job(spark, flow):
     base, _, _, report = flow
     out = str(base / "out")
-    assert (report["n_rows"], report["n_classes"], report["balance"], report["variance"]) == (12, 2, "balanced", "reached")
+    assert (report["n_rows"], report["n_classes"], report["balance"], report["variance"], report["reached"]) == (12, 2, "balanced", "reached", True)
+    reasons = {r["reason"]: r["n"] for r in spark.read.parquet(f"{base}/out/results/validation.parquet").collect()}
+    assert reasons == {"OK": 12, "corrupt": 1}
     final = spark.read.parquet(f"{out}/final_results.parquet")
     assert final.columns == ["path", "label", "features_pca"] and final.count() == 12
     assert vectors.vector_length(final, "features_pca") == report["k"]
@@ -49,6 +51,19 @@ def test_reduce_stage_is_reused_and_follows_its_settings(spark, flow, monkeypatc
     assert values.shape == (12, variance.count())
 
 
+def test_a_missed_threshold_is_reported(spark, flow):
+    base = flow[0]
+    rows = spark.read.parquet(str(base / "out/cache/features.parquet")).filter("features is not null")
+    reduced, variance = jobs.reduce_job(rows, jobs.ReduceConfig(max_k=1, threshold=0.999))
+    assert jobs.report_job(reduced, variance, threshold=0.999).head()["reached"] is False
+
+
+def test_sampled_flow(spark, flow, tmp_path):
+    base, featurize, reduce, _ = flow
+    report = jobs.image_job(spark, str(base / "set"), str(tmp_path / "out"), featurize, reduce, sample_size=8).head()
+    assert 7 <= report["n_rows"] <= 8
+
+
 def test_index_job(spark, flow):
     base = flow[0]
     root, out = str(base / "set"), str(base / "index.parquet")

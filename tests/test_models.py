@@ -27,6 +27,17 @@ def test_label_index(spark):
     assert got == {"a": 0.0, "b": 1.0, "c": 2.0, "d": 3.0}
 
 
+def test_label_index_of_numbers_equals_indexer(spark):
+    """Equal counts are ordered by the text of the label, as the indexer does: 1, 10, 2."""
+    rows = spark.range(36).selectExpr("id % 12 as label", "array(cast(id as double)) as features_pca")
+    rows = vectors.to_vector(rows, "features_pca")
+    model = classification.train_classifier(rows, num_trees=1)
+    table = classification.label_index(rows).orderBy("label_indexed").collect()
+    assert [str(r["label"]) for r in table] == model.stages[0].labels
+    assert [r["label_indexed"] for r in table] == [float(i) for i in range(12)]
+    assert classification.label_index(rows.limit(0)).count() == 0
+
+
 def test_label_index_equals_indexer(blobs):
     model = classification.train_classifier(blobs, num_trees=3)
     table = classification.label_index(blobs).orderBy("label_indexed").collect()
@@ -46,7 +57,7 @@ def test_predictions_are_labels(blobs):
     for c in ("label_indexed", "rawPrediction", "probability", "prediction", "predicted_label"):
         assert c in predictions.columns
     assert predictions.filter("label <> predicted_label").count() == 0
-    matrix = classification.confusion_matrix(predictions)
+    matrix = classification.confusion_matrix(predictions, dense=True)
     cells = {(r["actual"], r["predicted"]): r["n"] for r in matrix.collect()}
     assert len(cells) == 9 and cells["a", "a"] == 50 and cells["a", "b"] == 0
 
@@ -83,16 +94,16 @@ def test_metrics_equal_evaluators(spark):
 def test_metrics_edges(spark):
     empty = spark.createDataFrame([], "label string, predicted_label string")
     assert classification.class_metrics(empty).head()["accuracy"] is None
-    assert classification.confusion_matrix(empty).count() == 0
+    for dense in (False, True):
+        assert classification.confusion_matrix(empty, dense=dense).count() == 0
     nulls = spark.createDataFrame([("a", "a"), ("a", None), (None, "b")], "label string, predicted_label string")
     assert classification.class_metrics(nulls).head()["accuracy"] == 1.0
 
 
-def test_grid_limit(spark, monkeypatch):
-    monkeypatch.setattr(classification, "MAX_GRID_CLASSES", 1)
-    df = spark.createDataFrame([("a", "b")], "label string, predicted_label string")
-    with pytest.raises(ValueError):
-        classification.confusion_matrix(df)
+def test_sparse_cells_of_many_classes(spark):
+    """As many classes as there are: a sparse matrix has the cells that occur, null labels none."""
+    df = spark.range(12_000).selectExpr("cast(id as string) as label", "if(id % 2 = 0, cast(id as string), null) as predicted_label")
+    assert classification.confusion_matrix(df).count() == 6000
 
 
 def test_kmeans_rows_are_on_their_nearest_centre(blobs):

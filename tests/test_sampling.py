@@ -107,7 +107,7 @@ def test_key_hash_of_hot_class_stays_out_of_one_task(spark):
 
 def test_min_class_filter(skewed):
     for max_rows in (0, 1000):
-        kept = sampling.min_class_filter(skewed, "label", 5, max_rows=max_rows)
+        kept = sampling.min_class_filter(skewed, "label", 5, max_rows)
         assert {r["label"] for r in kept.select("label").distinct().collect()} == {"hot", *[f"c{i}" for i in range(7)]}
         assert kept.count() == skewed.filter("label is not null and label <> 'single'").count()
     assert sampling.min_class_filter(skewed, "label", 1).count() == 3000
@@ -162,10 +162,37 @@ def test_rows_are_not_shuffled(skewed):
     assert "Exchange hashpartitioning" not in physical and "Window" not in physical
 
 
-def test_salted_join_equals_broadcast(skewed):
+def test_shuffled_join_equals_broadcast(skewed):
     table = settle.settle_classes(classes.class_counts(skewed))
     assert table.small and not settle.settle_classes(classes.class_counts(skewed), max_rows=1).small
-    a = settle.join_classes(skewed, table, "label", "path")
-    b = settle.join_classes(skewed, settle.ClassTable(table.frame, False), "label", "path")
+    a = settle.join_classes(skewed, table, "label")
+    b = settle.join_classes(skewed, settle.ClassTable(classes.class_counts(skewed), False), "label")
     assert rows_of(a.fillna("?")) == rows_of(b.select(*a.columns).fillna("?"))
     assert a.count() == 3000
+
+
+@pytest.mark.parametrize("rows", [1, 30, 5000])
+def test_buckets_are_refined_until_small(skewed, monkeypatch, rows):
+    """However small a bucket has to be, also below one row per bucket, the cap takes the same rows."""
+    expected = rows_of(sampling.cap_classes(skewed, "label", "path", 123).fillna("?"))
+    monkeypatch.setattr(sampling, "BUCKET_ROWS", rows)
+    monkeypatch.setattr(sampling, "DIGITS", 1)
+    assert rows_of(sampling.cap_classes(skewed, "label", "path", 123).fillna("?")) == expected
+
+
+def test_copies_end_the_refinement(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "BUCKET_ROWS", 10)
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("path"), F.lit("a").alias("label"))
+    assert sampling.cap_classes(df, "label", "path", 400).count() == 400
+
+
+def test_hash_sample_takes_the_smallest_hashes(skewed):
+    paths = sorted((r["path"] for r in skewed.collect()), key=digest)
+    for n in (0, 1, 777, 5000):
+        assert sorted(r["path"] for r in sampling.hash_sample(skewed, "path", n).collect()) == sorted(paths[:n])
+
+
+def test_no_folder_is_written(skewed, spark):
+    before = spark.sparkContext.getCheckpointDir()
+    assert sampling.balance_dataset(skewed, max_per_class=10).count() > 0
+    assert spark.sparkContext.getCheckpointDir() == before

@@ -36,8 +36,9 @@ def test_histogram_equals_numpy(features, spark):
 
 def test_box_stats(features):
     df, x, labels = features
+    assert sorted(r["label"] for r in statistics.class_box_stats(df, classes=5).collect()) == ["a", "b", "c", "d", "e"]
     got = {r["label"]: r for r in statistics.class_box_stats(df).collect()}
-    assert sorted(got) == ["a", "b", "c", "d", "e"]
+    assert sorted(got) == ["a", "b", "c", "d", "e", "f", "g"]
     for label, row in got.items():
         v = x[labels == label].ravel()
         q1, med, q3 = np.percentile(v, [25, 50, 75])
@@ -47,53 +48,67 @@ def test_box_stats(features):
         assert (row["whisker_low"], row["whisker_high"]) == (inside.min(), inside.max())
 
 
-@pytest.mark.parametrize("narrowing", [False, True])
-@pytest.mark.parametrize("kind", ["normal", "zeros", "heavy", "tiny"])
-def test_exact_quantiles(spark, kind, narrowing, monkeypatch):
-    if narrowing:
-        monkeypatch.setattr(statistics, "MAX_BRACKET_ROWS", 0.1)
+@pytest.mark.parametrize("kind", ["normal", "zeros", "heavy", "tiny", "signed"])
+def test_exact_quantiles(spark, kind):
     rng = np.random.default_rng(3)
     n = 3 if kind == "tiny" else 60_000
     x = rng.normal(size=n)
     if kind == "zeros":
         x[rng.random(n) < 0.6] = 0.0
+        x[rng.random(n) < 0.1] = -0.0
     if kind == "heavy":
         x = np.exp(20 * x)
+    if kind == "signed":
+        x = np.sign(x) * 10.0 ** rng.integers(-300, 300, n)
     df = spark.createDataFrame([(int(i % 2), float(v)) for i, v in enumerate(x)], "g int, x double")
     probabilities = (0.0, 0.25, 0.5, 0.999, 1.0)
     for row in statistics.exact_quantiles(df, "g", "x", probabilities).collect():
         expected = np.quantile(x[row["g"] :: 2], probabilities)
+        assert row["n"] == len(x[row["g"] :: 2])
         np.testing.assert_allclose(row["quantiles"], expected, rtol=1e-9)
 
 
-def test_narrowed_brackets_hold_the_quantile(spark):
-    """Cutting a bracket of the whole range down leaves few rows and still the wanted ranks."""
-    x = np.sort(np.random.default_rng(6).normal(size=40_000))
-    rows = spark.createDataFrame([("a", float(v)) for v in x], "g string, x double")
-    whole = spark.createDataFrame([("a", len(x), [float(x[0]), float(x[-1])] * 2)], "g string, n long, p array<double>")
-    low, high, low2, high2 = statistics._narrowed(rows, whole, (0.25, 0.9)).head()["p"]
-    for lo, hi, q in ((low, high, 0.25), (low2, high2, 0.9)):
-        assert lo <= np.quantile(x, q) <= hi
-        assert ((x >= lo) & (x <= hi)).mean() < 0.02
+def test_sort_keys_order_as_numbers():
+    x = np.array([-np.finfo(float).max, -1.5, -5e-324, -0.0, 0.0, 5e-324, 1e-9, 1.0, 1.5, np.finfo(float).max])
+    keys = statistics.sort_keys(x)
+    assert (keys[1:] >= keys[:-1]).all() and keys[3] == keys[4]
+    np.testing.assert_array_equal(statistics.from_sort_keys(keys), x + 0.0)
 
 
-def test_missed_bracket_is_widened(spark, monkeypatch):
-    """Brackets from a hopeless sketch still give exact quantiles."""
-    monkeypatch.setattr(statistics, "SKETCH_ACCURACY", 1)
-    real = F.percentile_approx
-    monkeypatch.setattr(F, "percentile_approx", lambda c, p, a: F.transform(real(c, p, a), lambda v: v * 0 - 5.0))
-    df = spark.createDataFrame([("a", float(v)) for v in range(101)], "g string, x double")
-    assert statistics.exact_quantiles(df, "g", "x").head()["quantiles"] == [25.0, 50.0, 75.0]
+def test_many_groups_and_null_groups(spark):
+    """More groups than any limit of a broadcast table in this session, and a null one."""
+    df = spark.range(6000).select(F.when(F.col("id") % 3 > 0, (F.col("id") / 3).cast("int")).alias("g"), F.col("id").cast("double").alias("x"))
+    got = {r["g"]: (r["n"], r["quantiles"]) for r in statistics.exact_quantiles(df, "g", "x", (0.5,)).collect()}
+    assert len(got) == 2001 and got[7] == (2, [22.5]) and got[None] == (2000, [2998.5])
+
+
+def test_values_that_are_no_numbers_take_no_part(spark):
+    rows = [("a", [1.0, 2.0, float("nan"), None]), ("a", [3.0, float("inf"), -float("inf")]), ("b", [float("nan")]), ("b", None), ("c", [])]
+    df = spark.createDataFrame(rows, "label string, features array<double>")
+    row = statistics.feature_stats(df).head()
+    assert (row["n_values"], row["n_nonfinite"], row["min_value"], row["max_value"], row["mean_value"]) == (3, 4, 1.0, 3.0, 2.0)
+    assert row["std_value"] == pytest.approx(np.std([1, 2, 3]))
+    assert [r["n"] for r in statistics.feature_histogram(df, bins=4).orderBy("bin").collect()] == [1, 0, 1, 1]
+    assert [(r["label"], r["n"], r["median"], r["whisker_low"], r["whisker_high"]) for r in statistics.class_box_stats(df).collect()] == [("a", 3, 2.0, 1.0, 3.0)]
+    empty = statistics.feature_stats(df.limit(0)).head()
+    assert (empty["n_values"], empty["mean_value"], empty["std_value"]) == (0, None, None)
+
+
+def test_no_exploded_vectors(features):
+    df, _, _ = features
+    for frame in (statistics.feature_stats(df), statistics.class_box_stats(df)):
+        assert "Generate explode(v" not in frame._jdf.queryExecution().executedPlan().toString()
 
 
 def test_components(features):
     df, x, _ = features
     variance = statistics.component_variance(df).orderBy("position").collect()
     assert [r["variance"] for r in variance] == pytest.approx(x.var(axis=0).tolist())
-    corr = np.zeros((10, 10))
+    corr = np.zeros((12, 12))
     for r in statistics.component_correlation(df).collect():
         corr[r["i"], r["j"]] = r["corr"]
-    np.testing.assert_allclose(corr, np.corrcoef(x[:, :10].T), atol=1e-9)
+    np.testing.assert_allclose(corr, np.corrcoef(x.T), atol=1e-9)
+    assert statistics.component_correlation(df, components=3).count() == 9 and statistics.component_variance(df, first=4).count() == 4
 
 
 def test_covariance(features, spark):
@@ -118,7 +133,7 @@ def test_moments_do_not_compute_the_vectors_twice(spark):
     assert plan.count("transform(") == 1
 
 
-def test_covariance_guards(spark, monkeypatch):
+def test_covariance_guards(spark):
     one = spark.createDataFrame([([1.0, 2.0],)], "features array<double>")
     with pytest.raises(ValueError):
         gram.covariance(one)
@@ -130,9 +145,16 @@ def test_covariance_guards(spark, monkeypatch):
     ragged = spark.createDataFrame([([1.0, 2.0],), ([1.0],)], "features array<double>")
     with pytest.raises(Exception, match="length"):
         gram.covariance(ragged.coalesce(1))
-    monkeypatch.setattr(gram, "MAX_DIMENSION", 1)
-    with pytest.raises(ValueError, match="refused"):
-        gram.covariance(one)
+
+
+def test_moments_keep_the_tasks_of_the_scan(spark):
+    """The number of tasks is the scan's, however many slots there are; wide vectors go strip by strip."""
+    x = np.random.default_rng(8).normal(size=(50, 600))
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "features array<double>").repartition(37)
+    assert "Coalesce" not in gram.moments(df, "features", x[0])._jdf.queryExecution().executedPlan().toString()
+    np.testing.assert_allclose(gram.covariance(df)[2], np.cov(x.T), atol=1e-9)
+    plan = gram.moments(df, "features", x[0], tasks=2)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce 2" in plan
 
 
 def test_class_reports(spark):
@@ -163,4 +185,5 @@ def test_frame_check(spark):
     assert quality.is_valid(df, ["id"], 3) and not quality.is_valid(df, ["id"], 4)
     assert not quality.is_valid(df, ["id", "x"]) and not quality.is_valid(None) and not quality.is_valid(df.limit(0))
     failed = quality.frame_check(None, ["id"], spark=spark)
+    assert quality.frame_check(None, ["id"]).count() == 3
     assert [r["passed"] for r in failed.collect()] == [False, False, False]

@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.ml.linalg import Vectors
 
 from featureflow.operators import inventory
-from featureflow.sources import files, settle, store
+from featureflow.sources import files, store
 
 
 @pytest.fixture
@@ -105,12 +105,6 @@ def test_keep_in_memory(frame):
     assert not kept.unpersist().is_cached
 
 
-def test_settle_uses_session_folder(spark):
-    folder = settle.ensure_checkpoint_dir(spark)
-    assert folder == settle.ensure_checkpoint_dir(spark)
-    assert "Scan ExistingRDD" in settle.settle(spark.range(3))._jdf.queryExecution().executedPlan().toString()
-
-
 @pytest.fixture
 def tree(spark, tmp_path):
     root = tmp_path / "outputs"
