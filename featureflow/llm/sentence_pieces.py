@@ -12,16 +12,18 @@ latest first, and asking at each state whether a pair across the border would ha
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
 
 from featureflow.llm import tokens
-from featureflow.llm.common import slices
+from featureflow.llm.common import slices, texts_of
 from featureflow.llm.near_dedup import mixed
 from featureflow.llm.suffix_dedup import _INVERSE, _POWER
 
@@ -160,6 +162,12 @@ class Viterbi:
             self.tried, self.allowed = np.insert(self.tried, place, new), np.insert(self.allowed, place, answer)
         return self.allowed[np.searchsorted(self.tried, pairs)][where]
 
+    def _possible(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether each piece may follow the best one before it, or begins the word."""
+        good = before < 0
+        good[~good] = self.follows(before[~good], piece[~good])
+        return good
+
     def equal_length(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(pieces of all words, their number in each word, their sizes) for words of as many characters.
 
@@ -168,6 +176,7 @@ class Viterbi:
         n, length = len(words), len(words[0])
         sums = self._sums(_characters(words, length))
         last, back = np.full((length + 1, n), -1, np.int64), np.zeros((length + 1, n), np.int64)
+        rows = np.arange(n)
         for end in range(1, length + 1):
             row_parts, piece_parts, size_parts = [], [], []
             for size in range(1, min(end, self.longest) + 1):
@@ -179,12 +188,15 @@ class Viterbi:
                 piece_parts.append(piece[hit])
                 size_parts.append(np.full(len(hit), size))
             row, piece, size = map(np.concatenate, (row_parts, piece_parts, size_parts))
-            before = last[end - size, row]
-            good = before < 0
-            good[~good] = self.follows(before[~good], piece[~good])
-            row, piece, size = row[good], piece[good], size[good]
-            last[end, row], back[end, row] = piece, size  # the best candidate: just one is left for each word
-        rows, ends, steps = np.arange(n), np.full(n, length), []
+            longest = np.zeros(n, np.int64)
+            longest[row] = np.arange(len(row))  # sizes ascend, so the last one stays
+            near = self._possible(last[end - size[longest], rows], piece[longest])
+            rest = np.flatnonzero(~near[row])
+            rest = rest[self._possible(last[end - size[rest], row[rest]], piece[rest])]
+            best = longest
+            best[row[rest]] = rest  # the best candidate: just one is possible for each word
+            last[end], back[end] = piece[best], size[best]
+        ends, steps = np.full(n, length), []
         while ends.any():
             steps.append((np.where(ends > 0, last[ends, rows], -1), back[ends, rows]))
             ends = ends - steps[-1][1]
@@ -203,6 +215,7 @@ class Encoder:
         self.pieces = pieces
         self.viterbi = Viterbi(pieces)
         self.memory: dict[str, bytes] = {}
+        self.runs = re.compile("(▁+)([^▁]*)")
         #: A line break that no piece contains stands alone, so words end there.
         self.pattern = re.compile("▁+[^▁]*" if any("\n" in n for n in pieces.names) else "▁+[^▁\n]*|\n|[^▁\n]+")
 
@@ -244,14 +257,53 @@ class Encoder:
         """(ids of all texts in a row as uint32, offsets of the texts in them)."""
         if len(self.memory) > tokens.MEMORY:
             self.memory.clear()
-        split = [self.pattern.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts.to_pylist()]
-        offsets = np.concatenate(([0], np.cumsum(list(map(len, split)), dtype=np.int64)))
-        coded = pa.array([w for words in split for w in words], pa.string()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = self._encode_new([w for w in distinct if w not in self.memory])
-        ids = [self.memory.get(w) or new[w] for w in distinct]
-        self.memory.update((w, own) for w, own in new.items() if len(w) <= tokens.MEMORY_CHARS)
-        return tokens.gathered(ids, coded.indices.to_numpy(), offsets)
+        lists = pc.split_pattern(texts, " ")
+        coded = lists.flatten().dictionary_encode()
+        offsets, codes = lists.offsets.to_numpy().astype(np.int64), coded.indices.to_numpy()
+        offsets = offsets - offsets[0]
+        pieces = [SPACE + piece for piece in coded.dictionary.to_pylist()]
+        # a piece is a space and what follows it, unless that is another space or its mark: those texts are split whole
+        odd = np.array([len(p) == 1 or SPACE in p[1:] for p in pieces], bool)
+        runs = np.add.reduceat(np.append(odd[codes], False), offsets[:-1]) > 0 if len(texts) else np.zeros(0, bool)
+        counts, parts, begin = np.diff(offsets), [], 0
+        for row in np.flatnonzero(runs).tolist():
+            text = texts[row].as_py()
+            own = [s + w for s, w in self.runs.findall(SPACE + text.replace(" ", SPACE))] if text else []
+            parts += [codes[offsets[begin] : offsets[row]], np.arange(len(pieces), len(pieces) + len(own))]
+            counts[row], begin = len(own), row + 1
+            pieces += own
+        parts.append(codes[offsets[begin] :])
+        return tokens.gathered(self._pieces(pieces), np.concatenate(parts), np.concatenate(([0], np.cumsum(counts))))
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that begin with a space mark; they are split at line breaks into words."""
+        get = self.memory.get
+        out = [get(piece) for piece in pieces]
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        words = [self.pattern.findall(pieces[i]) for i in missing]
+        new = self._encode_new(list({w for own in words for w in own if w not in self.memory}))
+        for i, own in zip(missing, words, strict=True):
+            out[i] = ids = b"".join([get(w) or new[w] for w in own])
+            if len(pieces[i]) <= tokens.MEMORY_CHARS:
+                self.memory[pieces[i]] = ids
+        return out
+
+
+class Decoder:
+    """Texts of ids; the space mark that encoding puts in front goes."""
+
+    def __init__(self, text_of_id: tuple[bytes, ...]) -> None:
+        self.lengths = np.array(list(map(len, text_of_id)))
+        self.block = np.frombuffer(b"".join(text_of_id), np.uint8)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        sizes = self.lengths[ids]
+        ends = np.cumsum(sizes)
+        where = np.repeat(self.starts[ids] - (ends - sizes), sizes)
+        where += np.arange(len(where))
+        raw, borders = self.block[where].tobytes(), np.concatenate(([0], ends))[offsets].tolist()
+        return [raw[a:b].removeprefix(b" ").decode("utf-8", "replace") for a, b in zip(borders, borders[1:], strict=False)]
 
 
 def _cached(path: str, pieces: Pieces, encoders: dict[str, Encoder] = {}) -> Encoder:  # noqa: B006
@@ -277,7 +329,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _cached(model_path, shared.value)
-        for part in slices(batches, text_col):
+        for part in slices(batches, text_col, tokens.TEXT_BYTES):
             ids, offsets = encoder.encode(part.column(text_col).fill_null(""))
             yield part.append_column(ids_col, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32))))
 
@@ -292,19 +344,31 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", text_col: str
     shared = rows.sparkSession.sparkContext.broadcast(load_pieces(model_path).text_of_id)  # the vocabulary's texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = shared.value
-        lengths = np.array(list(map(len, names)))
-        block = np.frombuffer(b"".join(names), np.uint8)
-        starts = np.cumsum(lengths) - lengths
+        decoder = Decoder(shared.value)
         for part in batches:
             lists = part.column(ids_col)
-            ids, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-            sizes = lengths[ids]
-            ends = np.cumsum(sizes)
-            where = np.repeat(starts[ids] - (ends - sizes), sizes)
-            where += np.arange(len(where))
-            raw, borders = block[where].tobytes(), np.concatenate(([0], ends))[offsets - offsets[0]].tolist()
-            texts = [raw[a:b].removeprefix(b" ").decode("utf-8", "replace") if valid else None for a, b, valid in zip(borders, borders[1:], lists.is_valid().to_pylist(), strict=False)]
-            yield part.append_column(text_col, pa.array(texts, pa.string()))
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            texts = decoder.decode(lists.flatten().to_numpy(), offsets - offsets[0])
+            kept = [t if valid else None for t, valid in zip(texts, lists.is_valid().to_pylist(), strict=True)]
+            yield part.append_column(text_col, pa.array(kept, pa.string()))
 
     return rows.mapInArrow(run, _with(rows, text_col, StringType()))
+
+
+def round_trips(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_crc32 (unsigned, over little-endian unsigned 32-bit ids), round_trip, for each row.
+
+    Encodes every whole text and decodes the ids again; `round_trip` tells whether that gave the text. Null texts count
+    as empty: no tokens, and true. Both ways run in one Python worker for each task.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model_path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _cached(model_path, shared.value), Decoder(shared.value.text_of_id)
+        for part in slices(batches, "text", tokens.TEXT_BYTES):
+            ids, offsets = encoder.encode(part.column("text"))
+            same = [a == b for a, b in zip(decoder.decode(ids, offsets), part.column("text").to_pylist(), strict=True)]
+            sums = [zlib.crc32(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(sums, pa.int64()), pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids_crc32", "round_trip"])
+
+    return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean")

@@ -1,5 +1,7 @@
 import random
+import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
@@ -59,6 +61,11 @@ def test_rows(spark, library):
         assert r["ids"] == library.encode(text or "")
         assert r["decoded"] == (text or "").replace("▁", " ") == library.decode(r["ids"])
     assert got.limit(0).count() == 0
+    trips = sorted(sp.round_trips(docs, PATH).collect(), key=lambda r: r["doc_id"] or 0)
+    for r, (i, text, _) in zip(trips, sorted(rows, key=lambda r: r[0] or 0), strict=True):
+        ids = library.encode(text or "")
+        assert (r["doc_id"], r["n_tokens"], r["ids_crc32"]) == (i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        assert r["round_trip"]
     with pytest.raises(ValueError, match="already"):
         sp.encode(docs, PATH, ids_col="decoder")
 
