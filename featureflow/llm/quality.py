@@ -59,8 +59,11 @@ def statistics(text: str) -> list[float]:
     ]
 
 
+WIDTH = len(statistics(""))
+
+
 def described(texts: pa.Array) -> np.ndarray:
-    return np.array([statistics(text) for text in texts.to_pylist()], np.float64).reshape(len(texts), -1)
+    return np.array([statistics(text) for text in texts.to_pylist()], np.float64).reshape(len(texts), WIDTH)
 
 
 def training_sample(labels: DataFrame, label_col: str, rows: int, id_col: str = "doc_id") -> DataFrame:
@@ -90,7 +93,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     rows = docs.join(chosen, "doc_id").mapInArrow(run, "doc_id long, label int, x array<double>").toArrow().sort_by("doc_id")
     labels_np = rows["label"].to_numpy()
     values = rows["x"].combine_chunks().flatten().to_numpy() if len(labels_np) else np.zeros(0)
-    return trees.fit(values.reshape(len(labels_np), -1), labels_np, **settings)
+    return trees.fit(values.reshape(len(labels_np), WIDTH), labels_np, **settings)
 
 
 def score_quality(docs: DataFrame, forest: trees.Forest) -> DataFrame:

@@ -53,12 +53,7 @@ def token_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentence_piece_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32 (unsigned, over little-endian unsigned 32-bit ids), round_trip: decoding gives the text again."""
-    path = tokenizer_file("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = sentence_pieces.decode(sentence_pieces.encode(docs, path), path)
-    rows = both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.col("text")).alias("round_trip"), "ids")
-    return token_files.checksums(rows)
+    return sentence_pieces.round_trips(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
 def token_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +91,43 @@ select query_id, cast(rank as int) as rank, vec_id, score from ranked where rank
 _FINITE = """vec_id is not null and embedding is not null and len(embedding) > 0
   and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
 
+#: Shingles as text, an inverted index for the pairs, reachability for the components.
+_NEAR = """
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(generate_series(1, len(w) - 3), lambda i: array_to_string(w[i:i + 3], ' '))) end as sh from d),
+n as (select doc_id, len(sh) as n from s),
+u as (select doc_id, unnest(sh) as x from s),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from u a join u b using (x) where a.doc_id < b.doc_id group by all),
+l as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * c >= 80 * (na.n + nb.n - c)),
+e as (select a, b from l union all select b, a from l),
+r as (select doc_id, doc_id as c from n union select e.b, r.c from r join e on e.a = r.doc_id),
+m as (select doc_id, min(c) as component_id from r group by doc_id)
+select doc_id, n as n_shingles, component_id, doc_id = component_id as kept from n join m using (doc_id)
+"""
+#: All strings of 50 bytes as hexadecimal digits; starts to remove as islands; the rest put together again.
+_SUFFIX = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents),
+w as (select doc_id, i, substr(h, 2 * i + 1, 100) as x from d, lateral (select unnest(generate_series(0, n - 50)) as i)),
+f as (select x, min(doc_id) as least from w group by x having min(doc_id) < max(doc_id)),
+g as (select doc_id, i from w join f using (x) where least < doc_id),
+k as (select doc_id, i, coalesce(i - lag(i) over (partition by doc_id order by i) > 50, true) as fresh from g),
+c as (select doc_id, i, sum(fresh::int) over (partition by doc_id order by i) as run from k),
+r as (select doc_id, run, min(i) as a, max(i) + 50 as b from c group by all),
+z as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as z from r),
+kept as (
+  select doc_id, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' order by a) || substr(any_value(h), 2 * max(b) + 1) as h,
+    sum(b - a)::bigint as n_removed, count(*) as n_spans from z join d using (doc_id) group by doc_id)
+select d.doc_id, d.n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(kept.h, d.h))) as kept_sha256 from d left join kept using (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_near_copies": _NEAR,
+    "op9_suffix_removals": _SUFFIX,
     "op2_exact_top_k": _SEARCH.format(
         vectors=f"select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings where {_FINITE}",
         score="cast(list_inner_product(q.v, c.v) as bigint)",

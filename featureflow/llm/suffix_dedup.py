@@ -10,7 +10,7 @@ shared gram are ranked again by the gram and half of the rest on its right, and
 holds one of the two. What is still shared reaches the last round, which sorts each string's start by the pair (rank
 of the first half, rank of the second half): offset and length reach the threshold, and the doubling ends.
 
-Ranks are 64-bit names of the bytes. Before each sort a task combines what it has: of equal keys only the smallest
+Ranks are 64-bit names of the bytes, and strings count as equal if names of 96 bits or more agree. Before each sort a task combines what it has: of equal keys only the smallest
 document is sent, so a passage in a third of all documents is one row from each task.
 """
 
@@ -37,6 +37,8 @@ _POWER = np.uint64(0x5851F42D4C957F2D)
 _INVERSE = np.uint64(pow(int(_POWER), -1, 1 << 64))
 _NAMES = mixed(np.arange(1, 513, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, 256)
 _PLACE = (1 << 24) - 1
+#: The rank of a second half has 32 bits, beside 64 of the first: the largest sort gets by with less.
+_SHORT = np.uint64((1 << 32) - 1)
 
 
 class Hashes:
@@ -256,7 +258,7 @@ def _last_round(span: int):
                 begin += np.arange(len(begin)) - np.repeat(np.cumsum(count) - count, count)
                 text = np.repeat(text, count)
                 names = [Hashes(data, i) for i in range(2)]
-                found.append((text + row, names[0].of(begin, begin + half), names[1].of(begin + half, begin + span), begin - offsets[text]))
+                found.append((text + row, names[0].of(begin, begin + half), names[1].of(begin + half, begin + span) & _SHORT, begin - offsets[text]))
             text, head, tail, begin = (np.concatenate(x) for x in zip(*found, strict=True))
             doc, tag = ids[text], tags[text]
             group, least = _group_least((head, tail), doc)
