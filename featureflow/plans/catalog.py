@@ -279,7 +279,7 @@ def hash_sample(spark: SparkSession, root: str) -> DataFrame:
 
 
 def min_class_filter(spark: SparkSession, root: str) -> DataFrame:
-    return sampling.min_class_filter(_table(spark, root, "events", "event_id", "user_id"), "user_id", 70, "event_id")
+    return sampling.min_class_filter(_table(spark, root, "events", "event_id", "user_id"), "user_id", 70)
 
 
 def excluded_classes(spark: SparkSession, root: str) -> DataFrame:
