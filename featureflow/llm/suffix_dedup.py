@@ -36,7 +36,8 @@ HASH_BYTES = 1 << 17
 _POWER = np.uint64(0x5851F42D4C957F2D)
 _INVERSE = np.uint64(pow(int(_POWER), -1, 1 << 64))
 _NAMES = mixed(np.arange(1, 513, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, 256)
-_PLACE = (1 << 24) - 1
+#: Low bits of a gram's hash that give way to its place, so that ties go to the leftmost; a block has fewer bytes.
+_PLACE = (1 << 31) - 1
 #: The rank of a second half has 32 bits, beside 64 of the first: the largest sort gets by with less.
 _SHORT = np.uint64((1 << 32) - 1)
 
@@ -92,11 +93,11 @@ def sampled(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tupl
         none = np.zeros(0, np.int64)
         return none, none.view(np.uint64), none.view(np.uint64), none, none, none
     grams = Hashes(data, 0).every(gram)
-    order = (grams & ~np.uint64(_PLACE)) | (np.arange(len(grams), dtype=np.uint64) & np.uint64(_PLACE))  # ties: the leftmost
+    order = (grams & ~np.uint64(_PLACE)) | np.arange(len(grams), dtype=np.uint64)
     least = sliding_least(order, span - gram + 1)
     text = np.repeat(np.arange(len(starts)), starts)
     start = np.arange(total) + np.repeat(offsets[:-1] - (np.cumsum(starts) - starts), starts)
-    picked = start + ((least[start] & np.uint64(_PLACE)).astype(np.int64) - (start & _PLACE)) % (_PLACE + 1)
+    picked = (least[start] & np.uint64(_PLACE)).astype(np.int64)
     fresh = np.ones(total, bool)
     fresh[1:] = (picked[1:] != picked[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(fresh)
