@@ -94,7 +94,7 @@ def covariance(
     block = np.zeros((d + 1, d + 1))
     for row in moments(df, column, pivot).collect():
         block[row["i"], row["i"]:] = row["s"]
-    n = int(block[0, 0])
+    n = round(block[0, 0]) if np.isfinite(block[0, 0]) else 0  # the summed count has the rounding of a mean
     if n < 2:
         raise ValueError("a covariance needs at least two vectors")
     if not np.isfinite(block).all():
@@ -109,7 +109,7 @@ def covariance_long(df: DataFrame, column: str = "features") -> DataFrame:
     """Sample covariance as ``i, j, covariance`` (zero-based, both triangles); the matrix stays distributed."""
     sums = moments(df, column, pivot_vector(df, column))
     first = sums.filter(F.col("i") == 0).select("s").scalar()
-    n = first[0]
+    n = F.round(first[0])
     cells = sums.filter(F.col("i") > 0).select(F.col("i"), F.posexplode("s").alias("o", "q"))
     a, b = F.col("i"), F.col("i") + F.col("o")
     value = F.try_divide(F.col("q") - first[a] * first[b] / n, n - 1)

@@ -32,27 +32,51 @@ def finite(values: Column) -> Column:
     return F.filter(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
 
 
+def _elements(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(finite elements, row of each) of a list column without null lists."""
+    x = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    keep = np.isfinite(x)
+    return x[keep], row[keep]
+
+
 def feature_stats(df: DataFrame, column: str = "features") -> DataFrame:
     """min, max, mean and population standard deviation over all finite vector elements, and the number of others.
 
-    Null elements are not counted at all. The deviation is summed around the mean in a second pass.
+    Null elements are not counted at all. Each task sends its count, mean and squares around it, which add up exactly.
     """
-    whole = df.select(as_array(df, column).alias("v")).filter(F.col("v").isNotNull())
-    rows = whole.select(finite(F.col("v")).alias("v"), F.size(F.filter("v", lambda x: x.isNotNull())).alias("present"))
-    total = F.aggregate("v", F.lit(0.0), lambda a, x: a + x)
-    first = rows.agg(
-        F.coalesce(F.sum(F.size("v")), F.lit(0)).cast("long").alias("n_values"),
-        F.coalesce(F.sum(F.col("present") - F.size("v")), F.lit(0)).cast("long").alias("n_nonfinite"),
-        F.min(F.array_min("v")).alias("min_value"),
-        F.max(F.array_max("v")).alias("max_value"),
-        F.sum(total).alias("total"),
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = others = 0
+        mean = squares = 0.0
+        low, high = np.inf, -np.inf
+        for batch in batches:
+            lists = batch.column("v")
+            x, _ = _elements(lists)
+            flat = lists.flatten()
+            others += len(flat) - flat.null_count - len(x)
+            if len(x):
+                own, shift = x.mean(), x.mean() - mean
+                squares += ((x - own) ** 2).sum() + shift**2 * n * len(x) / (n + len(x))
+                mean += shift * len(x) / (n + len(x))
+                n += len(x)
+                low, high = min(low, x.min()), max(high, x.max())
+        yield pa.record_batch([pa.array([v]) for v in (n, others, float(low), float(high), float(mean), float(squares))], ["n", "others", "low", "high", "mean", "squares"])
+
+    rows = df.select(as_array(df, column).alias("v")).filter(F.col("v").isNotNull())
+    parts = rows.mapInArrow(partial, "n long, others long, low double, high double, mean double, squares double")
+    used = F.col("n") > 0
+    one = parts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_values"),
+        F.coalesce(F.sum("others"), F.lit(0)).alias("n_nonfinite"),
+        F.min(F.when(used, F.col("low"))).alias("min_value"),
+        F.max(F.when(used, F.col("high"))).alias("max_value"),
+        rules.ratio(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("mean_value"),
+        F.collect_list(F.when(used, F.struct("n", "mean", "squares"))).alias("tasks"),
     )
-    mean = first.select(rules.ratio(F.col("total"), F.col("n_values"))).scalar()
-    squares = rows.select("v", mean.alias("m")).agg(F.sum(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x - F.col("m")) * (x - F.col("m")))))
-    return first.select(
-        "n_values", "n_nonfinite", "min_value", "max_value", rules.ratio(F.col("total"), F.col("n_values")).alias("mean_value"),
-        F.sqrt(rules.ratio(squares.scalar(), F.col("n_values"))).alias("std_value"),
-    )
+    between = lambda a, t: a + t["squares"] + t["n"] * (t["mean"] - F.col("mean_value")) * (t["mean"] - F.col("mean_value"))
+    squares = F.aggregate("tasks", F.lit(0.0), between)
+    return one.select("n_values", "n_nonfinite", "min_value", "max_value", "mean_value", F.sqrt(rules.ratio(squares, F.col("n_values"))).alias("std_value"))
 
 
 def feature_histogram(df: DataFrame, column: str = "features", bins: int = 50) -> DataFrame:
@@ -112,7 +136,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
     """
     probabilities = sorted(probabilities)
     values = F.col(value) if isinstance(df.schema[value].dataType, T.ArrayType) else F.array(value)
-    rows = df.select(F.col(group).alias("g"), finite(values.cast("array<double>")).alias("v")).filter(F.size("v") > 0)
+    rows = df.select(F.col(group).alias("g"), values.cast("array<double>").alias("v")).filter(F.col("v").isNotNull())
     fields = {f.name: f.dataType for f in rows.schema.fields}
     counted = _schema(fields["g"], slot=T.IntegerType(), prefix=T.LongType(), rank=T.LongType(), n=T.LongType(), digit=T.IntegerType(), c=T.LongType())
     wanted = [r for q in probabilities for r in (F.floor(F.lit(q) * (F.col("n") - 1)), F.ceil(F.lit(q) * (F.col("n") - 1)))]
@@ -166,10 +190,8 @@ def _digits(level: int, slots: int):
             if not batch.num_rows:
                 continue
             coded = batch.column("g").dictionary_encode("encode")
-            lists = batch.column("v")
-            sizes = np.diff(lists.offsets.to_numpy())
-            row = np.repeat(np.arange(batch.num_rows), sizes)
-            keys = sort_keys(lists.flatten().to_numpy(zero_copy_only=False))
+            x, row = _elements(batch.column("v"))
+            keys = sort_keys(x)
             code = coded.indices.to_numpy()
             digit = ((keys >> shift) & np.uint64((1 << DIGIT_BITS) - 1)).astype(np.int64)
             if level:
@@ -204,7 +226,7 @@ def class_box_stats(df: DataFrame, column: str = "features", label: str = "label
     if classes is not None:
         chosen = class_counts(df, label).orderBy(label).limit(classes).select(F.col(label).alias("__g"))
         df = df.join(chosen, F.col(label).eqNullSafe(F.col("__g")), "left_semi")
-    rows = df.select(label, finite(as_array(df, column)).alias("v")).filter(F.size("v") > 0)
+    rows = df.select(label, as_array(df, column).alias("v")).filter(F.col("v").isNotNull())
     quartiles = exact_quantiles(rows, label, "v").select(
         F.col(label).alias("__g"),
         "n",
@@ -212,12 +234,25 @@ def class_box_stats(df: DataFrame, column: str = "features", label: str = "label
         F.col("quantiles")[1].alias("median"),
         F.col("quantiles")[2].alias("q3"),
     )
-    iqr = F.col("q3") - F.col("q1")
-    fenced = rows.join(quartiles, F.col(label).eqNullSafe(F.col("__g")))
-    inside = F.filter("v", lambda x: x.between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr))
-    return fenced.groupBy(label, "n", "q1", "median", "q3").agg(
-        F.min(F.array_min(inside)).alias("whisker_low"), F.max(F.array_max(inside)).alias("whisker_high")
-    )
+    fenced = rows.join(quartiles, F.col(label).eqNullSafe(F.col("__g"))).select(label, "v", "n", "q1", "median", "q3")
+    kept = [label, "n", "q1", "median", "q3"]
+
+    def whiskers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, row = _elements(batch.column("v"))
+            q1, q3 = batch.column("q1").to_numpy()[row], batch.column("q3").to_numpy()[row]
+            inside = (x >= q1 - 1.5 * (q3 - q1)) & (x <= q3 + 1.5 * (q3 - q1))
+            code = batch.column(label).dictionary_encode("encode").indices.to_numpy()
+            first = np.unique(code, return_index=True)[1]
+            low, high = np.full(len(first), np.inf), np.full(len(first), -np.inf)
+            np.minimum.at(low, code[row[inside]], x[inside])
+            np.maximum.at(high, code[row[inside]], x[inside])
+            seen = np.flatnonzero(low <= high)
+            out = batch.select(kept).take(pa.array(first[seen]))
+            yield pa.record_batch([*out.columns, pa.array(low[seen]), pa.array(high[seen])], [*kept, "low", "high"])
+
+    partial = T.StructType([*(f for f in fenced.schema.fields if f.name in kept), T.StructField("low", T.DoubleType()), T.StructField("high", T.DoubleType())])
+    return fenced.mapInArrow(whiskers, partial).groupBy(*kept).agg(F.min("low").alias("whisker_low"), F.max("high").alias("whisker_high"))
 
 
 def component_variance(df: DataFrame, column: str = "features", first: int | None = None) -> DataFrame:

@@ -152,7 +152,10 @@ def test_moments_keep_the_tasks_of_the_scan(spark):
     x = np.random.default_rng(8).normal(size=(50, 600))
     df = spark.createDataFrame([(v.tolist(),) for v in x], "features array<double>").repartition(37)
     assert "Coalesce" not in gram.moments(df, "features", x[0])._jdf.queryExecution().executedPlan().toString()
-    np.testing.assert_allclose(gram.covariance(df)[2], np.cov(x.T), atol=1e-9)
+    n, mean, cov = gram.covariance(df)
+    assert n == 50
+    np.testing.assert_allclose(mean, x.mean(axis=0), atol=1e-9)
+    np.testing.assert_allclose(cov, np.cov(x.T), atol=1e-9)
     plan = gram.moments(df, "features", x[0], tasks=2)._jdf.queryExecution().executedPlan().toString()
     assert "Coalesce 2" in plan
 
