@@ -20,6 +20,7 @@ from featureflow.functions import rules
 from featureflow.functions.vectors import as_array
 from featureflow.operators import gram
 from featureflow.operators.classes import class_counts
+from featureflow.sources.settle import join_classes, settle_classes
 
 QUARTILES = (0.25, 0.5, 0.75)
 #: Bits of the sort key that one pass over the rows settles, and passes until all 64 are known.
@@ -132,7 +133,8 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
 
     A radix selection: each pass counts the next digit of the sort keys that begin like a wanted one, so what leaves
     a task is at most one count for each group, rank and digit, no group is gathered or sorted anywhere, and the
-    number of passes does not depend on the data. Null groups are a group; nulls, NaN and infinite values are left out.
+    number of passes does not depend on the data. The ranks found so far go back to the rows as a class table, which
+    is sent to the tasks if it is small; the passes run when the frame is built. Null groups are a group; nulls, NaN and infinite values are left out.
     """
     probabilities = sorted(probabilities)
     values = F.col(value) if isinstance(df.schema[value].dataType, T.ArrayType) else F.array(value)
@@ -145,8 +147,8 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
         if found is None:
             parts = rows.mapInArrow(_digits(level, 1), counted)
         else:
-            near = found.withColumnRenamed("g", "g_")
-            parts = rows.join(near, F.col("g").eqNullSafe(F.col("g_"))).select("g", "v", "prefixes", "ranks", "n").mapInArrow(_digits(level, len(wanted)), counted)
+            near = join_classes(rows, found, "g").select("g", "v", "prefixes", "ranks", "n")
+            parts = near.mapInArrow(_digits(level, len(wanted)), counted)
         counts = parts.groupBy("g", "slot", "digit").agg(F.sum("c").alias("c"), F.first("prefix").alias("prefix"), F.first("rank").alias("rank"), F.first("n").alias("n"))
         by_slot = Window.partitionBy("g", "slot")
         upto = F.sum("c").over(by_slot.orderBy("digit"))
@@ -161,7 +163,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
         hit = placed.filter((start <= F.col("rank")) & (F.col("rank") < F.col("upto")))
         prefix = F.shiftleft("prefix", DIGIT_BITS).bitwiseOR(F.col("digit").cast("long"))
         lists = hit.groupBy("g", "n").agg(F.array_sort(F.collect_list(F.struct("slot", prefix.alias("prefix"), (F.col("rank") - start).alias("rank")))).alias("t"))
-        found = lists.select("g", "n", F.col("t.prefix").alias("prefixes"), F.col("t.rank").alias("ranks"))
+        found = settle_classes(lists.select("g", "n", F.col("t.prefix").alias("prefixes"), F.col("t.rank").alias("ranks")))
 
     def values_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,7 +176,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
             yield pa.record_batch([batch.column("g"), batch.column("n"), lists], ["g", "n", "quantiles"])
 
     result = _schema(fields["g"], n=T.LongType(), quantiles=T.ArrayType(T.DoubleType()))
-    return found.select("g", "n", "prefixes").mapInArrow(values_of, result).withColumnRenamed("g", group)
+    return found.frame.select("g", "n", "prefixes").mapInArrow(values_of, result).withColumnRenamed("g", group)
 
 
 def _schema(group: T.DataType, **others: T.DataType) -> T.StructType:
@@ -228,13 +230,13 @@ def class_box_stats(df: DataFrame, column: str = "features", label: str = "label
         df = df.join(chosen, F.col(label).eqNullSafe(F.col("__g")), "left_semi")
     rows = df.select(label, as_array(df, column).alias("v")).filter(F.col("v").isNotNull())
     quartiles = exact_quantiles(rows, label, "v").select(
-        F.col(label).alias("__g"),
+        label,
         "n",
         F.col("quantiles")[0].alias("q1"),
         F.col("quantiles")[1].alias("median"),
         F.col("quantiles")[2].alias("q3"),
     )
-    fenced = rows.join(quartiles, F.col(label).eqNullSafe(F.col("__g"))).select(label, "v", "n", "q1", "median", "q3")
+    fenced = join_classes(rows, settle_classes(quartiles), label).select(label, "v", "n", "q1", "median", "q3")
     kept = [label, "n", "q1", "median", "q3"]
 
     def whiskers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
