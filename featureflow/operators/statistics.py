@@ -23,9 +23,8 @@ from featureflow.operators.classes import class_counts
 from featureflow.sources.settle import join_classes, settle_classes
 
 QUARTILES = (0.25, 0.5, 0.75)
-#: Bits of the sort key that one pass over the rows settles, and passes until all 64 are known.
-DIGIT_BITS = 16
-PASSES = 64 // DIGIT_BITS
+#: Bits of the sort key that each pass over the rows settles; all 64 in the end.
+DIGIT_BITS = (22, 22, 20)
 
 
 def finite(values: Column) -> Column:
@@ -143,7 +142,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
     counted = _schema(fields["g"], slot=T.IntegerType(), prefix=T.LongType(), rank=T.LongType(), n=T.LongType(), digit=T.IntegerType(), c=T.LongType())
     wanted = [r for q in probabilities for r in (F.floor(F.lit(q) * (F.col("n") - 1)), F.ceil(F.lit(q) * (F.col("n") - 1)))]
     found = None
-    for level in range(PASSES):
+    for level, bits in enumerate(DIGIT_BITS):
         if found is None:
             parts = rows.mapInArrow(_digits(level, 1), counted)
         else:
@@ -161,7 +160,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
             placed = counts.withColumn("upto", upto)
         start = F.col("upto") - F.col("c")
         hit = placed.filter((start <= F.col("rank")) & (F.col("rank") < F.col("upto")))
-        prefix = F.shiftleft("prefix", DIGIT_BITS).bitwiseOR(F.col("digit").cast("long"))
+        prefix = F.shiftleft("prefix", bits).bitwiseOR(F.col("digit").cast("long"))
         lists = hit.groupBy("g", "n").agg(F.array_sort(F.collect_list(F.struct("slot", prefix.alias("prefix"), (F.col("rank") - start).alias("rank")))).alias("t"))
         found = settle_classes(lists.select("g", "n", F.col("t.prefix").alias("prefixes"), F.col("t.rank").alias("ranks")))
 
@@ -185,7 +184,8 @@ def _schema(group: T.DataType, **others: T.DataType) -> T.StructType:
 
 def _digits(level: int, slots: int):
     """Counts of the digit after each wanted prefix. At level 0 all elements of a group share the empty prefix."""
-    shift = np.uint64(64 - DIGIT_BITS * (level + 1))
+    bits, known = DIGIT_BITS[level], sum(DIGIT_BITS[:level])
+    shift, mask = np.uint64(64 - known - bits), (1 << bits) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,16 +195,16 @@ def _digits(level: int, slots: int):
             x, row = _elements(batch.column("v"))
             keys = sort_keys(x)
             code = coded.indices.to_numpy()
-            digit = ((keys >> shift) & np.uint64((1 << DIGIT_BITS) - 1)).astype(np.int64)
+            digit = ((keys >> shift) & np.uint64(mask)).astype(np.int64)
             if level:
                 prefixes = batch.column("prefixes").flatten().to_numpy().reshape(-1, slots)
                 ranks = batch.column("ranks").flatten().to_numpy().reshape(-1, slots)
-                begins = (keys >> np.uint64(64 - DIGIT_BITS * level)).view(np.int64)
+                begins = (keys >> np.uint64(64 - known)).view(np.int64)
                 totals = batch.column("n").to_numpy()
             for slot in range(slots):
                 use = begins == prefixes[row, slot] if level else slice(None)
-                both, counts = np.unique(code[row[use]].astype(np.int64) << DIGIT_BITS | digit[use], return_counts=True)
-                groups = both >> DIGIT_BITS
+                both, counts = np.unique(code[row[use]].astype(np.int64) << bits | digit[use], return_counts=True)
+                groups = both >> bits
                 _, first = np.unique(code, return_index=True)  # a row of each group, in the order of the codes
                 at = first[groups]
                 zeros = np.zeros(len(both), np.int64)
@@ -212,7 +212,7 @@ def _digits(level: int, slots: int):
                     [
                         coded.dictionary.take(pa.array(groups)), pa.array(np.full(len(both), slot, np.int32)),
                         pa.array(prefixes[at, slot] if level else zeros), pa.array(ranks[at, slot] if level else zeros),
-                        pa.array(totals[at] if level else zeros), pa.array((both & ((1 << DIGIT_BITS) - 1)).astype(np.int32)), pa.array(counts),
+                        pa.array(totals[at] if level else zeros), pa.array((both & mask).astype(np.int32)), pa.array(counts),
                     ],
                     ["g", "slot", "prefix", "rank", "n", "digit", "c"],
                 )
