@@ -76,6 +76,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             held += size
         if begin < batch.num_rows:
             yield batch.slice(begin)
+        del batch
+    pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
 
 def judged(docs: DataFrame, text_col: str, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:

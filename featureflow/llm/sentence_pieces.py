@@ -370,5 +370,6 @@ def round_trips(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_c
             same = [a == b for a, b in zip(decoder.decode(ids, offsets), part.column("text").to_pylist(), strict=True)]
             sums = [zlib.crc32(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(sums, pa.int64()), pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids_crc32", "round_trip"])
+        encoder.memory.clear()  # the worker stays for other tasks
 
     return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean")

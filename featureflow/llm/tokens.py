@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 #: Texts encoded at once in a task.
 TEXT_BYTES = 8 << 20
 #: Words and pieces remembered by a Python worker; beyond that the memory starts anew. Longer ones are not remembered.
-MEMORY = 200_000
+MEMORY = 150_000
 MEMORY_CHARS = 40
 #: The contractions in the vocabulary's split pattern.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
