@@ -40,9 +40,13 @@ def survivors(query: np.ndarray, length: float, bound: float, unit: np.ndarray,
         return slice(int(np.searchsorted(-lengths, -bound / length * (1 - _SLACK), "right")))
     direction = query / length
     focus = np.argsort(-np.abs(direction), kind="stable")[:FOCUS]
-    centre = direction[focus] * cosine
-    reach = np.sqrt(np.maximum((1 - direction[focus] ** 2) * (1 - cosine**2), 0)) + 1e-7
-    return np.flatnonzero((np.abs(unit[:, focus] - centre) <= reach).all(1))
+    own = direction[focus]
+    centre = own * cosine
+    reach = np.sqrt(np.maximum((1 - own**2) * (1 - cosine**2), 0)) + 1e-7
+    # the cone around the direction reaches the axis itself where the direction is that close to it
+    high = np.where(own >= cosine - 1e-7, np.inf, centre + reach)
+    low = np.where(own <= 1e-7 - cosine, -np.inf, centre - reach)
+    return np.flatnonzero(((unit[:, focus] >= low) & (unit[:, focus] <= high)).all(1))
 
 
 def search_cell(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:

@@ -84,6 +84,37 @@ def test_pruning_loses_nothing():
             assert set(np.flatnonzero(scores >= bound)) <= set(np.arange(500)[near])
 
 
+def dominant_vectors(dim: int) -> np.ndarray:
+    """Whole numbers where one or two components outweigh the others, with copies and multiples of one direction, and opposites."""
+    r = np.random.default_rng(dim)
+    x = np.floor(r.normal(size=(400, dim)) * 20) * (r.random((400, dim)) < 0.5)
+    x[np.arange(200), r.integers(0, dim, 200)] += r.choice([-300, 300], 200)
+    one_hot = np.eye(dim)[r.integers(0, dim, 60)] * r.choice([-300, -200, 200, 300], 60)[:, None]
+    return np.vstack((x, one_hot, x[:40], -x[:40], 2 * x[40:60]))
+
+
+@pytest.mark.parametrize("dim", [1, 2, 3, 4, 12])
+def test_pruning_loses_nothing_near_an_axis(dim):
+    c = dominant_vectors(dim)
+    lengths = np.sqrt((c**2).sum(1))
+    c, lengths = c[np.argsort(-lengths, kind="stable")], np.sort(lengths)[::-1]
+    unit = c / np.maximum(lengths, 1e-300)[:, None]
+    for q in c[:: 1 + len(c) // 120]:
+        scores, length = c @ q, float(np.sqrt(q @ q))
+        for cosine in (0.3, 0.5, 0.55, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99, 1.0):
+            bound = cosine * length * lengths[0]
+            near = norm_search.survivors(q, length, bound, unit, lengths)
+            assert set(np.flatnonzero(scores >= bound)) <= set(np.arange(len(c))[near])
+
+
+@pytest.mark.parametrize("dim", [2, 4, 12])
+def test_exact_top_k_near_an_axis(spark, monkeypatch, dim):
+    monkeypatch.setattr(norm_search, "CELL_ROWS", 64)
+    rows = [(i * 5, v.tolist(), "x") for i, v in enumerate(dominant_vectors(dim))]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("embedding", "vector").repartition(4)
+    assert lists(norm_search.top_k(frame, frame.where("vec_id % 20 = 0"), 7)) == brute_force(rows, 7, True)
+
+
 def test_no_queries_no_candidates_few_candidates(spark):
     frame = spark.createDataFrame([(20, [1.0, 0.0], "a"), (21, [0.0, 2.0], "b")], SCHEMA)
     for found in (block_search.nearest(frame.limit(0), frame), block_search.nearest(frame, frame.limit(0))):
