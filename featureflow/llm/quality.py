@@ -66,14 +66,16 @@ def described(texts: pa.Array) -> np.ndarray:
     return np.array([statistics(text) for text in texts.to_pylist()], np.float64).reshape(len(texts), WIDTH)
 
 
-def training_sample(labels: DataFrame, label_col: str, rows: int, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, label): labelled ids, one row each, at most `rows` of them, those with the smallest hashes.
+def training_sample(labels: DataFrame, label_col: str, rows: int, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, label): labelled ids of `docs`, one row each, at most `rows` of them, those with the smallest hashes.
 
-    Labels other than 0 and 1 and null ids are left out; contradictory labels of an id count as 1.
+    Labels other than 0 and 1 and null ids are left out; contradictory labels of an id count as 1. Labels without a
+    document take no place in the sample.
     """
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     known = known.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
-    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    here = docs.select("doc_id").where("doc_id is not null").distinct()
+    return known.join(here, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, label_col: str = "quality", **settings) -> trees.Forest:
@@ -81,7 +83,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 
     Statistics are computed where the texts are; the driver gets a row of some 30 numbers for each sampled document.
     """
-    chosen = F.broadcast(training_sample(labels, label_col, sample_rows))  # at most sample_rows rows of 12 bytes
+    chosen = F.broadcast(training_sample(labels, label_col, sample_rows, docs))  # at most sample_rows rows of 12 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):

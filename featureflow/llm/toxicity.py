@@ -116,7 +116,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
 
     Word counts and sentences are made on the executors; the driver gets the vocabulary and word numbers of the sample.
     """
-    chosen = F.broadcast(training_sample(labels, label_col, sample_rows))  # at most sample_rows rows of 12 bytes
+    chosen = F.broadcast(training_sample(labels, label_col, sample_rows, docs))  # at most sample_rows rows of 12 bytes
     sample = stored(docs.join(chosen, "doc_id").select("doc_id", "label", "text"))
     words = _word_sums(sample, vocabulary, least_docs)
     found = _instances(sample, words)

@@ -90,6 +90,20 @@ def test_toxicity_on_held_out_documents(frames):
     assert got[9000]["score"] == got[9001]["score"] == 0
 
 
+def test_labels_without_a_document_take_no_place(spark, frames):
+    docs, labels, rows = frames
+    strange = spark.range(100_000, 130_000).selectExpr("id as doc_id", "cast(1 as int) as quality", "cast(0 as int) as toxic")
+    many = labels.unionByName(strange)
+    texts = docs.select("doc_id", "text")
+    chosen = {r["doc_id"] for r in quality.training_sample(many, "quality", 300, texts).collect()}
+    assert len(chosen) == 300 and chosen <= {i for i, *_ in rows if i % 3}
+    held = [(i, q, t) for i, _, q, t in rows if i % 3 == 0]
+    good = {r["doc_id"]: r["predicted"] for r in quality.classify(docs, many, sample_rows=300).collect()}
+    assert np.mean([good[i] == q for i, q, _ in held]) > 0.97
+    bad = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(docs, many, sample_rows=300).collect()}
+    assert np.mean([bad[i] == t for i, _, t in held]) > 0.95
+
+
 def test_noisy_or():
     model = toxicity.Model({"bad": 4.0, "fine": -1.0}, -3.0)
     text = "A fine day. A bad bad day! 12 34\nBad fine"
