@@ -8,8 +8,10 @@ sentences need no labels, and the fitted sentence scores say where a document of
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from featureflow.llm.common import judged, slices, stored, texts_of
 from featureflow.llm.quality import training_sample
 
-#: Labelled documents the model is fitted on at most, and words it may know.
+#: Labelled documents the model is fitted on at most, words it may know, and documents of a full sample a word must be in.
 SAMPLE_ROWS = 10_000
 VOCABULARY = 3000
 LEAST_DOCS = 8
@@ -52,6 +54,11 @@ class Model:
         return float(-np.expm1(-np.logaddexp(0, logits).sum())) if logits else 0.0
 
 
+def floor_of(documents: int, least: int = LEAST_DOCS) -> int:
+    """Documents a word must be in: `least` for a full sample, in proportion for a smaller one, but 2."""
+    return min(least, max(2, -(-least * documents // SAMPLE_ROWS)))
+
+
 def _word_sums(rows: DataFrame, vocabulary: int, least: int) -> list[str]:
     """The words whose presence says most about the label, by chi-square over document counts."""
 
@@ -66,31 +73,38 @@ def _word_sums(rows: DataFrame, vocabulary: int, least: int) -> list[str]:
     total, positive = rows.agg(F.count("*"), F.sum("label")).head()
     share = F.lit((positive or 0) / max(total, 1))
     surprise = F.abs(F.col("pos") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1e-9)
-    best = counts.where(F.col("n") >= least).orderBy(F.desc(surprise), "word").limit(vocabulary)
+    best = counts.where(F.col("n") >= floor_of(total, least)).orderBy(F.desc(surprise), "word").limit(vocabulary)
     return [row["word"] for row in best.select("word").collect()]
 
 
 def _instances(rows: DataFrame, vocabulary: list[str]) -> pa.Table:
-    """doc_id, label, sizes (known words of each sentence with words), words (their numbers, sentence after sentence)."""
+    """doc_id, label, sizes, times, words: of the different sets of known words that the document's sentences have.
+
+    A row holds the sets' sizes, how many sentences have each, and the words' numbers, set after set. Sentences without
+    a word are left out; those without a known one share the empty set.
+    """
     numbers = rows.sparkSession.sparkContext.broadcast({word: i for i, word in enumerate(vocabulary)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = numbers.value
         for part in slices(batches, "text"):
-            sizes, words = [], []
+            sizes, times, words = [], [], []
             for text in part.column("text").to_pylist():
-                own = [sorted(known[w] for w in known.keys() & set(s)) for s in map(words_of, _SENTENCE.findall(text)) if s]
+                own = Counter(tuple(sorted(known[w] for w in known.keys() & set(s))) for s in map(words_of, map(itemgetter(0), _SENTENCE.finditer(text))) if s)
                 sizes.append([len(s) for s in own])
+                times.append(list(own.values()))
                 words.append([w for s in own for w in s])
-            yield pa.record_batch([part.column("doc_id"), part.column("label"), pa.array(sizes, pa.list_(pa.int32())), pa.array(words, pa.list_(pa.int32()))], ["doc_id", "label", "sizes", "words"])
+            lists = [pa.array(x, pa.list_(kind)) for x, kind in ((sizes, pa.int32()), (times, pa.int64()), (words, pa.int32()))]
+            yield pa.record_batch([part.column("doc_id"), part.column("label"), *lists], ["doc_id", "label", "sizes", "times", "words"])
 
-    return rows.mapInArrow(run, "doc_id long, label int, sizes array<int>, words array<int>").toArrow().sort_by("doc_id")
+    return rows.mapInArrow(run, "doc_id long, label int, sizes array<int>, times array<long>, words array<int>").toArrow().sort_by("doc_id")
 
 
-def fit_noisy_or(labels: np.ndarray, doc: np.ndarray, sentence: np.ndarray, word: np.ndarray, vocabulary: int, steps: int = 300, rate: float = 0.1, shrink: float = 2e-4) -> tuple[np.ndarray, float]:
+def fit_noisy_or(labels: np.ndarray, doc: np.ndarray, times: np.ndarray, sentence: np.ndarray, word: np.ndarray, vocabulary: int, steps: int = 300, rate: float = 0.1, shrink: float = 2e-4) -> tuple[np.ndarray, float]:
     """Weights and bias by Adam on the documents' log-likelihood under the noisy-or, with an L1 pull towards 0.
 
-    doc: document of each sentence; sentence, word: one entry for each known word of a sentence.
+    doc, times: document of each sentence, and how often it is there; sentence, word: one entry for each known word of
+    a sentence.
     """
     n_docs, n_sentences = len(labels), len(doc)
     weights = np.zeros(vocabulary + 1)  # the last is the bias
@@ -98,10 +112,10 @@ def fit_noisy_or(labels: np.ndarray, doc: np.ndarray, sentence: np.ndarray, word
     mean, square = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, steps + 1):
         z = np.bincount(sentence, weights[word], n_sentences) + weights[-1]
-        harm = np.bincount(doc, np.logaddexp(0, z), n_docs)
+        harm = np.bincount(doc, times * np.logaddexp(0, z), n_docs)
         # derivative of the log-likelihood in `harm`: -1 for label 0, 1 / (e^harm - 1) for label 1
         pull = np.where(labels > 0, 1 / np.expm1(np.clip(harm, 1e-4, 50)), -1.0)
-        dz = pull[doc] / (1 + np.exp(-np.clip(z, -50, 50)))
+        dz = times * pull[doc] / (1 + np.exp(-np.clip(z, -50, 50)))
         grad = np.append(np.bincount(word, dz[sentence], vocabulary), dz.sum()) / n_docs
         mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad**2
         move = rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-5)
@@ -114,7 +128,8 @@ def fit_noisy_or(labels: np.ndarray, doc: np.ndarray, sentence: np.ndarray, word
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY, least_docs: int = LEAST_DOCS, label_col: str = "toxic") -> Model:
     """Fits the model on at most `sample_rows` labelled documents (hash sample), stored once and read twice.
 
-    Word counts and sentences are made on the executors; the driver gets the vocabulary and word numbers of the sample.
+    Word counts and sentences are made on the executors; the driver gets the vocabulary and, for each sampled document,
+    the word numbers of its different sentences. A word must be in `floor_of` documents of the sample.
     """
     chosen = F.broadcast(training_sample(labels, label_col, sample_rows, docs))  # at most sample_rows rows of 12 bytes
     sample = stored(docs.join(chosen, "doc_id").select("doc_id", "label", "text"))
@@ -126,7 +141,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     sizes = found["sizes"].combine_chunks()
     doc = np.repeat(np.arange(len(y)), np.diff(sizes.offsets.to_numpy()))
     sentence = np.repeat(np.arange(len(doc)), sizes.flatten().to_numpy())
-    weights, bias = fit_noisy_or(y, doc, sentence, found["words"].combine_chunks().flatten().to_numpy(), len(words))
+    weights, bias = fit_noisy_or(y, doc, found["times"].combine_chunks().flatten().to_numpy(), sentence, found["words"].combine_chunks().flatten().to_numpy(), len(words))
     return Model({w: float(x) for w, x in zip(words, weights, strict=True) if x}, bias)
 
 

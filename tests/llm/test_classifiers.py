@@ -104,6 +104,32 @@ def test_labels_without_a_document_take_no_place(spark, frames):
     assert np.mean([bad[i] == t for i, _, t in held]) > 0.95
 
 
+def test_toxic_words_of_a_small_sample_are_learned(spark):
+    rows = [(i, sentence(random.Random(i)) + (" You numbskull." if i % 20 == 0 else ""), int(i % 20 == 0)) for i in range(120)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, toxic int")
+    got = {r["doc_id"]: (r["predicted"], r["n_offending"]) for r in toxicity.toxicity(docs, labels).collect()}
+    assert got == {i: (t, t) for i, _, t in rows}
+    assert [toxicity.floor_of(n) for n in (0, 1, 1000, 2500, 5000, 9000, 10_000)] == [2, 2, 2, 2, 4, 8, 8]
+
+
+def test_repeated_sentences_reach_the_driver_once(spark):
+    docs = [(1, 1, "You numbskull. A river. " * 2000), (2, 0, "A river. Paper. 12. " * 2000 + "You. Stone."), (3, 0, "")]
+    found = toxicity._instances(spark.createDataFrame(docs, "doc_id long, label int, text string"), ["numbskull", "paper", "you"])
+    assert found["sizes"].to_pylist() == [[2, 0], [0, 1, 1], []]
+    assert found["times"].to_pylist() == [[2000, 2000], [2001, 2000, 1], []]
+    assert found["words"].to_pylist() == [[0, 2], [1, 2], []]
+
+
+def test_counted_sentences_fit_like_repeated_ones():
+    r = np.random.default_rng(7)
+    labels, doc, times = np.array([0, 1] * 10), np.arange(60) % 20, r.integers(1, 6, 60)
+    word = np.where(labels[doc] > 0, r.integers(0, 3, 60), r.integers(1, 5, 60))
+    once = toxicity.fit_noisy_or(labels, doc, times, np.arange(60), word, 5, steps=50)
+    each = toxicity.fit_noisy_or(labels, np.repeat(doc, times), np.ones(times.sum()), np.arange(times.sum()), np.repeat(word, times), 5, steps=50)
+    assert np.allclose(once[0], each[0]) and np.isclose(once[1], each[1])
+
+
 def test_noisy_or():
     model = toxicity.Model({"bad": 4.0, "fine": -1.0}, -3.0)
     text = "A fine day. A bad bad day! 12 34\nBad fine"
