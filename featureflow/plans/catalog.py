@@ -498,6 +498,25 @@ def cluster_chart(spark: SparkSession, root: str) -> DataFrame:
     return _rounded(_label_of_cluster(clustering.cluster_chart(plain, "vec_id", "features")), "x", "y")
 
 
+def rf_predict_plain(spark: SparkSession, root: str) -> DataFrame:
+    """The forest fitted on the embeddings as they are; the label is no input of the features."""
+    train, test = sampling.train_test(sampling.stratified_split(vectors.to_vector(_embeddings(spark, root)), "label", "vec_id"))
+    model = classification.train_classifier(train, "label", "features", key="vec_id")
+    return classification.predict(model, test).select("vec_id", "label", "label_indexed", "prediction", "predicted_label")
+
+
+def kmeans_assign_plain(spark: SparkSession, root: str) -> DataFrame:
+    """The clusters of the embeddings as they are."""
+    _, assigned = clustering.train_kmeans(vectors.to_vector(_embeddings(spark, root)), "features", key="vec_id")
+    return assigned.select("vec_id", "label", "cluster")
+
+
+def cluster_chart_plain(spark: SparkSession, root: str) -> DataFrame:
+    """The clusters of ``kmeans_assign_plain`` over the plane, all rows."""
+    _, assigned = clustering.train_kmeans(vectors.to_vector(_embeddings(spark, root)), "features", key="vec_id")
+    return _rounded(clustering.cluster_chart(assigned, "vec_id", "features"), "x", "y")
+
+
 # --- images ------------------------------------------------------------------------------------------------
 
 
@@ -604,6 +623,7 @@ QUERIES: dict[str, Query] = {
         reduction_factor, quality_verdict, pca_variance, pca_variance_pair, pca_spectrum, pca_project,
         pca_project_pair, pca_planar_pair, pca_norms, pca_first, pca_2d, synthetic_reduction, reduce_report, class_means,
         label_index, label_index_ids, class_metrics, confusion_matrix, silhouette, rf_predict, kmeans_assign, cluster_chart,
+        rf_predict_plain, kmeans_assign_plain, cluster_chart_plain,
         image_features, image_failures, image_descriptor, image_validation,
     )
 }
