@@ -427,6 +427,16 @@ def synthetic_reduction(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def synthetic_coordinates(spark: SparkSession, root: str) -> DataFrame:
+    """The projected coordinates of the 1280-column demonstration, every row, in long form."""
+    ids = _table(spark, root, "embeddings", "vec_id").withColumnRenamed("vec_id", "image_id")
+    demo = vectors.to_vector(jobs.synthetic_rows(ids, "image_id"))
+    model = reduction.fit_up_to(demo, images.FEATURE_LENGTH)
+    reduced = reduction.project(demo, model.first(reduction.DEFAULT_K), output="pca_features")
+    values = reduced.select("image_id", F.posexplode(vectors.as_array(reduced, "pca_features")).alias("component", "value"))
+    return _rounded(values, "value")
+
+
 def reduce_report(spark: SparkSession, root: str) -> DataFrame:
     reduced, variance = jobs.reduce_job(_embeddings(spark, root))
     return _rounded(jobs.report_job(reduced, variance), "explained_variance", "balance_ratio", "spread_percent")
@@ -621,7 +631,7 @@ QUERIES: dict[str, Query] = {
         excluded_classes, balance_exact, balance_bernoulli, balance_dataset, reduction_report, hash_split,
         stratified_split, split_report, union_splits, prepare_data, variance_curve, optimal_k, k_fallback,
         reduction_factor, quality_verdict, pca_variance, pca_variance_pair, pca_spectrum, pca_project,
-        pca_project_pair, pca_planar_pair, pca_norms, pca_first, pca_2d, synthetic_reduction, reduce_report, class_means,
+        pca_project_pair, pca_planar_pair, pca_norms, pca_first, pca_2d, synthetic_reduction, synthetic_coordinates, reduce_report, class_means,
         label_index, label_index_ids, class_metrics, confusion_matrix, silhouette, rf_predict, kmeans_assign, cluster_chart,
         rf_predict_plain, kmeans_assign_plain, cluster_chart_plain,
         image_features, image_failures, image_descriptor, image_validation,

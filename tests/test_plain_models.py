@@ -5,7 +5,7 @@ import pytest
 
 from featureflow.functions import vectors
 from featureflow.operators import classification, clustering, sampling
-from featureflow.plans import catalog
+from featureflow.plans import catalog, jobs
 
 ROOT = "/root/testdata/sf0.001"
 
@@ -62,3 +62,18 @@ def test_forest_gives_the_vote_of_its_trees(spark, plain, points, tmp_path):
         assert own[int(got[i]["prediction"])] >= own.max() - 1e-9
         assert got[i]["label"] == points[i][0] and got[i]["predicted_label"] == labels[int(got[i]["prediction"])]
         assert labels[int(got[i]["label_indexed"])] == str(points[i][0])
+
+
+def test_coordinates_of_the_demonstration(spark):
+    ids = catalog._table(spark, ROOT, "embeddings", "vec_id").withColumnRenamed("vec_id", "image_id")
+    demo = vectors.to_vector(jobs.synthetic_rows(ids, "image_id")).select("image_id", "features").collect()
+    place = {r["image_id"]: n for n, r in enumerate(demo)}
+    x = np.array([r["features"].toArray() for r in demo])
+    values, directions = np.linalg.eigh(np.cov(x.T))
+    want = x @ directions[:, ::-1][:, :100]
+    rows = catalog.QUERIES["synthetic_coordinates"](spark, ROOT).toArrow()
+    got = np.full_like(want, np.nan)
+    got[[place[i] for i in rows["image_id"].to_pylist()], rows["component"].to_numpy()] = rows["value"].to_numpy()
+    assert rows.num_rows == got.size
+    signs = np.sign((want * got).sum(0))
+    assert np.abs(want * signs - got).max() < 1e-4
