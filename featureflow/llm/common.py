@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,10 +83,20 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
     pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
 
-def judged(docs: DataFrame, text_col: str, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
-    """The rows of `docs` that `keep` says yes to, given their texts (null: empty); all columns stay as they are."""
+def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """A broadcast of `value`, as a function that tasks call once. Classes travel with it: workers need no copy of the package."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(packed.value)
+
+
+def judged(docs: DataFrame, text_col: str, judge: Callable[[], Callable[[pa.Array], np.ndarray]]) -> DataFrame:
+    """The rows of `docs` that a judge says yes to, given their texts (null: empty); all columns stay as they are.
+
+    `judge` makes one judge for each task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = judge()
         for part in slices(batches, text_col):
             yield part.filter(pa.array(keep(part.column(text_col).fill_null(""))))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from operator import eq
 
 import numpy as np
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featureflow.llm import trees
-from featureflow.llm.common import judged, slices, texts_of
+from featureflow.llm.common import judged, shared, slices, texts_of
 
 #: Labelled documents a classifier is fitted on at most, chosen by a hash of their ids.
 SAMPLE_ROWS = 30_000
@@ -100,11 +100,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 
 def score_quality(docs: DataFrame, forest: trees.Forest) -> DataFrame:
     """doc_id, score for each row of (doc_id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(forest)  # a few thousand numbers
+    load = shared(docs.sparkSession, forest)  # a few thousand numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = load()
         for part in slices(batches, "text"):
-            scores = shared.value.probability(described(part.column("text")))
+            scores = forest.probability(described(part.column("text")))
             yield pa.record_batch([part.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
@@ -124,5 +125,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def filtered(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, **settings) -> DataFrame:
     """The rows of `docs`, all columns, whose score is 0.5 or more, for the same classifier as `classify`."""
     forest = fit_quality(texts_of(docs, id_col, text_col), labels, sample_rows, label_col, **settings)
-    shared = docs.sparkSession.sparkContext.broadcast(forest)
-    return judged(docs, text_col, lambda texts: shared.value.probability(described(texts)) >= 0.5)
+    load = shared(docs.sparkSession, forest)
+
+    def judge() -> Callable[[pa.Array], np.ndarray]:
+        forest = load()
+        return lambda texts: forest.probability(described(texts)) >= 0.5
+
+    return judged(docs, text_col, judge)

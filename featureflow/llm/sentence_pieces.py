@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
 
 from featureflow.llm import tokens
-from featureflow.llm.common import slices, texts_of
+from featureflow.llm.common import shared, slices, texts_of
 from featureflow.llm.near_dedup import mixed
 from featureflow.llm.suffix_dedup import _INVERSE, _POWER
 
@@ -325,10 +325,10 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
     """
     if ids_col in docs.columns:
         raise ValueError(f"there is a column {ids_col} already")
-    shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model_path))  # a few numbers for each piece
+    load = shared(docs.sparkSession, load_pieces(model_path))  # a few numbers for each piece
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _cached(model_path, shared.value)
+        encoder = _cached(model_path, load())
         for part in slices(batches, text_col, tokens.TEXT_BYTES):
             ids, offsets = encoder.encode(part.column(text_col).fill_null(""))
             yield part.append_column(ids_col, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32))))
@@ -341,10 +341,10 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", text_col: str
 
     Ids outside the vocabulary are an error.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(load_pieces(model_path).text_of_id)  # the vocabulary's texts
+    load = shared(rows.sparkSession, load_pieces(model_path).text_of_id)  # the vocabulary's texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(shared.value)
+        decoder = Decoder(load())
         for part in batches:
             lists = part.column(ids_col)
             offsets = lists.offsets.to_numpy().astype(np.int64)
@@ -361,10 +361,11 @@ def round_trips(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_c
     Encodes every whole text and decodes the ids again; `round_trip` tells whether that gave the text. Null texts count
     as empty: no tokens, and true. Both ways run in one Python worker for each task.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model_path))
+    load = shared(docs.sparkSession, load_pieces(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = _cached(model_path, shared.value), Decoder(shared.value.text_of_id)
+        pieces = load()
+        encoder, decoder = _cached(model_path, pieces), Decoder(pieces.text_of_id)
         for part in slices(batches, "text", tokens.TEXT_BYTES):
             ids, offsets = encoder.encode(part.column("text"))
             same = [a == b for a, b in zip(decoder.decode(ids, offsets), part.column("text").to_pylist(), strict=True)]

@@ -1,30 +1,37 @@
 """Toxicity by multiple-instance learning: sentence scores, joined by noisy-or, learned from document labels.
 
-A sentence's score is sigmoid(bias + weights of its distinct known words); a document is toxic unless all its
+A sentence's score is sigmoid(bias + weights of its distinct known features); a document is toxic unless all its
 sentences are not: P = 1 - prod(1 - p_s). The weights are fitted to the document labels through that product, so
 sentences need no labels, and the fitted sentence scores say where a document offends.
+
+Features are whole words and beginnings of words, so that an offending stem is known with endings no label showed.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from operator import itemgetter
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featureflow.llm.common import judged, slices, stored, texts_of
+from featureflow.llm.common import judged, shared, slices, stored, texts_of
 from featureflow.llm.quality import training_sample
 
-#: Labelled documents the model is fitted on at most, words it may know, and documents of a full sample a word must be in.
+#: Labelled documents the model is fitted on at most, features it may know, and documents of a full sample a feature must be in.
 SAMPLE_ROWS = 10_000
 VOCABULARY = 3000
 LEAST_DOCS = 8
+#: Beginnings of words, in letters, that are features too.
+STEMS = range(5, 9)
+#: Different words whose features a task remembers.
+REMEMBERED = 200_000
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -34,20 +41,48 @@ def words_of(sentence: str) -> list[str]:
     return _WORD.findall(sentence.lower())
 
 
+def features_of(word: str) -> list[str]:
+    """The word, and its proper beginnings of STEMS letters with a star."""
+    return [word, *(f"{word[:n]}*" for n in STEMS if n < len(word))]
+
+
+def known_features(known: dict[str, Any]) -> Callable[[list[str]], frozenset[str]]:
+    """A function from a sentence's words to its distinct features among `known`; it remembers the words it met."""
+    met: dict[str, frozenset[str]] = {}
+
+    def of(words: list[str]) -> frozenset[str]:
+        own = []
+        for word in set(words):
+            found = met.get(word)
+            if found is None:
+                if len(met) >= REMEMBERED:
+                    met.clear()
+                found = met[word] = frozenset(f for f in features_of(word) if f in known)
+            if found:
+                own.append(found)
+        return frozenset().union(*own)
+
+    return of
+
+
 @dataclass(frozen=True)
 class Model:
     weights: dict[str, float] = field(default_factory=dict)
     bias: float = -40.0
 
-    def sentences(self, text: str) -> list[tuple[int, int, float]]:
-        """(begin, end, log-odds) of the sentences with at least one word."""
-        known = self.weights
-        found = []
-        for m in _SENTENCE.finditer(text):
-            words = words_of(m[0])
-            if words:
-                found.append((m.start(), m.end(), self.bias + sum(known[w] for w in known.keys() & set(words))))
-        return found
+    def reader(self) -> Callable[[str], list[tuple[int, int, float]]]:
+        """A function from a text to (begin, end, log-odds) of its sentences with at least one word."""
+        weights, bias, features = self.weights, self.bias, known_features(self.weights)
+
+        def read(text: str) -> list[tuple[int, int, float]]:
+            found = []
+            for m in _SENTENCE.finditer(text):
+                words = words_of(m[0])
+                if words:
+                    found.append((m.start(), m.end(), bias + sum(weights[f] for f in sorted(features(words)))))
+            return found
+
+        return read
 
     def score(self, logits: list[float]) -> float:
         """Noisy-or over the sentences; 0 without any."""
@@ -59,38 +94,39 @@ def floor_of(documents: int, least: int = LEAST_DOCS) -> int:
     return min(least, max(2, -(-least * documents // SAMPLE_ROWS)))
 
 
-def _word_sums(rows: DataFrame, vocabulary: int, least: int) -> list[str]:
-    """The words whose presence says most about the label, by chi-square over document counts."""
+def _told_apart(rows: DataFrame, vocabulary: int, least: int) -> list[str]:
+    """The features whose presence says most about the label, by chi-square over document counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             labels = part.column("label").to_pylist()
-            words = [sorted(set(words_of(text))) for text in part.column("text").to_pylist()]
-            repeated = np.repeat(labels, [len(w) for w in words]).astype(np.int32)
-            yield pa.record_batch([pa.array([w for own in words for w in own], pa.string()), pa.array(repeated)], ["word", "label"])
+            features = [sorted({f for word in set(words_of(text)) for f in features_of(word)}) for text in part.column("text").to_pylist()]
+            repeated = np.repeat(labels, [len(f) for f in features]).astype(np.int32)
+            yield pa.record_batch([pa.array([f for own in features for f in own], pa.string()), pa.array(repeated)], ["feature", "label"])
 
-    counts = rows.mapInArrow(run, "word string, label int").groupBy("word").agg(F.count("*").alias("n"), F.sum("label").alias("pos"))
+    counts = rows.mapInArrow(run, "feature string, label int").groupBy("feature").agg(F.count("*").alias("n"), F.sum("label").alias("pos"))
     total, positive = rows.agg(F.count("*"), F.sum("label")).head()
     share = F.lit((positive or 0) / max(total, 1))
     surprise = F.abs(F.col("pos") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1e-9)
-    best = counts.where(F.col("n") >= floor_of(total, least)).orderBy(F.desc(surprise), "word").limit(vocabulary)
-    return [row["word"] for row in best.select("word").collect()]
+    best = counts.where(F.col("n") >= floor_of(total, least)).orderBy(F.desc(surprise), "feature").limit(vocabulary)
+    return [row["feature"] for row in best.select("feature").collect()]
 
 
 def _instances(rows: DataFrame, vocabulary: list[str]) -> pa.Table:
-    """doc_id, label, sizes, times, words: of the different sets of known words that the document's sentences have.
+    """doc_id, label, sizes, times, words: of the different sets of known features that the document's sentences have.
 
-    A row holds the sets' sizes, how many sentences have each, and the words' numbers, set after set. Sentences without
-    a word are left out; those without a known one share the empty set.
+    A row holds the sets' sizes, how many sentences have each, and the features' numbers, set after set. Sentences
+    without a word are left out; those without a known feature share the empty set.
     """
-    numbers = rows.sparkSession.sparkContext.broadcast({word: i for i, word in enumerate(vocabulary)})
+    load = shared(rows.sparkSession, {feature: i for i, feature in enumerate(vocabulary)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = numbers.value
+        known = load()
+        features = known_features(known)
         for part in slices(batches, "text"):
             sizes, times, words = [], [], []
             for text in part.column("text").to_pylist():
-                own = Counter(tuple(sorted(known[w] for w in known.keys() & set(s))) for s in map(words_of, map(itemgetter(0), _SENTENCE.finditer(text))) if s)
+                own = Counter(tuple(sorted(known[f] for f in features(s))) for s in map(words_of, map(itemgetter(0), _SENTENCE.finditer(text))) if s)
                 sizes.append([len(s) for s in own])
                 times.append(list(own.values()))
                 words.append([w for s in own for w in s])
@@ -100,7 +136,7 @@ def _instances(rows: DataFrame, vocabulary: list[str]) -> pa.Table:
     return rows.mapInArrow(run, "doc_id long, label int, sizes array<int>, times array<long>, words array<int>").toArrow().sort_by("doc_id")
 
 
-def fit_noisy_or(labels: np.ndarray, doc: np.ndarray, times: np.ndarray, sentence: np.ndarray, word: np.ndarray, vocabulary: int, steps: int = 300, rate: float = 0.1, shrink: float = 2e-4) -> tuple[np.ndarray, float]:
+def fit_noisy_or(labels: np.ndarray, doc: np.ndarray, times: np.ndarray, sentence: np.ndarray, word: np.ndarray, vocabulary: int, steps: int = 300, rate: float = 0.1, shrink: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias by Adam on the documents' log-likelihood under the noisy-or, with an L1 pull towards 0.
 
     doc, times: document of each sentence, and how often it is there; sentence, word: one entry for each known word of
@@ -128,12 +164,12 @@ def fit_noisy_or(labels: np.ndarray, doc: np.ndarray, times: np.ndarray, sentenc
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY, least_docs: int = LEAST_DOCS, label_col: str = "toxic") -> Model:
     """Fits the model on at most `sample_rows` labelled documents (hash sample), stored once and read twice.
 
-    Word counts and sentences are made on the executors; the driver gets the vocabulary and, for each sampled document,
-    the word numbers of its different sentences. A word must be in `floor_of` documents of the sample.
+    Feature counts and sentences are made on the executors; the driver gets the vocabulary and, for each sampled
+    document, the feature numbers of its different sentences. A feature must be in `floor_of` documents of the sample.
     """
     chosen = F.broadcast(training_sample(labels, label_col, sample_rows, docs))  # at most sample_rows rows of 12 bytes
     sample = stored(docs.join(chosen, "doc_id").select("doc_id", "label", "text"))
-    words = _word_sums(sample, vocabulary, least_docs)
+    words = _told_apart(sample, vocabulary, least_docs)
     found = _instances(sample, words)
     y = found["label"].to_numpy() if found.num_rows else np.zeros(0)
     if len(set(y.tolist())) < 2:
@@ -147,14 +183,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, n_offending, offending (array of begin, end, score: sentences of 0.5 or more, places in characters)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most `vocabulary` words
+    load = shared(docs.sparkSession, model)  # at most `vocabulary` features
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = load()
+        read = model.reader()
         for part in slices(batches, "text"):
             scores, spans = [], []
             for text in part.column("text").to_pylist():
-                found = model.sentences(text)
+                found = read(text)
                 scores.append(model.score([z for _, _, z in found]))
                 spans.append([{"begin": a, "end": b, "score": float(1 / (1 + np.exp(-z)))} for a, b, z in found if z >= 0])
             kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
@@ -177,10 +214,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def filtered(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **settings) -> DataFrame:
     """The rows of `docs`, all columns, whose score is below 0.5, for the same model as `toxicity`."""
     model = fit_toxicity(texts_of(docs, id_col, text_col), labels, label_col=label_col, **settings)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    load = shared(docs.sparkSession, model)
 
-    def clean(texts: pa.Array) -> np.ndarray:
-        model = shared.value
-        return np.array([model.score([z for _, _, z in model.sentences(text)]) < 0.5 for text in texts.to_pylist()], bool)
+    def judge() -> Callable[[pa.Array], np.ndarray]:
+        model = load()
+        read = model.reader()
+        return lambda texts: np.array([model.score([z for _, _, z in read(text)]) < 0.5 for text in texts.to_pylist()], bool)
 
-    return judged(docs, text_col, clean)
+    return judged(docs, text_col, judge)

@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -133,7 +135,7 @@ def test_counted_sentences_fit_like_repeated_ones():
 def test_noisy_or():
     model = toxicity.Model({"bad": 4.0, "fine": -1.0}, -3.0)
     text = "A fine day. A bad bad day! 12 34\nBad fine"
-    found = model.sentences(text)
+    found = model.reader()(text)
     assert [text[a:b] for a, b, _ in found] == ["A fine day", " A bad bad day", "Bad fine"]
     assert [z for _, _, z in found] == [-4.0, 1.0, 0.0]
     p = [1 / (1 + np.exp(-z)) for _, _, z in found]
@@ -148,3 +150,63 @@ def test_one_label_or_none(spark, label):
     assert len({r["score"] for r in found}) == 1 and (found[0]["predicted"] == 1 or label == 0)
     found = toxicity.toxicity(docs, labels).collect()
     assert [r["predicted"] for r in found] == [int(label == 1)] * 2
+
+
+def test_stems_are_known_with_new_endings(spark):
+    """The toxic words share a beginning; no ending comes twice."""
+    def ending(r: random.Random) -> str:
+        return "".join(r.choices("aeioulmnrst", k=6))
+
+    r, rows = random.Random(11), []
+    for i in range(900):
+        toxic = r.random() < 0.2
+        text = [sentence(r) for _ in range(r.randint(1, 12))]
+        if toxic:
+            text.insert(r.randrange(len(text) + 1), f"The {r.choice(['grobbel', 'snorvek'])}{ending(r)} {r.choice(NOUNS)}.")
+        elif r.random() < 0.5:
+            text.append(f"The {r.choice(['plinto', 'harvest'])}{ending(r)} {r.choice(NOUNS)}.")
+        rows.append((i, " ".join(text), int(toxic)))
+    docs = spark.createDataFrame([row[:2] for row in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows if i % 3], "doc_id long, toxic int")
+    got = {row["doc_id"]: row for row in toxicity.toxicity(docs, labels).collect()}
+    held = [(got[i]["predicted"], t) for i, _, t in rows if i % 3 == 0]
+    assert sum(p for p, t in held if t) >= 0.95 * sum(t for _, t in held)
+    assert sum(p for p, t in held if not t) <= 0.01 * len(held)
+
+
+def test_features_that_tell_apart_equal_a_plain_count(spark):
+    rows = [(i, text, t) for i, text, _, t in corpus(150)]
+    frame = spark.createDataFrame([(i, t, text) for i, text, t in rows], "doc_id long, label int, text string").repartition(3)
+    n, pos = Counter(), Counter()
+    for _, text, label in rows:
+        own = set()
+        for word in "".join(c if c.isalpha() else " " for c in text.lower()).split():
+            own |= {word} | {word[:k] + "*" for k in (5, 6, 7, 8) if k < len(word)}
+        n.update(own)
+        pos.update({f: label for f in own})
+    share = sum(t for *_, t in rows) / len(rows)
+    surprise = {f: abs(pos[f] - c * share) / (c * share * (1 - share) + 1e-9) ** 0.5 for f, c in n.items() if c >= 2}
+    want = sorted(surprise, key=lambda f: (-surprise[f], f))
+    got = toxicity._told_apart(frame, 10_000, 8)
+    assert set(got) == set(want) and np.allclose([surprise[f] for f in got], [surprise[f] for f in want])
+    assert toxicity._told_apart(frame, 5, 8) == got[:5]
+
+
+def test_scores_equal_a_plain_noisy_or(spark):
+    weights, bias = {"bad": 3.5, "stupi*": 2.0, "stupidl*": 1.0, "kind": -2.0}, -3.0
+    texts = ["A bad day. So stupidly kind!", "stupid\nstupidity, bad", "", "12 34. !", "Kind words. " * 50 + "bad stupidly"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, toxicity.Model(weights, bias)).collect()}
+    for i, text in enumerate(texts):
+        clean = 1.0
+        for part in re.split(r"[.!?\n]", text.lower()):
+            words = set(re.findall("[a-z]+", part))
+            if words:
+                z = bias + sum(x for f, x in weights.items() if any(w == f or f[-1] == "*" and w.startswith(f[:-1]) and len(w) > len(f) - 1 for w in words))
+                clean *= 1 / (1 + np.exp(z))
+        assert np.isclose(got[i], 1 - clean)
+
+
+def test_empty_table(spark, frames):
+    docs, labels, _ = frames
+    assert toxicity.toxicity(docs.limit(0), labels).count() == 0 and toxicity.filtered(docs.limit(0), labels).count() == 0
