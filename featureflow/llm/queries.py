@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import block_search, near_dedup, norm_search, packing, quality, sentence_pieces, suffix_dedup, token_counts, token_files, toxicity
-from featureflow.llm.common import fold, shared_folder, table
+from featureflow.llm import (
+    block_search, licences, near_dedup, norm_search, packing, periodic, prefix_trie, quality, sentence_pieces, suffix_dedup, token_counts, token_files,
+    toxicity,
+)
+from featureflow.llm.common import fold, shared_folder, stored, table, texts_of
+from featureflow.llm.sql import PERIODIC, TRIE, licences_sql
 
 END_ID = 1
 
@@ -66,6 +70,55 @@ def packed_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), END_ID, with_ids=False)
 
 
+def branched(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(conv_id, turn, digest, size) of the rebuilt conversations, and all conv_ids.
+
+    Conversation c takes its first h = crc32(c) % 6 turns from conversation c - c % 100, as many as that has, and keeps
+    its own after its first h. At most five turns of each such conversation are copied.
+    """
+    base, h = F.col("conv_id") - F.col("conv_id") % 100, fold(F.col("conv_id"), 6)
+    turns = stored(prefix_trie.numbered(prefix_trie.turn_digests(conversations)).select("conv_id", "depth", "digest", "size"))
+    convs = conversations.select(F.col("conv_id").cast("long")).where("conv_id is not null").distinct()
+    firsts = turns.where("conv_id % 100 = 0 and depth <= 5").withColumnRenamed("conv_id", "base")
+    borrowed = convs.select("conv_id", base.alias("base"), h.alias("h")).join(firsts, "base").where("depth <= h")
+    lengths = firsts.groupBy("base").agg(F.max("depth").alias("had"))
+    own = turns.select("*", base.alias("base"), h.alias("h")).where("depth > h").join(lengths, "base", "left")
+    own = own.withColumn("turn", F.col("depth") - F.col("h") + F.least("h", F.coalesce("had", F.lit(0))))
+    return borrowed.select("conv_id", F.col("depth").alias("turn"), "digest", "size").unionByName(own.select("conv_id", "turn", "digest", "size")), convs
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(*branched(table(spark, sf_dir, "conversations")))
+
+
+def licence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_scan(table(spark, sf_dir, "documents")).drop("base", "found")
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, text; a tenth of the texts is made periodic from some word on, as the id's crc32 says."""
+    rows = texts_of(docs, "doc_id", "text").withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    chosen = F.col("h") % 10 == 0
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    rows = rows.withColumn("words", F.when(chosen, words)).withColumn("n", F.size("words"))
+    rows = rows.withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    tail = F.transform(F.sequence(F.lit(0), (F.col("n") - F.col("a") - 1).cast("int")), lambda k: F.get("words", (F.col("a") + k % F.col("p")).cast("int")))
+    made = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), tail), " ")
+    return rows.select("doc_id", F.when(chosen & (F.col("n") > 0), made).otherwise(F.col("text")).alias("text"))
+
+
+def periodic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(planted_repeats(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda x: F.concat_ws("", x["start"].cast("string"), F.lit(","), x["length"].cast("string"), F.lit(","), x["period"].cast("string"), F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda x: F.struct(x["length"].alias("length"), (-x["start"]).alias("start"), (-x["period"]).alias("period"))))
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("longest"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return rows.select(
+        "doc_id", "n_runs", (-F.col("longest.start")).alias("start"), F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 QUERIES = {
     "op1_quality": quality_scores,
     "op2_exact_top_k": exact_top_k,
@@ -77,6 +130,9 @@ QUERIES = {
     "op8_token_files": token_file_rows,
     "op9_suffix_removals": suffix_removals,
     "op10_packing": packed_pieces,
+    "op11_prefix_trie": conversation_trie,
+    "op12_license_scan": licence_rows,
+    "op13_periodic_runs": periodic_rows,
 }
 
 _SEARCH = """
@@ -127,6 +183,9 @@ select d.doc_id, d.n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n
 
 ORACLES: dict[str, str] = {
     "op4_near_copies": _NEAR,
+    "op11_prefix_trie": TRIE,
+    "op12_license_scan": licences_sql(),
+    "op13_periodic_runs": PERIODIC,
     "op9_suffix_removals": _SUFFIX,
     "op2_exact_top_k": _SEARCH.format(
         vectors=f"select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings where {_FINITE}",

@@ -85,4 +85,4 @@ def test_entry_works_without_the_folder(monkeypatch):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
