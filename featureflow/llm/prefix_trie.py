@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from featureflow.llm.common import stored
 
-#: Rows a shard has about, conversations whose ids are near each other and go to the same one, and turns that stay together.
+#: Rows a shard has at most about, conversations whose ids are near each other and go to the same one, and turns that stay together.
 SHARD_ROWS = 200_000
 NEAR = 64
 SEGMENT = 4096
@@ -247,7 +247,7 @@ def _subtrees(paths: DataFrame, values: DataFrame, rows: int) -> DataFrame:
     cut = cut.select(*columns[:6], F.sum("saved_tokens").over(below).alias("saved_tokens"), F.sum("n_leaves").over(below).alias("n_leaves"))
     cut = cut.where("k1 is not null and n_leaves is not null").select(columns)
 
-    shards = max(1, -(-rows // SHARD_ROWS))
+    shards = max(int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // SHARD_ROWS))
     shard = F.pmod(F.xxhash64(F.floor(F.col("conv_id") / NEAR), segment), F.lit(shards))
     everything = empty.unionByName(values.select(columns)).unionByName(cut).withColumn("shard", shard)
 
