@@ -1,10 +1,11 @@
 """Licences in texts, by a positional index of rare words; DataFrame functions only, one pass for counts and one to scan.
 
 Templates are licence notices as words. Document frequencies of all their words are counted over all documents. The
-index has each template's rarest words (highest inverse document frequency) with their places in the template. Of a
-text's words in the index, the rarest are looked up: a word at place i in the text and at place k in a template says
-that the template begins at i - k. Beginnings on which at least two words agree are candidates; a template is found if
-each of its key phrases stands, word after word, where a candidate puts it.
+index has each template's rarest words (highest inverse document frequency) with their places in the template; a
+template with a word in a key phrase that no document has cannot be found and is left out. Of a text's words in the
+index, the rarest are looked up: a word at place i in the text and at place k in a template says that the template
+begins at i - k. Beginnings on which at least two words agree are candidates; a template is found if each of its key
+phrases stands, word after word, where a candidate puts it.
 
 Key phrases that count on their own (`PHRASES`) are looked up by their rarest word at all its places, so none is missed.
 
@@ -125,9 +126,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     everything = sorted({w for t in templates for w in t.words} | {w for _, p in phrases for w in p.split()})
     counts = document_counts(read, everything)
 
-    postings = []  # for each template: (word, places in the template)
+    postings = []  # for each template that may be found: (word, places in the template)
     for t in templates:
-        postings.append([(w, [i for i, x in enumerate(t.words) if x == w]) for w in rarest(t.words, counts)[:indexed]])
+        possible = all(counts.get(w) for key in t.keys for w in key.split())
+        postings.append([(w, [i for i, x in enumerate(t.words) if x == w]) for w in rarest(t.words, counts)[:indexed] if possible])
     anchors = [next(iter(rarest(p.split(), counts)), None) for _, p in phrases]
     index = rarest([w for own in postings for w, _ in own], counts)
     wanted = sorted({*index, *(a for a in anchors if a)})

@@ -71,7 +71,7 @@ base as (
   select id, label, i - k as start from w join pw using (word) group by id, label, i - k having count(*) = any_value(size)),
 n as (select word, count(distinct id) as n from w where word in (select word from tw) group by word),
 rare as (
-  select t, word from (select distinct t, word, n from tw join n using (word)) qualify row_number() over (partition by t order by n, word) <= {INDEXED}),
+  select t, word from (select distinct t, word, n from tw join n using (word) where t not in (select t from mw anti join n using (word))) qualify row_number() over (partition by t order by n, word) <= {INDEXED}),
 idx as (select t, k, word from tw join rare using (t, word) where t in (select t from rare group by t having count(*) > 1)),
 own as (
   select id, word from (select distinct id, word, n from w join n using (word) where word in (select word from rare))

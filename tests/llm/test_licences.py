@@ -24,7 +24,8 @@ def plain_found(texts: list[str | None]) -> list[list[tuple[str, int, float]]]:
     """The method, text by text: places of rare words vote for beginnings, key phrases are verified."""
     all_words = [words_of(t) for t in texts]
     counts = {w: n for w in {w for t in licences.TEMPLATES for w in t.words} if (n := sum(w in set(own) for own in all_words))}
-    rare = [sorted(set(t.words) & counts.keys(), key=lambda w: (counts[w], w))[: licences.INDEXED] for t in licences.TEMPLATES]
+    possible = [all(w in counts for key in t.keys for w in key.split()) for t in licences.TEMPLATES]
+    rare = [sorted(set(t.words) & counts.keys(), key=lambda w: (counts[w], w))[: licences.INDEXED] if ok else [] for t, ok in zip(licences.TEMPLATES, possible, strict=True)]
     index = {w for own in rare for w in own}
     out = []
     for words in all_words:
