@@ -21,6 +21,9 @@ from featureflow.sources.tables import VARIANCE_TABLE
 MAX_K = 200
 THRESHOLD = 0.95
 DEFAULT_K = 100
+# Columns of the range finder beyond those asked for, and passes over the rows at most.
+EXTRA = 20
+PASSES = 10
 
 
 @dataclass(frozen=True)
@@ -30,6 +33,7 @@ class PcaModel:
     components: np.ndarray
     explained_variance: np.ndarray
     mean: np.ndarray
+    residual: float = 0.0  # of an approximate fit: largest |C v - w v| over the components, as a share of the first w
 
     @property
     def k(self) -> int:
@@ -39,14 +43,15 @@ class PcaModel:
         """The model with the first k components; equal to a fit with that k."""
         if not 1 <= k <= self.k:
             raise ValueError(f"k must be between 1 and {self.k}")
-        return PcaModel(self.components[:, :k], self.explained_variance[:k], self.mean)
+        return PcaModel(self.components[:, :k], self.explained_variance[:k], self.mean, self.residual)
 
 
 def fit_pca(df: DataFrame, k: int | None, column: str = "features", engine: str = "moments") -> PcaModel:
-    """Fit k components (all for None) in one pass over the vectors.
+    """Fit k components (all for None), in one pass over the vectors but for ``random``.
 
     ``engine='moments'`` sums the covariance with the distributed Gram job and decomposes the d x d matrix on
     the driver. ``engine='ml'`` is ``pyspark.ml.feature.PCA``; same result, slower decomposition for large d.
+    ``engine='random'`` is for vectors so wide that d x d numbers are too many: see ``leading_components``.
     The sign of a component is fixed: its loading of largest magnitude is positive.
     """
     require_vector(df, column)
@@ -54,7 +59,8 @@ def fit_pca(df: DataFrame, k: int | None, column: str = "features", engine: str
 
 
 def _fit(df: DataFrame, k: int | None, column: str, engine: str) -> PcaModel:
-    """The fit itself; the moments engine takes arrays as they are stored, without a vector in between."""
+    """The fit itself; arrays are taken as they are stored, without a vector in between, but for ``ml``."""
+    residual = 0.0
     if engine == "ml":
         d = vector_length(df, column)
         if d is None:
@@ -73,11 +79,51 @@ def _fit(df: DataFrame, k: int | None, column: str, engine: str) -> PcaModel:
         total = values.clip(min=0.0).sum()
         shares = values[order].clip(min=0.0) / total if total > 0 else np.zeros(k)
         loadings = vectors[:, order]
+    elif engine == "random":
+        found = leading_components(df, vector_length(df, column) if k is None else k, column)
+        loadings, shares, mean, residual = found.components, found.explained_variance, found.mean, found.residual
+        k = found.k
     else:
-        raise ValueError("engine must be 'moments' or 'ml'")
+        raise ValueError("engine must be 'moments', 'ml' or 'random'")
     largest = np.abs(loadings).argmax(axis=0)
     signs = np.where(loadings[largest, np.arange(k)] < 0, -1.0, 1.0)
-    return PcaModel(loadings * signs, shares, mean)
+    return PcaModel(loadings * signs, shares, mean, residual)
+
+
+def leading_components(
+    df: DataFrame, k: int, column: str = "features", extra: int = EXTRA, passes: int = PASSES, tolerance: float = 1e-9, seed: int = 42
+) -> PcaModel:
+    """The first k components by a randomised range finder, without d x d numbers anywhere.
+
+    Each pass over the rows multiplies the covariance with d x (k + extra) numbers: random ones first, then what the
+    last product has that is orthogonal to all directions found. The components are the best in the span of those
+    directions (a block Krylov space). It ends when every component's residual is below ``tolerance`` times the first
+    variance, when the directions span everything, or after ``passes``; the model tells the residual. The driver holds
+    2 x passes x d x (k + extra) numbers, a task d x (k + extra).
+    """
+    n, mean, squares = gram.column_moments(df, column, gram.pivot_vector(df, column))
+    d, total = len(mean), squares.sum() / (n - 1)
+    k = _checked_k(k, d)
+    block, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(d, min(d, k + extra))))
+    directions, products = np.zeros((d, 0)), np.zeros((d, 0))
+    for _ in range(passes):
+        product = gram.covariance_product(df, column, n, mean, block)
+        directions, products = np.hstack([directions, block]), np.hstack([products, product])
+        inner = directions.T @ products
+        values, vectors = np.linalg.eigh((inner + inner.T) / 2)
+        values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
+        loadings = directions @ vectors
+        largest = max(values[0], 0.0)
+        residual = np.linalg.norm(products @ vectors - loadings * values, axis=0).max()
+        rest = product
+        for _ in range(2):  # once more, for what rounding left
+            rest = rest - directions @ (directions.T @ rest)
+        left, sizes, _ = np.linalg.svd(rest, full_matrices=False)
+        block = left[:, sizes > 1e-13 * largest][:, : d - directions.shape[1]]
+        if residual <= tolerance * largest or not block.shape[1]:
+            break
+    shares = values.clip(min=0.0) / total if total > 0 else np.zeros(k)
+    return PcaModel(loadings, shares, mean, float(residual / largest) if largest > 0 else 0.0)
 
 
 def _checked_k(k: int | None, d: int) -> int:
@@ -136,6 +182,7 @@ def fit_up_to(df: DataFrame, max_k: int, column: str = "features", engine: str =
     """The first ``max_k`` components, or all when the vectors are shorter; arrays and ML vectors alike."""
     if engine == "ml":
         df = to_vector(df, column)
+    if engine != "moments":
         return _fit(df, min(max_k, vector_length(df, column) or max_k), column, engine)
     model = _fit(df, None, column, engine)
     return model.first(min(max_k, model.k))

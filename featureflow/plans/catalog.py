@@ -364,6 +364,12 @@ def pca_variance(spark: SparkSession, root: str) -> DataFrame:
     return _rounded(table, "individual_variance", "cum_variance")
 
 
+def pca_variance_random(spark: SparkSession, root: str) -> DataFrame:
+    """The first eight rows of the same table by the range finder, which holds no covariance matrix."""
+    table = reduction.explained_variance(vectors.to_vector(_embeddings(spark, root)), 8, None, engine="random")
+    return _rounded(table, "individual_variance", "cum_variance")
+
+
 def pca_variance_pair(spark: SparkSession, root: str) -> DataFrame:
     table = reduction.explained_variance(_pair(spark, root), threshold=None)
     return _rounded(table, "individual_variance", "cum_variance", digits=9)
@@ -630,7 +636,7 @@ QUERIES: dict[str, Query] = {
         lineitem_covariance, total_variance, assemble_columns, expand_vector, hash_sample, min_class_filter,
         excluded_classes, balance_exact, balance_bernoulli, balance_dataset, reduction_report, hash_split,
         stratified_split, split_report, union_splits, prepare_data, variance_curve, optimal_k, k_fallback,
-        reduction_factor, quality_verdict, pca_variance, pca_variance_pair, pca_spectrum, pca_project,
+        reduction_factor, quality_verdict, pca_variance, pca_variance_pair, pca_variance_random, pca_spectrum, pca_project,
         pca_project_pair, pca_planar_pair, pca_norms, pca_first, pca_2d, synthetic_reduction, synthetic_coordinates, reduce_report, class_means,
         label_index, label_index_ids, class_metrics, confusion_matrix, silhouette, rf_predict, kmeans_assign, cluster_chart,
         rf_predict_plain, kmeans_assign_plain, cluster_chart_plain,

@@ -249,6 +249,8 @@ ORACLES: dict[str, str] = {
         from m, e""",
     "pca_variance": f"""{_spectrum()}
         select k, round(share, 6) as individual_variance, round(cum, 6) as cum_variance from variance""",
+    "pca_variance_random": f"""{_spectrum()}
+        select k, round(share, 6) as individual_variance, round(cum, 6) as cum_variance from variance where k <= 8""",
     "pca_project": f"""{_spectrum()},
         u as ({" union all ".join(f"select {i} as component, i, u from c{i}" for i in range(DIMENSIONS))})
         select vec_id, label, component::integer as component, round(sum(x * u), 6) + 0.0 as value

@@ -172,3 +172,42 @@ def test_synthetic_job(spark, tmp_path):
     assembled = vectors.assemble(wide, [f"f_{i}" for i in range(6)], "features_vector")
     a = {r["image_id"]: tuple(r["features"]) for r in demo.collect()}
     assert a == {r["image_id"]: tuple(r["features_vector"].toArray()) for r in assembled.collect()}
+
+
+@pytest.mark.parametrize("spectrum", ["steep", "flat", "rank"])
+def test_range_finder_equals_the_moments(spark, spectrum):
+    rng = np.random.default_rng(7)
+    scale = {"steep": 0.9 ** np.arange(160), "flat": 1 + 0.2 * rng.random(160), "rank": (np.arange(160) < 9).astype(float)}[spectrum]
+    turn, _ = np.linalg.qr(rng.normal(size=(160, 160)))
+    x = rng.normal(size=(900, 160)) * scale @ turn + 1000
+    df = spark.createDataFrame([([float(v) for v in row],) for row in x], "features array<double>").repartition(5)
+    df = vectors.to_vector(df)
+    full = reduction.fit_pca(df, 30)
+    found = reduction.leading_components(df, 30, extra=10)
+    k = 9 if spectrum == "rank" else 30
+    np.testing.assert_allclose(found.explained_variance, full.explained_variance, atol=1e-9)
+    assert found.residual < 1e-6
+    overlap = np.abs(np.sum(found.components[:, :k] * full.components[:, :k], axis=0))
+    np.testing.assert_allclose(overlap, 1, atol=1e-6)
+    table = reduction.explained_variance(df, 5, None, engine="random").collect()
+    np.testing.assert_allclose([r["individual_variance"] for r in table], full.explained_variance[:5], atol=1e-9)
+
+
+def test_range_finder_holds_no_square_matrix(spark):
+    """d x d doubles would be 7 GB."""
+    d = 30_002
+    rows = spark.range(40).selectExpr(f"transform(sequence(0, {d - 1}), j -> cast((j % 7 = id % 7) as double) * (id + 1)) as features")
+    found = reduction.leading_components(rows, 3, extra=2, passes=4)
+    x = np.array([[float(j % 7 == i % 7) * (i + 1) for j in range(7)] for i in range(40)])  # columns that agree, 4286 of each
+    values = np.linalg.eigvalsh(np.cov(x.T))[::-1]
+    np.testing.assert_allclose(found.explained_variance, (values / values.sum())[:3], rtol=1e-3)
+    assert found.components.shape == (d, 3)
+
+
+def test_range_finder_rejects_what_moments_reject(spark):
+    with pytest.raises(ValueError):
+        reduction.leading_components(spark.createDataFrame([([1.0, float("nan")],), ([2.0, 1.0],)], "features array<double>"), 1)
+    with pytest.raises(ValueError):
+        reduction.leading_components(spark.createDataFrame([([1.0, 2.0],)], "features array<double>"), 1)
+    with pytest.raises(ValueError):
+        reduction.leading_components(spark.createDataFrame([([1.0, 2.0],), ([2.0, 1.0],)], "features array<double>"), 3)

@@ -190,3 +190,33 @@ def test_frame_check(spark):
     failed = quality.frame_check(None, ["id"], spark=spark)
     assert quality.frame_check(None, ["id"]).count() == 3
     assert [r["passed"] for r in failed.collect()] == [False, False, False]
+
+
+@pytest.mark.parametrize("tasks, below", [(1, 0), (64, 0), (65, 1), (4096, 1), (4097, 2), (800_000, 3)])
+def test_levels_follow_the_tasks(spark, tasks, below):
+    assert gram.levels(spark.range(1), tasks) == below
+
+
+def test_no_sum_gets_a_row_of_every_task(spark):
+    """Partial sums of 300 tasks, merged in levels: each key of a level gets at most FAN rows."""
+    rows = spark.range(300 * 3).select((F.col("id") % 300).alias("task"), (F.col("id") / 300).cast("int").alias("i"), F.array(F.col("id") * 1.0, F.lit(1.0)).alias("s"))
+    for below in (0, 1, 2):
+        found = {r["i"]: r["s"] for r in gram.summed(rows, below).collect()}
+        assert found == {i: [sum(range(300 * i, 300 * i + 300)) * 1.0, 300.0] for i in range(3)}
+    first = rows.groupBy(F.floor(F.col("task") / gram.FAN).alias("g"), "i").count()
+    assert first.agg(F.max("count")).head()[0] <= gram.FAN
+    plan = gram.summed(rows, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_moments_do_not_depend_on_levels(spark, monkeypatch):
+    x = np.random.default_rng(2).normal(size=(500, 6))
+    df = spark.createDataFrame([([float(v) for v in row],) for row in x], "features array<double>").repartition(9)
+    monkeypatch.setattr(gram, "FAN", 2)
+    monkeypatch.setattr(gram, "levels", lambda *_: 3)
+    n, mean, cov = gram.covariance(df)
+    assert n == 500
+    np.testing.assert_allclose(mean, x.mean(axis=0))
+    np.testing.assert_allclose(cov, np.cov(x.T))
+    n, mean, squares = gram.column_moments(df, "features", x[0])
+    np.testing.assert_allclose(squares, ((x - x.mean(axis=0)) ** 2).sum(axis=0))
