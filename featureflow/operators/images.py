@@ -25,6 +25,10 @@ FEATURE_LENGTH = 1280
 MIN_SIDE = 32
 PIXEL_SCALE = 127.5
 
+#: Images the network gets at once, and bytes of decoded pixels that it gets at once unless one image has more.
+BATCH = 32
+BATCH_BYTES = 64 << 20
+
 LUMA = np.array([0.299, 0.587, 0.114], dtype=np.float32)
 
 
@@ -166,8 +170,9 @@ def featurise(
     on_error: str = "null",
     image: str = "image",
     output: str = "features",
-    batch: int = 32,
+    batch: int = BATCH,
     reason: str | None = None,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Adds ``features array<float>``, ``status`` (ok/error) and ``error``; the image column is dropped.
 
@@ -204,8 +209,9 @@ def featurise(
             used = frame.iloc[good]
             rows = list(zip(used["height"], used["width"], used["nChannels"], used["data"]))
             done = [(None, "rejected", None)] * len(frame)
-            for start in range(0, len(rows), batch):
-                for at, result in zip(good[start : start + batch], several(rows[start : start + batch])):
+            sizes = [len(data) if data is not None else 0 for *_, data in rows]
+            for start, end in batch_borders(sizes, batch, batch_bytes):
+                for at, result in zip(good[start:end], several(rows[start:end])):
                     done[at] = result
             yield pd.DataFrame(done, columns=["features", "status", "error"])
 
@@ -224,11 +230,24 @@ def featurise(
     return result.withColumnRenamed("features", output) if output != "features" else result
 
 
+def batch_borders(sizes: list[int], batch: int, batch_bytes: int) -> Iterator[tuple[int, int]]:
+    """(begin, end) of consecutive batches: at most ``batch`` items, and ``batch_bytes`` unless one item has more."""
+    begin = held = 0
+    for at, size in enumerate(sizes):
+        if at > begin and (at - begin == batch or held + size > batch_bytes):
+            yield begin, at
+            begin, held = at, 0
+        held += size
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
 def featurise_checked(
-    checked: DataFrame, factory: Callable[[], Callable] | None = None, length: int = FEATURE_LENGTH, on_error: str = "null"
+    checked: DataFrame, factory: Callable[[], Callable] | None = None, length: int = FEATURE_LENGTH, on_error: str = "null",
+    **batches,
 ) -> DataFrame:
     """Features of validated images, and a row without features for each rejected one: ``path, label, features, status, error, reason``."""
-    done = featurise(checked.drop("valid"), factory, length, on_error, reason="reason")
+    done = featurise(checked.drop("valid"), factory, length, on_error, reason="reason", **batches)
     return done.select("path", "label", "features", "status", "error", "reason")
 
 
@@ -245,6 +264,6 @@ def passthrough(df: DataFrame, column: str, output: str = "features") -> DataFra
     ).withColumn("error", F.when(~ok, "null vector"))
 
 
-def arrow_conf(image_bytes: int, memory_bytes: int = 64 << 20) -> dict[str, str]:
-    """Arrow batch size that keeps one batch of decoded images within ``memory_bytes``."""
-    return {"spark.sql.execution.arrow.maxRecordsPerBatch": str(max(1, min(10_000, memory_bytes // max(1, image_bytes))))}
+def arrow_conf(batch_bytes: int = BATCH_BYTES) -> dict[str, str]:
+    """Session setting that limits the Arrow batches of images by bytes, whatever the sizes of the images."""
+    return {"spark.sql.execution.arrow.maxBytesPerBatch": str(batch_bytes)}

@@ -25,7 +25,7 @@ from featureflow.operators import (
     statistics,
 )
 from featureflow.plans import jobs
-from featureflow.sources import tables
+from featureflow.sources import stages, store, tables
 from featureflow.sources.settle import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,54 @@ def synthetic_features(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def parquet_round_trip(spark: SparkSession, root: str) -> DataFrame:
+    """Customers written, and replaced by what is computed from them."""
+    path = store.scratch(spark) + "/customers.parquet"
+    store.write_parquet(_table(spark, root, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal"), path)
+    stored = spark.read.parquet(path)
+    store.write_parquet(stored.withColumn("c_acctbal", _r(F.col("c_acctbal") * 2, 2)), path, partition_by=["c_nationkey"])
+    return spark.read.parquet(path).withColumn("c_nationkey", F.col("c_nationkey").cast("long"))
+
+
+def csv_round_trip(spark: SparkSession, root: str) -> DataFrame:
+    """Embeddings as Parquet, turned into CSV with JSON vectors, and read again."""
+    path = store.scratch(spark)
+    store.write_parquet(vectors.to_vector(_embeddings(spark, root)).select("vec_id", "label", "features"), f"{path}/features.parquet")
+    store.parquet_to_csv(spark, f"{path}/features.parquet", f"{path}/features.csv")
+    rows = spark.read.option("header", True).option("escape", '"').schema("vec_id long, label long, features string").csv(f"{path}/features.csv")
+    values = F.from_json("features", "array<double>")
+    return rows.select("vec_id", "label", F.size(values).alias("n"), _r(F.aggregate(values, F.lit(0.0), lambda a, x: a + x)).alias("total"))
+
+
+def logged_write(spark: SparkSession, root: str) -> DataFrame:
+    """The run log after two tables were written."""
+    path = store.scratch(spark)
+    for name in ("orders", "supplier"):
+        store.write_logged(_table(spark, root, name), f"{path}/{name}.parquet", f"{path}/run.parquet", name, "whole table")
+    return spark.read.parquet(f"{path}/run.parquet").select("step", "details", "rows")
+
+
+def stage_update(spark: SparkSession, root: str) -> DataFrame:
+    """Orders as source files of a stage: some are new, some changed, some gone when it is brought up to date.
+
+    ``run`` tells which of the two runs computed a row.
+    """
+    path, key = store.scratch(spark) + "/stage", F.col("o_orderkey")
+    orders = _table(spark, root, "orders", "o_orderkey", "o_custkey")
+    listing = orders.select(
+        F.concat(F.lit("/orders/"), key).alias("path"), F.col("o_custkey").alias("length"), F.timestamp_micros(key).alias("modificationTime"), key
+    )
+    before = listing.where("o_orderkey % 5 <> 0").withColumn("length", F.col("length") + F.when(key % 7 == 0, 1).otherwise(0))
+    gone = orders.select(F.concat(F.lit("/gone/"), key).alias("path"), F.lit(1).cast("long").alias("length"), F.timestamp_micros(key).alias("modificationTime"), key)
+    for run, state in ((1, before.unionByName(gone)), (2, listing)):
+        def compute(part: DataFrame | None, run: int = run, state: DataFrame = state) -> DataFrame:
+            rows = state if part is None else part
+            return rows.select("path", F.col("length").alias("size"), F.lit(run).alias("run"))
+
+        done = stages.follow(spark, path, state, compute)
+    return done
+
+
 def vector_shape(spark: SparkSession, root: str) -> DataFrame:
     return vectors.shape(_embeddings(spark, root), "features")
 
@@ -628,7 +676,8 @@ def image_validation(spark: SparkSession, root: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        row_count, range_classes, replicate_rows, synthetic_features, vector_shape, dataset_inventory, integrity,
+        row_count, range_classes, replicate_rows, synthetic_features, vector_shape, parquet_round_trip,
+        csv_round_trip, logged_write, stage_update, dataset_inventory, integrity,
         integrity_status, path_label, path_label_regex, class_names, url_class, url_class_marked, expected_results,
         class_counts, class_share, class_relative, class_balance, distinct_classes, class_list, class_sample,
         null_profile, frame_summary, frame_check, feature_stats, lineitem_feature_stats, feature_histogram,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from featureflow.functions import paths, rules, vectors
 from featureflow.operators import classes, classification, clustering, images, reduction, sampling
-from featureflow.sources import files, store, tables
+from featureflow.sources import files, stages, store, tables
 from featureflow.sources.settle import spread
 
 
@@ -48,6 +48,8 @@ class FeaturizeConfig:
     factory: Callable[[], Callable] | None = field(default=None, compare=False)
     factory_name: str | None = None
     average_bytes: int | None = None
+    batch: int = images.BATCH
+    batch_bytes: int = images.BATCH_BYTES
     refresh: bool = False
 
     def __post_init__(self) -> None:
@@ -73,25 +75,35 @@ def featurize_job(
 
     Without an ``index`` the images one level below the root count, as ``index_job`` lists them. An image that
     validation rejects has status ``rejected`` and its reason; ``classes.reason_report`` sums the reasons up.
-    ``average_bytes`` of a file packs the scan's tasks for many small files.
+    ``average_bytes`` of a file packs the scan's tasks for many small files; the network gets ``batch`` images at a
+    time, or fewer if their pixels exceed ``batch_bytes``. A later run computes only images that are new or changed and
+    drops those that are gone; read the result with ``stages.read_stage``.
     """
 
-    def compute() -> DataFrame:
-        wanted = files.image_index(spark, root) if index is None else index
-        scanned = files.indexed_images(spark, root, index)
-        checked = images.validate_images(scanned, wanted, min_size=config.min_size)
-        return images.featurise_checked(checked, config.factory, config.length, config.on_error)
+    meta = files.list_files(spark, root).select(paths.same_uri("path").alias("__uri"), "length", "modificationTime")
+    wanted = files.image_index(spark, root) if index is None else index
+    listing = wanted.select("path", "label").join(meta, paths.same_uri("path") == F.col("__uri"), "left").drop("__uri")
+
+    def compute(part: DataFrame | None) -> DataFrame:
+        """Features of a part of the listing, or of all of it."""
+        todo = listing if part is None else part
+        scanned = files.indexed_images(spark, root, index if part is None else part)
+        checked = images.validate_images(scanned, todo.select("path", "label"), min_size=config.min_size)
+        return images.featurise_checked(
+            checked, config.factory, config.length, config.on_error, batch=config.batch, batch_bytes=config.batch_bytes
+        )
 
     params = {
         "factory": [config.factory_name, images.factory_digest(config.factory)],
         "length": config.length,
         "on_error": config.on_error,
         "min_size": list(config.min_size),
-        "index": None if index is None else str(index.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "label").cast("decimal(38,0)"))).head()),
     }
-    conf = {} if config.average_bytes is None else files.scan_conf(config.average_bytes)
+    conf = images.arrow_conf(config.batch_bytes)
+    if config.average_bytes is not None:
+        conf |= files.scan_conf(config.average_bytes)
     with store.settings(spark, conf):
-        return store.materialize(spark, output, compute, params, [root], config.refresh)
+        return stages.follow(spark, output, listing, compute, params, config.refresh)
 
 
 def reduce_job(df: DataFrame, config: ReduceConfig = ReduceConfig()) -> tuple[DataFrame, DataFrame]:
@@ -119,7 +131,7 @@ def stored_reduce_job(
     def stage(name: str) -> Callable[[], DataFrame]:
         def compute() -> DataFrame:
             if not computed:
-                rows = spark.read.parquet(features).filter(F.col(config.features).isNotNull())
+                rows = stages.read_stage(spark, features).filter(F.col(config.features).isNotNull())
                 computed["reduced"], computed["variance"] = reduce_job(rows, config)
             return computed[name]
 

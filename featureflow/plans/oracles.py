@@ -93,6 +93,12 @@ def _uniform(key: str) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "parquet_round_trip": "select c_custkey, c_name, c_nationkey::bigint as c_nationkey, round(c_acctbal * 2, 2) + 0.0 as c_acctbal from customer",
+    "csv_round_trip": f"select vec_id, label::bigint as label, count(*)::integer as n, round(sum(x), 6) + 0.0 as total from ({POSITIONS}) group by vec_id, label",
+    "logged_write": """select 'orders' as step, 'whole table' as details, count(*) as rows from orders
+        union all select 'supplier', 'whole table', count(*) from supplier""",
+    "stage_update": """select '/orders/' || o_orderkey as path, o_custkey as size,
+        case when o_orderkey % 5 = 0 or o_orderkey % 7 = 0 then 2 else 1 end as run from orders""",
     "row_count": "select count(*) as n_rows from lineitem",
     "range_classes": "select c_custkey as image_id, c_custkey % 5 as class_id from customer",
     "replicate_rows": """select s_suppkey, s_name, r::integer as copy from supplier,

@@ -14,6 +14,10 @@ from featureflow.functions.hashing import key_hash
 from featureflow.sources.settle import join_classes, settle_classes
 
 
+#: Files that are named to the reader one by one.
+FEW_FILES = 1000
+
+
 def hadoop_path(spark: SparkSession, uri: str):
     """(FileSystem, Path) of a URI, so existence tests work for every scheme Spark can read."""
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
@@ -100,8 +104,14 @@ def indexed_images(spark: SparkSession, root: str, index: DataFrame | None = Non
     """The decoded images of an index, or of all that ``image_index`` lists below the root.
 
     The rule of the index is a filter on the path. Another index is sent to the scan if it is small, as a sample is;
-    only an index too large for that is joined by a shuffle.
+    only an index too large for that is joined by a shuffle. Of a listing (an index with ``length``, null for files
+    that are not there) that names few files, only those are read.
     """
+    if index is not None and "length" in index.columns:
+        here = index.filter(F.col("length").isNotNull() & P.has_extension("path"))
+        few = [r["path"] for r in here.select("path").limit(FEW_FILES + 1).collect()]
+        if len(few) <= FEW_FILES and not any(c in path for path in few for c in "{}[]*?\\"):
+            return scan_images(spark, root, only=few)
     images = scan_images(spark, root)
     if index is None:
         return images.filter(_one_below(spark, root))
@@ -110,12 +120,14 @@ def indexed_images(spark: SparkSession, root: str, index: DataFrame | None = Non
 
 
 def scan_images(
-    spark: SparkSession, root: str, extensions: Sequence[str] = P.IMAGE_EXTENSIONS, drop_invalid: bool = False
+    spark: SparkSession, root: str, extensions: Sequence[str] = P.IMAGE_EXTENSIONS, drop_invalid: bool = False,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Decoded images: ``path, label, image`` with ``image = struct(height, width, nChannels, mode, data)``.
 
     Decoding runs in the scan. A file that cannot be decoded has height -1 (or no row with ``drop_invalid``).
-    Files are packed into scan tasks by size, so no exchange has to move pixels.
+    Files are packed into scan tasks by size, so no exchange has to move pixels. ``only``: these files, not all below
+    the root.
     """
     require_path(spark, root)
     glob = "*.{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" for c in e) for e in extensions) + "}"
@@ -124,8 +136,10 @@ def scan_images(
         .option("dropInvalid", drop_invalid)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
-        .load(root)
+        .load(list(only) or root if only is not None else root)
     )
+    if only is not None and not only:
+        raw = raw.limit(0)
     path = P.file_uri("image.origin")
     return raw.select(path.alias("path"), P.label_from_path(path).alias("label"), "image").select(
         "path",

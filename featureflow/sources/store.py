@@ -5,6 +5,8 @@ from __future__ import annotations
 import contextlib
 import hashlib
 import json
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
@@ -22,13 +24,66 @@ RUN_LOG = "ts timestamp, step string, details string, rows long"
 
 
 def write_parquet(
-    df: DataFrame, path: str, overwrite: bool = True, partition_by: Sequence[str] = ()
+    df: DataFrame, path: str, overwrite: bool = True, partition_by: Sequence[str] = (), marker: str | None = None
 ) -> None:
-    """Parquet write; an existing target raises unless ``overwrite``."""
-    writer = df.write.mode("overwrite" if overwrite else "errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Parquet write; an existing target raises unless ``overwrite``.
+
+    The rows go to a new folder beside the target, which takes its place when they are complete, ``marker`` included: a
+    job that fails leaves the old result as it was, and ``df`` may read what it replaces.
+    """
+
+    def write(target: str) -> None:
+        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+        writer.parquet(target)
+        if marker is not None:
+            write_text(df.sparkSession, f"{target}/{MARKER}", marker)
+
+    replace(df.sparkSession, path, write, overwrite)
+
+
+def replace(spark: SparkSession, path: str, write: Callable[[str], None], overwrite: bool = True) -> None:
+    """``write`` makes a dataset in the folder it is given, which then becomes ``path`` by renaming.
+
+    The old one is put aside before and deleted after; should the driver die between the two renames, the next
+    ``replace`` or ``restore`` puts it back.
+    """
+    restore(spark, path)
+    fs, target = hadoop_path(spark, path.rstrip("/"))
+    there = fs.exists(target)
+    if there and not overwrite:
+        write(path)  # Spark's own error
+        return
+    new, old = (f"{target.getParent()}/_{target.getName()}.{kind}" for kind in (f"{uuid.uuid4().hex}.new", "old"))
+    try:
+        write(new)
+        if there:
+            _rename(spark, path, old)
+        _rename(spark, new, path)
+    except BaseException:
+        fs.delete(hadoop_path(spark, new)[1], True)
+        restore(spark, path)
+        raise
+    if there:
+        fs.delete(hadoop_path(spark, old)[1], True)
+
+
+def restore(spark: SparkSession, path: str) -> bool:
+    """Puts back a dataset that was put aside and never replaced. Whether it did."""
+    fs, target = hadoop_path(spark, path.rstrip("/"))
+    old = f"{target.getParent()}/_{target.getName()}.old"
+    if not exists(spark, old):
+        return False
+    if fs.exists(target):  # replaced, but not cleaned up
+        fs.delete(hadoop_path(spark, old)[1], True)
+        return False
+    _rename(spark, old, path)
+    return True
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, place = hadoop_path(spark, source)
+    if not fs.rename(place, hadoop_path(spark, target.rstrip("/"))[1]):
+        raise OSError(f"cannot rename {source} to {target}")
 
 
 def csv_ready(df: DataFrame, vectors: str = "json") -> DataFrame:
@@ -54,14 +109,15 @@ def write_csv(df: DataFrame, path: str, vectors: str = "drop", single_file: bool
     ready = csv_ready(df, vectors)
     if single_file:
         ready = ready.coalesce(1)
-    ready.write.mode("overwrite").option("header", True).csv(path)
+    replace(df.sparkSession, path, lambda target: ready.write.option("header", True).csv(target))
 
 
 def write_expanded_csv(
     df: DataFrame, path: str, column: str = "pca_features", prefix: str = "pca_", length: int | None = None
 ) -> None:
     """One CSV column per vector element, written by the executors."""
-    expand(df, column, prefix, length).write.mode("overwrite").option("header", True).csv(path)
+    wide = expand(df, column, prefix, length)
+    replace(df.sparkSession, path, lambda target: wide.write.option("header", True).csv(target))
 
 
 def parquet_to_csv(spark: SparkSession, source: str, path: str, vectors: str = "json") -> None:
@@ -93,20 +149,22 @@ def fingerprint(params: dict[str, Any], sources: str = "", schema: T.StructType
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def _write_marker(spark: SparkSession, path: str, text: str) -> None:
-    fs, marker = hadoop_path(spark, f"{path}/{MARKER}")
-    out = fs.create(marker, True)
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """A small file; without ``overwrite`` an existing one is an error."""
+    fs, file = hadoop_path(spark, path)
+    out = fs.create(file, overwrite)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
 
 
-def _read_marker(spark: SparkSession, path: str) -> str | None:
-    fs, marker = hadoop_path(spark, f"{path}/{MARKER}")
-    if not fs.exists(marker):
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, None if it is not there."""
+    fs, file = hadoop_path(spark, path)
+    if not fs.exists(file):
         return None
-    stream = fs.open(marker)
+    stream = fs.open(file)
     try:
         return bytes(stream.readAllBytes()).decode()
     finally:
@@ -125,12 +183,14 @@ def materialize(
 
     The stage is reused only if it was completed with the same parameters over the same source files;
     otherwise it is recomputed and overwritten. The written data is read back, so nothing downstream can
-    repeat the computation. The marker is written last: a half-written stage is never reused.
+    repeat the computation. The marker comes with the rows: a half-written stage is never reused, and a computation
+    that fails leaves the stage it would have replaced. For stages with a row or more for each source file,
+    ``stages.follow`` computes only what changed.
     """
     wanted = fingerprint(params or {}, source_fingerprint(spark, sources) if sources else "")
-    if refresh or not exists(spark, path) or _read_marker(spark, path) != wanted:
-        write_parquet(compute(), path)
-        _write_marker(spark, path, wanted)
+    restore(spark, path)
+    if refresh or read_text(spark, f"{path}/{MARKER}") != wanted:
+        write_parquet(compute(), path, marker=wanted)
     return spark.read.parquet(path)
 
 
@@ -140,6 +200,20 @@ def invalidate(spark: SparkSession, path: str) -> bool:
     return fs.exists(marker) and fs.delete(marker, False)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path below the folder that driver and executors share (``spark.checkpoint.dir``).
+
+    A local master without that setting gets a temporary folder of its own.
+    """
+    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="featureflow-"))
+        root = spark.sparkContext.getCheckpointDir()
+    return f"{root}/scratch-{uuid.uuid4().hex}"
+
+
 def rewritten(df: DataFrame, path: str) -> DataFrame:
     """The frame, written to ``path`` and read back."""
     write_parquet(df, path)

@@ -238,6 +238,31 @@ def test_rejected_images_stay_with_their_reason(spark, image_set, tmp_path):
     assert names(jobs.featurize_job(spark, root, str(tmp_path / "s"), config, sample)) == names(sample)
 
 
+def test_batches_are_cut_by_pixels(spark, tmp_path):
+    """One large image among small ones: no batch of several images has more bytes than the limit."""
+    (tmp_path / "set" / "A").mkdir(parents=True)
+    for i in range(20):
+        side = 1500 if i == 7 else 40
+        (tmp_path / "set" / "A" / f"{i}.png").write_bytes(png_bytes(picture(i, side, side)))
+
+    def factory():
+        def featurise(blocks):
+            held = sum(b.shape[0] * b.shape[1] * 3 for b in blocks)
+            return np.array([[len(blocks), held]] * len(blocks), np.float32)
+
+        return featurise
+
+    limit = 3 * 40 * 40 * 3
+    config = jobs.FeaturizeConfig(factory=factory, factory_name="sizes", length=2, batch=8, batch_bytes=limit)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    done = jobs.featurize_job(spark, str(tmp_path / "set"), str(tmp_path / "f"), config).collect()
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+    seen = sorted({tuple(r["features"]) for r in done})
+    assert len(done) == 20 and all(held <= limit or n == 1 for n, held in seen) and (1.0, 1500 * 1500 * 3.0) in seen
+    assert list(images.batch_borders([], 3, 10)) == []
+    assert list(images.batch_borders([4, 4, 4, 50, 1, 1, 1, 1], 3, 10)) == [(0, 2), (2, 3), (3, 4), (4, 7), (7, 8)]
+
+
 def test_error_text_is_whole(spark):
     def factory():
         def fail(blocks):
@@ -259,7 +284,7 @@ def test_passthrough(spark):
 def test_conf():
     conf = files.scan_conf(5_000, 1000)
     assert int(conf["spark.sql.files.maxPartitionBytes"]) == 10_000_000
-    assert images.arrow_conf(30_000)["spark.sql.execution.arrow.maxRecordsPerBatch"] == "2236"
+    assert images.arrow_conf(30_000) == {"spark.sql.execution.arrow.maxBytesPerBatch": "30000"}
     assert paths.CLASS_NAMES[0] == "Apple_Red"
 
 

@@ -1,0 +1,181 @@
+"""Results that change all at once, and stages that compute what changed."""
+
+import os
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from conftest import picture, png_bytes
+from featureflow.plans import jobs
+from featureflow.sources import stages, store
+
+
+def failing(spark, n=5):
+    return spark.range(n).select(F.when(F.col("id") == n - 1, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+
+
+def test_a_failing_write_leaves_the_old_result(spark, tmp_path):
+    path = str(tmp_path / "out.parquet")
+    store.write_parquet(spark.range(3), path)
+    with pytest.raises(PySparkException):
+        store.write_parquet(failing(spark), path)
+    assert spark.read.parquet(path).count() == 3
+    with pytest.raises(PySparkException):
+        store.materialize(spark, path, lambda: failing(spark), {"k": 2})
+    assert spark.read.parquet(path).count() == 3
+    csv = str(tmp_path / "out.csv")
+    store.write_csv(spark.range(4), csv)
+    with pytest.raises(PySparkException):
+        store.write_csv(failing(spark), csv)
+    assert spark.read.option("header", True).csv(csv).count() == 4
+    assert not [p for p in os.listdir(tmp_path) if p.startswith("_")]
+
+
+def test_a_result_may_replace_what_it_reads(spark, tmp_path):
+    path = str(tmp_path / "out.parquet")
+    store.write_parquet(spark.range(10), path)
+    store.write_parquet(spark.read.parquet(path).where("id < 4"), path)
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_a_driver_lost_between_the_renames(spark, tmp_path):
+    path = str(tmp_path / "out.parquet")
+    store.write_parquet(spark.range(3), path)
+    os.rename(path, tmp_path / "_out.parquet.old")  # put aside, the new one never came
+    assert store.restore(spark, path) and spark.read.parquet(path).count() == 3
+    os.rename(path, tmp_path / "_out.parquet.old")
+    store.write_parquet(spark.range(7), path)  # the new one is there, the old one was not deleted
+    spark.range(1).write.parquet(str(tmp_path / "_out.parquet.old"))
+    assert not store.restore(spark, path) and spark.read.parquet(path).count() == 7
+    assert os.listdir(tmp_path) == ["out.parquet"]
+    os.rename(path, tmp_path / "_out.parquet.old")
+    with pytest.raises(PySparkException):
+        store.write_parquet(spark.range(1), path, overwrite=False)
+
+
+class Source:
+    """A listing that tests change, and a computation that tells what it was asked for."""
+
+    def __init__(self, spark, files):
+        self.spark, self.files, self.asked = spark, dict(files), []
+
+    def listing(self):
+        rows = [(f"/in/{name}", size, size) for name, size in self.files.items()]
+        frame = self.spark.createDataFrame(rows, "path string, length long, t long")
+        return frame.select("path", "length", F.timestamp_micros("t").alias("modificationTime"), F.lit("x").alias("label"))
+
+    def compute(self, part):
+        rows = self.listing() if part is None else part
+        self.asked.append(None if part is None else sorted(r["path"] for r in rows.collect()))
+        return rows.select("path", (F.col("length") * 10).alias("value"))
+
+    def follow(self, path, **settings):
+        rows = stages.follow(self.spark, path, self.listing(), self.compute, **settings)
+        return {r["path"].rsplit("/", 1)[1]: r["value"] for r in rows.collect()}
+
+
+def test_only_what_changed_is_computed(spark, tmp_path):
+    path, source = str(tmp_path / "stage"), Source(spark, {"a": 1, "b": 2, "c": 3})
+    assert source.follow(path) == {"a": 10, "b": 20, "c": 30}
+    assert source.follow(path) == {"a": 10, "b": 20, "c": 30} and source.asked == [None]
+    source.files["d"] = 4
+    assert source.follow(path) == {"a": 10, "b": 20, "c": 30, "d": 40} and source.asked[1:] == [["/in/d"]]
+    source.files["a"] = 9
+    assert source.follow(path) == {"a": 90, "b": 20, "c": 30, "d": 40} and source.asked[2:] == [["/in/a"]]
+    del source.files["b"]
+    assert source.follow(path) == {"a": 90, "c": 30, "d": 40} and len(source.asked) == 3
+    assert {r["path"][-1] for r in spark.read.parquet(path).collect()} == {"a", "c", "d"}  # a plain reader sees the same
+    assert {r["path"][-1] for r in stages.read_stage(spark, path).collect()} == {"a", "c", "d"}
+    source.files = {}
+    assert source.follow(path) == {}
+    source.files = {"z": 5}
+    assert source.follow(path) == {"z": 50} and source.asked[3:] == [["/in/z"]]
+
+
+def test_settings_and_refresh_compute_everything(spark, tmp_path):
+    path, source = str(tmp_path / "stage"), Source(spark, {"a": 1})
+    for settings in ({"params": {"k": 1}}, {"params": {"k": 1}}, {"params": {"k": 2}}, {"params": {"k": 2}, "refresh": True}):
+        assert source.follow(path, **settings) == {"a": 10}
+    assert source.asked == [None] * 3
+
+
+def test_small_batches_are_merged_without_computing(spark, tmp_path):
+    path, source = tmp_path / "stage", Source(spark, {"a": 1})
+    for i in range(8):
+        source.files[f"f{i}"] = i
+        assert len(source.follow(str(path), most=3)) == i + 2
+        assert len([p for p in os.listdir(path) if p.startswith("batch=")]) <= 3
+        assert len(os.listdir(path / "_commits")) <= 4  # checksum files included
+    assert source.asked[0] is None and all(len(x) == 1 for x in source.asked[1:])
+
+
+def test_a_failing_update_leaves_the_stage(spark, tmp_path):
+    path, source = str(tmp_path / "stage"), Source(spark, {"a": 1, "b": 2})
+    source.follow(path)
+    source.files["c"] = 3
+    with pytest.raises(PySparkException):
+        stages.follow(spark, path, source.listing(), lambda part: part.select("path", F.raise_error(F.lit("lost")).cast("long").alias("value")))
+    assert {r["path"] for r in stages.read_stage(spark, path).collect()} == {"/in/a", "/in/b"}
+    assert source.follow(path) == {"a": 10, "b": 20, "c": 30} and source.asked[1:] == [["/in/c"]]
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path):
+    path, source = str(tmp_path / "stage"), Source(spark, {"a": 1})
+    source.follow(path)
+    source.files["b"] = 2
+
+    def slow(part):
+        source.follow(path)  # another writer commits meanwhile
+        return source.compute(part)
+
+    with pytest.raises(Exception, match="exists"):
+        stages.follow(spark, path, source.listing(), slow)
+    assert source.follow(path) == {"a": 10, "b": 20}
+
+
+def test_a_torn_commit_is_passed_over(spark, tmp_path):
+    path, source = tmp_path / "stage", Source(spark, {"a": 1})
+    source.follow(str(path))
+    Path(path / "_commits" / "00000002.json").write_text('{"batches": [')
+    assert stages.current(spark, str(path))["version"] == 1
+    assert {r["path"] for r in stages.read_stage(spark, str(path)).collect()} == {"/in/a"}
+    source.files["b"] = 2
+    assert source.follow(str(path)) == {"a": 10, "b": 20} and stages.current(spark, str(path))["version"] == 3
+
+
+def test_one_new_image_costs_one_inference(spark, tmp_path):
+    root, out, calls = tmp_path / "set", str(tmp_path / "features.parquet"), tmp_path / "calls"
+    calls.mkdir()
+    (root / "A b").mkdir(parents=True)
+    for i in range(6):
+        (root / "A b" / f"{i}+é%20.png").write_bytes(png_bytes(picture(i)))
+
+    def factory(folder=str(calls)):
+        import uuid
+
+        def featurise(blocks):
+            Path(folder, uuid.uuid4().hex).write_text(str(len(blocks)))
+            return np.array([[float(b.mean()), 1.0] for b in blocks], np.float32)
+
+        return featurise
+
+    def inferred():
+        n = sum(int(p.read_text()) for p in calls.iterdir())
+        for p in list(calls.iterdir()):
+            p.unlink()
+        return n
+
+    config = jobs.FeaturizeConfig(factory=factory, factory_name="count", length=2)
+    assert jobs.featurize_job(spark, str(root), out, config).count() == 6 and inferred() == 6
+    assert jobs.featurize_job(spark, str(root), out, config).count() == 6 and inferred() == 0
+    (root / "A b" / "new.png").write_bytes(png_bytes(picture(7)))
+    done = jobs.featurize_job(spark, str(root), out, config)
+    assert done.count() == 7 and done.where("status = 'ok'").count() == 7 and inferred() == 1
+    (root / "A b" / "2+é%20.png").unlink()
+    done = {r["path"].rsplit("/", 1)[1] for r in jobs.featurize_job(spark, str(root), out, config).collect()}
+    assert len(done) == 6 and "2+é%20.png" not in done and inferred() == 0
+    (root / "A b" / "3+é%20.png").write_bytes(png_bytes(picture(30, 50, 50)))
+    assert jobs.featurize_job(spark, str(root), out, config).count() == 6 and inferred() == 1
