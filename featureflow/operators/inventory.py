@@ -3,73 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JJavaError
-from pyspark import inheritable_thread_target
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.functions import paths as P
 from featureflow.operators.quality import summary
-from featureflow.sources.files import checksum_files, exists, list_files, readable, relative_path, require_path
+from featureflow.sources.files import list_files, qualified, relative_path
+from featureflow.sources.walk import footers, footers_of_contents, opens_in_tasks, walk
 
-INVENTORY = "dataset string, readable boolean, rows long, n_columns int, columns array<string>"
+#: A path component that Spark does not read: hidden by a dot, or by an underscore unless it is a partition.
+_HIDDEN = r"(^|/)(\.[^/]*|_[^/=]*)(/|$)"
+_PARTITION = r"(?:^|/)([^/=]+)=[^/]*(?=/)"
 
 
-def _schemas(spark: SparkSession, uris: Sequence[str]) -> list[DataFrame | None]:
-    """Each dataset's frame, None where unreadable; the small footer jobs run side by side."""
-    with ThreadPoolExecutor(8) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(lambda uri: readable(spark, uri)), uris))
+def _below(spark: SparkSession, root: str) -> DataFrame:
+    """The entries of the tree with ``key``, the path below the root, and ``file``, the last part of it."""
+    return walk(spark, root).withColumn("key", relative_path(spark, root)).withColumn("file", P.base_name("path"))
 
 
-def _count_rows(spark: SparkSession, datasets: Sequence[tuple[str, DataFrame]]) -> dict[str, int | None]:
-    """Rows per dataset: one job for all; if any file is bad, one job per dataset so only that one is lost."""
-    if not datasets:
-        return {}
-    counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("d"), "n") for name, df in datasets]
-    together = counted[0]
-    for one in counted[1:]:
-        together = together.unionAll(one)
-    try:
-        return {r["d"]: r["n"] for r in together.collect()}
-    except (PySparkException, Py4JJavaError):
-        if len(datasets) == 1:
-            return {datasets[0][0]: None}
-        found: dict[str, int | None] = {}
-        for one in datasets:
-            found |= _count_rows(spark, [one])
-        return found
+def _datasets(spark: SparkSession, root: str, entries: DataFrame) -> DataFrame:
+    """``dataset, readable, rows, columns, size_bytes, part_files`` from entries with their ``dataset``.
+
+    Executors read the footers of all files that Spark would read; the driver sees none of them. Rows are null, and the
+    dataset is not readable, if any such file is bad or there is none; columns are those of the first good file, and
+    of its partition folders.
+    """
+    inside = F.expr("substring(key, length(dataset) + 2)")
+    data = (~F.col("directory")) & (F.col("length") > 0) & ~inside.rlike(_HIDDEN)
+    wanted = entries.where(data).select("path").distinct()  # datasets may lie in each other
+    found = footers(wanted) if opens_in_tasks(qualified(spark, root)) else contents_read(spark, root, wanted)
+    files = entries.join(found, "path", "left").withColumn("data", data)
+    good = F.col("data") & F.col("rows").isNotNull()
+    names = F.concat("columns", F.array_except(F.regexp_extract_all(inside, F.lit(_PARTITION), 1), F.col("columns")))
+    return files.groupBy("dataset").agg(
+        (F.coalesce(F.bool_and(F.when(F.col("data"), F.col("rows").isNotNull())), F.lit(False))).alias("readable"),
+        F.sum("rows").alias("counted"),
+        F.min_by(F.when(good, names), F.when(good, F.col("path"))).alias("columns"),
+        F.coalesce(F.sum(F.when(~F.col("directory"), F.col("length"))), F.lit(0)).alias("size_bytes"),
+        F.count_if(~F.col("directory") & _is_part("file")).alias("part_files"),
+    ).select("dataset", "readable", F.when(F.col("readable"), F.col("counted")).alias("rows"), "columns", "size_bytes", "part_files")
+
+
+def contents_read(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """``footers`` of files that only Spark's readers can open: tasks get their contents, so this reads all of them."""
+    content = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return footers_of_contents(content.join(files.select("path"), "path", "left_semi").select("path", "content"))
 
 
 def dataset_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """One row per ``*.parquet`` dataset at any depth: rows, column count and names, bytes, part files.
+    """One row per ``*.parquet`` dataset at any depth: readable, rows, column count and names, bytes, part files.
 
-    Counting reads Parquet footers only (empty read schema); bytes come from one file-metadata scan. The
-    driver handles one entry per dataset, never one per file.
+    A dataset is a file or a folder with a name ending in .parquet, the outermost one. Tasks list the tree and read the
+    footers; what the driver does depends neither on the number of datasets nor of files, but for a call for each level.
     """
-    require_path(spark, root)
-    base = root.rstrip("/")
-    sizes = dataset_sizes(spark, root)
-    names = [r["dataset"] for r in sizes.select("dataset").collect()]
-    frames = list(zip(names, _schemas(spark, [f"{base}/{n}" for n in names])))
-    rows = _count_rows(spark, [(n, df) for n, df in frames if df is not None])
-    facts = []
-    for name, df in frames:
-        count = rows.get(name)
-        columns = df.columns if df is not None else None
-        facts.append((name, count is not None, count, len(columns) if columns is not None else None, columns))
-    return spark.createDataFrame(facts, INVENTORY).join(sizes, "dataset")
-
-
-def dataset_sizes(spark: SparkSession, root: str) -> DataFrame:
-    """Bytes and part files per dataset (a dataset is a file or a directory with a name ending in .parquet)."""
-    name = F.regexp_extract(relative_path(spark, root), r"^(.*?\.parquet)(/.*)?$", 1)
-    files = list_files(spark, root).select(name.alias("dataset"), "length", P.base_name("path").alias("file"))
-    return files.filter("dataset != ''").groupBy("dataset").agg(
-        F.sum("length").alias("size_bytes"), F.count_if(_is_part("file")).alias("part_files")
-    )
+    name = F.regexp_extract("key", r"^(.*?\.parquet)(/.*)?$", 1)
+    entries = _below(spark, root).withColumn("dataset", name).where("dataset != ''")
+    return _datasets(spark, root, entries).select("dataset", "readable", "rows", F.size("columns").alias("n_columns"), "columns", "size_bytes", "part_files")
 
 
 def _is_part(file: str):
@@ -77,14 +67,19 @@ def _is_part(file: str):
 
 
 def integrity_check(spark: SparkSession, root: str, expected: Sequence[str]) -> DataFrame:
-    """``path, exists, valid, rows`` for every expected dataset; valid means readable with at least one row."""
-    base = root.rstrip("/")
-    frames = {p: (readable(spark, f"{base}/{p}") if exists(spark, f"{base}/{p}") else None) for p in expected}
-    rows = _count_rows(spark, [(p, df) for p, df in frames.items() if df is not None])
-    facts = [
-        (p, exists(spark, f"{base}/{p}"), bool(rows.get(p)), rows.get(p) or 0) for p in expected
-    ]
-    return spark.createDataFrame(facts, "path string, exists boolean, valid boolean, rows long")
+    """``path, exists, valid, rows`` for every expected dataset; valid means readable with at least one row.
+
+    Any file or folder below the root may be expected, whatever its name.
+    """
+    wanted = spark.createDataFrame([(p,) for p in expected], "dataset string")
+    parts = F.split("key", "/")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    entries = _below(spark, root).withColumn("dataset", F.explode(prefixes)).join(F.broadcast(wanted), "dataset")
+    found = _datasets(spark, root, entries).select("dataset", F.lit(True).alias("exists"), "rows")
+    rows = F.coalesce("rows", F.lit(0))
+    return wanted.join(found, "dataset", "left").select(
+        F.col("dataset").alias("path"), F.coalesce("exists", F.lit(False)).alias("exists"), (rows > 0).alias("valid"), rows.alias("rows")
+    )
 
 
 def expected_against(inventory: DataFrame, expected: DataFrame) -> DataFrame:
@@ -107,21 +102,19 @@ def integrity_status(checked: DataFrame) -> DataFrame:
 
 
 def directory_size(spark: SparkSession, root: str) -> DataFrame:
-    """One row: files, directories holding files, bytes."""
-    return list_files(spark, root).agg(
-        F.count(F.lit(1)).alias("files"),
-        F.count_distinct(P.directory("path")).alias("directories"),
+    """One row: files, directories below the root, bytes; hidden and empty ones count."""
+    return walk(spark, root).agg(
+        F.count_if(~F.col("directory")).alias("files"),
+        F.count_if("directory").alias("directories"),
         F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
     )
 
 
 def part_files(spark: SparkSession, root: str) -> DataFrame:
-    """Part files and checksum files per directory."""
-    files = list_files(spark, root).select(P.directory("path").alias("directory"), P.base_name("path").alias("file"))
-    parts = files.groupBy("directory").agg(F.count_if(_is_part("file")).alias("part_files"))
-    sums = spark.createDataFrame(checksum_files(spark, root), "directory string, crc_files long")
-    return parts.join(sums, "directory", "left").select(
-        "directory", "part_files", F.coalesce("crc_files", F.lit(0)).alias("crc_files")
+    """Part files and checksum files per directory that holds files."""
+    files = walk(spark, root).where("not directory").select(P.directory("path").alias("directory"), P.base_name("path").alias("file"))
+    return files.groupBy("directory").agg(
+        F.count_if(_is_part("file")).alias("part_files"), F.count_if(F.col("file").endswith(".crc")).alias("crc_files")
     )
 
 

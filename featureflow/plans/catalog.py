@@ -157,6 +157,23 @@ def dataset_inventory(spark: SparkSession, root: str) -> DataFrame:
     return found.select("dataset", "readable", "rows", "n_columns", names, (F.col("size_bytes") > 0).alias("has_bytes"), "part_files")
 
 
+def part_files(spark: SparkSession, root: str) -> DataFrame:
+    """Part and checksum files of the folders that orders are written to, one for each status."""
+    path = store.scratch(spark) + "/orders.parquet"
+    orders = _table(spark, root, "orders", "o_orderkey", "o_orderstatus")
+    store.write_parquet(orders.repartition(3, "o_orderstatus"), path, partition_by=["o_orderstatus"])
+    found = inventory.part_files(spark, path).where("part_files > 0")
+    return found.select(paths.base_name("directory").alias("directory"), "part_files", "crc_files")
+
+
+def directory_size(spark: SparkSession, root: str) -> DataFrame:
+    """Files and folders of the same, all counted, hidden and empty ones too."""
+    path = store.scratch(spark) + "/orders.parquet"
+    orders = _table(spark, root, "orders", "o_orderkey", "o_orderstatus")
+    store.write_parquet(orders.repartition(3, "o_orderstatus"), path, partition_by=["o_orderstatus"])
+    return inventory.directory_size(spark, path).select("files", "directories", (F.col("bytes") > 0).alias("has_bytes"))
+
+
 def integrity(spark: SparkSession, root: str) -> DataFrame:
     return inventory.integrity_check(spark, root, EXPECTED_DATASETS)
 
@@ -677,7 +694,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         row_count, range_classes, replicate_rows, synthetic_features, vector_shape, parquet_round_trip,
-        csv_round_trip, logged_write, stage_update, dataset_inventory, integrity,
+        csv_round_trip, logged_write, stage_update, dataset_inventory, part_files, directory_size, integrity,
         integrity_status, path_label, path_label_regex, class_names, url_class, url_class_marked, expected_results,
         class_counts, class_share, class_relative, class_balance, distinct_classes, class_list, class_sample,
         null_profile, frame_summary, frame_check, feature_stats, lineitem_feature_stats, feature_histogram,

@@ -120,6 +120,9 @@ ORACLES: dict[str, str] = {
         "true as has_bytes, 0::bigint as part_files"
         for t in TABLES
     ),
+    "part_files": "select distinct 'o_orderstatus=' || o_orderstatus as directory, 1::bigint as part_files, 1::bigint as crc_files from orders",
+    "directory_size": """select 2 * count(distinct o_orderstatus) + 2 as files, count(distinct o_orderstatus) as directories, true as has_bytes
+        from orders""",
     "integrity": """select 'embeddings.parquet' as path, true as exists, true as valid, count(*) as rows from embeddings
         union all select 'documents.parquet', true, true, count(*) from documents
         union all select 'final_results.parquet', false, false, 0""",

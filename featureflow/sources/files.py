@@ -45,21 +45,6 @@ def relative_path(spark: SparkSession, root: str, path: str = "path") -> Column:
     return F.substring(path, len(qualified(spark, root)) + 2, 1 << 30)
 
 
-def checksum_files(spark: SparkSession, root: str) -> list[tuple[str, int]]:
-    """(directory, .crc files) of a local tree; Spark's own listing hides them and object stores have none."""
-    fs, path = hadoop_path(spark, root)
-    if fs.getScheme() != "file":
-        return []
-    found: dict[str, int] = {}
-    files = fs.getRawFileSystem().listFiles(fs.makeQualified(path), True)
-    while files.hasNext():
-        entry = files.next().getPath()
-        if entry.getName().endswith(".crc"):
-            folder = entry.getParent().toString()
-            found[folder] = found.get(folder, 0) + 1
-    return sorted(found.items())
-
-
 def scan_binary(spark: SparkSession, root: str, glob: str | None = "*.jpg") -> DataFrame:
     """Recursive binaryFile scan, one row per file: path, modificationTime, length, content."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
