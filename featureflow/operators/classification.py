@@ -7,11 +7,11 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from featureflow.functions import rules
 from featureflow.functions.vectors import require_vector
 from featureflow.operators.classes import class_counts
+from featureflow.operators.numbering import running_total
 from featureflow.sources.settle import lay_out
 
 # Forest settings.
@@ -28,11 +28,9 @@ def label_index(df: DataFrame, label: str = "label") -> DataFrame:
     The same numbers as the classifier's indexer gives. The class table is sorted by ranges and numbered by the
     sizes of the sorted partitions, so no task has to hold it.
     """
-    counts = class_counts(df.filter(F.col(label).isNotNull()), label)
-    ordered = counts.orderBy(F.col("n").desc(), F.col(label).cast("string"))
-    schema = T.StructType([*ordered.schema.fields, T.StructField("label_indexed", T.DoubleType())])
-    numbered = ordered.rdd.zipWithIndex().map(lambda pair: (*pair[0], float(pair[1])))
-    return df.sparkSession.createDataFrame(numbered, schema, verifySchema=False)
+    counts = class_counts(df.filter(F.col(label).isNotNull()), label).withColumn("__one", F.lit(1).cast("long"))
+    place = running_total(counts, [], [F.col("n").desc(), F.col(label).cast("string")], "__one", "__place")
+    return place.select(label, "n", (F.col("__place") - 1).cast("double").alias("label_indexed"))
 
 
 def train_classifier(

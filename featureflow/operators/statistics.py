@@ -1,7 +1,7 @@
 """Statistics over feature vectors: every element of every row, never a sample of the first rows.
 
-Vectors stay arrays: counts, sums and histograms are made where the rows are, and what is shuffled is one short list
-for each task. NaN and infinite elements take no part; ``feature_stats`` returns their number.
+Counts, sums and histograms are made where the rows are; what is shuffled is a short list or a sketch for each task, and
+for exact quantiles the counts of the few values around them. NaN and infinite elements take no part; ``feature_stats`` returns their number.
 """
 
 from __future__ import annotations
@@ -20,11 +20,15 @@ from featureflow.functions import rules
 from featureflow.functions.vectors import as_array
 from featureflow.operators import gram
 from featureflow.operators.classes import class_counts
-from featureflow.sources.settle import join_classes, settle_classes
+from featureflow.operators.numbering import running_total
+from featureflow.sources.settle import ClassTable, join_classes, settle_classes
+from featureflow.sources.store import rewritten, scratch
 
 QUARTILES = (0.25, 0.5, 0.75)
-#: Bits of the sort key that each pass over the rows settles; all 64 in the end.
-DIGIT_BITS = (22, 22, 20)
+#: Size parameter of the sketches, and the share of a group's values on either side of a rank that its bracket takes in:
+#: nearly three times the sketches' error.
+SKETCH_SIZE = 1000
+SKETCH_MARGIN = 0.012
 
 
 def finite(values: Column) -> Column:
@@ -117,107 +121,64 @@ def feature_histogram(df: DataFrame, column: str = "features", bins: int = 50) -
     )
 
 
-def sort_keys(x: np.ndarray) -> np.ndarray:
-    """64-bit numbers that order as the doubles do."""
-    bits = (x + 0.0).view(np.uint64)
-    return np.where(bits >> np.uint64(63), ~bits, bits | np.uint64(1 << 63))
-
-
-def from_sort_keys(keys: np.ndarray) -> np.ndarray:
-    return np.where(keys >> np.uint64(63), keys & np.uint64((1 << 63) - 1), ~keys).view(np.float64)
-
-
 def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequence[float] = QUARTILES) -> DataFrame:
     """Exact interpolated quantiles per group: ``group, n, quantiles array``; ``value`` is a number or an array of them.
 
-    A radix selection: each pass counts the next digit of the sort keys that begin like a wanted one, so what leaves
-    a task is at most one count for each group, rank and digit, no group is gathered or sorted anywhere, and the
-    number of passes does not depend on the data. The ranks found so far go back to the rows as a class table, which
-    is sent to the tasks if it is small; the passes run when the frame is built. Null groups are a group; nulls, NaN and infinite values are left out.
+    Two passes over the rows. The first sums up each group in a KLL sketch, which brackets the wanted ranks. The second
+    counts what lies below each bracket, and each value inside it; a running total over those finds the ranks. No group
+    is gathered or sorted in one task. A sketch may err: a rank that its bracket missed is noticed by the counts, and the
+    second pass is repeated with wider brackets. The passes run when the frame is built. Null groups are a group;
+    nulls, NaN and infinite values are left out.
     """
     probabilities = sorted(probabilities)
     values = F.col(value) if isinstance(df.schema[value].dataType, T.ArrayType) else F.array(value)
-    rows = df.select(F.col(group).alias("g"), values.cast("array<double>").alias("v")).filter(F.col("v").isNotNull())
-    fields = {f.name: f.dataType for f in rows.schema.fields}
-    counted = _schema(fields["g"], slot=T.IntegerType(), prefix=T.LongType(), rank=T.LongType(), n=T.LongType(), digit=T.IntegerType(), c=T.LongType())
-    wanted = [r for q in probabilities for r in (F.floor(F.lit(q) * (F.col("n") - 1)), F.ceil(F.lit(q) * (F.col("n") - 1)))]
-    found = None
-    for level, bits in enumerate(DIGIT_BITS):
-        if found is None:
-            parts = rows.mapInArrow(_digits(level, 1), counted)
-        else:
-            near = join_classes(rows, found, "g").select("g", "v", "prefixes", "ranks", "n")
-            parts = near.mapInArrow(_digits(level, len(wanted)), counted)
-        counts = parts.groupBy("g", "slot", "digit").agg(F.sum("c").alias("c"), F.first("prefix").alias("prefix"), F.first("rank").alias("rank"), F.first("n").alias("n"))
-        by_slot = Window.partitionBy("g", "slot")
-        upto = F.sum("c").over(by_slot.orderBy("digit"))
-        if found is None:  # one list of counts for all ranks: the size of the group is known only now
-            counts = counts.withColumn("n", F.sum("c").over(by_slot))
-            each = F.array(*(F.struct(F.lit(i).alias("slot"), r.cast("long").alias("rank")) for i, r in enumerate(wanted)))
-            placed = counts.withColumn("upto", upto).select("g", "n", "digit", "prefix", "c", "upto", F.explode(each).alias("w"))
-            placed = placed.select("g", "n", "digit", "prefix", "c", "upto", "w.slot", "w.rank")
-        else:
-            placed = counts.withColumn("upto", upto)
-        start = F.col("upto") - F.col("c")
-        hit = placed.filter((start <= F.col("rank")) & (F.col("rank") < F.col("upto")))
-        prefix = F.shiftleft("prefix", bits).bitwiseOR(F.col("digit").cast("long"))
-        lists = hit.groupBy("g", "n").agg(F.array_sort(F.collect_list(F.struct("slot", prefix.alias("prefix"), (F.col("rank") - start).alias("rank")))).alias("t"))
-        found = settle_classes(lists.select("g", "n", F.col("t.prefix").alias("prefixes"), F.col("t.rank").alias("ranks")))
-
-    def values_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("prefixes").flatten().to_numpy().view(np.uint64).reshape(-1, len(probabilities), 2)
-            n = batch.column("n").to_numpy()[:, None]
-            at = np.asarray(probabilities) * (n - 1)
-            low, high = from_sort_keys(keys[:, :, 0]), from_sort_keys(keys[:, :, 1])
-            flat = pa.array((low + (high - low) * (at - np.floor(at))).ravel())
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * len(probabilities)), flat)
-            yield pa.record_batch([batch.column("g"), batch.column("n"), lists], ["g", "n", "quantiles"])
-
-    result = _schema(fields["g"], n=T.LongType(), quantiles=T.ArrayType(T.DoubleType()))
-    return found.frame.select("g", "n", "prefixes").mapInArrow(values_of, result).withColumnRenamed("g", group)
-
-
-def _schema(group: T.DataType, **others: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in {"g": group, **others}.items()])
-
-
-def _digits(level: int, slots: int):
-    """Counts of the digit after each wanted prefix. At level 0 all elements of a group share the empty prefix."""
-    bits, known = DIGIT_BITS[level], sum(DIGIT_BITS[:level])
-    shift, mask = np.uint64(64 - known - bits), (1 << bits) - 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            coded = batch.column("g").dictionary_encode("encode")
-            x, row = _elements(batch.column("v"))
-            keys = sort_keys(x)
-            code = coded.indices.to_numpy()
-            digit = ((keys >> shift) & np.uint64(mask)).astype(np.int64)
-            if level:
-                prefixes = batch.column("prefixes").flatten().to_numpy().reshape(-1, slots)
-                ranks = batch.column("ranks").flatten().to_numpy().reshape(-1, slots)
-                begins = (keys >> np.uint64(64 - known)).view(np.int64)
-                totals = batch.column("n").to_numpy()
-            for slot in range(slots):
-                use = begins == prefixes[row, slot] if level else slice(None)
-                both, counts = np.unique(code[row[use]].astype(np.int64) << bits | digit[use], return_counts=True)
-                groups = both >> bits
-                _, first = np.unique(code, return_index=True)  # a row of each group, in the order of the codes
-                at = first[groups]
-                zeros = np.zeros(len(both), np.int64)
-                yield pa.record_batch(
-                    [
-                        coded.dictionary.take(pa.array(groups)), pa.array(np.full(len(both), slot, np.int32)),
-                        pa.array(prefixes[at, slot] if level else zeros), pa.array(ranks[at, slot] if level else zeros),
-                        pa.array(totals[at] if level else zeros), pa.array((both & mask).astype(np.int32)), pa.array(counts),
-                    ],
-                    ["g", "slot", "prefix", "rank", "n", "digit", "c"],
-                )
-
-    return run
+    each = df.select(F.col(group).alias("g"), F.explode(values.cast("array<double>")).alias("x"))
+    each = each.where(F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") < float("inf")))
+    sketches = each.groupBy("g").agg(F.count("x").alias("n"), F.kll_sketch_agg_double("x", SKETCH_SIZE).alias("sketch"))
+    sketches = rewritten(sketches, scratch(df.sparkSession))
+    margin = SKETCH_MARGIN
+    while True:
+        found = _ranked(each, sketches, probabilities, margin)
+        if found.frame.where(F.exists("ranked", lambda x: x["low"].isNull() | x["high"].isNull())).isEmpty():
+            break
+        margin *= 8
+    at = [F.lit(q) * (F.col("n") - 1) for q in probabilities]
+    own = [F.col("ranked")[i] for i in range(len(probabilities))]
+    quantiles = [x["low"] + (x["high"] - x["low"]) * (a - F.floor(a)) for x, a in zip(own, at, strict=True)]
+    return found.frame.select(F.col("g").alias(group), "n", F.array(*quantiles).alias("quantiles"))
+
+
+def _ranked(each: DataFrame, sketches: DataFrame, probabilities: Sequence[float], margin: float) -> ClassTable:
+    """``g, n, ranked``: for each probability slot, low, high, the values at the two ranks it lies between.
+
+    A value is null where the bracket, ``margin`` on either side of the probability, does not hold it.
+    """
+    def bound(q: float) -> Column:
+        if 0 <= q <= 1:
+            return F.kll_sketch_get_quantile_double("sketch", F.lit(q))
+        return F.lit(float("-inf") if q < 0 else float("inf"))
+
+    names = [(f"lo{i}", f"hi{i}") for i in range(len(probabilities))]
+    brackets = [b.alias(name) for q, own in zip(probabilities, names, strict=True) for b, name in zip((bound(q - margin), bound(q + margin)), own, strict=True)]
+    near = join_classes(each, settle_classes(sketches.select("g", "n", *brackets)), "g")
+    below = F.lit(float("-inf"))  # all values under a bracket, which no finite value is
+    slots = [
+        F.when(F.col("x") <= F.col(hi), F.struct(F.lit(i).alias("slot"), F.when(F.col("x") < F.col(lo), below).otherwise(F.col("x")).alias("x")))
+        for i, (lo, hi) in enumerate(names)
+    ]
+    counts = near.select("g", "n", F.explode(F.array(*slots)).alias("s")).where("s is not null").groupBy("g", "n", "s.slot", "s.x").agg(F.count("*").alias("c"))
+    upto = running_total(counts, ["g", "slot"], ["x"], "c", "upto")
+    at = F.element_at(F.array(*map(F.lit, probabilities)), F.col("slot") + 1) * (F.col("n") - 1)
+
+    def value_at(rank: Column) -> Column:
+        here = (F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto")) & (F.col("x") > below)
+        return F.max(F.when(here, F.col("x")))
+
+    ranked = upto.groupBy("g", "n", "slot").agg(value_at(F.floor(at)).alias("low"), value_at(F.ceil(at)).alias("high"))
+    lists = ranked.groupBy("g", "n").agg(F.array_sort(F.collect_list(F.struct("slot", "low", "high"))).alias("ranked"))
+    empty = F.transform(F.sequence(F.lit(0), F.lit(len(probabilities) - 1)), lambda i: F.struct(i.alias("slot"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high")))
+    whole = F.when(F.size("ranked") == len(probabilities), F.col("ranked")).otherwise(empty)  # a slot without any value missed its rank
+    return settle_classes(lists.withColumn("ranked", whole))
 
 
 def class_box_stats(df: DataFrame, column: str = "features", label: str = "label", classes: int | None = None) -> DataFrame:
@@ -236,25 +197,13 @@ def class_box_stats(df: DataFrame, column: str = "features", label: str = "label
         F.col("quantiles")[1].alias("median"),
         F.col("quantiles")[2].alias("q3"),
     )
-    fenced = join_classes(rows, settle_classes(quartiles), label).select(label, "v", "n", "q1", "median", "q3")
-    kept = [label, "n", "q1", "median", "q3"]
-
-    def whiskers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, row = _elements(batch.column("v"))
-            q1, q3 = batch.column("q1").to_numpy()[row], batch.column("q3").to_numpy()[row]
-            inside = (x >= q1 - 1.5 * (q3 - q1)) & (x <= q3 + 1.5 * (q3 - q1))
-            code = batch.column(label).dictionary_encode("encode").indices.to_numpy()
-            first = np.unique(code, return_index=True)[1]
-            low, high = np.full(len(first), np.inf), np.full(len(first), -np.inf)
-            np.minimum.at(low, code[row[inside]], x[inside])
-            np.maximum.at(high, code[row[inside]], x[inside])
-            seen = np.flatnonzero(low <= high)
-            out = batch.select(kept).take(pa.array(first[seen]))
-            yield pa.record_batch([*out.columns, pa.array(low[seen]), pa.array(high[seen])], [*kept, "low", "high"])
-
-    partial = T.StructType([*(f for f in fenced.schema.fields if f.name in kept), T.StructField("low", T.DoubleType()), T.StructField("high", T.DoubleType())])
-    return fenced.mapInArrow(whiskers, partial).groupBy(*kept).agg(F.min("low").alias("whisker_low"), F.max("high").alias("whisker_high"))
+    fenced = join_classes(rows, settle_classes(quartiles), label)
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    # null, NaN and infinite elements are not between finite fences
+    inside = F.filter("v", lambda x: (x >= F.col("q1") - reach) & (x <= F.col("q3") + reach))
+    return fenced.withColumn("v", inside).groupBy(label, "n", "q1", "median", "q3").agg(
+        F.min(F.array_min("v")).alias("whisker_low"), F.max(F.array_max("v")).alias("whisker_high")
+    )
 
 
 def component_variance(df: DataFrame, column: str = "features", first: int | None = None) -> DataFrame:

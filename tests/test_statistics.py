@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featureflow.operators import classes, gram, quality, statistics
+from featureflow.operators.numbering import running_total
 from featureflow.sources import tables
 
 
@@ -68,11 +69,28 @@ def test_exact_quantiles(spark, kind):
         np.testing.assert_allclose(row["quantiles"], expected, rtol=1e-9)
 
 
-def test_sort_keys_order_as_numbers():
-    x = np.array([-np.finfo(float).max, -1.5, -5e-324, -0.0, 0.0, 5e-324, 1e-9, 1.0, 1.5, np.finfo(float).max])
-    keys = statistics.sort_keys(x)
-    assert (keys[1:] >= keys[:-1]).all() and keys[3] == keys[4]
-    np.testing.assert_array_equal(statistics.from_sort_keys(keys), x + 0.0)
+@pytest.mark.parametrize("margin", [0.0, 1e-6, 5.0])
+def test_ranks_that_brackets_miss_are_found(spark, monkeypatch, margin):
+    """A coarse sketch and brackets far too narrow, or wider than everything: the result stays exact."""
+    monkeypatch.setattr(statistics, "SKETCH_SIZE", 8)
+    monkeypatch.setattr(statistics, "SKETCH_MARGIN", max(margin, 1e-4))
+    x = np.random.default_rng(9).normal(size=4000).round(3)
+    df = spark.createDataFrame([(i % 2, float(v)) for i, v in enumerate(x)], "g int, x double").repartition(5)
+    for row in statistics.exact_quantiles(df, "g", "x", (0.0, 0.01, 0.5, 1.0)).collect():
+        np.testing.assert_allclose(row["quantiles"], np.quantile(x[row["g"] :: 2], (0.0, 0.01, 0.5, 1.0)), rtol=1e-12)
+
+
+def test_running_totals_over_tasks(spark):
+    rows = [(None if i % 5 == 0 else "ab"[i % 2], i * 7 % 1000, i % 3) for i in range(1000)]
+    df = spark.createDataFrame(rows, "g string, o int, c int").repartition(6)
+    got = {(r["g"], r["o"]): r["upto"] for r in running_total(df, ["g"], ["o"], "c", "upto").collect()}
+    for g in (None, "a", "b"):
+        total = 0
+        for _, o, c in sorted((r for r in rows if r[0] == g), key=lambda r: r[1]):
+            total += c
+            assert got[g, o] == total
+    assert [r["n"] for r in running_total(df.withColumn("one", F.lit(1)), [], [F.col("o").desc()], "one", "n").orderBy(F.desc("o")).collect()] == list(range(1, 1001))
+    assert running_total(df.limit(0), ["g"], ["o"], "c", "upto").count() == 0
 
 
 def test_many_groups_and_null_groups(spark):
