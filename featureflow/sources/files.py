@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.functions import paths as P
-from featureflow.functions.hashing import key_hash
+from featureflow.operators.sampling import hash_sample
 from featureflow.sources.settle import join_classes, settle_classes
 
 
@@ -69,14 +69,14 @@ def image_index(
 ) -> DataFrame:
     """Index ``path, label`` of a class-per-directory image set.
 
-    ``sample_size`` keeps that many files in seeded hash order over all classes (one top-n per partition,
-    then one merge), so the sample is the same on every run and covers the classes in proportion.
+    ``sample_size`` keeps that many files in seeded hash order over all classes, by a threshold on the hash that counts
+    find: the sample is the same on every run, covers the classes in proportion, and no task or driver holds it.
     """
     require_path(spark, root)
     files = list_files(spark, root)
     index = files.filter(_one_below(spark, root)).filter(P.has_extension("path", extensions)).select("path", P.label_from_path("path").alias("label"))
     if sample_size is not None:
-        index = index.orderBy(key_hash("path", seed), "path").limit(sample_size)
+        index = hash_sample(index, "path", sample_size, seed)
     return index
 
 

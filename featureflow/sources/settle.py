@@ -37,9 +37,9 @@ def join_classes(rows: DataFrame, classes: ClassTable, label: str, how: str = "i
     A small table is broadcast, so the rows are not shuffled. For a larger one adaptive execution picks the join from
     the sizes it meets and splits the partitions of classes that hold much of the rows.
     """
-    right = classes.frame.withColumnRenamed(label, "__label")
+    right = classes.frame.withColumnRenamed(label, "__right")
     right = F.broadcast(right) if classes.small else right
-    return rows.join(right, F.col(label).eqNullSafe(F.col("__label")), how).drop("__label")
+    return rows.join(right, F.col(label).eqNullSafe(F.col("__right")), how).drop("__right")
 
 
 def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:

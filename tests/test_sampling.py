@@ -196,3 +196,40 @@ def test_no_folder_is_written(skewed, spark):
     before = spark.sparkContext.getCheckpointDir()
     assert sampling.balance_dataset(skewed, max_per_class=10).count() > 0
     assert spark.sparkContext.getCheckpointDir() == before
+
+
+@pytest.mark.parametrize("label", ["label", "n", "cut", "excess", "keep"])
+def test_callers_columns_may_have_any_name(spark, label):
+    """Columns named like those of the class tables stay what they are; any of them may be the label."""
+    others = [c for c in ("label", "n", "N_", "cut", "excess", "target", "split_", "keep") if c != label]
+    rows = [(str(i), "abc"[(i > 5) + (i > 20)], *[f"{c}{i}" for c in others]) for i in range(60)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ("path", label, *others))).repartition(3)
+    for done, sizes in (
+        (sampling.balance_dataset(df, label, "path", max_per_class=10, min_per_class=7), {"b": 10, "c": 10}),
+        (sampling.balance_dataset(df, label, "path", max_per_class=1000, method="bernoulli"), {"a": 6, "b": 15, "c": 39}),
+        (sampling.cap_classes(df, label, "path", 4), {"a": 4, "b": 4, "c": 4}),
+        (sampling.min_class_filter(df, label, 15), {"b": 15, "c": 39}),
+    ):
+        assert done.columns == df.columns
+        got = done.collect()
+        assert {r[label]: 0 for r in got}.keys() == sizes.keys() and all(sum(r[label] == c for r in got) == k for c, k in sizes.items())
+        assert all(r[c] == f"{c}{r['path']}" for r in got for c in others)
+    split = sampling.stratified_split(df, label, "path", 0.5)
+    assert split.columns == [*df.columns, "split"] and split.where("split = 'train'").count() == 3 + 8 + 20
+    flags = sampling.balance_flags(df, label, "path", max_per_class=10)
+    assert flags.columns == [c for c in df.columns if c != "keep"] + ["keep"] and flags.where("keep").count() == 26
+    assert sampling.hash_sample(df, "path", 11).count() == 11
+
+
+def test_hash_sample_refines_its_bucket(skewed, monkeypatch):
+    want = sorted(r["path"] for r in sampling.hash_sample(skewed, "path", 321).collect())
+    monkeypatch.setattr(sampling, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(sampling, "DIGITS", 1)
+    assert sorted(r["path"] for r in sampling.hash_sample(skewed, "path", 321).collect()) == want
+
+
+def test_hash_sample_of_copies(spark):
+    df = spark.range(1000).selectExpr("cast(id % 10 as string) as path", "id")
+    for n in (1, 150, 999, 1000):
+        assert sampling.hash_sample(df, "path", n).count() == n
+    assert sampling.hash_sample(df.limit(0), "path", 5).count() == 0
