@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import pickle
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from typing import Any
 
 import numpy as np
@@ -23,11 +25,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The folder that `shared_folder` uses within `scratch_folder`.
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextlib.contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """All that is stored within the block goes below one folder, which is deleted at its end."""
+    path = shared_folder(spark)
+    before = _SCRATCH.set(path)
+    try:
+        yield path
+    finally:
+        _SCRATCH.reset(before)
+        discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new path below the folder that driver and executors share (`spark.checkpoint.dir`).
 
     Only a local master without that setting gets a folder of its own, as in tests.
     """
+    if _SCRATCH.get():
+        return f"{_SCRATCH.get()}/{uuid.uuid4().hex}"
     root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):

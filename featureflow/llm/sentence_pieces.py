@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding for BPE models, by a batched numpy Viterbi pass.
 
 Distinct words of equal length advance together, one character a step. At each position every possible last piece is
-probed: the substring's hash in the sorted hashes of the pieces. The piece that merging would leave there is the one
-that may follow the best last piece at its start; the maximum over the candidates stores it and the way back. Merging
-leaves exactly one such path, so the result is the library's.
+probed: the substring's hash in the sorted hashes of the pieces. Scores decide the merges' order, but what merging
+leaves is not the path with the best sum of scores; so no maximum is taken over sums: a candidate is allowed if it is
+what merging would leave after the last piece at its start. Exactly one is, and it is stored with the way back, the
+longest candidate being asked first. The result is the library's.
 
 Whether piece b may follow piece a ("merging a b's text leaves a, b") is found by undoing the merges of both, the
 latest first, and asking at each state whether a pair across the border would have been merged earlier.

@@ -1,17 +1,23 @@
-"""Removal of byte strings that an earlier document already has: distributed prefix doubling over sampled positions.
+"""Removal of byte strings that an earlier document already has: sampled grams, matched and refined in hash rounds.
 
 A byte goes if a string of `span` bytes that covers it also starts in a document with a smaller id. Plain prefix
-doubling sorts every position by (rank of its first h bytes, rank of the h bytes after them) for growing h. Here the
-first round ranks only sampled positions, by their first `GRAM` bytes: in each string of `span` bytes the position
-whose gram has the least hash stands for it, so equal strings are represented at the same place. Positions whose rank
-no other document shares drop out, which are most. The next round extends the ranks to all that a position
-represents; where that is the same as in a smaller document, all its strings are. Positions that differ around a
-shared gram are ranked again by the gram and half of the rest on its right, and on its left: a string of `span` bytes
-holds one of the two. What is still shared reaches the last round, which sorts each string's start by the pair (rank
-of the first half, rank of the second half): offset and length reach the threshold, and the doubling ends.
-
-Ranks are 64-bit names of the bytes, and strings count as equal if names of 96 bits or more agree. Before each sort a task combines what it has: of equal keys only the smallest
-document is sent, so a passage in a third of all documents is one row from each task.
+doubling would sort every position by (rank of its first h bytes, rank of the h bytes after them) for growing h: a row
+for each byte of the corpus in each round, which the disk at hand does not hold. So this is not prefix doubling: fixed
+rounds name strings by hashes of their bytes, and only the last joins two halves.
+
+The first round sorts sampled positions by their first `GRAM` bytes: in each string of `span` bytes the position
+whose gram has the least hash stands for it, so equal strings are represented at the same place. Positions whose gram
+no other document shares drop out, which are most. Positions are then compared by all that they represent; where that
+is the same as in a smaller document, all its strings are. Positions that differ around a shared gram are compared by
+the gram and half of the rest on its right, and on its left: a string of `span` bytes holds one of the two. What is
+still shared reaches the last round, which compares each string's start by the names of its halves.
+
+Names have 64 bits, and strings count as equal if names of 96 bits or more agree. Before each sort a task combines what
+it has: of equal keys only the smallest document is sent, so a passage in a third of all documents is one row from each
+task.
+
+Rows that share an id are told apart by 16 bits of a checksum of their texts: of two different texts under one id, one
+pair in 65,536 gets each other's cuts.
 """
 
 from __future__ import annotations
@@ -29,6 +35,8 @@ from featureflow.llm.near_dedup import mixed
 
 SPAN = 50
 GRAM = 16
+#: Lengths that the packed rows have room for.
+LEAST_SPAN, MOST_SPAN = 32, 79
 #: Bytes whose positions are combined before a sort; bytes hashed at once (a longer text alone).
 CHUNK_BYTES = 4 << 20
 HASH_BYTES = 1 << 17
@@ -284,6 +292,8 @@ def _columns(id_col: str, text_col: str) -> list[Column]:
 
 def repeated_starts(rows: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """doc_id, tag, begin, n: ranges of starts of strings that also start in a document with a smaller id."""
+    if not LEAST_SPAN <= span <= MOST_SPAN:
+        raise ValueError(f"span must be between {LEAST_SPAN} and {MOST_SPAN}")
     rows = rows.where("doc_id is not null").where(F.octet_length("raw") >= span)
     first = rows.mapInArrow(_first_round(span, gram), _ROW)
     same_gram = Window.partitionBy("gram")
@@ -300,8 +310,10 @@ def repeated_starts(rows: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
     ranked = ranked.withColumn("kind", F.when(alike, LEAST).when(differing, INNER).when(F.col("kind") == DONE, DONE))
     found = stored(ranked.where("kind is not null").select("kind", "around", "doc_id", "place"))
     done = _taken_apart(found.where(F.col("kind") != INNER))
-    again = found.where(F.col("kind") == INNER).withColumn("least", F.min("doc_id").over(Window.partitionBy("around")))
-    again = _taken_apart(stored(again.drop("kind")))
+    inner = found.where(F.col("kind") == INNER).drop("kind")
+    # a sum for each task and a join, whose large partitions can be split: a common passage has the same surroundings
+    again = inner.join(inner.groupBy("around").agg(F.min("doc_id").alias("least")), "around")
+    again = _taken_apart(stored(again))
     halves = _with_parts(rows, again.where("least = doc_id")).mapInArrow(_middle_round(span, gram), _ROW)
     same_half = Window.partitionBy("gram")
     several = (F.bit_or(kind).over(same_half).bitwiseAND(_SHARED) > 0) | (F.min("doc_id").over(same_half) < F.max("doc_id").over(same_half))
@@ -335,7 +347,7 @@ def _left(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, spans (begin and end of each maximal removed run of bytes), kept (bytes).
 
-    One row for each row of `docs`. Null texts are empty. Rows with a null id lose nothing and count for no other;
+    One row for each row of `docs`. `span` may be 32 to 79. Null texts are empty. Rows with a null id lose nothing and count for no other;
     rows that share an id are the same document and do not count for each other. Texts shorter than `span` lose
     nothing. Other columns are ignored; an empty table gives an empty result.
     """

@@ -51,6 +51,19 @@ def test_equals_brute_force(spark, seed, parts):
         assert all(a["end"] < b["begin"] for a, b in zip(r["spans"], r["spans"][1:], strict=False))
 
 
+@pytest.mark.parametrize("span", [32, 40, 63, 79])
+def test_other_spans_equal_brute_force(spark, span):
+    texts = planted(11 + span)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert left(sd.removals(frame, span=span)) == sd.brute_force({k: v.encode() for k, v in texts.items()}, span)
+
+
+@pytest.mark.parametrize("span", [0, 31, 80, 100])
+def test_spans_without_room_are_refused(spark, span):
+    with pytest.raises(ValueError, match="span"):
+        sd.removals(spark.createDataFrame([(1, "a" * 200)], "doc_id long, text string"), span=span)
+
+
 def test_small_chunks_and_texts_longer_than_a_block(spark, monkeypatch):
     texts = planted(7, 80)
     texts[5] = "".join(random.Random(1).choices("abcd ", k=5000))
