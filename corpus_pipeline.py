@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.llm import near_dedup, packing, quality, suffix_dedup, toxicity
-from featureflow.llm.common import fold, stored, table
+from featureflow.llm.common import discard, fold, scratch_folder, shared_folder, stored, table
 from featureflow.llm.queries import END_ID, tokenizer_file
 
 
@@ -63,7 +63,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The packed pieces. What a stage stores on its way goes when it is written, and so does what it read."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+        path = shared_folder(spark)
+        with scratch_folder(spark):
+            docs = stored(stage(spark, docs, sf_dir), path)
+        if before is not None:
+            discard(spark, before)
+        before = path
     return docs
