@@ -74,6 +74,12 @@ def test_rows_without_id_and_repeated_rows(spark):
     assert got[1]["text"] == text and got[2]["text"] == "é" and got[2]["n_chars"] == 1 and got[3]["text"] is None
 
 
+def test_only_the_last_stage_stays_on_disk(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: str(tmp_path))
+    assert corpus_pipeline.run(spark, SF).count() > 0
+    assert len(list(tmp_path.iterdir())) == 1
+
+
 def test_entry_works_without_the_folder(monkeypatch):
     for name in [m for m in sys.modules if m.startswith(("featureflow.llm", "corpus_pipeline", "__spark_entry__"))]:
         monkeypatch.delitem(sys.modules, name)
