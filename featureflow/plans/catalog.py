@@ -6,8 +6,12 @@ language holds most rows), ``lineitem`` the volume. Every query runs over whole
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+import struct
+import zlib
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +29,7 @@ from featureflow.operators import (
     statistics,
 )
 from featureflow.plans import jobs
-from featureflow.sources import stages, store, tables
+from featureflow.sources import files, stages, store, tables, walk
 from featureflow.sources.settle import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -653,35 +657,86 @@ def image_failures(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _colour_images(spark: SparkSession, root: str) -> DataFrame:
-    """The first 60 numbers of every embedding as a colour image of 4 rows and 5 columns, blue, green, red."""
+    """All 64 numbers of every embedding, and two zeros, as a colour image of 2 rows and 11 columns, blue, green, red."""
     pixel = lambda v: F.lpad(F.hex(F.floor((v.cast("double") + 1) * 127.5).cast("long")), 2, "0")
-    data = F.unhex(F.array_join(F.transform(F.slice("features", 1, 60), pixel), ""))
-    sides = {"height": 4, "width": 5, "nChannels": 3, "mode": 16}
+    data = F.unhex(F.concat(F.array_join(F.transform("features", pixel), ""), F.lit("0000")))
+    sides = {"height": 2, "width": 11, "nChannels": 3, "mode": 16}
     image = F.struct(*(F.lit(v).alias(k) for k, v in sides.items()), data.alias("data"))
     return spread(_embeddings(spark, root), "vec_id").select("vec_id", image.alias("image"))
 
 
 def image_descriptor(spark: SparkSession, root: str) -> DataFrame:
-    """The default 1280-number descriptor of every image at full input size: tiles and shares of the four planes."""
+    """The default 1280-number descriptor of every image at full input size, told by means of its tiles and shares."""
     done = images.featurise(_colour_images(spark, root), on_error="fail")
+    mean = lambda values, power: F.aggregate(values, F.lit(0.0), lambda a, x: a + x**power) / 256
     plane = lambda p: F.struct(
         p.alias("plane"),
         F.transform(F.slice("features", p * 320 + 1, 256), lambda v: v.cast("double")).alias("tiles"),
         F.aggregate(F.slice("features", p * 320 + 257, 64), F.lit(0.0), lambda a, x: a + x).alias("shares"),
     )
     planes = F.transform(F.sequence(F.lit(0), F.lit(3)), plane)
-    rows = done.select(F.size("features").alias("length"), F.explode(planes).alias("p")).select("length", "p.*")
-    total = F.aggregate("tiles", F.lit(0.0), lambda a, x: a + x)
-    squares = F.aggregate("tiles", F.lit(0.0), lambda a, x: a + x * x)
-    return rows.groupBy("plane").agg(
-        F.count("*").alias("images"),
-        F.max("length").alias("length"),
-        _r(F.sum(total) / (256 * F.count("*")), 4).alias("mean_tile"),
-        _r(F.sum(squares) / (256 * F.count("*")), 4).alias("mean_square"),
-        _r(F.avg("shares"), 4).alias("share_sum"),
+    rows = done.select("vec_id", F.size("features").alias("length"), F.explode(planes).alias("p")).select("vec_id", "length", "p.*")
+    return rows.select(
+        "vec_id", "plane", "length", _r(mean("tiles", 1), 2).alias("mean_tile"), _r(mean("tiles", 2), 2).alias("mean_square"), _r("shares", 4).alias("share_sum")
     )
 
 
+def _png(side: int, grey: bytes) -> bytes:
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    lines = b"".join(b"\0" + grey[i : i + side] for i in range(0, side * side, side))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", side, side, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+
+def _image_files(spark: SparkSession, root: str) -> str:
+    """A folder in the scratch folder with every embedding as a grey PNG of 8 x 8 pixels, one folder for each label.
+
+    Tasks write the files, so the scratch folder must be a local or mounted one.
+    """
+    folder = store.scratch(spark)
+    place = walk.local_path(files.qualified(spark, folder))
+    if place is None:
+        raise ValueError("this query writes files and needs a local or mounted scratch folder")
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for vec_id, label, grey in zip(rows["vec_id"], rows["label"], rows["grey"], strict=True):
+                os.makedirs(f"{place}/{label}", exist_ok=True)
+                with open(f"{place}/{label}/{vec_id}.png", "wb") as out:
+                    out.write(_png(8, bytes(grey.tolist())))
+            yield pd.DataFrame({"n": [len(rows)]})
+
+    grey = F.transform("features", lambda v: F.floor((v.cast("double") + 1) * 127.5).cast("int"))
+    rows = _embeddings(spark, root).select("vec_id", "label", grey.alias("grey"))
+    rows.mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    return folder
+
+
+def image_scan(spark: SparkSession, root: str) -> DataFrame:
+    """Image files, scanned and decoded: the sum of each one's pixels."""
+    scanned = files.scan_images(spark, _image_files(spark, root))
+    name = F.regexp_replace(paths.base_name("path"), r"\.png$", "").cast("long").alias("vec_id")
+    pixels = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.conv(F.substring(F.hex("image.data"), i * 2 + 1, F.lit(2)), 16, 10).cast("long"))
+    return scanned.select(name, "label", "image.height", "image.width", "image.nChannels", F.aggregate(pixels, F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+
+
+def image_files(spark: SparkSession, root: str) -> DataFrame:
+    """Per class what the listings of an image folder find: index, binary scan, chart listing, input files."""
+    folder = _image_files(spark, root)
+    found = {
+        "indexed": files.image_index(spark, folder).select("label"),
+        "scanned": files.scan_binary(spark, folder, "*.png").where("length(content) = length").select(paths.label_from_path("path").alias("label")),
+        "charts": inventory.chart_files(spark, folder).select(paths.label_from_path("path").alias("label")),
+    }
+    each = [frame.groupBy("label").agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "label", "n") for kind, frame in found.items()]
+    every = inventory.input_files(spark, folder).select(F.lit("inputs").alias("kind"), F.lit("").alias("label"), F.col("files").alias("n"))
+    return sampling.union_all(*each, every)
+
+
+def inspect_dataset(spark: SparkSession, root: str) -> DataFrame:
+    profile, _ = inventory.inspect(spark, f"{root}/supplier.parquet")
+    return profile.select("column", "dtype", "n_rows", "n_null")
+
+
 def image_validation(spark: SparkSession, root: str) -> DataFrame:
     height = F.when(F.col("p_size") == 50, -1).otherwise((F.col("p_partkey") % 64).cast("int"))
     width = F.when(F.col("p_size") == 50, -1).otherwise(F.col("p_size"))
@@ -706,6 +761,6 @@ QUERIES: dict[str, Query] = {
         pca_project_pair, pca_planar_pair, pca_norms, pca_first, pca_2d, synthetic_reduction, synthetic_coordinates, reduce_report, class_means,
         label_index, label_index_ids, class_metrics, confusion_matrix, silhouette, rf_predict, kmeans_assign, cluster_chart,
         rf_predict_plain, kmeans_assign_plain, cluster_chart_plain,
-        image_features, image_failures, image_descriptor, image_validation,
+        image_features, image_failures, image_descriptor, image_validation, image_scan, image_files, inspect_dataset,
     )
 }

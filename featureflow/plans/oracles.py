@@ -177,6 +177,10 @@ ORACLES: dict[str, str] = {
             ("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"),
         )
     ),
+    "inspect_dataset": " union all ".join(
+        f"select '{c}' as \"column\", '{t}' as dtype, count(*) as n_rows, count(*) - count({c}) as n_null from supplier"
+        for c, t in (("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double"))
+    ),
     "frame_check": """select 'frame' as rule, true as passed union all
         select 'min_rows', count(*) >= 1000 from lineitem union all
         select 'column:l_orderkey', true union all select 'column:label', false""",
@@ -348,18 +352,22 @@ ORACLES: dict[str, str] = {
           round(max(px) / 127.5 - 1, 5) as tile_max, round(any_value(largest_share), 5) as largest_share,
           round(any_value(share_sum), 5) as share_sum from s join t using (vec_id) group by vec_id""",
     "image_descriptor": """with t as (select n, i // 14 as tile, least(greatest((i + 0.5::double) * n / 224 - 0.5, 0), n - 1) as pos
-          from (select unnest(generate_series(0, 223)) as i), (select unnest([4, 5]) as n)),
+          from (select unnest(generate_series(0, 223)) as i), (select unnest([2, 11]) as n)),
         taps as (select n, tile, floor(pos)::bigint as p, 1 - (pos - floor(pos)) as w from t
           union all select n, tile, least(floor(pos)::bigint + 1, n - 1), pos - floor(pos) from t),
         w as (select n, tile, p, sum(w) / 14 as w from taps group by all),
         px as (select vec_id, generate_subscripts(embedding, 1) - 1 as k, floor((unnest(embedding)::double + 1) * 127.5) as v
-          from embeddings),
+          from embeddings union all select vec_id, unnest([64, 65]), 0 from embeddings),
         tiles as (select vec_id, 2 - k % 3 as plane, r.tile as i, c.tile as j, sum(r.w * c.w * v) / 127.5 - 1 as x
-          from px join w r on r.n = 4 and r.p = k // 15 join w c on c.n = 5 and c.p = k // 3 % 5 where k < 60 group by all),
+          from px join w r on r.n = 2 and r.p = k // 33 join w c on c.n = 11 and c.p = k // 3 % 11 group by all),
         planes as (from tiles union all select vec_id, 3, i, j,
           sum(x * case plane when 0 then 0.299::double when 1 then 0.587::double else 0.114::double end) from tiles group by all)
-        select plane::integer as plane, count(distinct vec_id) as images, 1280 as length, round(avg(x), 4) + 0.0 as mean_tile,
-          round(avg(x * x), 4) as mean_square, 1.0::double as share_sum from planes group by plane""",
+        select vec_id, plane::integer as plane, 1280 as length, round(avg(x), 2) + 0.0 as mean_tile,
+          round(avg(x * x), 2) + 0.0 as mean_square, 1.0::double as share_sum from planes group by vec_id, plane""",
+    "image_scan": """select vec_id, label::varchar as label, 8 as height, 8 as width, 1 as "nChannels",
+        sum(floor((x + 1) * 127.5))::bigint as total from (select vec_id, label, unnest(embedding)::double as x from embeddings) group by vec_id, label""",
+    "image_files": """select kind, label::varchar as label, count(*) as n from embeddings, (select unnest(['indexed', 'scanned', 'charts']) as kind)
+          group by kind, label union all select 'inputs', '', count(*) from embeddings""",
     "image_failures": """with k as (select vec_id, vec_id % 10 as kind from embeddings)
         select vec_id, mode, case kind when 1 then 'error' when 2 then 'rejected' when 3 then 'rejected' else 'ok' end as status,
           case kind when 2 then 'too small: 2x1' when 3 then 'unreadable' else 'OK' end as reason,

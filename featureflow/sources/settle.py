@@ -21,13 +21,18 @@ class ClassTable:
 
 
 def settle_classes(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> ClassTable:
-    """Computes a class table once if it is small: at most ``max_rows`` rows come to the driver and become a local table.
+    """Computes a class table once: a small one, at most ``max_rows`` rows, comes to the driver and becomes a local table.
 
-    A larger one stays a plan over its source, and is joined by shuffles that adaptive execution balances.
+    A larger one is written to the scratch folder, and joined by shuffles that adaptive execution balances.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows or sum(len(str(v)) for row in rows for v in row) > BROADCAST_BYTES:
-        return ClassTable(df, False)
+    rows, held = [], 0
+    for row in df.limit(max_rows + 1).toLocalIterator():
+        rows.append(row)
+        held += sum(len(str(v).encode()) for v in row)
+        if len(rows) > max_rows or held > BROADCAST_BYTES:
+            from featureflow.sources import store  # which needs this module
+
+            return ClassTable(store.rewritten(df, store.scratch(df.sparkSession)), False)
     return ClassTable(df.sparkSession.createDataFrame(rows, df.schema), True)
 
 
