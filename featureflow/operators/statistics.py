@@ -22,13 +22,14 @@ from featureflow.operators import gram
 from featureflow.operators.classes import class_counts
 from featureflow.operators.numbering import running_total
 from featureflow.sources.settle import ClassTable, join_classes, settle_classes
-from featureflow.sources.store import rewritten, scratch
 
 QUARTILES = (0.25, 0.5, 0.75)
 #: Size parameter of the sketches, and the share of a group's values on either side of a rank that its bracket takes in:
 #: nearly three times the sketches' error.
 SKETCH_SIZE = 1000
 SKETCH_MARGIN = 0.012
+#: Values of a bracket that one task may order.
+BRACKET_VALUES = 500_000
 
 
 def finite(values: Column) -> Column:
@@ -126,7 +127,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
 
     Two passes over the rows. The first sums up each group in a KLL sketch, which brackets the wanted ranks. The second
     counts what lies below each bracket, and each value inside it; a running total over those finds the ranks. No group
-    is gathered or sorted in one task. A sketch may err: a rank that its bracket missed is noticed by the counts, and the
+    is gathered or sorted in one task, and no bracket that is large. A sketch may err: a rank that its bracket missed is noticed by the counts, and the
     second pass is repeated with wider brackets. The passes run when the frame is built. Null groups are a group;
     nulls, NaN and infinite values are left out.
     """
@@ -135,10 +136,11 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
     each = df.select(F.col(group).alias("g"), F.explode(values.cast("array<double>")).alias("x"))
     each = each.where(F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") < float("inf")))
     sketches = each.groupBy("g").agg(F.count("x").alias("n"), F.kll_sketch_agg_double("x", SKETCH_SIZE).alias("sketch"))
-    sketches = rewritten(sketches, scratch(df.sparkSession))
+    sketches = settle_classes(sketches).frame
+    largest = sketches.agg(F.max("n")).head()[0] or 0
     margin = SKETCH_MARGIN
     while True:
-        found = _ranked(each, sketches, probabilities, margin)
+        found = _ranked(each, sketches, probabilities, margin, 2 * margin * largest <= BRACKET_VALUES)
         if found.frame.where(F.exists("ranked", lambda x: x["low"].isNull() | x["high"].isNull())).isEmpty():
             break
         margin *= 8
@@ -148,10 +150,11 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
     return found.frame.select(F.col("g").alias(group), "n", F.array(*quantiles).alias("quantiles"))
 
 
-def _ranked(each: DataFrame, sketches: DataFrame, probabilities: Sequence[float], margin: float) -> ClassTable:
+def _ranked(each: DataFrame, sketches: DataFrame, probabilities: Sequence[float], margin: float, few: bool) -> ClassTable:
     """``g, n, ranked``: for each probability slot, low, high, the values at the two ranks it lies between.
 
-    A value is null where the bracket, ``margin`` on either side of the probability, does not hold it.
+    A value is null where the bracket, ``margin`` on either side of the probability, does not hold it. ``few``: the
+    brackets are so small that a task may order the values of one; else ranges of values are dealt out to the tasks.
     """
     def bound(q: float) -> Column:
         if 0 <= q <= 1:
@@ -167,7 +170,10 @@ def _ranked(each: DataFrame, sketches: DataFrame, probabilities: Sequence[float]
         for i, (lo, hi) in enumerate(names)
     ]
     counts = near.select("g", "n", F.explode(F.array(*slots)).alias("s")).where("s is not null").groupBy("g", "n", "s.slot", "s.x").agg(F.count("*").alias("c"))
-    upto = running_total(counts, ["g", "slot"], ["x"], "c", "upto")
+    if few:
+        upto = counts.withColumn("upto", F.sum("c").over(Window.partitionBy("g", "slot").orderBy("x")))
+    else:
+        upto = running_total(counts, ["g", "slot"], ["x"], "c", "upto")
     at = F.element_at(F.array(*map(F.lit, probabilities)), F.col("slot") + 1) * (F.col("n") - 1)
 
     def value_at(rank: Column) -> Column:

@@ -73,6 +73,7 @@ def test_exact_quantiles(spark, kind):
 def test_ranks_that_brackets_miss_are_found(spark, monkeypatch, margin):
     """A coarse sketch and brackets far too narrow, or wider than everything: the result stays exact."""
     monkeypatch.setattr(statistics, "SKETCH_SIZE", 8)
+    monkeypatch.setattr(statistics, "BRACKET_VALUES", 100 if margin else 10**9)
     monkeypatch.setattr(statistics, "SKETCH_MARGIN", max(margin, 1e-4))
     x = np.random.default_rng(9).normal(size=4000).round(3)
     df = spark.createDataFrame([(i % 2, float(v)) for i, v in enumerate(x)], "g int, x double").repartition(5)
