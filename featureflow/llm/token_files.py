@@ -2,7 +2,7 @@
 
 A file holds a contiguous range of document ids, sorted; a row holds a document's ids and the number of ids before it
 in the file. Readers split files by stripe, skip stripes and row groups by the statistics and Bloom filters of
-`doc_id`, and get global positions from one sum for each file.
+`doc_id`, and get global positions from one sum for each file, which is written beside the files once (`_bases`).
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from featureflow.llm import tokens
 from featureflow.llm.common import slices, texts_of
 
+#: Where the sums stand; other readers of the folder pass over it.
+BASES = "_bases"
 SCHEMA = "doc_id long, part int, before long, n_tokens long, ids array<int>"
 
 
@@ -70,13 +72,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         .option("orc.bloom.filter.fpp", 0.01)
         .orc(path)
     )
+    bases(docs.sparkSession.read.schema(SCHEMA).orc(path)).coalesce(1).write.parquet(f"{path}/{BASES}")
 
 
 def read_tokens(spark: SparkSession, path: str, where: str | None = None) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens, ids. `where` on doc_id reaches the files' indexes."""
+    """doc_id, start (ids of all documents before it), n_tokens, ids. `where` on doc_id reaches the files' indexes.
+
+    Of files and stripes that their indexes rule out nothing is read: the positions come from the small table of sums.
+    """
     rows = spark.read.schema(SCHEMA).orc(path)
     found = rows.where(where) if where else rows
-    return found.join(F.broadcast(bases(rows)), "part").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids")
+    sums = spark.read.schema("part int, base long").parquet(f"{path}/{BASES}")
+    return found.join(F.broadcast(sums), "part").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids")
 
 
 def checksums(rows: DataFrame) -> DataFrame:

@@ -81,6 +81,8 @@ def test_files_round_trip(spark, library, tmp_path):
         start += len(r["ids"])
     one = token_files.checksums(token_files.read_tokens(spark, path, "doc_id = 7")).collect()
     assert [(r["doc_id"], r["ids_crc32"]) for r in one] == [(7, zlib.crc32(np.array(got[-2]["ids"], "<u4").tobytes()))]
+    plan = token_files.read_tokens(spark, path, "doc_id = 7")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan orc") == 1  # the positions come from the side table
     plan = token_files.read_tokens(spark, path, "doc_id = 7")._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,7)" in plan
 
