@@ -31,7 +31,7 @@ LEAST_DOCS = 8
 #: Beginnings of words, in letters, that are features too.
 STEMS = range(5, 9)
 #: Different words whose features a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 30_000
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
