@@ -94,8 +94,11 @@ def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts record batches so that the texts of a slice stay below `limit` bytes, or are one text."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES, last: bool = True) -> Iterator[pa.RecordBatch]:
+    """Cuts record batches so that the texts of a slice stay below `limit` bytes, or are one text.
+
+    `last`: the task ends with the batches.
+    """
     for batch in batches:
         sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         begin = held = 0
@@ -107,7 +110,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         if begin < batch.num_rows:
             yield batch.slice(begin)
         del batch
-    give_back()
+    if last:
+        give_back()
 
 
 def give_back() -> None:

@@ -83,7 +83,7 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 def blocks(batch: pa.RecordBatch, limit: int = HASH_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """(bytes, offsets of the texts in them, first row) for consecutive rows of a batch with a binary column `raw`."""
-    for part in slices(iter([batch]), "raw", limit):
+    for part in slices(iter([batch]), "raw", limit, last=False):
         raw = part.column("raw")
         offsets = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1].astype(np.int64)
         data = np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if raw.buffers()[2] else np.zeros(0, np.uint8)
