@@ -1,8 +1,9 @@
 """Exact top-k by inner product, norm-bucketed: long vectors first, pruning by length or by coordinates, then products.
 
-Candidates are grouped by length. A query's k best among some of the longest vectors give a bound that its final list
-cannot fall below; with it, whole buckets, short vectors of a bucket, or vectors whose direction is too far off in the
-query's largest coordinates are left out, and what remains is verified by its product. Nothing is approximate.
+Candidates are grouped by length. A query's k best among ever more cells, the longest vectors first, give a bound that
+its final list cannot fall below; with it, whole buckets, short vectors of a bucket, or vectors whose direction is too
+far off in the query's largest coordinates are left out, and what remains is verified by its product. Nothing is
+approximate.
 """
 
 from __future__ import annotations
@@ -13,18 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featureflow.llm.common import stored
-from featureflow.llm.vectors import first_k, groups, matrix, ranked, usable
+from featureflow.llm.vectors import SLACK, first_k, matrix, ranked, searched, usable
 
-#: Buckets by length; candidates and queries of a cell; numbers of a cell's matrix at most.
-BUCKETS = 16
+#: Candidates and queries of a cell; numbers of a cell's matrix at most.
 CELL_ROWS = 4096
 QUERY_ROWS = 1024
 CELL_NUMBERS = 1 << 22
 #: From this cosine on, a bucket is pruned by coordinates instead of length; coordinates looked at.
 COORDINATE_COSINE = 0.5
 FOCUS = 4
-_SLACK = 1e-9
-_PARTIAL = "query_id long, vec_id long, score long"
 
 
 def survivors(query: np.ndarray, length: float, bound: float, unit: np.ndarray, lengths: np.ndarray) -> np.ndarray | slice:
@@ -33,11 +31,11 @@ def survivors(query: np.ndarray, length: float, bound: float, unit: np.ndarray,
         return slice(None)
     if length == 0 or lengths[0] == 0:
         return slice(0)
-    cosine = bound / (length * lengths[0]) * (1 - _SLACK)
+    cosine = bound / (length * lengths[0]) * (1 - SLACK)
     if cosine > 1:
         return slice(0)
     if cosine < COORDINATE_COSINE:
-        return slice(int(np.searchsorted(-lengths, -bound / length * (1 - _SLACK), "right")))
+        return slice(int(np.searchsorted(-lengths, -bound / length * (1 - SLACK), "right")))
     direction = query / length
     focus = np.argsort(-np.abs(direction), kind="stable")[:FOCUS]
     own = direction[focus]
@@ -90,37 +88,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "ve
         square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
         return usable(rows, id_col, vector_col, zero=True).select("vec_id", "dim", F.col("vector").cast("array<long>").alias("vector"), F.sqrt(square).alias("length"))
 
-    rows = stored(prepared(vectors))
+    rows = stored(prepared(vectors).withColumn("row", F.monotonically_increasing_id()))
     asked = prepared(queries).groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct("vector", "dim", "length")).alias("q"))
     asked = stored(asked.select("query_id", "q.dim", "q.vector", "q.length"))
-    n, widest = rows.agg(F.count("*"), F.coalesce(F.max("dim"), F.lit(1))).head()
-    cell = max(64, min(CELL_ROWS, CELL_NUMBERS // widest))
-    borders = sorted(set(rows.approxQuantile("length", [i / BUCKETS for i in range(1, BUCKETS)], 0.001)), reverse=True) if n else []
-    bucket = F.size(F.filter(F.array(*map(F.lit, borders)), lambda b: F.col("length") < b)) if borders else F.lit(0)
-    rows = rows.withColumn("bucket", bucket)
-    sizes = {r["bucket"]: r for r in rows.groupBy("bucket").agg(F.count("*").alias("n"), F.max("length").alias("longest")).collect()}
-    # one entry for each cell of a bucket: (bucket, cell in it, longest vector of the bucket)
-    places = [(b, s, r["longest"]) for b, r in sorted(sizes.items()) for s in range(groups(r["n"], cell))]
-    parts = groups(asked.count(), max(64, min(QUERY_ROWS, CELL_NUMBERS // widest)))
-    many = F.create_map(*(F.lit(x) for b, r in sizes.items() for x in (b, groups(r["n"], cell)))) if sizes else F.create_map(F.lit(0), F.lit(1))
-    rows = rows.withColumn("sub", F.pmod(F.xxhash64("vec_id", F.lit(1)), many[F.col("bucket")]).cast("int"))
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("query_id", F.lit(2)), F.lit(parts)).cast("int"))
-
-    def searched(asked: DataFrame, rows: DataFrame) -> DataFrame:
-        keys = ("dim", "bucket", "sub", "part")
-        spread = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        return asked.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(lambda q, c: search_cell(q, c, k), _PARTIAL)
-
-    first = places[0][:2] if places else (0, 0)
-    opening = asked.select("*", F.lit(first[0]).alias("bucket"), F.lit(first[1]).alias("sub"), F.lit(None).cast("long").alias("bound"))
-    begun = stored(searched(opening, rows.where((F.col("bucket") == first[0]) & (F.col("sub") == first[1]))))
-    bound = begun.groupBy("query_id").agg(F.min("score").alias("bound"), F.count("*").alias("n")).select("query_id", F.when(F.col("n") >= k, F.col("bound")).alias("bound"))
-    if len(places) > 1:
-        cells = F.array(*(F.struct(F.lit(b).alias("bucket"), F.lit(s).alias("sub"), F.lit(float(longest)).alias("longest")) for b, s, longest in places[1:]))
-        reachable = F.filter(cells, lambda x: F.col("bound").isNull() | (F.col("length") * x["longest"] * (1 + 1e-9) >= F.col("bound")))
-        rest = asked.join(bound, "query_id", "left").select("*", F.explode(reachable).alias("at")).select("query_id", "dim", "vector", "length", "part", "bound", "at.bucket", "at.sub")
-        begun = begun.unionByName(searched(rest, rows.where((F.col("bucket") != first[0]) | (F.col("sub") != first[1]))))
-    return ranked(begun, k)
+    widest, longest = rows.agg(F.coalesce(F.max("dim"), F.lit(1)), F.coalesce(F.max("length"), F.lit(0.0))).head()
+    if longest * asked.agg(F.coalesce(F.max("length"), F.lit(0.0))).head()[0] >= 2**63:
+        raise ValueError("vectors so long that scores may exceed 63 bits")
+    cell, size = (max(64, min(n, CELL_NUMBERS // widest)) for n in (CELL_ROWS, QUERY_ROWS))
+    return ranked(searched(rows, asked, k, cell, size, lambda q, c: search_cell(q, c, k), "long"), k)
 
 
 def integers(column: str, factor: int = 64) -> Column:

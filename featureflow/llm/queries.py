@@ -191,4 +191,8 @@ ORACLES: dict[str, str] = {
         vectors=f"select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings where {_FINITE}",
         score="cast(list_inner_product(q.v, c.v) as bigint)",
     ),
+    "op3_nearest_vectors": _SEARCH.format(
+        vectors=f"select vec_id, embedding::double[] as v from embeddings where {_FINITE} and len(list_filter(embedding, lambda x: x <> 0)) > 0",
+        score="list_inner_product(q.v, c.v)",
+    ),
 }

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featureflow.llm import block_search, norm_search
+from featureflow.llm import vectors as grids
 from featureflow.llm.vectors import first_k
 
 SCHEMA = "vec_id long, embedding array<double>, score string"
@@ -54,6 +55,7 @@ def test_exact_top_k(spark, monkeypatch, seed, cell, queries):
 @pytest.mark.parametrize("seed", range(2))
 def test_nearest(spark, monkeypatch, seed, cell, tile):
     monkeypatch.setattr(block_search, "CELL_ROWS", cell)
+    monkeypatch.setattr(block_search, "QUERY_ROWS", cell)
     monkeypatch.setattr(block_search, "TILE", tile)
     rows = vectors(seed)
     frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
@@ -128,3 +130,75 @@ def test_no_queries_no_candidates_few_candidates(spark):
 
 def test_ties_at_the_border_go_to_small_ids():
     assert first_k(np.array([1, 5, 5, 5, 2]), np.array([9, 8, 7, 6, 5]), 2).tolist() == [3, 2]
+
+
+def test_rounds_grow_and_meet_every_cell_once():
+    assert grids.rounds([1]) == [[(0, 1)]]
+    assert grids.rounds([20, 3]) == [[(0, 1), (0, 0)], [(1, 16), (0, 1)], [(16, 20), (1, 3)]]
+    many = grids.rounds([100_000] * 16)
+    assert len(many) == 7  # grows with the number's logarithm
+    for bucket in range(16):
+        assert sum(y - x for own in many for x, y in [own[bucket]]) == 100_000
+
+
+class Counted:
+    """Sizes of the plans and rows returned by the cells of all rounds."""
+
+    def __init__(self, monkeypatch):
+        self.plans, self.rows = [], 0
+        round_ = grids._round
+
+        def counted(*args):
+            found = round_(*args).cache()
+            self.plans.append(len(args[0].sparkSession._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple")))
+            self.rows += found.count()
+            return found
+
+        monkeypatch.setattr(grids, "_round", counted)
+
+
+@pytest.mark.parametrize(("search", "column"), [(norm_search.top_k, "vector"), (block_search.nearest, "embedding")])
+def test_cells_after_the_first_return_what_may_enter_the_list(spark, monkeypatch, search, column):
+    for module in (norm_search, block_search):
+        monkeypatch.setattr(module, "CELL_ROWS", 64)
+    r = np.random.default_rng(7)
+    plans = []
+    for n in (3000, 12_000):
+        x = np.floor(r.normal(size=(n, 4)) * 50) + 1000 * (r.random((n, 1)) < 0.1)
+        frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"vec_id long, {column} array<double>")
+        with monkeypatch.context() as patch:
+            counted = Counted(patch)
+            got = lists(search(frame, frame.where("vec_id % 1000 = 0"), 5))
+        for q, found in got.items():
+            want = sorted((-float(x[q] @ x[j]), j) for j in range(n) if j != q)[:5]
+            assert found == [(j, -s) for s, j in want]
+        assert counted.rows < len(got) * 5 * n / 64 / 2  # k rows from each cell would be twice that
+        plans.append(max(counted.plans))
+    assert plans[1] < 1.2 * plans[0]
+
+
+@pytest.mark.parametrize("search", [norm_search.top_k, block_search.nearest])
+def test_rows_that_share_an_id_spread_over_cells(spark, monkeypatch, search):
+    for module in (norm_search, block_search):
+        monkeypatch.setattr(module, "CELL_ROWS", 64)
+    column = "vector" if search is norm_search.top_k else "embedding"
+    frame = spark.createDataFrame([(7, [float(i % 50), 1.0]) for i in range(1000)] + [(20, [1.0, 0.0])], f"vec_id long, {column} array<double>")
+    cells = []
+    inner = grids._round
+
+    def counted(rows, *args):
+        cells.append(max(r["count"] for r in rows.groupBy("bucket", "sub").count().collect()))
+        return inner(rows, *args)
+
+    monkeypatch.setattr(grids, "_round", counted)
+    assert lists(search(frame, frame.where("vec_id = 20"), 25)) == {20: [(7, 49.0)] * 20 + [(7, 48.0)] * 5}
+    assert max(cells) <= 120
+
+
+def test_lengths_that_underflow_or_overflow(spark):
+    rows = [(20, [1e200, 0.0]), (1, [1e-200, 0.0]), (2, [3e-200, 1e-300]), (3, [-1e-200, 5.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert [j for j, _ in lists(block_search.nearest(frame, frame.where("vec_id = 20"), 2))[20]] == [2, 1]
+    whole = spark.createDataFrame([(20, [4e9, 0.0]), (1, [4e9, 1.0])], "vec_id long, vector array<double>")
+    with pytest.raises(ValueError, match="63 bits"):
+        norm_search.top_k(whole, whole.where("vec_id = 20"))
