@@ -1,13 +1,18 @@
-"""SentencePiece encoding and decoding for BPE models, by a batched numpy Viterbi pass.
+"""SentencePiece encoding and decoding by a batched numpy Viterbi pass, for Unigram and BPE models.
 
 Distinct words of equal length advance together, one character a step. At each position every possible last piece is
-probed: the substring's hash in the sorted hashes of the pieces. Scores decide the merges' order, but what merging
-leaves is not the path with the best sum of scores; so no maximum is taken over sums: a candidate is allowed if it is
-what merging would leave after the last piece at its start. Exactly one is, and it is stored with the way back, the
-longest candidate being asked first. The result is the library's.
-
-Whether piece b may follow piece a ("merging a b's text leaves a, b") is found by undoing the merges of both, the
-latest first, and asking at each state whether a pair across the border would have been merged earlier.
+probed: the substring's hash in the sorted hashes of the pieces. The best one is stored with the way back.
+
+* Unigram models: the best is the maximum of the sum of scores up to the candidate's start and its own score, over all
+  words and sizes at once; of equal sums the longest piece stays, as in the library.
+* BPE models: scores decide the merges' order, and what merging leaves is not the path with the best sum. So a
+  candidate is allowed if it is what merging would leave after the last piece at its start; exactly one is, and the
+  longest is asked first. Whether piece b may follow piece a ("merging a b's text leaves a, b") is found by undoing the
+  merges of both, the latest first, and asking at each state whether a pair across the border would have been merged
+  earlier.
+
+The result is the library's. It sums in single precision from the text's beginning, here from the word's: Unigram
+paths whose sums differ by that rounding alone may be exchanged.
 """
 
 from __future__ import annotations
@@ -31,16 +36,22 @@ from featureflow.llm.suffix_dedup import _INVERSE, _POWER
 SPACE = "▁"
 #: Longer words, and words after several spaces, go to the library one by one.
 WORD_CHARS = 48
+#: What an unknown character scores below the least piece of a Unigram model.
+UNKNOWN = 10.0
 _NEVER = np.int64(1 << 40)
 _BEGIN_BITS = 20
 
 
 @dataclass(frozen=True)
 class Pieces:
-    """A model's pieces in merge order (single characters first). `left`, `right`: the parts of a piece's last merge."""
+    """A model's pieces; for BPE in merge order (single characters first), `left` and `right` the parts of the last merge.
+
+    `scores` (single precision; the last is an unknown character's) are those of a Unigram model, else none.
+    """
 
     names: tuple[str, ...]
     ids: np.ndarray
+    scores: np.ndarray
     left: np.ndarray
     right: np.ndarray
     bytes_from: int
@@ -61,10 +72,20 @@ def last_merge(text: str, score: dict[str, float]) -> tuple[str, str] | None:
 
 
 def load_pieces(path: str) -> Pieces:
-    """The tables of a model file: a few numbers for each piece."""
+    """The tables of a model file: a few numbers for each piece.
+
+    Models must be of the two kinds, leave texts as they are but for a space in front, and spell unknown characters in bytes.
+    """
     import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
+    spec = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
+    kind, normal = spec.trainer_spec.model_type, spec.normalizer_spec
+    if kind not in (spec.trainer_spec.UNIGRAM, spec.trainer_spec.BPE) or any(p.type == p.USER_DEFINED for p in spec.pieces):
+        raise ValueError("the model must be a Unigram or BPE model without user-defined pieces")
+    if normal.precompiled_charsmap or normal.remove_extra_whitespaces or not normal.add_dummy_prefix or not normal.escape_whitespaces or spec.trainer_spec.treat_whitespace_as_suffix:
+        raise ValueError("the model must leave texts as they are, with one space in front")
     score, ids, text_of_id, first_byte = {}, {}, [], None
     for i in range(model.vocab_size()):
         name = model.id_to_piece(i)
@@ -78,11 +99,15 @@ def load_pieces(path: str) -> Pieces:
             text_of_id.append(name.replace(SPACE, " ").encode())
     if first_byte is None or any(SPACE in name.lstrip(SPACE) for name in score):
         raise ValueError("the model must have byte pieces, and no piece that goes on beyond a space")
+    if kind == spec.trainer_spec.UNIGRAM:
+        names, own = list(score), np.arange(len(score))
+        scores = np.array([*score.values(), min(score.values()) - np.float32(UNKNOWN)], np.float32)
+        return Pieces(tuple(names), np.array(list(ids.values())), scores, own, own, first_byte, tuple(text_of_id))
     made = {name: last_merge(name, score) for name in score if len(name) > 1 and SPACE * 2 not in name}
     names = [n for n in score if len(n) == 1] + sorted((n for n, parts in made.items() if parts), key=lambda n: -score[n])
     place = {n: i for i, n in enumerate(names)}
     parts = [made.get(n) or (n, n) for n in names]
-    return Pieces(tuple(names), np.array([ids[n] for n in names]), np.array([place[a] for a, _ in parts]), np.array([place[b] for _, b in parts]), first_byte, tuple(text_of_id))
+    return Pieces(tuple(names), np.array([ids[n] for n in names]), np.zeros(0, np.float32), np.array([place[a] for a, _ in parts]), np.array([place[b] for _, b in parts]), first_byte, tuple(text_of_id))
 
 
 def _characters(words: list[str], length: int) -> np.ndarray:
@@ -169,6 +194,16 @@ class Viterbi:
         good[~good] = self.follows(before[~good], piece[~good])
         return good
 
+    def _merged(self, last: np.ndarray, end: int, row: np.ndarray, piece: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """For each word the candidate that merging leaves; sizes ascend."""
+        longest = np.zeros(last.shape[1], np.int64)
+        longest[row] = np.arange(len(row))  # the last one stays
+        near = self._possible(last[end - size[longest], np.arange(len(longest))], piece[longest])
+        rest = np.flatnonzero(~near[row])
+        rest = rest[self._possible(last[end - size[rest], row[rest]], piece[rest])]
+        longest[row[rest]] = rest  # just one is possible for each word
+        return longest
+
     def equal_length(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(pieces of all words, their number in each word, their sizes) for words of as many characters.
 
@@ -178,24 +213,25 @@ class Viterbi:
         sums = self._sums(_characters(words, length))
         last, back = np.full((length + 1, n), -1, np.int64), np.zeros((length + 1, n), np.int64)
         rows = np.arange(n)
+        total = np.zeros((length + 1, n), np.float32)
         for end in range(1, length + 1):
-            row_parts, piece_parts, size_parts = [], [], []
+            found = []
             for size in range(1, min(end, self.longest) + 1):
                 piece = self._probe((sums[:, end] - sums[:, end - size]) * self.inverses[end - size])
                 if size == 1:
                     piece = np.minimum(piece, self.size)
                 hit = np.flatnonzero(piece <= self.size)
-                row_parts.append(hit)
-                piece_parts.append(piece[hit])
-                size_parts.append(np.full(len(hit), size))
-            row, piece, size = map(np.concatenate, (row_parts, piece_parts, size_parts))
-            longest = np.zeros(n, np.int64)
-            longest[row] = np.arange(len(row))  # sizes ascend, so the last one stays
-            near = self._possible(last[end - size[longest], rows], piece[longest])
-            rest = np.flatnonzero(~near[row])
-            rest = rest[self._possible(last[end - size[rest], row[rest]], piece[rest])]
-            best = longest
-            best[row[rest]] = rest  # the best candidate: just one is possible for each word
+                found.append((hit, piece[hit], np.full(len(hit), size)))
+            row, piece, size = (np.concatenate(x) for x in zip(*found, strict=True))
+            if len(self.pieces.scores):
+                sums_here = total[end - size, row] + self.pieces.scores[piece]
+                total[end] = -np.inf
+                np.maximum.at(total[end], row, sums_here)
+                near = np.flatnonzero(sums_here == total[end, row])
+                best = np.zeros(n, np.int64)
+                best[row[near]] = near  # sizes ascend, so the longest of equal sums stays
+            else:
+                best = self._merged(last, end, row, piece, size)
             last[end], back[end] = piece[best], size[best]
         ends, steps = np.full(n, length), []
         while ends.any():

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
+from sentencepiece import sentencepiece_model_pb2
 
 from featureflow.llm import sentence_pieces as sp
 from featureflow.llm.queries import tokenizer_file
@@ -26,6 +27,74 @@ def pieces():
     return sp.load_pieces(PATH)
 
 
+def unigram_model(folder, seed: int) -> str:
+    """A Unigram model of the same pieces. Scores are eighths, so that sums are exact in any order and ties are many."""
+    spec = sentencepiece_model_pb2.ModelProto()
+    with open(PATH, "rb") as file:
+        spec.ParseFromString(file.read())
+    spec.trainer_spec.model_type = spec.trainer_spec.UNIGRAM
+    r = random.Random(seed)
+    for piece in spec.pieces:
+        if piece.type == piece.NORMAL:
+            piece.score = -r.randint(8, 80) / 8 * (1 if seed else len(piece.piece) ** 0.5 // 1)
+    path = folder / f"unigram{seed}.model"
+    path.write_bytes(spec.SerializeToString())
+    return str(path)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_unigram_models(tmp_path, seed):
+    path = unigram_model(tmp_path, seed)
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    encoder = sp.Encoder(path, sp.load_pieces(path))
+    for i in range(8):
+        texts = random_texts(i) + AWKWARD
+        ids, offsets = encoder.encode(pa.array(texts))
+        for text, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True):
+            assert ids[a:b].tolist() == model.encode(text), text
+
+
+def test_unigram_paths_by_brute_force(tmp_path):
+    """The sum of scores is the best of all ways to cut the word."""
+    path = unigram_model(tmp_path, 1)
+    pieces = sp.load_pieces(path)
+    viterbi, score = sp.Viterbi(pieces), dict(zip(pieces.names, pieces.scores.tolist(), strict=False))
+    words = ["▁" + "".join(random.Random(i).choices("theranisß", k=8)) for i in range(60)]
+
+    def best(word: str) -> float:
+        if not word:
+            return 0.0
+        own = [score[word[:n]] + best(word[n:]) for n in range(1, len(word) + 1) if word[:n] in score]
+        return max(own if word[0] in score else [*own, float(pieces.scores[-1]) + best(word[1:])])
+
+    found, counts, sizes = viterbi.equal_length(words)
+    assert sizes.sum() == sum(map(len, words))
+    sums = [float(x.sum()) for x in np.split(pieces.scores[found], np.cumsum(counts)[:-1])]
+    assert sums == [best(word) for word in words]
+
+
+def test_unigram_documents(spark, tmp_path):
+    path = unigram_model(tmp_path, 0)
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    for r in sp.decode(sp.encode(docs, path), path).collect():
+        assert r["ids"] == model.encode(r["text"])
+        assert r["decoded"] == r["text"]
+
+
+def test_models_of_other_kinds_are_refused(tmp_path):
+    for change in ({"model_type": 3}, {"treat_whitespace_as_suffix": True}):
+        spec = sentencepiece_model_pb2.ModelProto()
+        with open(unigram_model(tmp_path, 1), "rb") as file:
+            spec.ParseFromString(file.read())
+        for name, value in change.items():
+            setattr(spec.trainer_spec, name, value)
+        path = tmp_path / "other.model"
+        path.write_bytes(spec.SerializeToString())
+        with pytest.raises((ValueError, RuntimeError)):
+            sp.load_pieces(str(path))
+
+
 def random_texts(seed: int) -> list[str]:
     r = random.Random(seed)
     letters = r.choice(["ab ", "theranisoutd  \n", "aeiouéüß stnr.,", "01 =-_()<>\t\r\n", "日本中国 の漢字😀ü"])
