@@ -93,12 +93,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     the result is empty. Cells of bounded size meet on (candidate group, query group); no list is longer than k a cell. A
     score is the sum of the products from the first component to the last.
     """
-    most = F.array_max(F.transform("vector", F.abs))
-    length = most * F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))  # free of underflow
-    rows = stored(usable(vectors, id_col, vector_col, zero=False).select("*", length.alias("length"), F.monotonically_increasing_id().alias("row")))
+
+    def measured(found: DataFrame) -> DataFrame:
+        """With the length; squares of shares of the largest component neither vanish nor overflow."""
+        found = found.withColumn("most", F.array_max(F.transform("vector", F.abs)))  # a column, so that it is computed once a row
+        square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / F.col("most")) * (x / F.col("most")))
+        return found.withColumn("length", F.col("most") * F.sqrt(square)).drop("most")
+
+    rows = stored(measured(usable(vectors, id_col, vector_col, zero=False)).withColumn("row", F.monotonically_increasing_id()))
     asked = usable(queries, id_col, vector_col, zero=False)
     asked = asked.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
-    asked = stored(asked.select("query_id", "vector", F.size("vector").alias("dim"), length.alias("length")))
+    asked = stored(measured(asked).withColumn("dim", F.size("vector")))
     widest = rows.agg(F.coalesce(F.max("dim"), F.lit(1))).head()[0]
     cell, size = (max(64, min(n, CELL_NUMBERS // widest)) for n in (CELL_ROWS, QUERY_ROWS))
     return ranked(searched(rows, asked, k, cell, size, lambda q, c: search_cell(q, c, k), "double"), k)
