@@ -39,7 +39,6 @@ def encoded(rows: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
                 ["doc_id", "part", "before", "n_tokens", "ids"],
             )
             before += int(offsets[-1])
-        encoder.memory.clear()  # the worker stays for other tasks, with the library but without the words
 
     return rows.select("doc_id", "text").mapInArrow(run, SCHEMA)
 

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from array import array
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -19,17 +21,21 @@ import pyarrow.compute as pc
 
 #: Texts encoded at once in a task.
 TEXT_BYTES = 8 << 20
-#: Words and pieces remembered by a Python worker; beyond that the memory starts anew. Longer ones are not remembered.
+#: Words and pieces remembered in a dictionary; beyond that the memory starts anew. Longer ones are not remembered.
 MEMORY = 150_000
+#: Words remembered as arrays by a Python worker; beyond that the most used half stays.
+REMEMBERED = 400_000
 MEMORY_CHARS = 40
 #: The contractions in the vocabulary's split pattern.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
-#: Printable characters below U+0250: each letter there has one lower-case letter (but for U+0130, left out), no two
-#: of them compose, and none is white space.
-_PLAIN = re.compile("[!-~¡-įı-ɏ]*")
+#: Printable characters below U+0250 with one lower-case letter below U+0250: no two of them compose, none is white space.
+_PLAIN_CHARS = "".join(c for c in map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x250)]) if len(c.lower()) == 1 and ord(c.lower()) < 0x250)
+_PLAIN = re.compile("[" + "".join("\\" + c if c in "[\\]^-" else c for c in _PLAIN_CHARS) + "]*")
 _LETTERS = "".join(chr(c) for c in range(0x250) if chr(c).isalpha())
 _NUMBERS = "".join(chr(c) for c in range(0x250) if chr(c).isnumeric())
-_ENDS = frozenset(".,;:!?")
+_PLAIN_LETTERS = "".join(c for c in _LETTERS if c in _PLAIN_CHARS)
+#: Where encoders stay in a Python worker.
+KEPT = "featureflow_kept"
 WORD = re.compile("|".join([*CONTRACTIONS, f"[{_LETTERS}]+", f"[{_NUMBERS}]", f"[^{_LETTERS}{_NUMBERS}]+"]))
 
 
@@ -80,14 +86,15 @@ def packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
-_open: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
-    """One encoder for each vocabulary file and Python worker."""
-    if path not in _open:
-        _open[path] = PieceEncoder(path)
-    return _open[path]
+    """One encoder for each vocabulary file and Python worker, kept between tasks.
+
+    The package travels with each job, so its modules are new in every task; what stays hangs on the interpreter.
+    """
+    kept = vars(sys.modules.setdefault(KEPT, ModuleType(KEPT)))
+    if path not in kept:
+        kept[path] = PieceEncoder(path)
+    return kept[path]
 
 
 def lowered(texts: pa.Array) -> pa.Array:
@@ -104,54 +111,96 @@ def pieces_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
 
 
 class PieceEncoder:
-    """Ids of texts; remembers the ids of short words."""
+    """Ids of texts; remembers the ids of short words as arrays, some 30 bytes a word."""
 
     def __init__(self, path: str) -> None:
         self.words = Words(path)
-        self.memory: dict[str, bytes] = {}
-
-    def _word(self, word: str) -> bytes:
-        ids = self.memory.get(word)
-        if ids is None:
-            ids = packed(self.words.merge(word))
-            if len(word) <= MEMORY_CHARS:
-                self.memory[word] = ids
-        return ids
-
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece. Most are a word that is remembered, or one of plain letters that is not yet."""
-        out, get, word = [], self.memory.get, self._word
-        for piece in pieces:
-            ids = get(piece)
-            if ids is None:
-                if piece.isascii() and piece.isalpha():
-                    ids = word(piece.lower())
-                elif piece[-1:] in _ENDS and piece.isascii() and piece[:-1].isalpha():
-                    ids = word(piece[:-1].lower()) + word(piece[-1])
-                else:
-                    words = self.words.split(piece)
-                    ids = packed(self.words.whole(piece)) if words is None else b"".join(map(word, words))
-            out.append(ids)
-        return out
+        self.known = pa.array([], pa.string())
+        self.ids, self.lengths = np.array([], np.uint32), np.array([], np.int32)
+        self.uses = np.array([], np.int32)
+
+    def _remember(self, known: pa.Array, ids: np.ndarray, lengths: np.ndarray, uses: np.ndarray) -> None:
+        """The short words; of more than REMEMBERED of them the most used half, whose uses count half from then on."""
+        keep = np.flatnonzero(pc.less_equal(pc.utf8_length(known), MEMORY_CHARS).to_numpy(zero_copy_only=False))
+        if len(keep) > REMEMBERED:
+            keep = np.sort(keep[np.argpartition(-uses[keep], REMEMBERED // 2)[: REMEMBERED // 2]])
+            uses = uses >> 1
+        if len(keep) < len(known):
+            known, uses = known.take(pa.array(keep)), uses[keep]
+            ids, _ = joined(ids, lengths, keep, np.array([0]))
+            lengths = lengths[keep]
+        self.known, self.ids, self.lengths, self.uses = known, ids, lengths, uses
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of distinct words in a row, number of each word's ids). The library merges those not remembered."""
+        places = pc.index_in(words, self.known)
+        new = words.filter(places.is_null())
+        ids, lengths, merge = array("I"), np.zeros(len(new), np.int32), self.words.merge
+        for i, word in enumerate(strings(new)):
+            before = len(ids)
+            ids.extend(merge(word))
+            lengths[i] = len(ids) - before
+        unknown = places.is_null().to_numpy(zero_copy_only=False)
+        codes = places.fill_null(0).to_numpy().astype(np.int64)
+        codes[unknown] = len(self.known) + np.arange(len(new))
+        known = pa.concat_arrays([self.known, new])
+        uses = np.concatenate((self.uses, np.zeros(len(new), np.int32)))
+        uses[codes] += 1
+        all_ids, all_lengths = np.concatenate((self.ids, np.frombuffer(ids, np.uint32))), np.concatenate((self.lengths, lengths))
+        out, _ = joined(all_ids, all_lengths, codes, np.array([0]))
+        self._remember(known, all_ids, all_lengths, uses)
+        return out, all_lengths[codes]
+
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, number of ids, place of each piece among these): plain letters first, then mixed pieces, then others."""
+        alone = pc.match_substring_regex(pieces, f"^[{_PLAIN_LETTERS}]+$")
+        plain = pc.match_substring_regex(pieces, f"^{_PLAIN.pattern}$")
+        for special in self.words.special:
+            plain = pc.and_not(plain, pc.match_substring(pieces, special))
+        mixed, others = pc.and_not(plain, alone), pc.invert(pc.or_(plain, alone))
+        split = pc.replace_substring_regex(pc.utf8_lower(pieces.filter(mixed)), f"({WORD.pattern})", r"\1 ")
+        lists = pc.ascii_split_whitespace(split)  # each ends with an empty word, which has no ids
+        coded = pa.concat_arrays([pc.utf8_lower(pieces.filter(alone)), lists.flatten()]).dictionary_encode()
+        ids, lengths = self._words(coded.dictionary)
+        n = len(pieces) - others.true_count
+        counts = np.concatenate((np.ones(n - len(lists), np.int64), pc.list_value_length(lists).to_numpy()))
+        ids, borders = joined(ids, lengths, coded.indices.to_numpy(), np.concatenate(([0], np.cumsum(counts))))
+        whole = [self.words.whole(piece) for piece in strings(pieces.filter(others))]
+        ids = np.concatenate((ids, np.array([i for x in whole for i in x], np.uint32)))
+        lengths = np.concatenate((np.diff(borders), np.array([len(x) for x in whole], np.int64)))
+        places = np.empty(len(pieces), np.int64)
+        for mask, first in ((alone, 0), (mixed, n - len(lists)), (others, n)):
+            places[mask.to_numpy(zero_copy_only=False)] = first + np.arange(mask.true_count)
+        return ids, lengths, places
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row as uint32, offsets of the texts in them); `end_id` follows each text."""
-        if len(self.memory) > MEMORY:
-            self.memory.clear()
         offsets, distinct, codes = pieces_of(lowered(texts))
-        ids = self._pieces(distinct.to_pylist())
+        ids, lengths, places = self._pieces(distinct)
+        codes = places.astype(np.int32)[codes]
         if end_id is not None:  # the end is one more piece after each text's last
-            ids.append(packed([end_id]))
-            codes = np.insert(codes, offsets[1:], len(ids) - 1)
+            ids, lengths = np.append(ids, np.uint32(end_id)), np.append(lengths, 1)
+            codes = np.insert(codes, offsets[1:], len(lengths) - 1)
             offsets = offsets + np.arange(len(offsets))
-        return gathered(ids, codes, offsets)
+        return joined(ids, lengths, codes, offsets)
+
+
+def strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
 
 
 def gathered(ids: list[bytes], codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of the coded pieces one after another, and the places where the texts begin; offsets count pieces."""
-    lengths = np.array([len(x) >> 2 for x in ids], np.int32)
-    starts = np.cumsum(lengths) - lengths
-    flat = np.frombuffer(b"".join(ids), np.uint32)
+    """As `joined`, for the packed ids of each piece."""
+    return joined(np.frombuffer(b"".join(ids), np.uint32), np.array([len(x) >> 2 for x in ids], np.int32), codes, offsets)
+
+
+def joined(flat: np.ndarray, lengths: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the coded pieces one after another, and the places where the texts begin; offsets count pieces.
+
+    `flat` holds the ids of each piece in a row, `lengths` how many each has.
+    """
+    lengths = lengths.astype(np.int32, copy=False)
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
     taken = lengths[codes]
     ends = np.cumsum(taken, dtype=np.int64)
     total = int(ends[-1]) if len(ends) else 0
