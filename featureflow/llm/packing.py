@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featureflow.llm.common import stored, texts_of
+from featureflow.llm.common import slices, stored, texts_of
 from featureflow.llm.token_files import bases, encoded
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -42,7 +42,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = 20
     placed = rows.join(F.broadcast(bases(rows)), "part").select("doc_id", (F.col("base") + F.col("before")).alias("first"), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "ids"):
             ids = batch.column("ids")
             flat, offsets = ids.values.to_numpy().astype("<u4", copy=False), ids.offsets.to_numpy().astype(np.int64)
             first, lengths = batch.column("first").to_numpy(), np.diff(offsets)

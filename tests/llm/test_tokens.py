@@ -1,11 +1,13 @@
+import pickle
 import random
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 
-from featureflow.llm import packing, queries, token_counts, token_files, tokens
+from featureflow.llm import common, packing, queries, token_counts, token_files, tokens
 
 PATH = queries.tokenizer_file()
 AWKWARD = [
@@ -52,6 +54,34 @@ def test_memory_starts_anew(library, monkeypatch):
         assert ids.tolist() == [i for t in own for i in library.encode(t, add_special_tokens=False).ids]
 
 
+def test_most_used_words_stay(library, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 10)
+    encoder, own = tokens.PieceEncoder(PATH), texts(2)
+    for text in [*own, *["often"] * 3, *own]:
+        ids, _ = encoder.encode(pa.array([text, "often"]), 1)
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 1, *library.encode("often").ids, 1]
+        assert len(encoder.known) <= 10 and "often" in encoder.known.to_pylist()
+
+
+def test_capitals_with_distant_small_letters(library):
+    own = [f"a{chr(c)}{chr(c)}b" for c in range(0x180, 0x250)]
+    ids, offsets = tokens.PieceEncoder(PATH).encode(pa.array(own))
+    for text, a, b in zip(own, offsets[:-1], offsets[1:], strict=True):
+        assert ids[a:b].tolist() == library.encode(text).ids, text
+
+
+def test_tasks_of_a_worker_share_words():
+    first = pickle.loads(cloudpickle.dumps(tokens.encoder))(PATH)  # as a task gets it
+    first.encode(pa.array(["sharedworderful"]))
+    second = pickle.loads(cloudpickle.dumps(tokens.encoder))(PATH)
+    assert second is first and "sharedworderful" in second.known.to_pylist()
+
+
+def test_lists_are_cut_by_bytes():
+    rows = pa.record_batch([pa.array([[1] * 5, [2] * 5, None, [], [3] * 50], pa.list_(pa.int32()))], ["ids"])
+    assert [part.num_rows for part in common.slices(iter([rows]), "ids", 40)] == [4, 1]
+
+
 ROWS = [(5, "Some words here", 1), (5, "Some words here", 2), (None, "no id", 3), (2, None, 4), (9, "", 5), (7, "tail " * 3000, 6), (-4, "first", 7)]
 
 
